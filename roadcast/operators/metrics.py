@@ -8,9 +8,11 @@ from roadcast.functions.risk import HAZARD_AT
 
 METRICS = ("auc", "average_precision", "brier", "accuracy")
 
-# Buckets per unit of log-odds. The log-odds of doubles strictly between 0 and 1 lie
-# within -746..38, so there are fewer than 2**20 buckets.
-_STEPS = 1024
+# Scores are bucketed by log-odds, which for doubles strictly between 0 and 1 lie
+# within -746..38. Coarse buckets: 1024 per unit, so fewer than 2**20 in all. Each is
+# cut into 2**16 fine ones, of which one spans at most some 2**27 distinct doubles.
+_COARSE_STEPS = 1024
+_FINE_BITS = 16
 
 
 def binary_metrics(scored: DataFrame, outcome: str = "y", score: str = "score") -> DataFrame:
@@ -18,34 +20,51 @@ def binary_metrics(scored: DataFrame, outcome: str = "y", score: str = "score")
     and accuracy at 0.5. With a single class the first two are 0.
 
     Rows are first added up per distinct score. The running counts that AUC and AP
-    need are then taken within buckets of similar scores, plus the totals of the
-    higher buckets, so no task sees all scores.
+    need are then built from coarse buckets of similar scores down to fine ones, so
+    no task sees all scores, however closely they crowd.
     """
-    y, s = F.col(outcome).cast("int"), F.col(score).cast("double")
-    rows = scored.select(y.alias("y"), s.alias("s"))
-    per_score = rows.groupBy("s").agg(
-        F.count("*").alias("n"), F.sum(F.col("y").cast("bigint")).alias("pos")
-    ).withColumn("bucket", _bucket(F.col("s")))
-
-    buckets = per_score.groupBy("bucket").agg(
+    y, s = F.col(outcome).cast("bigint"), F.col(score).cast("double")
+    per_score = (
+        scored.select(y.alias("y"), s.alias("s"))
+        .groupBy("s")
+        .agg(F.count("*").alias("n"), F.sum("y").alias("pos"))
+        .withColumn("fine", _fine_bucket(F.col("s")))
+        .withColumn("coarse", F.shiftright("fine", _FINE_BITS))
+    )
+    fine = per_score.groupBy("coarse", "fine").agg(
         F.sum("n").alias("bucket_n"), F.sum("pos").alias("bucket_pos")
     )
-    higher = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    all_buckets = Window.partitionBy()
-    above = buckets.select(
-        "bucket",
-        F.coalesce(F.sum("bucket_n").over(higher), F.lit(0)).alias("n_above"),
-        F.coalesce(F.sum("bucket_pos").over(higher), F.lit(0)).alias("pos_above"),
-        F.sum("bucket_n").over(all_buckets).alias("total"),
-        F.sum("bucket_pos").over(all_buckets).alias("total_pos"),
+    coarse = fine.groupBy("coarse").agg(
+        F.sum("bucket_n").alias("coarse_n"), F.sum("bucket_pos").alias("coarse_pos")
+    )
+    higher = Window.orderBy(F.desc("coarse")).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    above = coarse.select(
+        "coarse",
+        _sum_or_zero("coarse_n", higher).alias("n_higher"),
+        _sum_or_zero("coarse_pos", higher).alias("pos_higher"),
+        F.sum("coarse_n").over(everything).alias("total"),
+        F.sum("coarse_pos").over(everything).alias("total_pos"),
+    )
+    higher_fine = (
+        Window.partitionBy("coarse")
+        .orderBy(F.desc("fine"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # Fewer than 2**20 coarse buckets, so this broadcast is safe at any input size.
+    offsets = fine.join(F.broadcast(above), "coarse").select(
+        "fine",
+        (F.col("n_higher") + _sum_or_zero("bucket_n", higher_fine)).alias("n_above"),
+        (F.col("pos_higher") + _sum_or_zero("bucket_pos", higher_fine)).alias("pos_above"),
+        "total",
+        "total_pos",
     )
     down = (
-        Window.partitionBy("bucket")
+        Window.partitionBy("fine")
         .orderBy(F.desc("s"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Bounded by the number of buckets, so the broadcast is safe at any input size.
-    running = per_score.join(F.broadcast(above), "bucket").select(
+    running = per_score.join(offsets, "fine").select(
         "s",
         "n",
         "pos",
@@ -76,13 +95,12 @@ def binary_metrics(scored: DataFrame, outcome: str = "y", score: str = "score")
     )
 
 
-def _bucket(score: Column) -> Column:
-    """Bucket number that never falls as the score rises, finer towards 0 and 1,
-    where the scores of rare outcomes crowd."""
-    odds = F.floor(F.log(score / (1 - score)) * _STEPS)
-    return (
-        F.when(score <= 0, F.lit(-(2**20)))
-        .when(score >= 1, F.lit(2**20))
-        .otherwise(odds)
-        .cast("int")
-    )
+def _sum_or_zero(column: str, window) -> Column:
+    return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+
+def _fine_bucket(score: Column) -> Column:
+    """Bucket number that never falls as the score rises."""
+    odds = F.floor(F.log(score / (1 - score)) * (_COARSE_STEPS << _FINE_BITS))
+    beyond = F.lit(1 << 40).cast("bigint")
+    return F.when(score <= 0, -beyond).when(score >= 1, beyond).otherwise(odds.cast("bigint"))

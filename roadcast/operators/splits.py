@@ -59,7 +59,8 @@ def with_split(df: DataFrame, keys: Sequence[str], **days: int) -> DataFrame:
 def with_random_split(df: DataFrame, keys: Sequence[str], seed: int = SEED) -> DataFrame:
     """Add ``split`` by the rank of a seeded hash of ``keys``, which must identify a
     row: the lowest fifth is the test set, the next 15 percent are for calibration.
-    The cut sizes are exact and the assignment repeats.
+    The cut sizes are exact and the assignment repeats. (Rows that share their keys
+    are never parted, so with such copies a cut is as near as that allows.)
 
     Only the two boundary rows are looked for; the rows are then compared with them.
     """
@@ -94,9 +95,16 @@ def _row_at_share(df: DataFrame, place: Column, share: float) -> Column:
         (F.col("end") >= F.col("wanted"))
         & (F.col("end") - F.col("rows") < F.col("wanted"))
     ).select("bucket", (F.col("wanted") - (F.col("end") - F.col("rows"))).alias("nth"))
-    inside = placed.withColumn("bucket", bucket).join(F.broadcast(holder), "bucket")
-    ranked = inside.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("place")))
-    return ranked.where(F.col("rank") == F.col("nth")).select("place").scalar()
+    # Copies of a row share one place and are counted, not listed, before the ranking.
+    inside = (
+        placed.withColumn("bucket", bucket)
+        .join(F.broadcast(holder), "bucket")
+        .groupBy("bucket", "nth", "place")
+        .agg(F.count("*").alias("rows"))
+    )
+    upto = Window.partitionBy("bucket").orderBy("place")
+    reached = inside.withColumn("upto", F.sum("rows").over(upto)).where(F.col("upto") >= F.col("nth"))
+    return reached.select(F.min("place")).scalar()
 
 
 def class_weights(df: DataFrame, by: Sequence[str] = ("horizon_hours",)) -> DataFrame:

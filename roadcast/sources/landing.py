@@ -15,7 +15,8 @@ BODY_HEAD = 1000
 def read_landing(spark: SparkSession, path: str, *, json_lines: bool = False) -> DataFrame:
     """One row per file, or one per line with ``json_lines`` (which splits large
     files across tasks)."""
-    return as_landed(spark.read.text(path, wholetext=not json_lines))
+    landed = as_landed(spark.read.text(path, wholetext=not json_lines))
+    return with_line_order(landed) if json_lines else landed
 
 
 def as_landed(text: DataFrame) -> DataFrame:
@@ -28,11 +29,24 @@ def as_landed(text: DataFrame) -> DataFrame:
     return text.select(
         F.col("value").alias("body"),
         F.col("_metadata.file_path").alias("payload_id"),
+        F.col("_metadata.file_block_start").alias("_block_start"),
         F.col("_metadata.file_modification_time").alias("ingested_at"),
         *others,
     )
 
 
+def with_line_order(landed: DataFrame) -> DataFrame:
+    """Tell the lines of one file apart, in file order: by the start of the file
+    block and then by the order in which its one task reads it."""
+    padded = [
+        F.lpad(n.cast("string"), 20, "0")
+        for n in (F.col("_block_start"), F.monotonically_increasing_id())
+    ]
+    return landed.withColumn("payload_id", F.concat_ws("#", "payload_id", *padded)).drop(
+        "_block_start"
+    )
+
+
 def with_verdict(landed: DataFrame) -> DataFrame:
     """Add ``reject_reason``: null for a body that can be used.
 
