@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,9 +28,16 @@ class Feed:
     errors: Callable[[], DataFrame] | None = None
 
 
-def refresh(spark: SparkSession, feeds: Iterable[Feed], *, align: bool = False) -> DataFrame:
+def refresh(
+    spark: SparkSession,
+    feeds: Iterable[Feed],
+    *,
+    align: bool = False,
+    location: str | None = None,
+) -> DataFrame:
     """Upsert every feed and report ``(source, rows, error)``: one row per feed, and
-    one per error a feed lists. ``align`` drops columns the table does not have.
+    one per error a feed lists. ``align`` drops columns the table does not have; new
+    tables go under ``location`` if given, else where the catalog puts them.
 
     Raises only when no feed succeeded and there was an error.
     """
@@ -38,7 +45,8 @@ def refresh(spark: SparkSession, feeds: Iterable[Feed], *, align: bool = False)
     listed: list[DataFrame] = []
     for feed in feeds:
         try:
-            ensure_table(spark, feed.spec)
+            place = f"{location}/{feed.spec.table}" if location else None
+            ensure_table(spark, feed.spec, location=place)
             rows = feed.rows()
             if align:
                 rows = _aligned(spark, rows, feed.spec)
@@ -71,8 +79,10 @@ def landing_feeds(
     frost: DataFrame | None = None,
     forecasts: DataFrame | None = None,
     locations: DataFrame | None = None,
+    suffix: str = "",
 ) -> list[Feed]:
-    """The usual four feeds from landed payload frames; leave out what is not polled."""
+    """The usual four feeds from landed payload frames; leave out what is not polled.
+    ``suffix`` is added to the table names."""
     feeds = []
     for name, spec, landed, flatten in (
         ("weather", schemas.WEATHER_OBSERVATION, weather, extract.weather_observations),
@@ -83,7 +93,7 @@ def landing_feeds(
             feeds.append(
                 Feed(
                     name,
-                    spec,
+                    replace(spec, name=spec.name + suffix),
                     lambda landed=landed, flatten=flatten: flatten(accepted(landed)),
                     lambda landed=landed: quarantined(landed).select(
                         F.col("reject_reason").alias("error")
@@ -94,7 +104,7 @@ def landing_feeds(
         feeds.append(
             Feed(
                 "forecast",
-                schemas.POINT_FORECAST,
+                replace(schemas.POINT_FORECAST, name=schemas.POINT_FORECAST.name + suffix),
                 lambda: location_forecasts(forecasts, locations),
                 lambda: location_errors(forecasts, locations).select(
                     F.concat_ws(": ", "location_id", "error").alias("error")

@@ -7,7 +7,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from roadcast.functions.calibration import platt
-from roadcast.functions.risk import hazard_predicted, recommendation, risk_colour, risk_level
+from roadcast.functions.risk import (
+    hazard_predicted,
+    recommendation,
+    risk_colour,
+    risk_level,
+    severity,
+)
 from roadcast.functions.times import in_valid_window
 from roadcast.operators.ensemble import ensemble_summary, long_ensemble_summary
 from roadcast.operators.metrics import binary_metrics
@@ -327,24 +333,24 @@ def best_row_per_run(spark, sf_dir):
     )
 
 
+_SEVERITY = "case when risk_mean > 0.7 then 2 when risk_mean > 0.4 then 1 else 0 end"
+
+
 @query(
     "severity_order",
     ctes("pred")
-    + """
-select ingest_seq, round(risk_mean, 6) as risk_mean,
-  row_number() over (order by case when risk_mean > 0.7 then 2 when risk_mean > 0.4 then 1 else 0 end
-    desc, risk_mean desc nulls last, ingest_seq) > 0 as ranked
+    + f"""
+select ingest_seq, round(risk_mean, 6) as risk_mean, {_SEVERITY} as severity
 from (select ingest_seq, case when ingest_seq % 10 = 0 then null else risk_mean end as risk_mean
       from pred)
-order by case when risk_mean > 0.7 then 2 when risk_mean > 0.4 then 1 else 0 end desc,
-  risk_mean desc nulls last, ingest_seq
+order by {_SEVERITY} desc, risk_mean desc nulls last, ingest_seq
 """,
 )
 def severity_order(spark, sf_dir):
     df = predictions(spark, sf_dir).select(
         "ingest_seq", F.when(F.col("ingest_seq") % 10 != 0, F.col("risk_mean")).alias("risk_mean")
     )
-    return comparable(by_severity(df).withColumn("ranked", F.lit(True)))
+    return comparable(by_severity(df.withColumn("severity", severity(df))))
 
 
 @query(

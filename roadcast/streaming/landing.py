@@ -33,6 +33,7 @@ def stream_to_table(
     checkpoint: str,
     *,
     json_lines: bool = False,
+    location: str | None = None,
     quarantine: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
@@ -42,7 +43,7 @@ def stream_to_table(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = with_line_order(batch) if json_lines else batch
-        ensure_table(spark, spec)
+        ensure_table(spark, spec, location=location)
         upsert(spark, spec, extract(accepted(batch)))
         if quarantine:
             # One folder per batch, so a replayed batch replaces its own rows.
