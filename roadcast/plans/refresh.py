@@ -11,7 +11,7 @@ from roadcast import schemas
 from roadcast.schemas import TableSpec
 from roadcast.sources import extract
 from roadcast.sources.forecasts import location_errors, location_forecasts
-from roadcast.sources.landing import accepted, quarantined
+from roadcast.sources.landing import answered, quarantined
 from roadcast.sources.tables import align_to_table, ensure_table, upsert
 
 REPORT_COLUMNS = "source STRING, rows BIGINT, error STRING"
@@ -94,7 +94,7 @@ def landing_feeds(
                 Feed(
                     name,
                     replace(spec, name=spec.name + suffix),
-                    lambda landed=landed, flatten=flatten: flatten(accepted(landed)),
+                    lambda landed=landed, flatten=flatten: flatten(answered(landed)),
                     lambda landed=landed: quarantined(landed).select(
                         F.col("reject_reason").alias("error")
                     ),

@@ -15,7 +15,7 @@ _POINT = "STRUCT<Id: STRING, Name: STRING, Geometry: STRUCT<WGS84: STRING>>"
 _VALUE = "STRUCT<Value: STRING>"
 
 WEATHER_PAYLOAD = f"""
-RESPONSE STRUCT<RESULT: ARRAY<STRUCT<WeatherObservation: ARRAY<STRUCT<
+RESPONSE: STRUCT<RESULT: ARRAY<STRUCT<WeatherObservation: ARRAY<STRUCT<
   Measurepoint: {_POINT},
   Sample: STRING,
   Surface: STRUCT<Temperature: {_VALUE}, Water: STRING, Ice: STRING, Snow: STRING, Grip: {_VALUE}>,
@@ -24,7 +24,7 @@ RESPONSE STRUCT<RESULT: ARRAY<STRUCT<WeatherObservation: ARRAY<STRUCT<
 """
 
 SITUATION_PAYLOAD = """
-RESPONSE STRUCT<RESULT: ARRAY<STRUCT<Situation: ARRAY<STRUCT<
+RESPONSE: STRUCT<RESULT: ARRAY<STRUCT<Situation: ARRAY<STRUCT<
   Id: STRING, PublicationTime: STRING, VersionTime: STRING,
   Deviation: ARRAY<STRUCT<
     MessageType: STRING, MessageTypeValue: STRING, MessageCode: STRING,
@@ -35,7 +35,7 @@ RESPONSE STRUCT<RESULT: ARRAY<STRUCT<Situation: ARRAY<STRUCT<
 """
 
 FROST_PAYLOAD = f"""
-RESPONSE STRUCT<RESULT: ARRAY<STRUCT<FrostDepthObservation: ARRAY<STRUCT<
+RESPONSE: STRUCT<RESULT: ARRAY<STRUCT<FrostDepthObservation: ARRAY<STRUCT<
   Measurepoint: {_POINT},
   FrostDepth: STRUCT<Sample: STRING, Temperature: ARRAY<STRUCT<
     SensorName: STRING, Depth: STRING, Value: STRING>>>
@@ -43,8 +43,8 @@ RESPONSE STRUCT<RESULT: ARRAY<STRUCT<FrostDepthObservation: ARRAY<STRUCT<
 """
 
 FORECAST_PAYLOAD = """
-approvedTime STRING, referenceTime STRING,
-timeSeries ARRAY<STRUCT<validTime: STRING,
+approvedTime: STRING, referenceTime: STRING,
+timeSeries: ARRAY<STRUCT<validTime: STRING,
                         parameters: ARRAY<STRUCT<name: STRING, values: ARRAY<STRING>>>>>
 """
 

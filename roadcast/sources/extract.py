@@ -1,8 +1,9 @@
 """Nested payloads to flat rows.
 
-Each extractor takes a landed frame (see ``landing``) and explodes its arrays.
-``_seq`` keeps a row's place within its payload; together with ``ingested_at`` and
-``payload_id`` it gives "the last one wins" a total order that survives shuffles.
+Each extractor takes a landed frame (see ``landing``) and explodes its arrays. A body
+that is not one JSON object yields no rows. ``_seq`` keeps a row's place within its
+payload; together with ``ingested_at`` and ``payload_id`` it gives "the last one wins" a
+total order that survives shuffles.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadcast import schemas
 from roadcast.functions.clean import NUMERIC_TEXT, utc_from_text
+from roadcast.functions.payload import with_object
 from roadcast.operators.joins import dimension_join
 
 ORDER = ("ingested_at", "payload_id", "_seq")
@@ -32,8 +34,13 @@ def _fractional_id(value: Column) -> Column:
 
 
 def _explode(df: DataFrame, array: str, item: str, place: str) -> DataFrame:
-    """Explode with position, keeping every other column."""
-    return df.select("*", F.posexplode(array).alias(place, item))
+    """Explode with position, keeping every other column; no rows for a missing array.
+
+    The outer form, filtered afterwards: for the inner one the optimizer adds a test
+    of the array below the projection that parses it, and so parses it again.
+    """
+    exploded = df.select("*", F.posexplode_outer(array).alias(place, item))
+    return exploded.where(F.col(place).isNotNull())
 
 
 def _place(*positions: str) -> Column:
@@ -46,7 +53,7 @@ def _place(*positions: str) -> Column:
 
 
 def _results(landed: DataFrame, schema: str) -> DataFrame:
-    parsed = landed.withColumn("_doc", F.from_json("body", schema)).drop("body")
+    parsed = with_object(landed, schema).drop("body")
     return _explode(parsed, "_doc.RESPONSE.RESULT", "_result", "_r").drop("_doc")
 
 
@@ -149,8 +156,7 @@ def point_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
         F.col("longitude").alias("lon"),
         F.col("tv_measurepoint_id").alias("measurepoint_id"),
     )
-    doc = F.from_json("body", schemas.FORECAST_PAYLOAD)
-    parsed = landed.withColumn("_doc", doc).drop("body")
+    parsed = with_object(landed, schemas.FORECAST_PAYLOAD).drop("body")
     # The first field that is not empty is taken, and only then parsed: an
     # unreadable first field gives the ingest time, not the second field.
     raw_run = F.coalesce(

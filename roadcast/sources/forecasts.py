@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadcast.operators.joins import dimension_join
 from roadcast.sources.extract import point_forecasts
-from roadcast.sources.landing import accepted, quarantined
+from roadcast.sources.landing import answered, quarantined
 
 
 def location_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
     """Forecast rows of every usable payload that belongs to a usable location."""
     usable = locations.where(F.col("tv_measurepoint_id").isNotNull())
-    return point_forecasts(accepted(landed), usable)
+    return point_forecasts(answered(landed), usable)
 
 
 def location_errors(landed: DataFrame, locations: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ A landed frame has one payload per row: ``body`` (whole text), ``payload_id`` an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from roadcast.functions.payload import is_object
 
 BODY_HEAD = 1000
 
@@ -47,24 +49,29 @@ def with_line_order(landed: DataFrame) -> DataFrame:
     )
 
 
-def with_verdict(landed: DataFrame) -> DataFrame:
-    """Add ``reject_reason``: null for a body that can be used.
-
-    ``status`` and ``content_type`` are checked where the landing recorded them.
-    """
-    body_blank = ~F.coalesce(F.col("body").rlike(r"\S"), F.lit(False))
-    not_json = F.try_parse_json("body").isNull()
-    reason = F.when(body_blank, "empty body").when(not_json, "not JSON")
+def _bad_answer(landed: DataFrame) -> Column:
+    """Reason to reject a payload without parsing it, or null. ``status`` and
+    ``content_type`` are checked where the landing recorded them."""
+    blank = ~F.coalesce(F.col("body").rlike(r"\S"), F.lit(False))
+    reason = F.when(blank, "empty body")
     if "content_type" in landed.columns:
         typed = F.lower(F.coalesce(F.col("content_type"), F.lit("")))
         reason = F.when(~typed.contains("json"), "content type is not JSON").otherwise(reason)
     if "status" in landed.columns:
         reason = F.when(F.col("status") >= 400, "error status").otherwise(reason)
-    return landed.withColumn("reject_reason", reason)
+    return reason
 
 
-def accepted(landed: DataFrame) -> DataFrame:
-    return with_verdict(landed).where(F.col("reject_reason").isNull()).drop("reject_reason")
+def answered(landed: DataFrame) -> DataFrame:
+    """Payloads that came with a good answer. Extraction parses each of them and
+    takes no rows from one that is not JSON, so nothing is parsed twice."""
+    return landed.where(_bad_answer(landed).isNull())
+
+
+def with_verdict(landed: DataFrame) -> DataFrame:
+    """Add ``reject_reason``: null for a payload that can be used."""
+    reason = F.coalesce(_bad_answer(landed), F.when(~is_object(), "not JSON"))
+    return landed.withColumn("reject_reason", reason)
 
 
 def quarantined(landed: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from roadcast.schemas import TableSpec
-from roadcast.sources.landing import accepted, as_landed, quarantined, with_line_order
+from roadcast.sources.landing import answered, as_landed, quarantined, with_line_order
 from roadcast.sources.tables import ensure_table, upsert
 
 
@@ -44,7 +44,7 @@ def stream_to_table(
         spark = batch.sparkSession
         batch = with_line_order(batch) if json_lines else batch
         ensure_table(spark, spec, location=location)
-        upsert(spark, spec, extract(accepted(batch)))
+        upsert(spark, spec, extract(answered(batch)))
         if quarantine:
             # One folder per batch, so a replayed batch replaces its own rows.
             quarantined(batch).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
