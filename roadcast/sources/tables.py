@@ -50,8 +50,9 @@ def table_properties(spark: SparkSession, spec: TableSpec) -> dict[str, str]:
 
 
 def read_table(spark: SparkSession, spec: TableSpec, *, with_date: bool = False) -> DataFrame:
-    """The table of that name and version. ``with_date`` keeps the partition column,
-    for filters that should prune by it."""
+    """The table of that name and version, as last written by any session.
+    ``with_date`` keeps the partition column, for filters that should prune by it."""
+    spark.catalog.refreshTable(spec.table)
     df = spark.table(spec.table)
     return df if with_date else df.drop("event_date")
 
