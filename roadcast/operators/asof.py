@@ -17,7 +17,7 @@ What keeps it distributed:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadcast.functions.clean import (
     feature_flag,
@@ -84,13 +84,15 @@ def attach_latest_observation(
         or "forecast_run_time" not in forecasts.columns
     ):
         return without_observations(forecasts)
-    runs = _forecast_side(forecasts, unique_keys)
+    timed = _timed_forecasts(forecasts)
+    runs = timed if unique_keys or "valid_time" not in timed.columns else keep_last(timed, FORECAST_KEY)
     seen = _observation_side(observations, unique_keys)
     ids = [
         with_measurepoint_id(side.select("measurepoint_id")) for side in (forecasts, observations)
     ]
     matches = latest_before(
-        runs.select("measurepoint_id", F.col("forecast_run_time").alias("_time")).distinct(),
+        # The dedup leaves the same run times, so they are taken from before it.
+        timed.select("measurepoint_id", F.col("forecast_run_time").alias("_time")).distinct(),
         seen.select(
             "measurepoint_id",
             F.col("sample_time").alias("_time"),
@@ -108,13 +110,10 @@ def attach_latest_observation(
     )
 
 
-def _forecast_side(forecasts: DataFrame, unique_keys: bool) -> DataFrame:
+def _timed_forecasts(forecasts: DataFrame) -> DataFrame:
     df = with_measurepoint_id(forecasts)
     df = df.withColumn("forecast_run_time", utc_timestamp(df, "forecast_run_time"))
-    df = df.where(F.col("forecast_run_time").isNotNull())
-    if unique_keys or "valid_time" not in df.columns:
-        return df
-    return keep_last(df, FORECAST_KEY)
+    return df.where(F.col("forecast_run_time").isNotNull())
 
 
 def _observation_side(observations: DataFrame, unique_keys: bool) -> DataFrame:
@@ -122,6 +121,21 @@ def _observation_side(observations: DataFrame, unique_keys: bool) -> DataFrame:
     return df if unique_keys else keep_last(df, ("measurepoint_id", "sample_time"))
 
 
+def condensed(observations: DataFrame, since: Column) -> DataFrame:
+    """The observations that can be the latest for any run from ``since`` on: those
+    from then on, and each point's last one before.
+
+    Scoring looks at a few recent runs, and the observation may be arbitrarily old.
+    The history is read, but of each point's older rows a task passes on only one.
+    """
+    df = with_measurepoint_id(observations)
+    df = df.withColumn("sample_time", utc_timestamp(df, "sample_time"))
+    recent = df.where(F.col("sample_time") >= since)
+    older = df.where(F.col("sample_time") < since)
+    last = keep_last(older, ["measurepoint_id"], ["sample_time", *input_order(df)])
+    return recent.unionByName(last)
+
+
 def latest_before(
     probes: DataFrame,
     values: DataFrame,

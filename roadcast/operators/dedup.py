@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 INPUT_ORDER = ("ingested_at", "payload_id", "_seq", "ingest_seq")
 
@@ -19,15 +19,14 @@ def keep_last(
 ) -> DataFrame:
     """One row per key: the last in ``order``. Null keys count as equal.
 
-    A grouped ``max_by`` rather than a window, so every task first reduces its own
-    rows and a key with very many copies sends one row per task to the shuffle.
-    ``order`` must tell rows of one key apart, or the choice between them is open.
+    Every task first keeps its own last row per key (Spark limits the groups of a
+    ``row_number`` filter ahead of the shuffle), so a key with very many copies
+    sends one row per task. ``order`` must tell rows of one key apart, or the choice
+    between them is open.
     """
     order = list(order) if order is not None else input_order(df)
     if not order:
         raise ValueError("keep_last needs columns that order the rows")
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*").select(*df.columns)
+    newest_first = [F.col(c).desc_nulls_last() for c in order]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
+    return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")

@@ -133,7 +133,8 @@ def timeline(predictions: DataFrame, point: int | None = None) -> DataFrame:
         ).alias("has_band")
     )
     flagged = skewproof_join(df, bands, ["measurepoint_id"], "inner")
-    return flagged.orderBy("measurepoint_id", "valid_time")
+    by = ("measurepoint_id", "valid_time", "forecast_run_time", "horizon_hours")
+    return flagged.orderBy(*[c for c in by if c in flagged.columns])
 
 
 def key_figures(df: DataFrame) -> DataFrame:

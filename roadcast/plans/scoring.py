@@ -13,6 +13,7 @@ from roadcast.functions.times import at_horizons, in_valid_window
 from roadcast.operators.asof import (
     FORECAST_KEY,
     attach_latest_observation,
+    condensed,
     without_observations,
 )
 from roadcast.operators.dedup import input_order, keep_last
@@ -29,6 +30,7 @@ def prediction_rows(
     now: dt.datetime,
     *,
     hot_rows: int = HOT_ROWS,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Feature rows to score: requested horizons, valid from ``now``'s hour to 72
     hours on, with the latest observation. Both filters need the forecast alone and
@@ -38,7 +40,10 @@ def prediction_rows(
         # This way has no dedup of its own, but the prediction table is keyed.
         order = input_order(features)
         return without_observations(keep_last(features, FORECAST_KEY, order) if order else features)
-    return attach_latest_observation(features, observations, hot_rows=hot_rows)
+    first_run = features.select(F.min("forecast_run_time")).scalar()
+    return attach_latest_observation(
+        features, condensed(observations, first_run), hot_rows=hot_rows, unique_keys=unique_keys
+    )
 
 
 def with_decision(scored: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from roadcast.operators.splits import class_weights, with_split
 from roadcast.plans.dataset import complete_rows
 from roadcast.plans.features import available_features, with_vector
 from roadcast.schemas import HORIZONS
-from roadcast.session import scratch_path, use_checkpoints
+from roadcast.session import path_exists, scratch_path, use_checkpoints
 
 PLATT, ISOTONIC = "platt", "isotonic"
 ROW_KEYS = ("measurepoint_id", "forecast_run_time", "valid_time")
@@ -272,10 +272,10 @@ def save_ensemble(spark: SparkSession, ensemble: Ensemble, path: str) -> None:
 def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
     """Read what ``save_ensemble`` wrote. A folder without manifest holds a single
     ``model``, an optional ``calibrator`` and the ``features`` list as JSON text."""
-    if not _exists(spark, f"{path}/manifest"):
+    if not path_exists(spark, f"{path}/manifest"):
         features = json.loads(spark.read.text(f"{path}/features", wholetext=True).first().value)
         calibrator = None
-        if _exists(spark, f"{path}/calibrator"):
+        if path_exists(spark, f"{path}/calibrator"):
             calibrator = IsotonicRegressionModel.load(f"{path}/calibrator")
         model = GBTClassificationModel.load(f"{path}/model")
         method = PLATT if calibrator is None else ISOTONIC
@@ -299,11 +299,6 @@ def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def append_metrics(spark: SparkSession, ensembles: Sequence[Ensemble], path: str) -> DataFrame:
     """Append one row per horizon to the metrics table; returns the rows added."""
     rows = spark.createDataFrame(

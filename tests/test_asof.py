@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from roadcast.operators.asof import attach_latest_observation
+from roadcast.operators.asof import attach_latest_observation, condensed
 from roadcast.operators.audit import attach_coverage, join_audit
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -121,3 +121,12 @@ def test_audit(spark):
     assert (rows["observation"].rows, rows["observation"].duplicates) == (3, 1)
     cover = attach_coverage(attach_latest_observation(fc, obs)).first()
     assert (cover["rows"], cover.matched) == (1, 1)
+
+
+def test_condensed_history_gives_the_same(spark):
+    forecasts = [(1, 200, 0), (1, 150, 0), (2, 300, 0), (3, 151, 0)]
+    observations = [(1, 10, 1.0), (1, 20, 2.0), (1, 20, 2.5), (1, 150, 3.0), (1, 180, 4.0), (2, 5, 5.0), (4, 1, 0.0)]
+    fc, obs = frames(spark, forecasts, observations)
+    less = condensed(obs, fc.select(F.min("forecast_run_time")).scalar())
+    assert less.count() == 5
+    assert actual(attach_latest_observation(fc, less)) == expected(forecasts, observations)

@@ -165,6 +165,7 @@ def test_prediction_rows(spark):
 
 def test_predict_store_serve(spark, ensemble, tmp_path, monkeypatch):
     directory = "/root/testdata/sf0.01"
+    spark.sql(f"DROP TABLE IF EXISTS {PREDICTION.table}")
     rows = prediction_rows(view(spark, directory, "fc"), view(spark, directory, "obs"), NOW)
     predictions = predict(rows, ensemble)
     assert predictions.columns == [f.name for f in PREDICTION.schema]
