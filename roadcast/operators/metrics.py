@@ -9,67 +9,85 @@ from roadcast.functions.risk import HAZARD_AT
 METRICS = ("auc", "average_precision", "brier", "accuracy")
 
 # Scores are bucketed by log-odds, which for doubles strictly between 0 and 1 lie
-# within -746..38. Coarse buckets: 1024 per unit, so fewer than 2**20 in all. Each is
-# cut into 2**16 fine ones, of which one spans at most some 2**27 distinct doubles.
+# within -746..38. Coarse buckets: 1024 per unit, so fewer than 2**20 in all. A crowded
+# one is cut into 2**16 fine ones, of which one spans at most some 2**27 distinct doubles.
 _COARSE_STEPS = 1024
 _FINE_BITS = 16
+CROWDED = 1_000_000
 
 
-def binary_metrics(scored: DataFrame, outcome: str = "y", score: str = "score") -> DataFrame:
+def binary_metrics(
+    scored: DataFrame, outcome: str = "y", score: str = "score", *, crowded: int = CROWDED
+) -> DataFrame:
     """One row with AUC (ties count half), average precision (step sum), Brier score
     and accuracy at 0.5. With a single class the first two are 0.
 
     Rows are first added up per distinct score. The running counts that AUC and AP
-    need are then built from coarse buckets of similar scores down to fine ones, so
-    no task sees all scores, however closely they crowd.
+    need are then taken within buckets of similar scores, on top of the totals of the
+    higher buckets. A bucket with more than ``crowded`` distinct scores is cut further,
+    so no task sees all scores, however closely they lie.
     """
     y, s = F.col(outcome).cast("bigint"), F.col(score).cast("double")
     per_score = (
         scored.select(y.alias("y"), s.alias("s"))
+        .where(F.col("s").isNotNull())
         .groupBy("s")
         .agg(F.count("*").alias("n"), F.sum("y").alias("pos"))
         .withColumn("fine", _fine_bucket(F.col("s")))
         .withColumn("coarse", F.shiftright("fine", _FINE_BITS))
     )
-    fine = per_score.groupBy("coarse", "fine").agg(
-        F.sum("n").alias("bucket_n"), F.sum("pos").alias("bucket_pos")
-    )
-    coarse = fine.groupBy("coarse").agg(
-        F.sum("bucket_n").alias("coarse_n"), F.sum("bucket_pos").alias("coarse_pos")
+    coarse = per_score.groupBy("coarse").agg(
+        F.sum("n").alias("coarse_n"),
+        F.sum("pos").alias("coarse_pos"),
+        F.count("*").alias("scores"),
     )
     higher = Window.orderBy(F.desc("coarse")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
+    # Fewer than 2**20 coarse buckets, so one task can run over them and they can be
+    # broadcast at any input size.
     above = coarse.select(
         "coarse",
         _sum_or_zero("coarse_n", higher).alias("n_higher"),
         _sum_or_zero("coarse_pos", higher).alias("pos_higher"),
         F.sum("coarse_n").over(everything).alias("total"),
         F.sum("coarse_pos").over(everything).alias("total_pos"),
+        (F.col("scores") > crowded).alias("crowded"),
+    )
+    whole = F.shiftleft("coarse", _FINE_BITS)
+    # Every score has its bucket, so the left join matches always; an inner one would
+    # add a filter below the aggregation above and spoil the reuse of its shuffle.
+    parted = per_score.join(F.broadcast(above), "coarse", "left").withColumn(
+        "part", F.when(F.col("crowded"), F.col("fine")).otherwise(whole)
     )
-    higher_fine = (
+    higher_part = (
         Window.partitionBy("coarse")
-        .orderBy(F.desc("fine"))
+        .orderBy(F.desc("part"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # Fewer than 2**20 coarse buckets, so this broadcast is safe at any input size.
-    offsets = fine.join(F.broadcast(above), "coarse").select(
-        "fine",
-        (F.col("n_higher") + _sum_or_zero("bucket_n", higher_fine)).alias("n_above"),
-        (F.col("pos_higher") + _sum_or_zero("bucket_pos", higher_fine)).alias("pos_above"),
-        "total",
-        "total_pos",
+    within = (
+        parted.where("crowded")
+        .groupBy("coarse", "part")
+        .agg(F.sum("n").alias("part_n"), F.sum("pos").alias("part_pos"))
+        .select(
+            "part",
+            _sum_or_zero("part_n", higher_part).alias("n_within"),
+            _sum_or_zero("part_pos", higher_part).alias("pos_within"),
+        )
     )
     down = (
-        Window.partitionBy("fine")
+        Window.partitionBy("part")
         .orderBy(F.desc("s"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = per_score.join(offsets, "fine").select(
+    zero = F.lit(0)
+    running = parted.join(within, "part", "left").select(
         "s",
         "n",
         "pos",
-        (F.col("n_above") + F.sum("n").over(down)).alias("n_down_to"),
-        (F.col("pos_above") + F.sum("pos").over(down)).alias("pos_down_to"),
+        (F.col("n_higher") + F.coalesce("n_within", zero) + F.sum("n").over(down)).alias("n_down_to"),
+        (F.col("pos_higher") + F.coalesce("pos_within", zero) + F.sum("pos").over(down)).alias(
+            "pos_down_to"
+        ),
         "total",
         "total_pos",
     )

@@ -65,8 +65,8 @@ def with_random_split(df: DataFrame, keys: Sequence[str], seed: int = SEED) -> D
     Only the two boundary rows are looked for; the rows are then compared with them.
     """
     place = F.struct(F.xxhash64(F.lit(seed), *keys), *keys)
-    test_cut = _row_at_share(df, place, TEST_SHARE)
-    calibration_cut = _row_at_share(df, place, TEST_AND_CALIBRATION_SHARE)
+    cuts = _rows_at_shares(df, place, test=TEST_SHARE, calibration=TEST_AND_CALIBRATION_SHARE)
+    test_cut, calibration_cut = cuts["test"], cuts["calibration"]
     # A cut is null only where no row lies before it.
     return df.withColumn(
         "split",
@@ -76,11 +76,12 @@ def with_random_split(df: DataFrame, keys: Sequence[str], seed: int = SEED) -> D
     )
 
 
-def _row_at_share(df: DataFrame, place: Column, share: float) -> Column:
-    """Scalar: the place of the last of the first floor(share * rows) rows.
+def _rows_at_shares(df: DataFrame, place: Column, **shares: float) -> Column:
+    """Scalar struct: for each share, the place of the last of the first
+    floor(share * rows) rows.
 
     Hashes are spread evenly over 2**16 buckets by their top bits. Bucket sizes say
-    which bucket holds the wanted row, and only that bucket's rows are ranked.
+    which buckets hold the wanted rows, and only those buckets' rows are ranked.
     """
     placed = df.select(place.alias("place"))
     bucket = F.shiftright(F.col("place")["col1"], 48)
@@ -90,21 +91,26 @@ def _row_at_share(df: DataFrame, place: Column, share: float) -> Column:
     everything = Window.partitionBy()
     ends = sizes.withColumns(
         {"end": F.sum("rows").over(running), "total": F.sum("rows").over(everything)}
-    ).withColumn("wanted", F.floor(F.col("total") * share))
-    holder = ends.where(
-        (F.col("end") >= F.col("wanted"))
-        & (F.col("end") - F.col("rows") < F.col("wanted"))
-    ).select("bucket", (F.col("wanted") - (F.col("end") - F.col("rows"))).alias("nth"))
+    ).withColumn("start", F.col("end") - F.col("rows"))
+    cuts = F.array(*[F.struct(F.lit(n).alias("cut"), F.lit(s).alias("share")) for n, s in shares.items()])
+    wanted = F.floor(F.col("total") * F.col("share"))
+    # One row per share.
+    holders = (
+        ends.select("*", F.inline(cuts))
+        .where((wanted > F.col("start")) & (wanted <= F.col("end")))
+        .select("bucket", "cut", (wanted - F.col("start")).alias("nth"))
+    )
     # Copies of a row share one place and are counted, not listed, before the ranking.
     inside = (
         placed.withColumn("bucket", bucket)
-        .join(F.broadcast(holder), "bucket")
-        .groupBy("bucket", "nth", "place")
+        .join(F.broadcast(holders), "bucket")
+        .groupBy("cut", "nth", "place")
         .agg(F.count("*").alias("rows"))
     )
-    upto = Window.partitionBy("bucket").orderBy("place")
+    upto = Window.partitionBy("cut").orderBy("place")
     reached = inside.withColumn("upto", F.sum("rows").over(upto)).where(F.col("upto") >= F.col("nth"))
-    return reached.select(F.min("place")).scalar()
+    found = [F.min(F.when(F.col("cut") == n, F.col("place"))).alias(n) for n in shares]
+    return reached.agg(F.struct(*found)).scalar()
 
 
 def class_weights(df: DataFrame, by: Sequence[str] = ("horizon_hours",)) -> DataFrame:

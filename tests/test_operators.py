@@ -222,8 +222,10 @@ def test_metrics(spark, kind):
     }[kind]
     if kind == "one class":
         y = [1] * len(y)
-    row = binary_metrics(spark.createDataFrame(list(zip(y, s)), "y INT, score DOUBLE")).first()
-    assert tuple(row) == pytest.approx(brute_metrics(y, s), abs=1e-12)
+    df = spark.createDataFrame(list(zip(y, s)), "y INT, score DOUBLE")
+    for crowded in (1_000_000, 3, 0):
+        row = binary_metrics(df, crowded=crowded).first()
+        assert tuple(row) == pytest.approx(brute_metrics(y, s), abs=1e-12)
 
 
 def test_quantiles(spark):
