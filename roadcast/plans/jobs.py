@@ -7,6 +7,7 @@ and ``forecast/location_id=<id>``. Folders that are absent are not polled.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -69,9 +70,11 @@ def daily(
     locations: str | None = None,
     json_lines: bool = False,
     tables: str | None = None,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Bring all tables up to date; returns the report."""
-    return refresh(spark, _feeds(spark, landing, locations, json_lines), location=tables)
+    feeds = _feeds(spark, landing, locations, json_lines)
+    return refresh(spark, feeds, location=tables, quarantine=quarantine)
 
 
 def backfill(
@@ -81,6 +84,7 @@ def backfill(
     locations: str | None = None,
     json_lines: bool = False,
     tables: str | None = None,
+    quarantine: str | None = None,
     max_rows: int | None = None,
 ) -> DataFrame:
     """The same in bulk: weather rows get their lags and are then cut to the columns
@@ -92,8 +96,8 @@ def backfill(
             found = first_rows(feed.rows(), [*feed.spec.primary_key, *ORDER], max_rows)
             return _lagged(found) if feed.name == "weather" else found
 
-        feeds.append(Feed(feed.name, feed.spec, rows, feed.errors))
-    return refresh(spark, feeds, align=True, location=tables)
+        feeds.append(replace(feed, rows=rows))
+    return refresh(spark, feeds, align=True, location=tables, quarantine=quarantine)
 
 
 def _lagged(weather: DataFrame) -> DataFrame:

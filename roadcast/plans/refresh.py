@@ -26,6 +26,7 @@ class Feed:
     spec: TableSpec
     rows: Callable[[], DataFrame]
     errors: Callable[[], DataFrame] | None = None
+    rejects: Callable[[], DataFrame] | None = None
 
 
 def refresh(
@@ -34,10 +35,12 @@ def refresh(
     *,
     align: bool = False,
     location: str | None = None,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Upsert every feed and report ``(source, rows, error)``: one row per feed, and
     one per error a feed lists. ``align`` drops columns the table does not have; new
-    tables go under ``location`` if given, else where the catalog puts them.
+    tables go under ``location`` if given, else where the catalog puts them. What a feed
+    had to reject is written under ``quarantine``, replacing what an earlier run found.
 
     Raises only when no feed succeeded and there was an error.
     """
@@ -53,6 +56,8 @@ def refresh(
             outcomes.append((feed.name, upsert(spark, feed.spec, rows), None))
         except Exception as failure:  # one bad source must not stop the others
             outcomes.append((feed.name, None, str(failure).splitlines()[0]))
+        if quarantine and feed.rejects is not None:
+            feed.rejects().write.mode("overwrite").parquet(f"{quarantine}/{feed.name}")
         if feed.errors is not None:
             listed.append(feed.errors().select(F.lit(feed.name).alias("source"), "error"))
     if outcomes and all(error for _, _, error in outcomes):
@@ -98,6 +103,7 @@ def landing_feeds(
                     lambda landed=landed: quarantined(landed).select(
                         F.col("reject_reason").alias("error")
                     ),
+                    lambda name=name, landed=landed: _rejects(name, landed),
                 )
             )
     if forecasts is not None:
@@ -109,6 +115,21 @@ def landing_feeds(
                 lambda: location_errors(forecasts, locations).select(
                     F.concat_ws(": ", "location_id", "error").alias("error")
                 ),
+                lambda: quarantined(forecasts),
             )
         )
     return feeds
+
+
+def _rejects(name: str, landed: DataFrame) -> DataFrame:
+    """Unusable bodies, and the single rows whose identifier is not a whole number."""
+    bodies = quarantined(landed)
+    if name == "situations":
+        return bodies
+    rows = extract.fractional_ids(answered(landed), frost=name == "frost_depth").select(
+        "payload_id",
+        "ingested_at",
+        F.lit("identifier is not whole").alias("reject_reason"),
+        F.col("measurepoint_id").alias("body_head"),
+    )
+    return bodies.unionByName(rows, allowMissingColumns=True)

@@ -378,15 +378,15 @@ stored as (
 @query(
     "upsert_latest_wins",
     ctes("pred")
-    + _STORED.format(newest="ingest_seq % 2 desc, ingest_seq desc")
+    + _STORED.format(newest="risk_mean >= 0.5 desc, ingest_seq desc")
     + f"select {PRED_COLUMNS} from stored",
 )
 def upsert_latest_wins(spark, sf_dir):
-    """The even rows are stored first, then the odd rows arrive."""
+    """The rows of lower risk are stored first, then the others arrive."""
     df = predictions(spark, sf_dir)
     keys = schemas.PREDICTION.primary_key
-    first = keep_last(df.where(F.col("ingest_seq") % 2 == 0), keys)
-    second = keep_last(df.where(F.col("ingest_seq") % 2 == 1), keys)
+    first = keep_last(df.where(F.col("risk_mean") < 0.5), keys)
+    second = keep_last(df.where(F.col("risk_mean") >= 0.5), keys)
     return comparable(merged(first, second, keys))
 
 
@@ -397,7 +397,7 @@ def _fresh(spec: schemas.TableSpec) -> schemas.TableSpec:
 @query(
     "table_upserts",
     ctes("pred")
-    + _STORED.format(newest="ingest_seq % 2 desc, ingest_seq desc")
+    + _STORED.format(newest="risk_mean >= 0.5 desc, ingest_seq desc")
     + """
 select cast(measurepoint_id as bigint) as measurepoint_id, valid_time,
   cast(horizon_hours as bigint) as horizon_hours, round(risk_mean, 6) as risk_mean,
@@ -417,9 +417,9 @@ def table_upserts(spark, sf_dir):
     spec = _fresh(schemas.PREDICTION)
     ensure_table(spark, spec, location=scratch_path(spark, spec.table))
     df = with_decision(predictions(spark, sf_dir))
-    upsert(spark, spec, df.where(F.col("ingest_seq") % 2 == 0))
+    upsert(spark, spec, df.where(F.col("risk_mean") < 0.5))
     for _ in range(2):
-        upsert(spark, spec, df.where(F.col("ingest_seq") % 2 == 1))
+        upsert(spark, spec, df.where(F.col("risk_mean") >= 0.5))
     return comparable(read_table(spark, spec))
 
 

@@ -169,7 +169,14 @@ def test_refresh_from_landing(spark, tmp_path):
         frost=read_landing(spark, str(tmp_path / "f.json")),
         suffix=f"_{uuid.uuid4().hex}",
     )
-    report = refresh(spark, feeds, align=True, location=scratch_path(spark, "refresh"))
+    bad = str(tmp_path / "quarantine")
+    for _ in range(2):
+        report = refresh(
+            spark, feeds, align=True, location=scratch_path(spark, "refresh"), quarantine=bad
+        )
+    rejected = {(r.reject_reason, r.body_head) for r in spark.read.parquet(f"{bad}/weather").collect()}
+    assert rejected == {("not JSON", "<html>"), ("identifier is not whole", "5.5")}
+    assert spark.read.parquet(f"{bad}/weather").count() == 2
     rows = sorted(((r.source, r["rows"], r.error) for r in report.collect()), key=repr)
     assert rows == [("frost_depth", 2, None), ("weather", 2, None), ("weather", None, "not JSON")]
     assert total_rows(report).first().total_rows == 4
