@@ -35,7 +35,7 @@ from roadcast.plans.training import (
     train_all,
 )
 from roadcast.schemas import HORIZONS, TableSpec
-from roadcast.session import path_exists, scratch_path
+from roadcast.session import path_exists, scratch_path, use_utc
 from roadcast.sources.extract import ORDER, weather_observations
 from roadcast.sources.landing import answered, read_landing
 from roadcast.sources.locations import default_locations, read_locations
@@ -49,6 +49,7 @@ def _locations(spark: SparkSession, path: str | None) -> DataFrame:
 def _feeds(
     spark: SparkSession, landing: str, locations: str | None, json_lines: bool
 ) -> list[Feed]:
+    use_utc(spark)
     found = {}
     for folder in ("weather", "situations", "frost_depth", "forecast"):
         path = f"{landing}/{folder}"
@@ -108,6 +109,7 @@ def _lagged(weather: DataFrame) -> DataFrame:
 
 def weather_with_lags(spark: SparkSession, landing: str, *, json_lines: bool = False) -> DataFrame:
     """Landed weather rows with their lags, for use outside the stored table."""
+    use_utc(spark)
     landed = read_landing(spark, f"{landing}/weather", json_lines=json_lines)
     return _lagged(weather_observations(answered(landed)))
 
@@ -121,6 +123,7 @@ def train(
 ) -> dict[int, Ensemble]:
     """Train, evaluate and save an ensemble per horizon from the stored tables; none
     when a table is missing or empty. Stored keys are unique, so no dedup is needed."""
+    use_utc(spark)
     forecasts = _table_or_none(spark, schemas.POINT_FORECAST)
     observations = _table_or_none(spark, schemas.WEATHER_OBSERVATION)
     if forecasts is None or observations is None or not has_rows(forecasts, observations):
@@ -138,6 +141,7 @@ def score(
 ) -> DataFrame | None:
     """Score the stored forecasts of the coming 72 hours and store the predictions;
     returns high, medium and low counts, or None without models or forecasts."""
+    use_utc(spark)
     ensembles = {
         h: load_ensemble(spark, f"{models}/h{h}")
         for h in HORIZONS
@@ -170,6 +174,7 @@ def serve(
 ) -> dict[str, DataFrame]:
     """What readers see of the stored predictions: key figures, map points, the
     recommendation list and the timelines."""
+    use_utc(spark)
     places = _locations(spark, locations)
     stored = read_table(spark, schemas.PREDICTION)
     current = at_horizon(current_predictions(stored, places, now), horizon)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadcast.functions.clean import keep_columns
 from roadcast.operators.dedup import input_order, keep_last
@@ -85,7 +85,14 @@ def as_stored(df: DataFrame, spec: TableSpec) -> DataFrame:
         .alias(f.name)
         for f in spec.schema
     ]
-    return df.select(*columns, F.col(spec.event_time).cast("timestamp").cast("date").alias("event_date"))
+    return df.select(*columns, _utc_date(F.col(spec.event_time).cast("timestamp")).alias("event_date"))
+
+
+def _utc_date(time: Column) -> Column:
+    """The day in UTC whatever the session's zone, so a key cannot move between
+    partitions."""
+    days = F.floor(F.unix_micros(time) / F.lit(86_400e6))
+    return F.date_from_unix_date(days.cast("int"))
 
 
 def merged(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -132,10 +139,10 @@ def upsert(
     count = incoming.count()
     if count:
         target = _affected(spark, spec, incoming)
-        staged = scratch_path(spark, f"{spec.table}-staged")
-        result = merged(target, incoming, spec.primary_key)
-        # Rebalancing gives even files even when one date holds most of the rows.
-        result.hint("rebalance", "event_date").write.partitionBy("event_date").parquet(staged)
+        staged = incoming_path
+        if not target.isEmpty():
+            staged = scratch_path(spark, f"{spec.table}-staged")
+            merged(target, incoming, spec.primary_key).write.parquet(staged)
         spark.sql(f"ALTER TABLE {spec.table} SET TBLPROPERTIES ('{PENDING}' = '{staged}')")
         finish_pending(spark, spec)
     remove_path(spark, incoming_path)
@@ -164,7 +171,8 @@ def finish_pending(spark: SparkSession, spec: TableSpec) -> bool:
     table = spark.table(spec.table)
     fresh = spark.read.schema(table.schema).parquet(staged).select(*table.columns)
     # Replace only the partitions that come; a catalog insert takes this from the
-    # session, not from the writer.
+    # session, not from the writer. Rebalancing gives even files even when one date
+    # holds most of the rows.
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")

@@ -74,6 +74,20 @@ def test_upsert_twice_is_once(spark, spec):
     assert len(stored(spark, spec)) == 3
 
 
+def test_event_date_does_not_depend_on_the_session_zone(spark, spec):
+    df = spark.sql(
+        "select 1L as measurepoint_id, 10D as depth_cm, 0D as temp_c, 0L as _seq,"
+        " explode(array(timestamp'2024-01-01 23:59:59.999999', timestamp'1969-12-31 00:00:00')) as sample_time"
+    )
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        upsert(spark, spec, df)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    dates = {str(r.event_date) for r in spark.table(spec.table).select("event_date").collect()}
+    assert dates == {"2024-01-01", "1969-12-31"}
+
+
 def test_untouched_dates_are_not_rewritten(spark, spec):
     upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.1, 0), (1, 2, 10.0, 0.2, 1)))
     files = lambda day: {f for f in spark.table(spec.table).where(f"event_date = '2024-01-0{day}'").inputFiles()}
