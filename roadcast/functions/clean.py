@@ -34,11 +34,22 @@ def utc_from_text(text: Column) -> Column:
     return F.try_to_timestamp(F.trim(text))
 
 
+def number_from_text(text: Column) -> Column:
+    return F.when(text.rlike(NUMERIC_TEXT), F.trim(text).try_cast("double"))
+
+
+def whole_from_text(text: Column) -> Column:
+    """Integer of text that is a whole number, else null; long integers stay exact."""
+    exact = F.when(text.rlike(NUMERIC_TEXT), F.trim(text).try_cast("bigint"))
+    number = number_from_text(text)
+    return F.coalesce(exact, F.when(number == F.floor(number), number.try_cast("bigint")))
+
+
 def number(df: DataFrame, name: str) -> Column:
     """Double, with NaN and unreadable text as null."""
     kind = column_type(df, name)
     if isinstance(kind, T.StringType):
-        return F.when(F.col(name).rlike(NUMERIC_TEXT), F.trim(name).try_cast("double"))
+        return number_from_text(F.col(name))
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return nan_to_null(F.col(name)).cast("double")
     if isinstance(kind, (T.NumericType, T.BooleanType)):

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from roadcast.operators.joins import skewproof_join
 
 # Rows of one identifier that one task may sort on its own.
-HOT_ROWS = 2_000_000
+HOT_ROWS = 5_000_000
 # From this threshold on the hot keys are few enough to broadcast: at most
 # rows / 1,000,000 of them, one million for 10**12 rows.
 BROADCAST_FROM = 1_000_000
@@ -19,8 +19,8 @@ def flag_hot(df: DataFrame, counted: DataFrame, key: str, hot_rows: int) -> Data
     else null. Filtering on it turns the join into an inner one, which adaptive
     execution drops, with all that follows, once no key turns out hot.
 
-    At most rows / ``hot_rows`` keys can be hot, which bounds what is broadcast: half a
-    million keys for 10**12 rows at the default. A low ``hot_rows`` gives no such bound
+    At most rows / ``hot_rows`` keys can be hot, which bounds what is broadcast: 200,000
+    keys for 10**12 rows at the default. A low ``hot_rows`` gives no such bound
     and takes a shuffled join.
     """
     hot = (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from roadcast.functions.clean import nan_to_null, truncated_id
+from roadcast.functions.clean import nan_to_null, whole_from_text
 from roadcast.functions.risk import HIGH_RISK, MEDIUM_RISK, severity
 from roadcast.operators.joins import dimension_join, skewproof_join
 
@@ -47,7 +47,7 @@ def repair_schema(predictions: DataFrame) -> DataFrame:
 
 def numeric_ids(predictions: DataFrame, locations: DataFrame) -> DataFrame:
     """Replace display aliases in ``measurepoint_id`` by their numeric identifier.
-    What is neither an alias nor a number becomes null; no row is dropped."""
+    What is neither an alias nor a whole number becomes null; no row is dropped."""
     if "measurepoint_id" not in predictions.columns:
         return predictions
     text = predictions.withColumn("_alias", F.trim(F.col("measurepoint_id").cast("string")))
@@ -55,10 +55,8 @@ def numeric_ids(predictions: DataFrame, locations: DataFrame) -> DataFrame:
         F.col("id").alias("_alias"), F.col("tv_measurepoint_id").alias("_number")
     )
     joined = dimension_join(text, aliases, ["_alias"], "left")
-    own = truncated_id(text.select("measurepoint_id"), "measurepoint_id")
-    return joined.withColumn("measurepoint_id", F.coalesce("_number", own)).select(
-        *predictions.columns
-    )
+    number = F.coalesce("_number", whole_from_text(F.col("_alias")))
+    return joined.withColumn("measurepoint_id", number).select(*predictions.columns)
 
 
 def with_point_name(df: DataFrame, locations: DataFrame) -> DataFrame:

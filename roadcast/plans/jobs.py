@@ -35,7 +35,7 @@ from roadcast.plans.training import (
     train_all,
 )
 from roadcast.schemas import HORIZONS, TableSpec
-from roadcast.session import path_exists, scratch_path, use_utc
+from roadcast.session import path_exists, remove_path, scratch_path, use_utc
 from roadcast.sources.extract import ORDER, weather_observations
 from roadcast.sources.landing import answered, read_landing
 from roadcast.sources.locations import default_locations, read_locations
@@ -162,7 +162,10 @@ def score(
     predict(rows, ensembles).write.parquet(path)
     predictions = spark.read.parquet(path)
     store_predictions(spark, predictions, fallback_csv)
-    return risk_buckets(predictions)
+    counts = risk_buckets(predictions)
+    summary = spark.createDataFrame(counts.collect(), counts.schema)
+    remove_path(spark, path)
+    return summary
 
 
 def serve(

@@ -42,7 +42,7 @@ def refresh(
     tables go under ``location`` if given, else where the catalog puts them. What a feed
     had to reject is written under ``quarantine``, replacing what an earlier run found.
 
-    Raises only when no feed succeeded and there was an error.
+    Raises only when no feed brought any row and there was an error.
     """
     outcomes: list[tuple[str, int | None, str | None]] = []
     listed: list[DataFrame] = []
@@ -60,8 +60,12 @@ def refresh(
             feed.rejects().write.mode("overwrite").parquet(f"{quarantine}/{feed.name}")
         if feed.errors is not None:
             listed.append(feed.errors().select(F.lit(feed.name).alias("source"), "error"))
-    if outcomes and all(error for _, _, error in outcomes):
-        raise RuntimeError("; ".join(f"{name}: {error}" for name, _, error in outcomes))
+    if not any(rows for _, rows, _ in outcomes):
+        failed = [f"{name}: {error}" for name, _, error in outcomes if error]
+        # At most one listed error per feed is looked at.
+        failed += [f"{e.source}: {e.error}" for frame in listed for e in frame.take(1)]
+        if failed:
+            raise RuntimeError("; ".join(failed))
     report = spark.createDataFrame(outcomes, REPORT_COLUMNS)
     for errors in listed:
         report = report.unionByName(errors.withColumn("rows", F.lit(None).cast("bigint")))

@@ -24,7 +24,7 @@ from roadcast.operators.splits import class_weights, with_split
 from roadcast.plans.dataset import complete_rows
 from roadcast.plans.features import available_features, with_vector
 from roadcast.schemas import HORIZONS
-from roadcast.session import path_exists, scratch_path, use_checkpoints
+from roadcast.session import path_exists, remove_path, scratch_path, use_checkpoints
 
 PLATT, ISOTONIC = "platt", "isotonic"
 ROW_KEYS = ("measurepoint_id", "forecast_run_time", "valid_time")
@@ -156,7 +156,9 @@ def fit_calibrators(calibration: DataFrame, models: Sequence, method: str) -> li
     scored.select("hazard", *raws).write.parquet(path)
     kept = calibration.sparkSession.read.parquet(path)
     fit = fit_isotonic if method == ISOTONIC else fit_platt
-    return [fit(kept, raw) for raw in raws]
+    fitted = [fit(kept, raw) for raw in raws]
+    remove_path(calibration.sparkSession, path)
+    return fitted
 
 
 # --- Scoring ------------------------------------------------------------------
@@ -237,6 +239,7 @@ def train_all(
         rows = stored.where(F.col("horizon_hours") == horizon)
         if not rows.isEmpty():
             ensembles[horizon] = train_horizon(rows, horizon, features, settings)
+    remove_path(spark, path)
     return ensembles
 
 

@@ -11,25 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadcast import schemas
-from roadcast.functions.clean import NUMERIC_TEXT, utc_from_text
+from roadcast.functions.clean import number_from_text, utc_from_text, whole_from_text
 from roadcast.functions.payload import with_object
 from roadcast.operators.joins import dimension_join
 
 ORDER = ("ingested_at", "payload_id", "_seq")
 
 
-def _text_number(value: Column) -> Column:
-    return F.when(value.rlike(NUMERIC_TEXT), F.trim(value).try_cast("double"))
-
-
-def _whole_id(value: Column) -> Column:
-    number = _text_number(value)
-    exact = F.when(value.rlike(NUMERIC_TEXT), F.trim(value).try_cast("bigint"))
-    return F.coalesce(exact, F.when(number == F.floor(number), number.try_cast("bigint")))
-
-
 def _fractional_id(value: Column) -> Column:
-    number = _text_number(value)
+    number = number_from_text(value)
     return F.coalesce(number != F.floor(number), F.lit(False))
 
 
@@ -74,18 +64,18 @@ def weather_observations(landed: DataFrame) -> DataFrame:
     identifier are left to ``fractional_ids``."""
     items = _weather_items(landed).where(~_fractional_id(F.col("_item.Measurepoint.Id")))
     return items.select(
-        _whole_id(F.col("_item.Measurepoint.Id")).alias("measurepoint_id"),
+        whole_from_text(F.col("_item.Measurepoint.Id")).alias("measurepoint_id"),
         F.col("_item.Measurepoint.Name").alias("measurepoint_name"),
         F.col("_item.Measurepoint.Geometry.WGS84").alias("wgs84"),
         utc_from_text(F.col("_item.Sample")).alias("sample_time"),
-        _text_number(F.col("_item.Surface.Temperature.Value")).alias("surface_temp_c"),
+        number_from_text(F.col("_item.Surface.Temperature.Value")).alias("surface_temp_c"),
         F.col("_item.Surface.Water").alias("surface_water"),
         F.col("_item.Surface.Ice").alias("surface_ice"),
         F.col("_item.Surface.Snow").alias("surface_snow"),
-        _text_number(F.col("_item.Surface.Grip.Value")).alias("surface_grip"),
-        _text_number(F.col("_item.Air.Temperature.Value")).alias("air_temp_c"),
-        _text_number(F.col("_item.Air.RelativeHumidity.Value")).alias("air_rh"),
-        _text_number(F.col("_item.Air.Dewpoint.Value")).alias("dewpoint_c"),
+        number_from_text(F.col("_item.Surface.Grip.Value")).alias("surface_grip"),
+        number_from_text(F.col("_item.Air.Temperature.Value")).alias("air_temp_c"),
+        number_from_text(F.col("_item.Air.RelativeHumidity.Value")).alias("air_rh"),
+        number_from_text(F.col("_item.Air.Dewpoint.Value")).alias("dewpoint_c"),
         "ingested_at",
         "payload_id",
         _place("_r", "_o"),
@@ -122,13 +112,13 @@ def frost_depths(landed: DataFrame) -> DataFrame:
     items = _frost_items(landed).where(~_fractional_id(F.col("_item.Measurepoint.Id")))
     parts = _explode(items, "_item.FrostDepth.Temperature", "_part", "_t")
     return parts.select(
-        _whole_id(F.col("_item.Measurepoint.Id")).alias("measurepoint_id"),
+        whole_from_text(F.col("_item.Measurepoint.Id")).alias("measurepoint_id"),
         F.col("_item.Measurepoint.Name").alias("measurepoint_name"),
         F.col("_item.Measurepoint.Geometry.WGS84").alias("wgs84"),
         utc_from_text(F.col("_item.FrostDepth.Sample")).alias("sample_time"),
         F.col("_part.SensorName").alias("sensor_name"),
-        _text_number(F.col("_part.Depth")).alias("depth_cm"),
-        _text_number(F.col("_part.Value")).alias("temp_c"),
+        number_from_text(F.col("_part.Depth")).alias("depth_cm"),
+        number_from_text(F.col("_part.Value")).alias("temp_c"),
         "ingested_at",
         "payload_id",
         _place("_r", "_o", "_t"),
@@ -196,4 +186,4 @@ def _parameter(name: str) -> Column:
     """First value of the last parameter of that name; null when missing or empty."""
     named = F.filter("_step.parameters", lambda p: p["name"] == name)
     last = F.try_element_at(named, F.lit(-1))
-    return _text_number(F.get(last["values"], F.lit(0)))
+    return number_from_text(F.get(last["values"], F.lit(0)))

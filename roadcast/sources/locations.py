@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadcast import schemas
 from roadcast.functions.clean import truncated_id
+from roadcast.session import path_exists
 
 # --- Fixed values: the points used when no location file can be read --------
 DEFAULT_LOCATIONS = (
@@ -45,6 +46,9 @@ def locations(text: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_locations(spark: SparkSession, path: str) -> DataFrame:
-    """Locations of a JSON file, or the built-in points when it holds none."""
+    """Locations of a JSON file, or the built-in points when there is none in it or no
+    such file."""
+    if not path_exists(spark, path):
+        return default_locations(spark)
     found = locations(spark.read.text(path, wholetext=True))
     return default_locations(spark) if found.isEmpty() else found

@@ -174,5 +174,6 @@ def test_locations(spark, tmp_path):
     path = tmp_path / "places.json"
     path.write_text(json.dumps(entries))
     assert read_locations(spark, str(path)).count() == 2
+    assert read_locations(spark, str(tmp_path / "absent.json")).count() == 5
     path.write_text("{}")
     assert read_locations(spark, str(path)).count() == 5

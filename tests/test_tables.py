@@ -173,6 +173,11 @@ def test_refresh_goes_on_after_a_failure(spark, spec):
     assert report == {"good": (1, None), "bad": (None, "source is down")}
     with pytest.raises(RuntimeError, match="source is down"):
         refresh(spark, [bad])
+    nothing = replace(good, name="nothing", rows=lambda: readings(spark))
+    assert [r["rows"] for r in refresh(spark, [nothing]).collect()] == [0]
+    complaint = spark.createDataFrame([("half a file",)], "error STRING")
+    with pytest.raises(RuntimeError, match="half a file"):
+        refresh(spark, [replace(nothing, errors=lambda: complaint)])
 
 
 def test_refresh_from_landing(spark, tmp_path):
