@@ -19,6 +19,7 @@ def _now(text: str | None) -> dt.datetime:
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="roadcast")
+    parser.add_argument("--shuffle-gb", type=int, help="largest shuffle to expect")
     commands = parser.add_subparsers(dest="job", required=True)
     for name in ("daily", "backfill"):
         ingest = commands.add_parser(name)
@@ -49,8 +50,10 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = vars(_parser().parse_args(argv))
-    job = args.pop("job")
-    spark = build_session(f"roadcast-{job}")
+    job, gigabytes = args.pop("job"), args.pop("shuffle_gb")
+    spark = build_session(
+        f"roadcast-{job}", shuffle_bytes=gigabytes << 30 if gigabytes is not None else None
+    )
     if job in ("daily", "backfill"):
         report = getattr(jobs, job)(spark, args.pop("landing"), **args)
         report.show(truncate=False)

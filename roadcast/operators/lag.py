@@ -80,7 +80,7 @@ def numbered(df: DataFrame, seq: str, hot_rows: int) -> DataFrame:
     blocked = keyed.withColumns(
         {
             "_block_time": F.when(crowded, F.col("_order_time")).otherwise(minute),
-            "_block_seq": F.when(crowded, F.expr(f"{seq} div {hot_rows}")).otherwise(0),
+            "_block_seq": F.when(crowded, F.expr(f"{seq} div {max(hot_rows, 1)}")).otherwise(0),
         }
     ).drop("_minute", "_hot")
     block = ["measurepoint_id", "_block_time", "_block_seq"]

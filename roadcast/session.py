@@ -9,12 +9,31 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "roadcast", master: str | None = None, **conf: str) -> SparkSession:
+# Bytes one shuffle partition should hold, to fit a task's memory without much spilling,
+# and the bounds of their number: beyond the upper one the blocks of a shuffle (map tasks
+# times partitions) get too many and too small.
+PARTITION_BYTES = 256 << 20
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 50_000
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Partitions for shuffles of up to that size. Too many do little harm, as adaptive
+    execution merges small ones; too few cannot be split again."""
+    wanted = -(-shuffle_bytes // PARTITION_BYTES)
+    return max(MIN_PARTITIONS, min(MAX_PARTITIONS, wanted))
+
+
+def build_session(
+    app: str = "roadcast",
+    master: str | None = None,
+    shuffle_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the settings every job here relies on.
 
-    Shuffle partitions are left to the cluster's own default, since adaptive
-    execution coalesces them; pass ``**{"spark.sql.shuffle.partitions": ...}``
-    to override.
+    ``shuffle_bytes`` is the size of the largest shuffle to expect, that is the rows of
+    the biggest input in the columns a job uses. Without it the cluster's own number of
+    shuffle partitions stays.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -25,8 +44,11 @@ def build_session(app: str = "roadcast", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
-        **conf,
     }
+    if shuffle_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes))
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(PARTITION_BYTES)
+    settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return use_utc(builder.getOrCreate())

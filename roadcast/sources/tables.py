@@ -172,12 +172,15 @@ def finish_pending(spark: SparkSession, spec: TableSpec) -> bool:
     fresh = spark.read.schema(table.schema).parquet(staged).select(*table.columns)
     # Replace only the partitions that come; a catalog insert takes this from the
     # session, not from the writer. Rebalancing gives even files even when one date
-    # holds most of the rows.
+    # holds most of the rows; sorted by key they compress and prune better.
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        fresh.hint("rebalance", "event_date").write.mode("overwrite").insertInto(spec.table)
+        even = fresh.hint("rebalance", "event_date")
+        even.sortWithinPartitions("event_date", *spec.primary_key).write.mode(
+            "overwrite"
+        ).insertInto(spec.table)
     finally:
         spark.conf.set(mode, before)
     spark.sql(f"ALTER TABLE {spec.table} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
