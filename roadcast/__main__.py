@@ -26,7 +26,6 @@ def _parser() -> argparse.ArgumentParser:
         ingest.add_argument("--landing", required=True)
         ingest.add_argument("--locations")
         ingest.add_argument("--json-lines", action="store_true")
-        ingest.add_argument("--tables", help="folder for new tables")
         ingest.add_argument("--quarantine", help="folder for what had to be rejected")
         if name == "backfill":
             ingest.add_argument("--max-rows", type=int)
@@ -45,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     serve.add_argument("--now")
     serve.add_argument("--horizon", type=int)
     serve.add_argument("--locations")
+    for command in commands.choices.values():
+        command.add_argument("--tables", help="folder of the tables; else the catalog's")
     return parser
 
 
@@ -60,18 +61,15 @@ def main(argv: list[str] | None = None) -> None:
         if job == "backfill":
             total_rows(report).show()
     elif job == "train":
-        settings = Settings(**{k: v for k, v in args.items() if k != "models"})
-        for horizon, ensemble in jobs.train(spark, args["models"], settings).items():
+        models, tables = args.pop("models"), args.pop("tables")
+        trained = jobs.train(spark, models, Settings(**args), tables=tables)
+        for horizon, ensemble in trained.items():
             print(horizon, ensemble.metrics)
     elif job == "score":
-        counts = jobs.score(
-            spark, args["models"], _now(args["now"]), fallback_csv=args["fallback_csv"]
-        )
+        counts = jobs.score(spark, args.pop("models"), _now(args.pop("now")), **args)
         print("no models or forecasts") if counts is None else counts.show()
     else:
-        shown = jobs.serve(
-            spark, _now(args["now"]), horizon=args["horizon"], locations=args["locations"]
-        )
+        shown = jobs.serve(spark, _now(args.pop("now")), **args)
         for name, frame in shown.items():
             print(name)
             frame.show(truncate=False)

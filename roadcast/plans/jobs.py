@@ -39,7 +39,7 @@ from roadcast.session import path_exists, remove_path, scratch_path, use_utc
 from roadcast.sources.extract import ORDER, weather_observations
 from roadcast.sources.landing import answered, read_landing
 from roadcast.sources.locations import default_locations, read_locations
-from roadcast.sources.tables import first_rows, read_table
+from roadcast.sources.tables import ensure_table, first_rows, read_table
 
 
 def _locations(spark: SparkSession, path: str | None) -> DataFrame:
@@ -114,18 +114,31 @@ def weather_with_lags(spark: SparkSession, landing: str, *, json_lines: bool = F
     return _lagged(weather_observations(answered(landed)))
 
 
-def _table_or_none(spark: SparkSession, spec: TableSpec) -> DataFrame | None:
-    return read_table(spark, spec) if spark.catalog.tableExists(spec.table) else None
+def _stored(
+    spark: SparkSession, spec: TableSpec, tables: str | None, *, with_date: bool = False
+) -> DataFrame | None:
+    """The stored table, or None. One under ``tables`` that this catalog does not know
+    yet is taken in first."""
+    place = f"{tables}/{spec.table}" if tables else None
+    if not spark.catalog.tableExists(spec.table):
+        if place is None or not path_exists(spark, place):
+            return None
+        ensure_table(spark, spec, location=place)
+    return read_table(spark, spec, with_date=with_date)
 
 
 def train(
-    spark: SparkSession, models: str, settings: Settings = Settings()
+    spark: SparkSession,
+    models: str,
+    settings: Settings = Settings(),
+    *,
+    tables: str | None = None,
 ) -> dict[int, Ensemble]:
     """Train, evaluate and save an ensemble per horizon from the stored tables; none
     when a table is missing or empty. Stored keys are unique, so no dedup is needed."""
     use_utc(spark)
-    forecasts = _table_or_none(spark, schemas.POINT_FORECAST)
-    observations = _table_or_none(spark, schemas.WEATHER_OBSERVATION)
+    forecasts = _stored(spark, schemas.POINT_FORECAST, tables)
+    observations = _stored(spark, schemas.WEATHER_OBSERVATION, tables)
     if forecasts is None or observations is None or not has_rows(forecasts, observations):
         return {}
     ensembles = train_all(training_dataset(forecasts, observations, unique_keys=True), settings)
@@ -137,7 +150,12 @@ def train(
 
 
 def score(
-    spark: SparkSession, models: str, now: dt.datetime, *, fallback_csv: str | None = None
+    spark: SparkSession,
+    models: str,
+    now: dt.datetime,
+    *,
+    tables: str | None = None,
+    fallback_csv: str | None = None,
 ) -> DataFrame | None:
     """Score the stored forecasts of the coming 72 hours and store the predictions;
     returns high, medium and low counts, or None without models or forecasts."""
@@ -147,21 +165,21 @@ def score(
         for h in HORIZONS
         if path_exists(spark, f"{models}/h{h}")
     }
-    if not ensembles or not spark.catalog.tableExists(schemas.POINT_FORECAST.table):
+    forecasts = _stored(spark, schemas.POINT_FORECAST, tables, with_date=True)
+    if not ensembles or forecasts is None:
         return None
     start = floor_hour(now)
     end = start + dt.timedelta(hours=HORIZON_WINDOW_HOURS)
     # The dates repeat the valid-time filter in a form that prunes partitions.
-    forecasts = read_table(spark, schemas.POINT_FORECAST, with_date=True).where(
-        F.col("event_date").between(start.date(), end.date())
-    )
-    observations = _table_or_none(spark, schemas.WEATHER_OBSERVATION)
-    rows = prediction_rows(forecasts.drop("event_date"), observations, now, unique_keys=True)
+    coming = forecasts.where(F.col("event_date").between(start.date(), end.date()))
+    observations = _stored(spark, schemas.WEATHER_OBSERVATION, tables)
+    rows = prediction_rows(coming.drop("event_date"), observations, now, unique_keys=True)
     # Scored once; the write, the store and the counts all read this copy.
     path = scratch_path(spark, "predictions")
     predict(rows, ensembles).write.parquet(path)
     predictions = spark.read.parquet(path)
-    store_predictions(spark, predictions, fallback_csv)
+    place = f"{tables}/{schemas.PREDICTION.table}" if tables else None
+    store_predictions(spark, predictions, fallback_csv, location=place)
     counts = risk_buckets(predictions)
     summary = spark.createDataFrame(counts.collect(), counts.schema)
     remove_path(spark, path)
@@ -174,12 +192,15 @@ def serve(
     *,
     horizon: int | None = None,
     locations: str | None = None,
+    tables: str | None = None,
 ) -> dict[str, DataFrame]:
     """What readers see of the stored predictions: key figures, map points, the
-    recommendation list and the timelines."""
+    recommendation list and the timelines. Empty when there are none."""
     use_utc(spark)
     places = _locations(spark, locations)
-    stored = read_table(spark, schemas.PREDICTION)
+    stored = _stored(spark, schemas.PREDICTION, tables)
+    if stored is None:
+        return {}
     current = at_horizon(current_predictions(stored, places, now), horizon)
     return {
         "figures": key_figures(current),

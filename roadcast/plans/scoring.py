@@ -72,12 +72,16 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 
 def store_predictions(
-    spark: SparkSession, predictions: DataFrame, fallback_csv: str | None = None
+    spark: SparkSession,
+    predictions: DataFrame,
+    fallback_csv: str | None = None,
+    *,
+    location: str | None = None,
 ) -> int | None:
     """Upsert into the prediction table. If that fails and ``fallback_csv`` is given,
     write CSV there instead and return None."""
     try:
-        ensure_table(spark, PREDICTION)
+        ensure_table(spark, PREDICTION, location=location)
         return upsert(spark, PREDICTION, predictions, order=())
     except Exception:
         if fallback_csv is None:

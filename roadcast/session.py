@@ -104,6 +104,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Put a line of text into a small file; it is there in full once this returns."""
+    files, target = _file_system(spark, path)
+    out = files.create(target, True)
+    out.write(text.encode())
+    out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a note, or None when there is none or its writing did not finish."""
+    if not path_exists(spark, path):
+        return None
+    row = spark.read.text(path, wholetext=True).first()
+    return row.value if row and row.value else None
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch path made by this library, on whatever file system holds it."""
     files, target = _file_system(spark, path)

@@ -6,6 +6,8 @@ the event time, so an upsert only ever rewrites the event dates it brings.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,15 +16,23 @@ from roadcast.functions.clean import keep_columns
 from roadcast.operators.dedup import input_order, keep_last
 from roadcast.operators.joins import same_keys
 from roadcast.schemas import TableSpec
-from roadcast.session import remove_path, scratch_path
+from roadcast.session import (
+    path_exists,
+    read_note,
+    remove_path,
+    scratch_path,
+    shared_dir,
+    write_note,
+)
 
-PENDING = "roadcast.pending_swap"
 # Above this many dates the target is pruned to their range instead of a list.
 LISTED_DATES = 1000
 
 
 def ensure_table(spark: SparkSession, spec: TableSpec, *, location: str | None = None) -> str:
-    """Create the table unless it exists; key and event time go into its properties."""
+    """Create the table unless it exists; key and event time go into its properties.
+    Data that ``location`` holds already, as known to another catalog, is taken in."""
+    known = spark.catalog.tableExists(spec.table)
     quoted = {
         "primary_key": ",".join(spec.primary_key),
         "event_time": spec.event_time,
@@ -35,6 +45,8 @@ def ensure_table(spark: SparkSession, spec: TableSpec, *, location: str | None =
         f"CREATE TABLE IF NOT EXISTS {spec.table} ({spec.columns}, event_date DATE) "
         f"USING parquet PARTITIONED BY (event_date) {at} TBLPROPERTIES ({properties})"
     )
+    if location and not known and path_exists(spark, location):
+        spark.catalog.recoverPartitions(spec.table)
     return spec.table
 
 
@@ -120,10 +132,10 @@ def upsert(
     ``order`` says that ``df`` holds one row per key already.
 
     The new content of the affected dates is first written in full to the shared
-    scratch folder and noted in the table's properties, then swapped in, then the
-    note is removed. A failure before the note leaves the table as it was; a failure
-    after it is made good by the next upsert, or ``finish_pending``, which repeats
-    the swap from the scratch copy.
+    folder and noted there, then swapped in, then the note is removed. A failure
+    before the note leaves the table as it was; a failure after it is made good by
+    the next upsert, or ``finish_pending``, which repeats the swap from the copy.
+    One writer per table at a time.
     """
     finish_pending(spark, spec)
     keys = list(dedup_keys or spec.primary_key)
@@ -143,7 +155,7 @@ def upsert(
         if not target.isEmpty():
             staged = scratch_path(spark, f"{spec.table}-staged")
             merged(target, incoming, spec.primary_key).write.parquet(staged)
-        spark.sql(f"ALTER TABLE {spec.table} SET TBLPROPERTIES ('{PENDING}' = '{staged}')")
+        write_note(spark, note_path(spark, spec), staged)
         finish_pending(spark, spec)
     remove_path(spark, incoming_path)
     return count
@@ -163,9 +175,18 @@ def _affected(spark: SparkSession, spec: TableSpec, incoming: DataFrame) -> Data
     return read_table(spark, spec, with_date=True).where(hit)
 
 
+def note_path(spark: SparkSession, spec: TableSpec) -> str:
+    """Where a pending swap of the table is noted: a name made from the table's
+    location, so that a later process finds it whatever catalog it uses."""
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {spec.table}").where("col_name = 'Location'")
+    place = hashlib.sha256(details.first().data_type.encode()).hexdigest()[:16]
+    return os.path.join(shared_dir(spark), "roadcast-pending", f"{spec.table}-{place}")
+
+
 def finish_pending(spark: SparkSession, spec: TableSpec) -> bool:
-    """Swap in a noted scratch copy, if there is one. Repeating it changes nothing."""
-    staged = table_properties(spark, spec).get(PENDING)
+    """Swap in a noted copy, if there is one. Repeating it changes nothing."""
+    note = note_path(spark, spec)
+    staged = read_note(spark, note)
     if not staged:
         return False
     table = spark.table(spec.table)
@@ -183,7 +204,8 @@ def finish_pending(spark: SparkSession, spec: TableSpec) -> bool:
         ).insertInto(spec.table)
     finally:
         spark.conf.set(mode, before)
-    spark.sql(f"ALTER TABLE {spec.table} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
+    # The note goes first: a half-removed copy must never be swapped in again.
+    remove_path(spark, note)
     remove_path(spark, staged)
     return True
 

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from roadcast import __main__ as command
 from roadcast import schemas
 from roadcast.operators.lag import LAG_ROWS
 from roadcast.plans import jobs
@@ -41,36 +42,57 @@ def landing(spark, sf_dir, tmp_path_factory):
     return root
 
 
-def test_jobs(spark, landing, tmp_path):
-    models = str(tmp_path / "models")
-    assert jobs.train(spark, models) == {}
-    assert jobs.score(spark, models, NOW) is None
+def forget(spark):
+    """Drop the tables from the catalog, as a new process with its own would not know
+    them. Their data stays where it is."""
+    for spec in SPECS:
+        spark.sql(f"DROP TABLE IF EXISTS {spec.table}")
+
+
+def test_jobs(spark, landing, tmp_path, capsys):
+    models, tables = str(tmp_path / "models"), str(tmp_path / "tables")
+    assert jobs.train(spark, models, tables=tables) == {}
+    assert jobs.score(spark, models, NOW, tables=tables) is None
+    assert jobs.serve(spark, NOW, tables=tables) == {}
 
-    report = {r.source: r["rows"] for r in jobs.daily(spark, landing, json_lines=True).collect()}
+    report = jobs.daily(spark, landing, json_lines=True, tables=tables)
+    report = {r.source: r["rows"] for r in report.collect()}
     assert set(report) == {"weather", "situations", "frost_depth", "forecast"}
     before = {s.table: read_table(spark, s).count() for s in SPECS[:4]}
     assert sum(before.values()) == sum(report.values())
 
-    again = jobs.backfill(spark, landing, json_lines=True)
+    forget(spark)
+    again = jobs.backfill(spark, landing, json_lines=True, tables=tables)
     assert total_rows(again).first().total_rows == sum(report.values())
     assert {s.table: read_table(spark, s).count() for s in SPECS[:4]} == before
-    capped = jobs.backfill(spark, landing, json_lines=True, max_rows=10)
+    capped = jobs.backfill(spark, landing, json_lines=True, tables=tables, max_rows=10)
     assert all(1 <= r["rows"] <= 10 for r in capped.collect())
+    assert {s.table: read_table(spark, s).count() for s in SPECS[:4]} == before
+
+    forget(spark)
+    quick = Settings(members=2, trees=1, depth=2, parallelism=2)
+    assert set(jobs.train(spark, models, quick, tables=tables)) == {24, 48}
 
-    trained = jobs.train(spark, models, Settings(members=2, trees=1, depth=2, parallelism=2))
-    assert set(trained) == {24, 48}
-    counts = jobs.score(spark, models, NOW).first()
+    forget(spark)
+    counts = jobs.score(spark, models, NOW, tables=tables).first()
     stored = read_table(spark, schemas.PREDICTION)
     assert sum(counts) == stored.count() > 0
-    assert jobs.score(spark, models, NOW).first() == counts
+    assert jobs.score(spark, models, NOW, tables=tables).first() == counts
     assert read_table(spark, schemas.PREDICTION).count() == stored.count()
 
-    seen = jobs.serve(spark, NOW, horizon=24)
+    forget(spark)
+    seen = jobs.serve(spark, NOW, horizon=24, tables=tables)
     figures = seen["figures"].first()
     assert figures.points >= 1
     assert seen["recommendations"].count() == figures.points
     assert seen["map"].count() == seen["timeline"].count() > 0
 
+    command.main(["serve", "--now", NOW.isoformat(), "--horizon", "24", "--tables", tables])
+    command.main(["score", "--now", NOW.isoformat(), "--models", models, "--tables", tables])
+    shown = capsys.readouterr().out
+    assert "recommendations" in shown and "medium" in shown
+    forget(spark)
+
 
 def test_lags_of_landed_weather(spark, landing):
     rows = jobs.weather_with_lags(spark, landing, json_lines=True)
