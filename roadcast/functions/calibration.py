@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+# --- Fixed value: probabilities are kept this far from 0 and 1
 CLIP = 1e-6
 
 

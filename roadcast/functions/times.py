@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roadcast.functions.clean import utc_timestamp
 from roadcast.schemas import HORIZONS
 
+# --- Fixed values
 RUSH_HOURS = (7, 8, 9, 16, 17, 18)
 NO_OBSERVATION_AGE = 1e6
 HORIZON_WINDOW_HOURS = 72

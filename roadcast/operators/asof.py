@@ -31,6 +31,7 @@ from roadcast.operators.hotkeys import HOT_ROWS, flag_hot
 from roadcast.operators.joins import skewproof_join
 from roadcast.schemas import OBSERVATION_FEATURES
 
+# --- Fixed values
 READINGS = ("surface_temp_c", "surface_grip", "air_temp_c", "air_rh", "dewpoint_c")
 FLAGS = ("surface_ice", "surface_snow", "surface_water")
 OBSERVED = {c: f"obs_{c}" for c in READINGS + FLAGS} | {"sample_time": "obs_time"}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadcast.functions.calibration import array_mean, array_quantile, member_array
 
+# --- Fixed values
 LOW_QUANTILE, HIGH_QUANTILE = 0.1, 0.9
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadcast.operators.hotkeys import HOT_ROWS, flag_hot
 
+# --- Fixed values
 LAG_COLUMNS = ("surface_temp_c", "surface_grip", "air_temp_c", "air_rh")
 LAG_ROWS = (1, 3, 6, 12, 24)
 

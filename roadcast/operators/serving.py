@@ -8,7 +8,7 @@ from roadcast.functions.clean import nan_to_null, whole_from_text
 from roadcast.functions.risk import HIGH_RISK, MEDIUM_RISK, severity
 from roadcast.operators.joins import dimension_join, skewproof_join
 
-# Column names a point, its time and its score may go by, first match wins.
+# --- Fixed values: names a point, its time and its score may go by, first match wins
 KEY_NAMES = ("measurepoint_id", "road_name", "name", "measurepoint_name", "location")
 TIME_NAMES = (
     "valid_time",

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# --- Fixed values
 TEST_DAYS = 14
 CALIBRATION_DAYS = 7
 TEST_SHARE = 0.2

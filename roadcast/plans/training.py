@@ -37,7 +37,7 @@ MANIFEST_COLUMNS = """
 
 @dataclass(frozen=True)
 class Settings:
-    """What a training run may vary; the defaults are the usual run."""
+    """What a training run may vary; the defaults are the usual run (fixed values)."""
 
     members: int = 10
     trees: int = 200

@@ -59,7 +59,7 @@ observation_rows = st.lists(
 
 
 @pytest.mark.parametrize("ways", [{}, {"hot_rows": 0}, {"hot_rows": 5, "grain": "hour"}])
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(forecasts=forecast_rows, observations=observation_rows)
 def test_like_brute_force(spark, ways, forecasts, observations):
     fc, obs = frames(spark, forecasts, observations)
