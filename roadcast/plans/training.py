@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
@@ -47,8 +48,8 @@ class Settings:
     columns: float = 0.85
     seed: int = 42
     method: str = PLATT
-    # Members fitted at the same time. Each is many small jobs, so a few at once
-    # keep the executors busy.
+    # Members of one horizon fitted at the same time. Each is many small jobs, so a few
+    # at once keep the executors busy.
     parallelism: int = 4
     test_days: int = 14
     calibration_days: int = 7
@@ -100,8 +101,9 @@ def fit_members(train: DataFrame, pos_weight: float, settings: Settings) -> list
     seeds = [{boosted.seed: settings.seed + i} for i in range(settings.members)]
     fits = boosted.fitMultiple(weighted, seeds)
     models: list = [None] * settings.members
+    fit_next = inheritable_thread_target(lambda _: next(fits))
     with ThreadPool(min(settings.parallelism, settings.members)) as pool:
-        for index, model in pool.imap_unordered(lambda _: next(fits), range(settings.members)):
+        for index, model in pool.imap_unordered(fit_next, range(settings.members)):
             models[index] = model
     return models
 
@@ -232,15 +234,26 @@ def train_all(
     spark = dataset.sparkSession
     features = available_features(dataset)
     path = scratch_path(spark, "training")
-    complete_rows(dataset).write.partitionBy("horizon_hours").parquet(path)
+    # The learner samples rows by their place, and reads them thousands of times. A fixed
+    # layout makes runs repeat, whatever way the joins before took, and is even. (By a
+    # hash of the keys: by the keys themselves, Spark would drop the step where the rows
+    # come partitioned that way, and then merge the partitions.)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = complete_rows(dataset).repartition(parts, F.xxhash64(*ROW_KEYS))
+    laid_out.sortWithinPartitions("horizon_hours", *ROW_KEYS).write.partitionBy(
+        "horizon_hours"
+    ).parquet(path)
     stored = spark.read.parquet(path)
-    ensembles = {}
-    for horizon in horizons:
+
+    def train(horizon: int) -> Ensemble | None:
         rows = stored.where(F.col("horizon_hours") == horizon)
-        if not rows.isEmpty():
-            ensembles[horizon] = train_horizon(rows, horizon, features, settings)
+        return None if rows.isEmpty() else train_horizon(rows, horizon, features, settings)
+
+    # The horizons do not depend on each other, and most of their jobs are small.
+    with ThreadPool(len(horizons)) as pool:
+        trained = pool.map(inheritable_thread_target(train), horizons)
     remove_path(spark, path)
-    return ensembles
+    return {h: e for h, e in zip(horizons, trained) if e is not None}
 
 
 # --- Saving and loading ---------------------------------------------------------
