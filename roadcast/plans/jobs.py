@@ -24,7 +24,13 @@ from roadcast.operators.serving import (
 )
 from roadcast.plans.dataset import has_rows, training_dataset
 from roadcast.plans.refresh import Feed, landing_feeds, refresh
-from roadcast.plans.scoring import predict, prediction_rows, store_predictions
+from roadcast.plans.scoring import (
+    features_to_score,
+    predict,
+    prediction_rows,
+    reaching_back,
+    store_predictions,
+)
 from roadcast.plans.serving import current_predictions, recommendation_list
 from roadcast.plans.training import (
     Ensemble,
@@ -156,9 +162,11 @@ def score(
     *,
     tables: str | None = None,
     fallback_csv: str | None = None,
+    lookback_days: int = 30,
 ) -> DataFrame | None:
     """Score the stored forecasts of the coming 72 hours and store the predictions;
-    returns high, medium and low counts, or None without models or forecasts."""
+    returns high, medium and low counts, or None without models or forecasts.
+    ``lookback_days`` changes what is read, not the result."""
     use_utc(spark)
     ensembles = {
         h: load_ensemble(spark, f"{models}/h{h}")
@@ -172,8 +180,12 @@ def score(
     end = start + dt.timedelta(hours=HORIZON_WINDOW_HOURS)
     # The dates repeat the valid-time filter in a form that prunes partitions.
     coming = forecasts.where(F.col("event_date").between(start.date(), end.date()))
-    observations = _stored(spark, schemas.WEATHER_OBSERVATION, tables)
-    rows = prediction_rows(coming.drop("event_date"), observations, now, unique_keys=True)
+    coming = coming.drop("event_date")
+    observations = _stored(spark, schemas.WEATHER_OBSERVATION, tables, with_date=True)
+    if observations is not None:
+        features = features_to_score(coming, now)
+        observations = reaching_back(features, observations, lookback_days)
+    rows = prediction_rows(coming, observations, now, unique_keys=True)
     # Scored once; the write, the store and the counts all read this copy.
     path = scratch_path(spark, "predictions")
     predict(rows, ensembles).write.parquet(path)

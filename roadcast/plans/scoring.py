@@ -18,12 +18,38 @@ from roadcast.operators.asof import (
 )
 from roadcast.operators.dedup import input_order, keep_last
 from roadcast.operators.hotkeys import HOT_ROWS
+from roadcast.operators.joins import skewproof_join
 from roadcast.plans.features import forecast_features
 from roadcast.plans.training import Ensemble, score
 from roadcast.schemas import PREDICTION
 from roadcast.sources.tables import ensure_table, upsert, write_csv
 
 
+def features_to_score(forecasts: DataFrame, now: dt.datetime) -> DataFrame:
+    return in_valid_window(at_horizons(forecast_features(forecasts)), now)
+
+
+def reaching_back(features: DataFrame, observations: DataFrame, days: int) -> DataFrame:
+    """The part of the stored observations (with ``event_date``) that scoring needs:
+    those from ``days`` before the first run on, and the older ones of points that had
+    none in those days before the run. Mostly there is no such point, and then the
+    older partitions are not read at all."""
+    first = features.agg(F.min("forecast_run_time").alias("run")).select(
+        F.unix_micros("run").alias("micros"), F.date_sub("run", days).alias("cut")
+    ).first()
+    if first.micros is None:
+        return observations.limit(0)
+    recent = observations.where(F.col("event_date") >= F.lit(first.cut))
+    before_run = F.unix_micros("sample_time") <= first.micros
+    seen = recent.where(before_run).select("measurepoint_id").distinct()
+    points = features.select("measurepoint_id").distinct()
+    silent = points.join(seen, "measurepoint_id", "left_anti")
+    if silent.isEmpty():
+        return recent
+    older = observations.where(F.col("event_date") < F.lit(first.cut))
+    return recent.unionByName(skewproof_join(older, silent, ["measurepoint_id"], "left_semi"))
+
+
 def prediction_rows(
     forecasts: DataFrame,
     observations: DataFrame | None,
@@ -35,7 +61,7 @@ def prediction_rows(
     """Feature rows to score: requested horizons, valid from ``now``'s hour to 72
     hours on, with the latest observation. Both filters need the forecast alone and
     so come before the join."""
-    features = in_valid_window(at_horizons(forecast_features(forecasts)), now)
+    features = features_to_score(forecasts, now)
     if observations is None or observations.isEmpty():
         # This way has no dedup of its own, but the prediction table is keyed.
         order = input_order(features)

@@ -101,7 +101,7 @@ def fit_members(train: DataFrame, pos_weight: float, settings: Settings) -> list
     seeds = [{boosted.seed: settings.seed + i} for i in range(settings.members)]
     fits = boosted.fitMultiple(weighted, seeds)
     models: list = [None] * settings.members
-    fit_next = inheritable_thread_target(lambda _: next(fits))
+    fit_next = inheritable_thread_target(train.sparkSession)(lambda _: next(fits))
     with ThreadPool(min(settings.parallelism, settings.members)) as pool:
         for index, model in pool.imap_unordered(fit_next, range(settings.members)):
             models[index] = model
@@ -251,7 +251,7 @@ def train_all(
 
     # The horizons do not depend on each other, and most of their jobs are small.
     with ThreadPool(len(horizons)) as pool:
-        trained = pool.map(inheritable_thread_target(train), horizons)
+        trained = pool.map(inheritable_thread_target(spark)(train), horizons)
     remove_path(spark, path)
     return {h: e for h, e in zip(horizons, trained) if e is not None}
 

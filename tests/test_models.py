@@ -163,6 +163,28 @@ def test_prediction_rows(spark):
     assert alone.where("obs_age_minutes <> 1e6").count() == 0
 
 
+@pytest.mark.parametrize("days", [0, 1, 2, 100])
+def test_reaching_back(spark, days):
+    """One point was last seen long ago, one never, one only after the run."""
+    utc = lambda day, hour=0: dt.datetime(2024, 1, day, hour, tzinfo=dt.timezone.utc)
+    fc = spark.createDataFrame(
+        [(p, utc(27), utc(28, h), 1.0, p) for p in (1, 2, 3, 4) for h in (0, 1)],
+        "measurepoint_id BIGINT, forecast_run_time TIMESTAMP, valid_time TIMESTAMP, rh DOUBLE, ingest_seq BIGINT",
+    )
+    obs = spark.createDataFrame(
+        [(1, utc(3), 1.0, 0), (1, utc(26, 23), 2.0, 1), (2, utc(2), 3.0, 2), (2, utc(4), 4.0, 3), (4, utc(27, 1), 5.0, 4),
+         (9, utc(26), 6.0, 5)],
+        "measurepoint_id BIGINT, sample_time TIMESTAMP, air_rh DOUBLE, ingest_seq BIGINT",
+    )
+    dated = obs.withColumn("event_date", F.col("sample_time").cast("date"))
+    back = scoring.reaching_back(scoring.features_to_score(fc, NOW), dated, days)
+    assert back.count() == {0: 5, 1: 5, 2: 5, 100: 6}[days]
+    shown = lambda o: sorted(
+        (r.measurepoint_id, str(r.obs_time), r.obs_air_rh or 0) for r in prediction_rows(fc, o, NOW).collect()
+    )
+    assert shown(back) == shown(obs) and len(shown(obs)) == 4
+
+
 def test_predict_store_serve(spark, ensemble, tmp_path, monkeypatch):
     directory = "/root/testdata/sf0.01"
     spark.sql(f"DROP TABLE IF EXISTS {PREDICTION.table}")
