@@ -142,7 +142,9 @@ def fit_platt(scored: DataFrame, raw: str, outcome: str = "hazard") -> Platt | N
 
 def fit_isotonic(scored: DataFrame, raw: str, outcome: str = "hazard") -> IsotonicRegressionModel:
     """Monotone calibration. Equal scores are averaged first, which gives the same
-    fit and leaves one row per distinct score."""
+    fit and leaves one row per distinct score. The learner pools neighbours within
+    each partition and only the pooled steps reach the driver, which also hold the
+    model; noisy outcomes leave few of them."""
     per_score = scored.groupBy(F.col(raw).alias("score")).agg(
         F.avg(F.col(outcome).cast("double")).alias("label"),
         F.count("*").cast("double").alias("weight"),
