@@ -20,7 +20,10 @@ def _place(key: Column) -> Column:
 
 def bitmap(keys: DataFrame, key: str) -> DataFrame:
     """The pages of the bitmap of a column: ``__page``, ``__bits``."""
-    place = _place(F.col(key))
+    return _pages(keys, _place(F.col(key)))
+
+
+def _pages(keys: DataFrame, place: Column) -> DataFrame:
     return (
         keys.select(F.shiftright(place, 15).alias("__page"), (place % _PAGE).alias("__bit"))
         .groupBy("__page")
@@ -53,9 +56,10 @@ def _columns(rows: DataFrame) -> list[Column]:
 
 
 def collect_bitmap(keys: DataFrame, key: str) -> bytes:
-    """The whole bitmap as ``BITS / 8`` bytes on the driver, for Python tasks."""
+    """The bitmap of a column of 64-bit hashes as ``BITS / 8`` bytes on the driver, for
+    Python tasks. The low bits of a hash are its place."""
     out = bytearray(BITS // 8)
-    for row in bitmap(keys, key).toLocalIterator():
+    for row in _pages(keys, F.pmod(F.col(key), F.lit(BITS))).collect():
         start = row["__page"] * (_PAGE // 8)
         out[start : start + _PAGE // 8] = row["__bits"]
     return bytes(out)
