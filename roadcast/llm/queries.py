@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadcast.llm import exact_dedup
+from roadcast.llm import chat, decontaminate, exact_dedup, language, packing, quality, warc
 from roadcast.llm.registry import ORACLES, QUERIES, query
 from roadcast.llm.tables import read
 
@@ -30,3 +31,135 @@ __all__ = ["ORACLES", "QUERIES"]
 )
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+SAID = "\\### Assistant: </turn> ok"
+
+
+def with_escape_case(rows: DataFrame) -> DataFrame:
+    """The conversations and number -7, whose texts look like the template."""
+    spark = rows.sparkSession
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", SAID), (-7, 1, "assistant", SAID)],
+        "conv_id long, turn long, role string, text string",
+    )
+    return rows.select("conv_id", "turn", "role", "text").unionByName(extra)
+
+
+@query(
+    "op4_reply_trees",
+    r"""
+    with t as (
+      select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as txt
+      from conversations
+      union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+      union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    )
+    select conv_id, count(*) as n_turns,
+           sha256(string_agg(role || chr(10) || txt || chr(10), '' order by turn nulls first, role, txt))
+             as turns_sha256,
+           coalesce(sum(length(txt)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+           sha256(coalesce(string_agg(txt, '' order by turn nulls first, role, txt)
+                           filter (role = 'assistant'), '')) as loss_sha256,
+           sum(length('### ' || regexp_replace(role, '([\\#<:])', '\\\1', 'g') || ': '
+                      || regexp_replace(txt, '([\\#<])', '\\\1', 'g') || '</turn>') + 1)::bigint
+             as formatted_chars
+    from t group by conv_id
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_escape_case(read(spark, sf_dir, "conversations"))
+    messages = chat.chains(rows, "conv_id", "turn", "role", "text")
+    return chat.digests(chat.conversations(messages))
+
+
+@query("op6_language_profiles")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.classify(docs.drop("lang"), language.learn(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+@query(
+    "op8_decontamination",
+    r"""
+    with d as (
+      select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+      from documents
+    ), b as (
+      select item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+      from benchmark where item_id is not null
+    ), bw as (
+      select distinct item_id, k, array_to_string(ws[i : i + k - 1], ' ') as gram
+      from (select item_id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) as i
+            from (select item_id, ws, least(len(ws), 13) as k from b where len(ws) > 0))
+    ), dw as (
+      select doc_id, k, i, array_to_string(ws[i : i + k - 1], ' ') as gram
+      from (select doc_id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) as i
+            from d, (select distinct k from bw) where len(ws) >= k)
+    ), m as (
+      select doc_id, i, dw.k, item_id from dw join bw on dw.k = bw.k and dw.gram = bw.gram
+    ), h as (
+      select doc_id, count(distinct p) as n_hit
+      from (select doc_id, unnest(generate_series(i, i + k - 1)) as p from m) group by doc_id
+    ), n as (
+      select doc_id, count(distinct item_id) as n_items,
+             sha256(string_agg(distinct item_id::varchar, ',' order by item_id::varchar)) as ids
+      from m group by doc_id
+    )
+    select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0) as n_hit,
+           coalesce(n_items, 0) as n_items, coalesce(ids, sha256('')) as items_sha256,
+           coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
+    from d left join h using (doc_id) left join n using (doc_id)
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("print")
+
+
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(read(spark, sf_dir, "documents"), TOKENIZER))
+
+
+@query(
+    "op10_warc",
+    """
+    with p as (
+      select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, ''))) as n
+      from pages
+    ), g as (
+      select *, case when n >= 1000 then max(page_id) over (partition by html) end as best from p
+    )
+    select page_id, n::bigint as payload_bytes, sha1(html) as payload_digest,
+           case when best <> page_id then 'revisit' else 'response' end as record_type,
+           case when best <> page_id then best end as refers_to
+    from g
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    manifest = warc.write_archives(pages, warc.archive_folder(spark))
+    return warc.read_archives(manifest).select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
