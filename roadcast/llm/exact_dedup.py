@@ -4,7 +4,7 @@ Two texts are equal when they are identical after dropping ASCII white space. Ro
 grouped by the MD5 of what is left, which moves a few bytes a row. Only rows whose hash
 occurs more than once are then compared with the text of their group's representative;
 one that differs from it leaves the group and forms another with its like. A bitmap of
-the repeated hashes keeps the texts of all other rows from being shuffled.
+those rows' ids keeps the texts of all others from being shuffled, or hashed again.
 
 Defined results: a null text counts as empty, and all empty texts are equal. A null id
 sorts behind the others. Rows that repeat an id and text are one document several times:
@@ -17,13 +17,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadcast.llm.bitmaps import bitmap, maybe_in, surely_out
+from roadcast.llm.tables import settle
 
 SPACE = " \t\n\x0b\x0c\r"
 
 
 def squeezed(text: Column) -> Column:
     """The text without its ASCII white space."""
-    return F.translate(text, SPACE, "")
+    for blank in SPACE:
+        text = F.replace(text, F.lit(blank), F.lit(""))
+    return text
 
 
 def content_hash(text: Column) -> Column:
@@ -38,26 +41,26 @@ def _rank() -> Column:
     )
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
+def _squeezed_rows(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
     return docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.char_length(text).alias("n"),
-        squeezed(text).alias("norm"),
+        "doc_id", F.char_length(text).alias("n"), squeezed(text).alias("norm")
     ).withColumn("h", content_hash(F.col("norm")))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: ``doc_id, keep_id, group_size, kept, text_sha256``."""
-    keyed = _keyed(docs, id_col, text_col)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    digest = F.sha2("norm", 256).alias("text_sha256")
+    keyed = settle(_squeezed_rows(texts).select("doc_id", "n", "h", digest), "content-hashes")
     repeated = (
         keyed.groupBy("h")
         .agg(F.count("*").alias("size"), F.min(_rank()).alias("best"))
         .filter("size > 1")
         .select("h", F.col("best.doc_id").alias("best_id"), (-F.col("best.n")).alias("best_n"))
     )
-    digest = F.sha2("norm", 256).alias("text_sha256")
-    members = maybe_in(keyed, "h", bitmap(repeated, "h"))
+    copies_ids = keyed.join(repeated, "h", "left_semi")
+    members = _squeezed_rows(maybe_in(texts, "doc_id", bitmap(copies_ids, "doc_id")))
     texts = (
         members.join(repeated, "h")
         .filter(F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("n") == F.col("best_n")))
@@ -66,7 +69,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     # Empty for rows that equal their representative, else the text that sets them apart.
     apart = F.when(F.col("norm") != F.col("best_norm"), F.col("norm")).otherwise("")
-    compared = members.join(texts, "h").select("doc_id", "h", "n", digest, apart.alias("apart"))
+    compared = settle(
+        members.join(texts, "h").select("doc_id", "h", "n", digest, apart.alias("apart")), "compared"
+    )
     groups = compared.groupBy("h", "apart").agg(
         F.count("*").alias("group_size"), F.min(_rank()).alias("best")
     )
@@ -80,7 +85,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "text_sha256",
     )
     single = (
-        keyed.select("doc_id", "h", digest)
+        keyed.select("doc_id", "h", "text_sha256")
         .join(repeated.select("h"), "h", "left_anti")
         .select(
             "doc_id",
@@ -97,17 +102,20 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The documents without their exact copies, with the columns they came with. Only
     rows whose text repeats are shuffled."""
     copies = exact_groups(docs, id_col, text_col).filter("group_size > 1")
-    decided = copies.groupBy(F.col("text_sha256").alias("__sha"), F.col("doc_id").alias("__id")).agg(
+    grouped = copies.groupBy(F.col("text_sha256").alias("__sha"), F.col("doc_id").alias("__id")).agg(
         F.max("kept").alias("__kept")
     )
+    decided = settle(grouped, "copies")
     inner = {c: f"__in_{i}" for i, c in enumerate(docs.columns)}
     text = F.coalesce(F.col(inner[text_col]), F.lit(""))
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()]).select(
-        "*", F.sha2(squeezed(text), 256).alias("__sha"), F.char_length(text).alias("__n")
-    )
-    pages = bitmap(decided, "__sha")
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
+    pages = bitmap(decided, "__id")
     same_row = Window.partitionBy("__sha", inner[id_col]).orderBy(F.col("__n").desc())
-    checked = maybe_in(rows, "__sha", pages).alias("r")
+    checked = (
+        maybe_in(rows, inner[id_col], pages)
+        .select("*", F.sha2(squeezed(text), 256).alias("__sha"), F.char_length(text).alias("__n"))
+        .alias("r")
+    )
     kept = (
         checked.join(
             decided.alias("d"),
@@ -121,7 +129,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .filter("__row = 1")
     )
     return (
-        surely_out(rows, "__sha", pages)
+        surely_out(rows, inner[id_col], pages)
         .select(*inner.values())
         .unionByName(kept.select(*inner.values()))
         .toDF(*docs.columns)
