@@ -203,3 +203,11 @@ def classify(
                 )
 
     return rows.mapInArrow(predict, schema)
+
+
+def keep_known(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
+    """The documents in one of the languages, with the columns they came with."""
+    inner = [f"__in_{i}" for i in range(len(docs.columns))]
+    text = inner[docs.columns.index(text_col)]
+    found = classify(docs.toDF(*inner), prototypes, text, "__lang", "__score")
+    return found.filter(F.col("__lang") != UNKNOWN).select(*inner).toDF(*docs.columns)

@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadcast.llm import chat, decontaminate, exact_dedup, language, packing, quality, warc
+from roadcast.llm import (
+    chat,
+    credentials,
+    decontaminate,
+    exact_dedup,
+    language,
+    near_dedup,
+    packing,
+    private,
+    quality,
+    warc,
+)
 from roadcast.llm.registry import ORACLES, QUERIES, query
 from roadcast.llm.tables import read
 
@@ -163,3 +174,50 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.col("refers_to").cast(kind).alias("refers_to"),
     )
+
+
+@query(
+    "op1_near_dedup",
+    r"""
+    with recursive d as (
+      select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as ws
+      from documents
+    ), s as materialized (
+      select distinct doc_id, array_to_string(ws[i : i + k - 1], ' ') as shingle
+      from (select doc_id, ws, least(len(ws), 3) as k,
+                   unnest(generate_series(1, len(ws) - least(len(ws), 3) + 1)) as i
+            from d where len(ws) > 0)
+    ), n as (
+      select doc_id, count(*) as n from s group by doc_id
+    ), l as materialized (
+      select a, b
+      from (select x.doc_id as a, y.doc_id as b, count(*) as c
+            from s x join s y on x.shingle = y.shingle and x.doc_id <> y.doc_id group by all)
+      join n p on p.doc_id = a join n q on q.doc_id = b
+      where 100 * c >= 85 * (p.n + q.n - c)
+    ), r as (
+      select doc_id, doc_id as other from d
+      union
+      select r.doc_id, l.b from r join l on r.other = l.a
+    ), c as (
+      select doc_id, min(other) as component_id from r group by doc_id
+    )
+    select d.doc_id, coalesce(n.n, 0) as n_shingles, component_id,
+           d.doc_id = component_id as kept
+    from d join c using (doc_id) left join n using (doc_id)
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(read(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query("op2_private_data")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.report(private.protected(read(spark, sf_dir, "documents")))
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.report(credentials.secrets(read(spark, sf_dir, "documents")))
