@@ -115,7 +115,7 @@ def _write(folder: str, records: list[bytes]) -> tuple[str, int, int]:
     files, path = _open(uri)
     files.create_dir(path.rpartition("/")[0], recursive=True)
     written = 0
-    with files.open_output_stream(path) as out:
+    with files.open_output_stream(path, compression=None) as out:
         for part in [struct.pack("<II", SKIPPABLE, len(content)), content, *map(packer.compress, records)]:
             out.write(part)
             written += len(part)
@@ -226,7 +226,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
             for uri in batch.column(0).to_pylist():
                 files, path = _open(uri)
                 rows, size = [], 0
-                with files.open_input_stream(path) as stream:
+                with files.open_input_stream(path, compression=None) as stream:
                     for record in _frames(stream):
                         rows.append(_read_record(record)[: len(names)])
                         size += len(record)
