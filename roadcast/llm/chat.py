@@ -24,20 +24,23 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from roadcast.llm.tables import settle
 
-# Fixed values of the template. Inside texts a backslash goes before each character
-# that could begin a control string or is a backslash itself.
+# The template. Its control strings hold characters that texts never show: a backslash
+# and a letter stand for each of them and for the backslash itself.
 HEAD, BETWEEN, TAIL = "### ", ": ", "</turn>\n"
 LEARNED_ROLE = "assistant"
-_TURN = re.compile(r"### ((?:[^\\:]|\\.)*+): ((?:[^\\<]|\\.)*+)</turn>\n", re.S)
-_IN_TEXT, _IN_ROLE = re.compile(r"[\\#<]"), re.compile(r"[\\#<:]")
+_SHOWN = {"\\": "\\\\", "#": "\\h", "<": "\\l"}
+_IN_TEXT = str.maketrans(_SHOWN)
+_IN_ROLE = str.maketrans(_SHOWN | {":": "\\c"})
+_MEANT = {"\\": "\\", "h": "#", "l": "<", "c": ":"}
+_TURN = re.compile(r"### ([^#<:]*): ([^#<]*)</turn>\n")
 
 
-def escape(text: str, pattern: re.Pattern = _IN_TEXT) -> str:
-    return pattern.sub(lambda m: "\\" + m[0], text)
+def escape(text: str, table: dict = _IN_TEXT) -> str:
+    return text.translate(table)
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\(.)", r"\1", text, flags=re.S)
+    return re.sub(r"\\(.)", lambda m: _MEANT[m[1]], text)
 
 
 def chains(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
