@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from roadcast.llm.tokens import WordTokenizer
+from roadcast.llm.tokens import Encoder
 
 CAPACITY = 2048
 OPEN_SEQUENCES = 4096
@@ -52,13 +52,13 @@ def pieces(
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokenizer(tokenizer, end)
+        encoder = Encoder(tokenizer, end)
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for i, data in enumerate(encoder.encode(texts)):
+                for i, text in enumerate(part.column(1).to_pylist()):
+                    data = encoder.encode(text or "")
                     for k, at in enumerate(range(0, len(data), step)):
                         own = data[at : at + step]
                         row.append(i)

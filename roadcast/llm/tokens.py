@@ -1,69 +1,106 @@
-"""Token ids of whole texts by a public tokenizer file, piece by cached piece.
+"""Token ids of whole texts by a public tokenizer file.
 
-A tokenizer that drops white space encodes a text as its words one after another, so
-each distinct word needs encoding once in a task. The words kept are bounded in number:
-when the younger half of the memory is full, the older half is forgotten.
+The file's own library encodes any text. Most texts are plain, that is in Latin letters
+without combining marks, and for a byte-level vocabulary with word ends a second library
+applies the file's merges to them several times faster: the text is lower-cased and split
+by the file's pattern, and a blank behind each part stands for the word end.
+
+Both give the same ids. The second library joins neighbours by the rank of what they
+make together, the first by the rank of the pair; these agree where every entry of the
+vocabulary comes out of its own pair, which holds for a vocabulary that was trained. Each
+task compares a part of the vocabulary before it relies on that, else it does without.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
+
 import numpy as np
 
-# Python's split() takes these for white space, tokenizers do not.
-_CONTROL = "\x1c\x1d\x1e\x1f"
-REMEMBERED = 300_000
+_FIRST_FAR = 0x250  # letters from here on may be composed, decomposed or change length
+# Not plain: far letters, the one near letter whose lower case is two, control characters
+# that only one of the libraries takes for white space.
+_FAR = re.compile("[^\x00-\x1b\x20-\u012f\u0131-\u024f]")
+_LONGEST = 2000  # longer parts are left to the file's own library
+# Fixed values of the vocabulary files: the characters that stand for bytes.
+_SHOWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+def _byte_of() -> dict[str, int]:
+    hidden = [b for b in range(256) if b not in set(_SHOWN_BYTES)]
+    return {chr(b): b for b in _SHOWN_BYTES} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-class WordTokenizer:
+def _class(first: str) -> str:
+    near = (chr(c) for c in range(33, _FIRST_FAR))
+    return "".join(re.escape(c) for c in near if unicodedata.category(c)[0] == first)
+
+
+class Encoder:
     """``path`` names a tokenizer file; ``end`` is the id put behind every text."""
 
-    def __init__(self, path: str, end: int, remembered: int = REMEMBERED):
+    def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._end = np.array([end], "<u4").tobytes()
-        self._half = remembered // 2
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-        one, two = self._ids(["a b", "A"]), self._ids(["a", "b", "a"])
-        self._by_word = one[0] == two[0] + two[1]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, words: list[str]) -> None:
-        """Make every word known. Words that differ in case only are encoded once where
-        lower-casing them first gives what the tokenizer's own lower-casing gives."""
-        old, missing = self._old, []
-        for w in words:
-            if w in old:
-                self._young[w] = old[w]
-            else:
-                missing.append(w)
-        if not missing:
+        self._merges = self._split = None
+        try:
+            self._prepare(json.load(open(path, encoding="utf-8")))
+        except (KeyError, TypeError):  # a file of another kind
+            self._merges = None
+
+    def _prepare(self, file: dict) -> None:
+        import tiktoken
+
+        model, splitting = file["model"], file["pre_tokenizer"]["pretokenizers"][0]
+        steps = [s["type"] for s in file["normalizer"]["normalizers"]]
+        suffix, vocabulary = model["end_of_word_suffix"], model["vocab"]
+        if steps != ["NFC", "Replace", "Lowercase"] or not suffix or splitting["type"] != "Split":
+            return
+        byte_of = _byte_of()
+
+        def raw(token: str) -> bytes:
+            stem = token.removesuffix(suffix)
+            return bytes(byte_of[c] for c in stem) + (b" " if stem != token else b"")
+
+        special = {t["content"] for t in file["added_tokens"]}
+        ids = {raw(t): i for t, i in vocabulary.items() if t not in special}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        # Bytes first, then bytes that end a word, so that word ends are put on first.
+        order = [bytes([b]) for b in range(256)]
+        order += [bytes([b]) + b" " for b in range(256) if b != 32]
+        order += [raw(a + b) for a, b in pairs]
+        ranks = {token: k for k, token in enumerate(dict.fromkeys(order))}
+        self._ids_by_rank = np.array([ids.get(t, 0) for t in ranks], "<u4")
+        pattern = splitting["pattern"]["Regex"]
+        if "[\\p{" not in pattern:  # the classes below are meant to stand in brackets
             return
-        plain = {w: w.lower() if w.isascii() and "<|" not in w else w for w in missing}
-        new = [p for p in set(plain.values()) if p not in self._young]
-        known = dict(zip(new, self._ids(new)))
-        for w, p in plain.items():
-            self._young[w] = known[p] if p in known else self._young[p]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text and the end id, as little-endian 32-bit numbers."""
-        out = []
-        for text in texts:
-            if not self._by_word or any(c in text for c in _CONTROL):
-                out.append(self._ids([text])[0] + self._end)
-                continue
-            words = text.split()
-            known = self._young
-            try:
-                out.append(b"".join([known[w] for w in words]) + self._end)
-            except KeyError:
-                distinct = set(words)
-                self._learn([w for w in distinct if w not in known])
-                out.append(b"".join([known[w] for w in words]) + self._end)
-                if len(known) > self._half:
-                    self._old, self._young = known, {}
-        return out
+        for name, first in (("\\p{L}", "L"), ("\\p{N}", "N")):
+            pattern = pattern.replace(name, _class(first))
+        self._split = re.compile(pattern)
+        self._merges = tiktoken.Encoding("merges", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+        words = [raw(t).decode("utf-8", "ignore").strip() for t in list(vocabulary)[512::40] if t.endswith(suffix)]
+        sample = " ".join(w for w in words if w and not _FAR.search(w))
+        if self._plain(sample) != self._any(sample):
+            self._merges = None
+
+    def _any(self, text: str) -> bytes:
+        ids = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, "<u4").tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        parts = self._split.findall(text.lower())
+        if max(map(len, parts), default=0) > _LONGEST:
+            return self._any(text)
+        parts.append("")  # the last part has its end, too
+        ranks = self._merges.encode_ordinary(" ".join(parts))
+        return self._ids_by_rank[np.array(ranks, np.int64)].tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text and the end id, as little-endian 32-bit numbers."""
+        # "<|" could begin a special token.
+        plain = self._merges is not None and "<|" not in text and not _FAR.search(text)
+        return (self._plain(text) if plain else self._any(text)) + self._end
