@@ -27,8 +27,6 @@ def _parser() -> argparse.ArgumentParser:
         ingest.add_argument("--locations")
         ingest.add_argument("--json-lines", action="store_true")
         ingest.add_argument("--quarantine", help="folder for what had to be rejected")
-        if name == "backfill":
-            ingest.add_argument("--max-rows", type=int)
     train = commands.add_parser("train")
     train.add_argument("--models", required=True)
     train.add_argument("--members", type=int, default=Settings.members)

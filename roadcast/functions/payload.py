@@ -2,27 +2,78 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 _OPTIONS = {"allowSingleQuotes": "false"}
 
 
 def _objects(body: str, schema: str) -> Column:
-    """The body as an array of its JSON values. The parser stops at the end of the
-    first value, so the body is put in brackets, where anything left over is an error."""
-    wrapped = F.concat(F.lit("["), F.col(body), F.lit("]"))
-    return F.from_json(wrapped, f"ARRAY<STRUCT<{schema}>>", _OPTIONS)
+    """The body and a marker behind it as an array of JSON objects. The parser stops at
+    the end of the first value, so both are put in brackets; a body that closes the
+    bracket itself leaves the marker out. The marker is a digest of the body, which no
+    body holds."""
+    wrapped = F.concat(F.lit("["), F.col(body), F.lit(',{"__end":"'), F.md5(body), F.lit('"}]'))
+    return F.from_json(wrapped, f"ARRAY<STRUCT<{schema.strip()}, __end: STRING>>", _OPTIONS)
+
+
+def _is_whole(objects: Column, body: str) -> Column:
+    """Whether there is one object in front of the marker."""
+    return (
+        (F.size(objects) == 2)
+        & F.get(objects, F.lit(0)).isNotNull()
+        & F.get(objects, F.lit(1))["__end"].eqNullSafe(F.md5(body))
+    )
 
 
 def with_object(landed: DataFrame, schema: str, name: str = "_doc", body: str = "body") -> DataFrame:
     """Add ``name``: the body parsed by the struct ``schema`` (as "field: TYPE, ..."),
     or null unless the whole body is exactly one JSON object."""
     # Parsed in a column of its own, so that two uses do not parse twice.
-    only = F.when(F.size("_objects") == 1, F.get("_objects", F.lit(0)))
+    objects = F.col("_objects")
+    only = F.when(_is_whole(objects, body), F.get(objects, F.lit(0)))
     return landed.withColumn("_objects", _objects(body, schema)).withColumn(name, only).drop("_objects")
 
 
 def is_object(body: str = "body") -> Column:
     """Whether the whole body is exactly one JSON object."""
-    objects = F.filter(_objects(body, "any: STRING"), lambda o: o.isNotNull())
-    return F.coalesce(F.size(objects) == 1, F.lit(False))
+    # Bound to a name within the expression, so that it is parsed once.
+    found = F.transform(F.array(_objects(body, "any: STRING")), lambda o: _is_whole(o, body))
+    return F.coalesce(F.get(found, F.lit(0)), F.lit(False))
+
+
+def looks_like_object(text: Column) -> Column:
+    """Whether text cut out of a parsed payload was an object there."""
+    return F.coalesce(text.startswith("{"), F.lit(False))
+
+
+def shape_faults(text: Column, shape: Sequence[tuple[str, bool]]) -> Column:
+    """What is of the wrong shape on the way down an object, as
+    ``array<struct<reason, body>>``. ``shape`` names the fields and tells whether each
+    holds an array of objects. Absent and null fields are no fault."""
+    if not shape:
+        return F.expr("cast(array() as array<struct<reason: string, body: string>>)")
+    (name, many), rest = shape[0], shape[1:]
+
+    def fault(reason: str, found: Column) -> Column:
+        return F.array(F.struct(F.lit(reason).alias("reason"), found.alias("body")))
+
+    def in_item(item: Column) -> Column:
+        wrong = fault(f"an item of {name} is not an object", F.coalesce(item, F.lit("null")))
+        return F.when(looks_like_object(item), shape_faults(item, rest)).otherwise(wrong)
+
+    def below(child: Column) -> Column:
+        if many:
+            deeper = F.flatten(F.transform(F.from_json(child, "ARRAY<STRING>"), in_item))
+        else:
+            deeper = shape_faults(child, rest)
+        kind = "an array" if many else "an object"
+        return (
+            F.when(child.isNull(), shape_faults(child, ()))
+            .when(child.startswith("[" if many else "{"), deeper)
+            .otherwise(fault(f"{name} is not {kind}", child))
+        )
+
+    child = F.from_json(text, f"{name} STRING", _OPTIONS)[name]
+    return F.flatten(F.transform(F.array(child), below))

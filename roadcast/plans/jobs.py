@@ -42,10 +42,10 @@ from roadcast.plans.training import (
 )
 from roadcast.schemas import HORIZONS, TableSpec
 from roadcast.session import path_exists, remove_path, scratch_path, use_utc
-from roadcast.sources.extract import ORDER, weather_observations
+from roadcast.sources.extract import weather_observations
 from roadcast.sources.landing import answered, read_landing
 from roadcast.sources.locations import default_locations, read_locations
-from roadcast.sources.tables import ensure_table, first_rows, read_table
+from roadcast.sources.tables import ensure_table, read_table
 
 
 def _locations(spark: SparkSession, path: str | None) -> DataFrame:
@@ -92,18 +92,13 @@ def backfill(
     json_lines: bool = False,
     tables: str | None = None,
     quarantine: str | None = None,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """The same in bulk: weather rows get their lags and are then cut to the columns
-    the table has. ``max_rows`` caps each source, lowest keys first."""
-    feeds = []
-    for feed in _feeds(spark, landing, locations, json_lines):
-
-        def rows(feed: Feed = feed) -> DataFrame:
-            found = first_rows(feed.rows(), [*feed.spec.primary_key, *ORDER], max_rows)
-            return _lagged(found) if feed.name == "weather" else found
-
-        feeds.append(replace(feed, rows=rows))
+    the table has."""
+    feeds = [
+        replace(feed, rows=lambda feed=feed: _lagged(feed.rows())) if feed.name == "weather" else feed
+        for feed in _feeds(spark, landing, locations, json_lines)
+    ]
     return refresh(spark, feeds, align=True, location=tables, quarantine=quarantine)
 
 

@@ -12,6 +12,7 @@ from roadcast.schemas import TableSpec
 from roadcast.sources import extract
 from roadcast.sources.forecasts import location_errors, location_forecasts
 from roadcast.sources.landing import answered, quarantined
+from roadcast.session import scratch_path
 from roadcast.sources.tables import align_to_table, ensure_table, upsert
 
 REPORT_COLUMNS = "source STRING, rows BIGINT, error STRING"
@@ -37,8 +38,8 @@ def refresh(
     location: str | None = None,
     quarantine: str | None = None,
 ) -> DataFrame:
-    """Upsert every feed and report ``(source, rows, error)``: one row per feed, and
-    one per error a feed lists. ``align`` drops columns the table does not have; new
+    """Upsert every feed and report ``(source, rows, error)``: one row per feed that was
+    stored, one per step of a feed that failed, and one per error a feed lists. ``align`` drops columns the table does not have; new
     tables go under ``location`` if given, else where the catalog puts them. What a feed
     had to reject is written under ``quarantine``, replacing what an earlier run found.
 
@@ -46,20 +47,39 @@ def refresh(
     """
     outcomes: list[tuple[str, int | None, str | None]] = []
     listed: list[DataFrame] = []
-    for feed in feeds:
+
+    def attempt(feed: Feed, step: Callable[[Feed], int | None]) -> None:
         try:
-            place = f"{location}/{feed.spec.table}" if location else None
-            ensure_table(spark, feed.spec, location=place)
-            rows = feed.rows()
-            if align:
-                rows = _aligned(spark, rows, feed.spec)
-            outcomes.append((feed.name, upsert(spark, feed.spec, rows), None))
+            count = step(feed)
+            if count is not None:
+                outcomes.append((feed.name, count, None))
         except Exception as failure:  # one bad source must not stop the others
-            outcomes.append((feed.name, None, str(failure).splitlines()[0]))
+            outcomes.append((feed.name, None, str(failure) or repr(failure)))
+
+    def store(feed: Feed) -> int:
+        place = f"{location}/{feed.spec.table}" if location else None
+        ensure_table(spark, feed.spec, location=place)
+        rows = feed.rows()
+        if align:
+            rows = _aligned(spark, rows, feed.spec)
+        return upsert(spark, feed.spec, rows)
+
+    def keep_rejects(feed: Feed) -> None:
         if quarantine and feed.rejects is not None:
             feed.rejects().write.mode("overwrite").parquet(f"{quarantine}/{feed.name}")
-        if feed.errors is not None:
-            listed.append(feed.errors().select(F.lit(feed.name).alias("source"), "error"))
+
+    def list_errors(feed: Feed) -> None:
+        if feed.errors is None:
+            return
+        # Written now, so that a source that cannot be read fails here, not the report.
+        found = feed.errors().select(F.lit(feed.name).alias("source"), "error")
+        path = scratch_path(spark, "errors")
+        found.write.parquet(path)
+        listed.append(spark.read.schema("source STRING, error STRING").parquet(path))
+
+    for feed in feeds:
+        for step in (store, keep_rejects, list_errors):
+            attempt(feed, step)
     if not any(rows for _, rows, _ in outcomes):
         failed = [f"{name}: {error}" for name, _, error in outcomes if error]
         # At most one listed error per feed is looked at.
@@ -93,10 +113,11 @@ def landing_feeds(
     """The usual four feeds from landed payload frames; leave out what is not polled.
     ``suffix`` is added to the table names."""
     feeds = []
-    for name, spec, landed, flatten in (
-        ("weather", schemas.WEATHER_OBSERVATION, weather, extract.weather_observations),
-        ("situations", schemas.SITUATION, situations, extract.situations),
-        ("frost_depth", schemas.FROST_DEPTH, frost, extract.frost_depths),
+    for name, spec, landed, flatten, shape in (
+        ("weather", schemas.WEATHER_OBSERVATION, weather, extract.weather_observations,
+         schemas.WEATHER_SHAPE),
+        ("situations", schemas.SITUATION, situations, extract.situations, schemas.SITUATION_SHAPE),
+        ("frost_depth", schemas.FROST_DEPTH, frost, extract.frost_depths, schemas.FROST_SHAPE),
     ):
         if landed is not None:
             feeds.append(
@@ -104,10 +125,10 @@ def landing_feeds(
                     name,
                     replace(spec, name=spec.name + suffix),
                     lambda landed=landed, flatten=flatten: flatten(answered(landed)),
-                    lambda landed=landed: quarantined(landed).select(
+                    lambda landed=landed, shape=shape: quarantined(landed, shape).select(
                         F.col("reject_reason").alias("error")
                     ),
-                    lambda name=name, landed=landed: _rejects(name, landed),
+                    lambda name=name, landed=landed, shape=shape: _rejects(name, landed, shape),
                 )
             )
     if forecasts is not None:
@@ -119,21 +140,22 @@ def landing_feeds(
                 lambda: location_errors(forecasts, locations).select(
                     F.concat_ws(": ", "location_id", "error").alias("error")
                 ),
-                lambda: quarantined(forecasts),
+                lambda: quarantined(forecasts, schemas.FORECAST_SHAPE),
             )
         )
     return feeds
 
 
-def _rejects(name: str, landed: DataFrame) -> DataFrame:
-    """Unusable bodies, and the single rows whose identifier is not a whole number."""
-    bodies = quarantined(landed)
+def _rejects(name: str, landed: DataFrame, shape: tuple) -> DataFrame:
+    """Unusable bodies and parts of bodies, and the single rows whose identifier is not a
+    whole number."""
+    bodies = quarantined(landed, shape)
     if name == "situations":
         return bodies
     rows = extract.fractional_ids(answered(landed), frost=name == "frost_depth").select(
         "payload_id",
         "ingested_at",
         F.lit("identifier is not whole").alias("reject_reason"),
-        F.col("measurepoint_id").alias("body_head"),
+        F.col("measurepoint_id").alias("body"),
     )
     return bodies.unionByName(rows, allowMissingColumns=True)

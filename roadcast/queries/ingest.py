@@ -23,7 +23,16 @@ from roadcast.sources import extract
 from roadcast.sources.forecasts import location_errors, location_forecasts
 from roadcast.sources.landing import quarantined, read_landing
 from roadcast.sources.locations import all_entries, default_locations, locations
-from roadcast.sources.tables import ensure_table, first_rows, merged, read_table, upsert, write_csv
+from roadcast.sources.tables import (
+    align_to_table,
+    ensure_table,
+    merged,
+    read_table,
+    table_columns,
+    table_location,
+    upsert,
+    write_csv,
+)
 from roadcast.streaming.landing import stream_landing, stream_to_table
 
 _ISO = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
@@ -261,7 +270,7 @@ judged as (
     when not json_valid(body) then 'not JSON' end as reject_reason
   from landed)
 select payload_id, status, content_type, reject_reason,
-  substring(body, 1, 1000) as body_head
+  body
 from judged where reject_reason is not null
 """,
 )
@@ -284,6 +293,69 @@ def landing_quarantine(spark, sf_dir):
     return quarantined(events.unionByName(pages))
 
 
+# Payloads with good and bad parts side by side. What each event's is made of follows
+# from its number.
+_MIXED_ITEM = f"""
+to_json(named_struct('Measurepoint', named_struct('Id', cast({_POINT} as string)),
+  'Sample', concat({_ISO}, 'Z'), 'Air', named_struct('Temperature', named_struct('Value', value))))
+"""
+MIXED_BODY = f"""
+case event_id % 8
+  when 0 then concat('{{"RESPONSE":{{"RESULT":[{{"WeatherObservation":[', {_MIXED_ITEM}, ',"bad"]}}]}}}}')
+  when 1 then concat('{{"RESPONSE":{{"RESULT":[7,{{"WeatherObservation":[null,', {_MIXED_ITEM}, ']}}]}}}}')
+  when 2 then '{{"RESPONSE":"oops"}}'
+  when 3 then concat('{{"RESPONSE":{{"RESULT":{{"WeatherObservation":[', {_MIXED_ITEM}, ']}}}}}}')
+  when 4 then concat('{{"RESPONSE":{{"RESULT":[{{"WeatherObservation":', {_MIXED_ITEM}, '}}]}}}}')
+  when 5 then '{{"RESPONSE":{{"RESULT":[{{"WeatherObservation":null}},{{}}]}}}}'
+  when 6 then concat('{{"RESPONSE":null}}', case when event_id % 16 < 8 then '] trailing junk' else '],[{{"b":2}}' end)
+  else concat('{{"RESPONSE":{{"RESULT":[{{"WeatherObservation":[[], ', {_MIXED_ITEM}, ', ', {_MIXED_ITEM}, ']}}]}}}}')
+end
+"""
+
+
+@query(
+    "payload_shape_errors",
+    """
+with faults as (
+  select event_id, unnest(case event_id % 8
+    when 0 then ['an item of WeatherObservation is not an object']
+    when 1 then ['an item of RESULT is not an object', 'an item of WeatherObservation is not an object']
+    when 2 then ['RESPONSE is not an object'] when 3 then ['RESULT is not an array']
+    when 4 then ['WeatherObservation is not an array'] when 6 then ['not JSON']
+    when 7 then ['an item of WeatherObservation is not an object'] else [] end) as reject_reason
+  from events)
+select cast(event_id as varchar) as payload_id, reject_reason,
+  case when reject_reason = 'not JSON' then case when event_id % 16 < 8
+           then '{"RESPONSE":null}] trailing junk' else '{"RESPONSE":null}],[{"b":2}' end
+       when event_id % 8 = 0 then 'bad' when event_id % 8 = 2 then 'oops'
+       when event_id % 8 = 7 then '[]' when reject_reason like '%RESULT is not an object' then '7'
+       when event_id % 8 = 1 then 'null' end as body
+from faults
+""",
+)
+def payload_shape_errors(spark, sf_dir):
+    """What the quarantine gets of payloads that are partly of the wrong shape. The body
+    of mistyped arrays, which is long, is left out."""
+    found = quarantined(_landed(spark, sf_dir, MIXED_BODY), schemas.WEATHER_SHAPE)
+    long = F.col("reject_reason").isin("RESULT is not an array", "WeatherObservation is not an array")
+    return found.select("payload_id", "reject_reason", F.when(~long, F.col("body")).alias("body"))
+
+
+@query(
+    "weather_of_mixed_payloads",
+    f"""
+select cast({_POINT} as bigint) as measurepoint_id, ts as sample_time, round(value, 6) as air_temp_c,
+  cast(event_id as varchar) as payload_id, cast(place as bigint) as _seq
+from (select *, unnest(case event_id % 8 when 0 then [0] when 1 then [2147483649] when 7 then [1, 2]
+                       else [] end) as place from events)
+""",
+)
+def weather_of_mixed_payloads(spark, sf_dir):
+    """The good items of the same payloads."""
+    rows = extract.weather_observations(_landed(spark, sf_dir, MIXED_BODY))
+    return comparable(rows.select("measurepoint_id", "sample_time", "air_temp_c", "payload_id", "_seq"))
+
+
 _ENTRIES = """
 to_json(map(concat('L', s_suppkey), named_struct(
   'id', concat('L', s_suppkey), 'name', case when s_suppkey % 3 = 0 then null else s_name end,
@@ -349,22 +421,14 @@ select location_id, 'not JSON' as error from landed
 union all select id, 'no measurement point identifier' from places where not numbered
 union all select id, 'no payload' from places
   where numbered and id not in (select location_id from landed)
+union all select distinct location_id, 'unknown location' from landed
+  where location_id not in (select id from places)
 """,
 )
 def location_forecast_errors(spark, sf_dir):
     return location_errors(*_places_and_payloads(spark, sf_dir))
 
 
-@query(
-    "source_row_cap",
-    "select event_id, ts, value from events order by ts, event_id limit 1000",
-)
-def source_row_cap(spark, sf_dir):
-    """The capped read of a source; here the cap is the feature."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
-    return first_rows(events, ["ts", "event_id"], 1000)
-
-
 # --- Keyed tables ------------------------------------------------------------------------
 
 _STORED = """,
@@ -394,6 +458,15 @@ def _fresh(spec: schemas.TableSpec) -> schemas.TableSpec:
     return replace(spec, name=f"{spec.name}_{uuid.uuid4().hex}")
 
 
+def _read_and_forget(spark: SparkSession, spec: schemas.TableSpec) -> DataFrame:
+    """The table's files; the table itself goes from the catalog."""
+    columns = read_table(spark, spec).columns
+    place = table_location(spark, spec)
+    partitioned = spark.table(spec.table).schema
+    spark.sql(f"DROP TABLE {spec.table}")
+    return spark.read.schema(partitioned).parquet(place).select(*columns)
+
+
 @query(
     "table_upserts",
     ctes("pred")
@@ -420,7 +493,80 @@ def table_upserts(spark, sf_dir):
     upsert(spark, spec, df.where(F.col("risk_mean") < 0.5))
     for _ in range(2):
         upsert(spark, spec, df.where(F.col("risk_mean") >= 0.5))
-    return comparable(read_table(spark, spec))
+    return comparable(_read_and_forget(spark, spec))
+
+
+# A reading is landed twice: by the event itself, and by one that came a day later but
+# was ingested a day earlier for every third event.
+_LATE = """
+select {point} as measurepoint_id, 'P' as measurepoint_name, cast(null as {text}) as wgs84,
+  {ts} as sample_time, cast(event_id as {text}) as sensor_name, cast(event_id % 4 as double) as depth_cm,
+  value + {shift} as temp_c, {ts} + interval '1' day * {days} as ingested_at
+from events
+"""
+
+
+@query(
+    "late_payload_upsert",
+    "with first as ("
+    + _LATE.format(point=f"cast({_POINT} as bigint)", text="varchar", ts="ts", shift=0, days=1)
+    + "), second as ("
+    + _LATE.format(
+        point=f"cast({_POINT} as bigint)", text="varchar", ts="ts", shift=100,
+        days="(case when event_id % 3 = 0 then 0 when event_id % 3 = 1 then 1 else 2 end)",
+    )
+    + """),
+written as (select *, 1 as step from first union all select *, 2 from second),
+last as (select * from written qualify row_number() over (
+  partition by step, measurepoint_id, sample_time, depth_cm order by ingested_at desc, sensor_name desc) = 1)
+select * exclude (step) replace (round(temp_c, 6) as temp_c) from last qualify row_number() over (
+  partition by measurepoint_id, sample_time, depth_cm order by ingested_at desc, step desc) = 1
+""",
+)
+def late_payload_upsert(spark, sf_dir):
+    """Two writes: of each key the row ingested last stays, and of two ingested at the
+    same time the one written last."""
+    spec = _fresh(schemas.FROST_DEPTH)
+    ensure_table(spark, spec, location=scratch_path(spark, spec.table))
+
+    def readings(shift, days):
+        sql = _LATE.format(
+            point=f"cast({_POINT} as bigint)", text="string", ts="cast(ts as timestamp)",
+            shift=shift, days=days,
+        )
+        return spark.sql(sql.replace("from events", "from {events}"), events=table(spark, sf_dir, "events"))
+
+    order = ("ingested_at", "sensor_name")
+    upsert(spark, spec, readings(0, 1), order=order)
+    late = "(case when event_id % 3 = 0 then 0 when event_id % 3 = 1 then 1 else 2 end)"
+    upsert(spark, spec, readings(100, late), order=order)
+    return comparable(_read_and_forget(spark, spec))
+
+
+@query(
+    "table_schema_align",
+    ctes("pred")
+    + _STORED.format(newest="ingest_seq desc")
+    + """
+select column_name, stored from (
+  select unnest(['measurepoint_id', 'valid_time', 'horizon_hours', 'risk_mean', 'risk_p10', 'risk_p90',
+                 'hazard_predicted', 'recommendation', 'forecast_run_time']) as column_name, true as stored
+  union all select unnest(['extra', 'ingest_seq']), false)
+cross join (select count(*) as n from stored) where n > 0
+""",
+)
+def table_schema_align(spark, sf_dir):
+    """A frame with unknown columns cut to those of a stored table, as the table lists
+    them, and written to it; the columns are then read off the table."""
+    spec = _fresh(schemas.PREDICTION)
+    ensure_table(spark, spec, location=scratch_path(spark, spec.table))
+    df = with_decision(predictions(spark, sf_dir)).withColumn("extra", F.lit("x"))
+    kept, dropped = align_to_table(spark, df, spec)
+    upsert(spark, spec, keep_last(df, spec.primary_key).select(*kept.columns), order=())
+    rows = [(c, True) for c in table_columns(spark, spec)] + [(c, False) for c in dropped]
+    names = spark.createDataFrame(rows, "column_name STRING, stored BOOLEAN")
+    any_row = _read_and_forget(spark, spec).agg(F.count("*").alias("n")).where("n > 0")
+    return names.crossJoin(any_row).drop("n")
 
 
 @query("csv_sink", ctes("pred") + f"select {PRED_COLUMNS} from pred")
@@ -531,4 +677,4 @@ def stream_weather_table(spark, sf_dir):
     stream_to_table(
         landed, spec, extract.weather_observations, progress, json_lines=True, location=place
     ).awaitTermination()
-    return comparable(read_table(spark, spec).drop("ingested_at"))
+    return comparable(_read_and_forget(spark, spec).drop("ingested_at"))

@@ -36,6 +36,8 @@ def comparable(df: DataFrame) -> DataFrame:
         column = F.col(f.name)
         if isinstance(f.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
+        elif isinstance(f.dataType, T.DecimalType) and f.name == "_seq":
+            column = column.cast("bigint")
         elif isinstance(f.dataType, T.DoubleType) and f.name not in _EXACT:
             column = F.round(column, 6)
         shown.append(column.alias(f.name))

@@ -7,46 +7,49 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # --- Raw payloads -----------------------------------------------------------
+# The sources' field names.
+#
 # Every leaf is read as text and coerced afterwards. A source may or may not quote
 # its numbers and flags, and a leaf declared numeric would turn the other spelling
-# into null.
+# into null. Items of arrays are read as text, too, and parsed one by one: an item of
+# the wrong shape would otherwise turn the array it is in into null.
 
 _POINT = "STRUCT<Id: STRING, Name: STRING, Geometry: STRUCT<WGS84: STRING>>"
 _VALUE = "STRUCT<Value: STRING>"
 
-WEATHER_PAYLOAD = f"""
-RESPONSE: STRUCT<RESULT: ARRAY<STRUCT<WeatherObservation: ARRAY<STRUCT<
-  Measurepoint: {_POINT},
-  Sample: STRING,
-  Surface: STRUCT<Temperature: {_VALUE}, Water: STRING, Ice: STRING, Snow: STRING, Grip: {_VALUE}>,
-  Air: STRUCT<Temperature: {_VALUE}, RelativeHumidity: {_VALUE}, Dewpoint: {_VALUE}>
->>>>>
-"""
+RESPONSE = "RESPONSE: STRUCT<RESULT: ARRAY<STRING>>"
 
-SITUATION_PAYLOAD = """
-RESPONSE: STRUCT<RESULT: ARRAY<STRUCT<Situation: ARRAY<STRUCT<
-  Id: STRING, PublicationTime: STRING, VersionTime: STRING,
-  Deviation: ARRAY<STRUCT<
-    MessageType: STRING, MessageTypeValue: STRING, MessageCode: STRING,
-    MessageCodeValue: STRING, SeverityCode: STRING, StartTime: STRING, EndTime: STRING,
-    Suspended: STRING, Geometry: STRUCT<Point: STRUCT<WGS84: STRING>>
-  >>
->>>>>
+WEATHER_ITEM = f"""
+Measurepoint: {_POINT},
+Sample: STRING,
+Surface: STRUCT<Temperature: {_VALUE}, Water: STRING, Ice: STRING, Snow: STRING, Grip: {_VALUE}>,
+Air: STRUCT<Temperature: {_VALUE}, RelativeHumidity: {_VALUE}, Dewpoint: {_VALUE}>
 """
 
-FROST_PAYLOAD = f"""
-RESPONSE: STRUCT<RESULT: ARRAY<STRUCT<FrostDepthObservation: ARRAY<STRUCT<
-  Measurepoint: {_POINT},
-  FrostDepth: STRUCT<Sample: STRING, Temperature: ARRAY<STRUCT<
-    SensorName: STRING, Depth: STRING, Value: STRING>>>
->>>>>
+SITUATION_ITEM = """
+Id: STRING, PublicationTime: STRING, VersionTime: STRING, Deviation: ARRAY<STRING>
+"""
+DEVIATION = """
+MessageType: STRING, MessageTypeValue: STRING, MessageCode: STRING, MessageCodeValue: STRING,
+SeverityCode: STRING, StartTime: STRING, EndTime: STRING, Suspended: STRING,
+Geometry: STRUCT<Point: STRUCT<WGS84: STRING>>
 """
 
-FORECAST_PAYLOAD = """
-approvedTime: STRING, referenceTime: STRING,
-timeSeries: ARRAY<STRUCT<validTime: STRING,
-                        parameters: ARRAY<STRUCT<name: STRING, values: ARRAY<STRING>>>>>
+FROST_ITEM = f"""
+Measurepoint: {_POINT}, FrostDepth: STRUCT<Sample: STRING, Temperature: ARRAY<STRING>>
 """
+READING = "SensorName: STRING, Depth: STRING, Value: STRING"
+
+FORECAST_PAYLOAD = "approvedTime: STRING, referenceTime: STRING, timeSeries: ARRAY<STRING>"
+STEP = "validTime: STRING, parameters: ARRAY<STRING>"
+PARAMETER = "name: STRING, values: ARRAY<STRING>"
+
+# The way down a payload: field names, and whether a field holds an array of objects.
+_RESULTS = (("RESPONSE", False), ("RESULT", True))
+WEATHER_SHAPE = (*_RESULTS, ("WeatherObservation", True))
+SITUATION_SHAPE = (*_RESULTS, ("Situation", True), ("Deviation", True))
+FROST_SHAPE = (*_RESULTS, ("FrostDepthObservation", True), ("FrostDepth", False), ("Temperature", True))
+FORECAST_SHAPE = (("timeSeries", True), ("parameters", True))
 
 LOCATION_ENTRIES = """
 MAP<STRING, STRUCT<id: STRING, name: STRING, road: STRING, latitude: DOUBLE, longitude: DOUBLE,

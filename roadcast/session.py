@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,17 +15,19 @@ PARTITION_BYTES = 256 << 20
 MIN_PARTITIONS, MAX_PARTITIONS = 200, 50_000
 
 
-def shuffle_partitions(shuffle_bytes: int) -> int:
+def shuffle_partitions(shuffle_bytes: int, most: int = MAX_PARTITIONS) -> int:
     """Partitions for shuffles of up to that size. Too many do little harm, as adaptive
-    execution merges small ones; too few cannot be split again."""
+    execution merges small ones; too few cannot be split again. Raise ``most`` for
+    shuffles of more than ``most * PARTITION_BYTES`` where partitions must stay small."""
     wanted = -(-shuffle_bytes // PARTITION_BYTES)
-    return max(MIN_PARTITIONS, min(MAX_PARTITIONS, wanted))
+    return max(MIN_PARTITIONS, min(most, wanted))
 
 
 def build_session(
     app: str = "roadcast",
     master: str | None = None,
     shuffle_bytes: int | None = None,
+    most_partitions: int = MAX_PARTITIONS,
     **conf: str,
 ) -> SparkSession:
     """A session with the settings every job here relies on.
@@ -46,7 +47,9 @@ def build_session(
         "spark.ui.enabled": "false",
     }
     if shuffle_bytes is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes))
+        settings["spark.sql.shuffle.partitions"] = str(
+            shuffle_partitions(shuffle_bytes, most_partitions)
+        )
         settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(PARTITION_BYTES)
     settings.update(conf)
     for key, value in settings.items():
@@ -64,19 +67,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in
-    ``spark.checkpoint.dir``.
-
-    Only a local session may go without: it gets a temporary folder. On a
-    cluster a machine-local folder would be lost with its machine, so a missing
-    setting is an error there.
-    """
+    ``spark.checkpoint.dir``; where that is unset, one in the warehouse, which any
+    session's executors reach and any later process finds again."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="roadcast-")
+    fallback = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_roadcast-shared")
     context.setCheckpointDir(fallback)
     return fallback
 
@@ -112,6 +109,31 @@ def write_note(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def create_note(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a line of text into a file that must not be there yet; whether it was not.
+    The file system lets one of several callers win."""
+    from py4j.protocol import Py4JJavaError
+
+    files, target = _file_system(spark, path)
+    try:
+        out = files.create(target, False)
+    except Py4JJavaError:
+        if files.exists(target):
+            return False
+        raise
+    out.write(text.encode())
+    out.close()
+    return True
+
+
+def modified(spark: SparkSession, path: str) -> float | None:
+    """When a file was last written, in seconds since 1970, or None without it."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return None
+    return files.getFileStatus(target).getModificationTime() / 1000
+
+
 def read_note(spark: SparkSession, path: str) -> str | None:
     """The text of a note, or None when there is none or its writing did not finish."""
     if not path_exists(spark, path):

@@ -1,7 +1,8 @@
 """Nested payloads to flat rows.
 
 Each extractor takes a landed frame (see ``landing``) and explodes its arrays. A body
-that is not one JSON object yields no rows. ``_seq`` keeps a row's place within its
+that is not one JSON object yields no rows, nor does an item that is no object; the
+quarantine lists both. ``_seq`` keeps a row's place within its
 payload; together with ``ingested_at`` and ``payload_id`` it gives "the last one wins" a
 total order that survives shuffles.
 """
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadcast import schemas
 from roadcast.functions.clean import number_from_text, utc_from_text, whole_from_text
-from roadcast.functions.payload import with_object
+from roadcast.functions.payload import looks_like_object, with_object
 from roadcast.operators.joins import dimension_join
 
 ORDER = ("ingested_at", "payload_id", "_seq")
@@ -33,30 +34,35 @@ def _explode(df: DataFrame, array: str, item: str, place: str) -> DataFrame:
     return exploded.where(F.col(place).isNotNull())
 
 
+def _items(df: DataFrame, array: str, schema: str, item: str, place: str) -> DataFrame:
+    """Explode an array of texts into its objects, parsed by ``schema``."""
+    texts = _explode(df, array, "_text", place).where(looks_like_object(F.col("_text")))
+    return texts.withColumn(item, F.from_json("_text", f"STRUCT<{schema.strip()}>")).drop("_text")
+
+
 def _place(*positions: str) -> Column:
-    """Positions of up to three nested arrays as one number that sorts the same
-    way; 21 bits each, so two million items per array."""
-    place = F.lit(0).cast("bigint")
+    """Positions of up to three nested arrays as one number that sorts the same way,
+    whatever the arrays' sizes: 31 bits each, as no array has more items."""
+    place = F.lit(0).cast("decimal(38,0)")
     for name in positions:
-        place = F.shiftleft(place, 21) + F.col(name).cast("bigint")
+        place = (place * (1 << 31) + F.col(name)).cast("decimal(38,0)")
     return place.alias("_seq")
 
 
-def _results(landed: DataFrame, schema: str) -> DataFrame:
-    parsed = with_object(landed, schema).drop("body")
-    return _explode(parsed, "_doc.RESPONSE.RESULT", "_result", "_r").drop("_doc")
+def _results(landed: DataFrame, field: str) -> DataFrame:
+    parsed = with_object(landed, schemas.RESPONSE).drop("body")
+    found = _items(parsed, "_doc.RESPONSE.RESULT", f"{field}: ARRAY<STRING>", "_result", "_r")
+    return found.drop("_doc")
 
 
 def _weather_items(landed: DataFrame) -> DataFrame:
-    return _explode(
-        _results(landed, schemas.WEATHER_PAYLOAD), "_result.WeatherObservation", "_item", "_o"
-    )
+    results = _results(landed, "WeatherObservation")
+    return _items(results, "_result.WeatherObservation", schemas.WEATHER_ITEM, "_item", "_o")
 
 
 def _frost_items(landed: DataFrame) -> DataFrame:
-    return _explode(
-        _results(landed, schemas.FROST_PAYLOAD), "_result.FrostDepthObservation", "_item", "_o"
-    )
+    results = _results(landed, "FrostDepthObservation")
+    return _items(results, "_result.FrostDepthObservation", schemas.FROST_ITEM, "_item", "_o")
 
 
 def weather_observations(landed: DataFrame) -> DataFrame:
@@ -84,10 +90,9 @@ def weather_observations(landed: DataFrame) -> DataFrame:
 
 def situations(landed: DataFrame) -> DataFrame:
     """One row per deviation of each situation version."""
-    items = _explode(
-        _results(landed, schemas.SITUATION_PAYLOAD), "_result.Situation", "_item", "_s"
-    )
-    parts = _explode(items, "_item.Deviation", "_part", "_d")
+    results = _results(landed, "Situation")
+    items = _items(results, "_result.Situation", schemas.SITUATION_ITEM, "_item", "_s")
+    parts = _items(items, "_item.Deviation", schemas.DEVIATION, "_part", "_d")
     return parts.select(
         F.col("_item.Id").alias("situation_id"),
         utc_from_text(F.col("_item.PublicationTime")).alias("publication_time"),
@@ -110,7 +115,7 @@ def situations(landed: DataFrame) -> DataFrame:
 def frost_depths(landed: DataFrame) -> DataFrame:
     """One row per sensor reading."""
     items = _frost_items(landed).where(~_fractional_id(F.col("_item.Measurepoint.Id")))
-    parts = _explode(items, "_item.FrostDepth.Temperature", "_part", "_t")
+    parts = _items(items, "_item.FrostDepth.Temperature", schemas.READING, "_part", "_t")
     return parts.select(
         whole_from_text(F.col("_item.Measurepoint.Id")).alias("measurepoint_id"),
         F.col("_item.Measurepoint.Name").alias("measurepoint_name"),
@@ -146,23 +151,32 @@ def point_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
         F.col("longitude").alias("lon"),
         F.col("tv_measurepoint_id").alias("measurepoint_id"),
     )
-    parsed = with_object(landed, schemas.FORECAST_PAYLOAD).drop("body")
+    # Joined before anything is parsed: what is not asked for costs nothing further.
+    asked = dimension_join(landed, places, ["location_id"], "inner")
+    parsed = with_object(asked, schemas.FORECAST_PAYLOAD).drop("body")
     # The first field that is not empty is taken, and only then parsed: an
     # unreadable first field gives the ingest time, not the second field.
     raw_run = F.coalesce(
         F.nullif(F.col("_doc.approvedTime"), F.lit("")),
         F.nullif(F.col("_doc.referenceTime"), F.lit("")),
     )
-    steps = _explode(
+    steps = _items(
         parsed.withColumn(
             "forecast_run_time", F.coalesce(utc_from_text(raw_run), F.col("ingested_at"))
         ),
         "_doc.timeSeries",
+        schemas.STEP,
         "_step",
         "_t",
     ).drop("_doc")
-    rows = steps.select(
-        "location_id",
+    named = steps.withColumn(
+        "_parameters",
+        F.transform("_step.parameters", lambda p: F.from_json(p, f"STRUCT<{schemas.PARAMETER}>")),
+    )
+    return named.select(
+        "measurepoint_id",
+        "lat",
+        "lon",
         "forecast_run_time",
         utc_from_text(F.col("_step.validTime")).alias("valid_time"),
         _parameter("t").alias("t_air_c"),
@@ -173,17 +187,10 @@ def point_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
         "payload_id",
         _place("_t"),
     )
-    placed = dimension_join(rows, places, ["location_id"], "inner")
-    return placed.select(
-        "measurepoint_id",
-        "lat",
-        "lon",
-        *[c for c in rows.columns if c != "location_id"],
-    )
 
 
 def _parameter(name: str) -> Column:
     """First value of the last parameter of that name; null when missing or empty."""
-    named = F.filter("_step.parameters", lambda p: p["name"] == name)
+    named = F.filter("_parameters", lambda p: p["name"] == name)
     last = F.try_element_at(named, F.lit(-1))
     return number_from_text(F.get(last["values"], F.lit(0)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from roadcast import schemas
 from roadcast.operators.joins import dimension_join
 from roadcast.sources.extract import point_forecasts
 from roadcast.sources.landing import answered, quarantined
@@ -16,20 +17,25 @@ def location_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
 
 
 def location_errors(landed: DataFrame, locations: DataFrame) -> DataFrame:
-    """One row ``(location_id, error)`` per rejected payload and per location that
-    has no identifier or no payload at all."""
-    bad_bodies = quarantined(landed).select("location_id", F.col("reject_reason").alias("error"))
+    """One row ``(location_id, error)`` per rejected payload or part of one, per location
+    that has no identifier or no payload at all, and per location with payloads that is
+    not among ``locations``."""
+    bad_bodies = quarantined(landed, schemas.FORECAST_SHAPE).select("location_id", F.col("reject_reason").alias("error"))
     unnumbered = locations.where(F.col("tv_measurepoint_id").isNull()).select(
         F.col("id").alias("location_id"), F.lit("no measurement point identifier").alias("error")
     )
+    landed_for = landed.select("location_id").distinct()
     numbered = locations.where(F.col("tv_measurepoint_id").isNotNull())
     silent = (
         numbered.select(F.col("id").alias("location_id"))
-        .join(landed.select("location_id").distinct(), "location_id", "left_anti")
+        .join(landed_for, "location_id", "left_anti")
         .withColumn("error", F.lit("no payload"))
     )
+    unknown = landed_for.join(
+        locations.select(F.col("id").alias("location_id")), "location_id", "left_anti"
+    ).withColumn("error", F.lit("unknown location"))
     # Only payloads of numbered locations are asked for, so only theirs can fail.
     asked = dimension_join(
         bad_bodies, numbered.select(F.col("id").alias("location_id")), ["location_id"], "left_semi"
     )
-    return asked.unionByName(unnumbered).unionByName(silent)
+    return asked.unionByName(unnumbered).unionByName(silent).unionByName(unknown)

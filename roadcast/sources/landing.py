@@ -7,11 +7,11 @@ A landed frame has one payload per row: ``body`` (whole text), ``payload_id`` an
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
 
-from roadcast.functions.payload import is_object
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-BODY_HEAD = 1000
+from roadcast.functions.payload import is_object, shape_faults
 
 
 def read_landing(spark: SparkSession, path: str, *, json_lines: bool = False) -> DataFrame:
@@ -74,11 +74,13 @@ def with_verdict(landed: DataFrame) -> DataFrame:
     return landed.withColumn("reject_reason", reason)
 
 
-def quarantined(landed: DataFrame) -> DataFrame:
-    """Rejected payloads with the head of their body, for the quarantine table."""
+def quarantined(landed: DataFrame, shape: Sequence[tuple[str, bool]] = ()) -> DataFrame:
+    """Rejected payloads and, of others, the parts that are not of the ``shape`` (see
+    ``shape_faults``), each with its whole text as ``body``, for the quarantine table."""
     kept = [c for c in landed.columns if c != "body"]
-    return (
-        with_verdict(landed)
-        .where(F.col("reject_reason").isNotNull())
-        .select(*kept, "reject_reason", F.substring("body", 1, BODY_HEAD).alias("body_head"))
+    whole = F.struct(F.col("reject_reason").alias("reason"), F.col("body").alias("body"))
+    faults = F.when(F.col("reject_reason").isNotNull(), F.array(whole)).otherwise(
+        shape_faults(F.col("body"), shape)
     )
+    judged = with_verdict(landed).select(*kept, F.explode(faults).alias("_fault"))
+    return judged.select(*kept, F.col("_fault.reason").alias("reject_reason"), "_fault.body")

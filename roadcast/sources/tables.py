@@ -2,13 +2,19 @@
 
 Tables are partitioned Parquet in the session's catalog. Each primary key contains
 the event time, so an upsert only ever rewrites the event dates it brings.
+
+Which row of a key stays: where the table records ``ingested_at``, the one ingested last,
+so that a payload that comes late does not overwrite a newer one; of rows ingested at the
+same time, and in tables without that column, the one written last.
 """
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import os
-from collections.abc import Sequence
+import time
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +23,8 @@ from roadcast.operators.dedup import input_order, keep_last
 from roadcast.operators.joins import same_keys
 from roadcast.schemas import TableSpec
 from roadcast.session import (
+    create_note,
+    modified,
     path_exists,
     read_note,
     remove_path,
@@ -25,8 +33,9 @@ from roadcast.session import (
     write_note,
 )
 
-# Above this many dates the target is pruned to their range instead of a list.
-LISTED_DATES = 1000
+INGESTED = "ingested_at"
+# A writer that holds a table for longer is taken to be gone.
+LOCK_HOURS = 24
 
 
 def ensure_table(spark: SparkSession, spec: TableSpec, *, location: str | None = None) -> str:
@@ -69,11 +78,6 @@ def read_table(spark: SparkSession, spec: TableSpec, *, with_date: bool = False)
     return df if with_date else df.drop("event_date")
 
 
-def first_rows(df: DataFrame, keys: Sequence[str], max_rows: int | None) -> DataFrame:
-    """At most ``max_rows`` rows by key, so a capped read repeats; no cap for None."""
-    return df if max_rows is None else df.orderBy(*keys).limit(max_rows)
-
-
 def align_to_table(
     spark: SparkSession,
     df: DataFrame,
@@ -108,15 +112,28 @@ def _utc_date(time: Column) -> Column:
 
 
 def merged(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Existing rows whose key is not among the incoming ones, and the incoming
-    rows. ``incoming`` must hold one row per key.
+    """The row of each key that stays, of the existing and the incoming ones; both must
+    hold one row per key.
 
-    An anti-join rather than a dedup of both together: the existing rows are not
-    sorted, and when the incoming keys are few they are not shuffled either.
+    Anti-joins rather than a dedup of both together: the existing rows are not sorted,
+    and when the incoming keys are few they are not shuffled either.
     """
-    new_keys = incoming.select(*[F.col(k).alias(k) for k in keys])
-    kept = existing.join(new_keys, same_keys(existing, new_keys, list(keys)), "left_anti")
-    return kept.unionByName(incoming)
+    keys = list(keys)
+    if INGESTED not in existing.columns or INGESTED not in incoming.columns:
+        new_keys = incoming.select(*keys)
+        kept = existing.join(new_keys, same_keys(existing, new_keys, keys), "left_anti")
+        return kept.unionByName(incoming)
+    new, old = (df.select(*keys, F.col(INGESTED).alias("_other")) for df in (incoming, existing))
+    # A row without the time counts as older than any other.
+    later = existing[INGESTED].isNotNull() & (
+        new["_other"].isNull() | (existing[INGESTED] > new["_other"])
+    )
+    kept = existing.join(new, same_keys(existing, new, keys) & ~later, "left_anti")
+    late = old["_other"].isNotNull() & (
+        incoming[INGESTED].isNull() | (incoming[INGESTED] < old["_other"])
+    )
+    fresh = incoming.join(old, same_keys(incoming, old, keys) & late, "left_anti")
+    return kept.unionByName(fresh)
 
 
 def upsert(
@@ -127,59 +144,91 @@ def upsert(
     dedup_keys: Sequence[str] | None = None,
     order: Sequence[str] | None = None,
 ) -> int:
-    """Insert rows, the newest write winning per key; returns the number of rows
-    after the dedup of ``df`` (on the primary key unless told otherwise). An empty
-    ``order`` says that ``df`` holds one row per key already.
+    """Insert rows, one staying per key (see above); returns the number of rows after
+    the dedup of ``df`` (on the primary key unless told otherwise). An empty ``order``
+    says that ``df`` holds one row per key already.
 
     The new content of the affected dates is first written in full to the shared
     folder and noted there, then swapped in, then the note is removed. A failure
     before the note leaves the table as it was; a failure after it is made good by
     the next upsert, or ``finish_pending``, which repeats the swap from the copy.
-    One writer per table at a time.
+    A second writer is refused while one is at work.
     """
-    finish_pending(spark, spec)
     keys = list(dedup_keys or spec.primary_key)
     if order is None:
         order = input_order(df)
         if not order:
             raise ValueError("upsert needs columns that order the rows, or order=()")
-    latest = as_stored(keep_last(df, keys, order) if order else df, spec)
-    incoming_path = scratch_path(spark, f"{spec.table}-incoming")
-    # Written once, as it is read three times below and may be costly to derive.
-    latest.write.parquet(incoming_path)
-    incoming = spark.read.schema(latest.schema).parquet(incoming_path)
-    count = incoming.count()
-    if count:
-        target = _affected(spark, spec, incoming)
-        staged = incoming_path
-        if not target.isEmpty():
-            staged = scratch_path(spark, f"{spec.table}-staged")
-            merged(target, incoming, spec.primary_key).write.parquet(staged)
-        write_note(spark, note_path(spark, spec), staged)
+    with _sole_writer(spark, spec):
         finish_pending(spark, spec)
-    remove_path(spark, incoming_path)
+        latest = as_stored(keep_last(df, keys, order) if order else df, spec)
+        incoming_path = scratch_path(spark, f"{spec.table}-incoming")
+        staged = scratch_path(spark, f"{spec.table}-staged")
+        noted = False
+        try:
+            # Written once, as it is read three times below and may be costly to derive.
+            latest.write.parquet(incoming_path)
+            incoming = spark.read.schema(latest.schema).parquet(incoming_path)
+            count = incoming.count()
+            if count:
+                target = _affected(spark, spec, incoming)
+                if target.isEmpty():
+                    staged = incoming_path
+                else:
+                    merged(target, incoming, spec.primary_key).write.parquet(staged)
+                write_note(spark, note_path(spark, spec), staged)
+                noted = True
+                finish_pending(spark, spec)
+        finally:
+            # A copy that is noted belongs to whoever finishes the swap.
+            for path in {incoming_path, staged} - ({staged} if noted else set()):
+                remove_path(spark, path)
     return count
 
 
 def _affected(spark: SparkSession, spec: TableSpec, incoming: DataFrame) -> DataFrame:
-    """The stored rows of the event dates that ``incoming`` touches. The dates are
-    listed on the driver: one value per day, never more than the days in the data."""
+    """The stored rows of exactly the event dates that ``incoming`` touches, whatever
+    their number. They are listed on the driver, one value per day in the data, so that
+    only their partitions are read."""
     dates = [r.event_date for r in incoming.select("event_date").distinct().collect()]
     days = sorted(d for d in dates if d is not None)
     date = F.col("event_date")
     hit = date.isNull() if None in dates else F.lit(False)
-    if days and len(days) <= LISTED_DATES:
+    if days:
         hit = hit | date.isin(*days)
-    elif days:
-        hit = hit | date.between(days[0], days[-1])
     return read_table(spark, spec, with_date=True).where(hit)
 
 
+@contextlib.contextmanager
+def _sole_writer(spark: SparkSession, spec: TableSpec) -> Iterator[None]:
+    """Hold the table's lock, a note that only one writer can create. One left by a
+    writer that is gone is taken over after ``LOCK_HOURS``, or removed by ``unlock``."""
+    lock = note_path(spark, spec) + ".lock"
+    since = modified(spark, lock)
+    if since is not None and time.time() - since > LOCK_HOURS * 3600:
+        remove_path(spark, lock)
+    if not create_note(spark, lock, spark.sparkContext.applicationId):
+        raise RuntimeError(f"{spec.table} is being written by {read_note(spark, lock)}")
+    try:
+        yield
+    finally:
+        remove_path(spark, lock)
+
+
+def unlock(spark: SparkSession, spec: TableSpec) -> None:
+    """Remove the lock of a writer known to be gone."""
+    remove_path(spark, note_path(spark, spec) + ".lock")
+
+
+def table_location(spark: SparkSession, spec: TableSpec) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {spec.table}").where("col_name = 'Location'")
+    return details.first().data_type
+
+
 def note_path(spark: SparkSession, spec: TableSpec) -> str:
     """Where a pending swap of the table is noted: a name made from the table's
     location, so that a later process finds it whatever catalog it uses."""
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {spec.table}").where("col_name = 'Location'")
-    place = hashlib.sha256(details.first().data_type.encode()).hexdigest()[:16]
+    place = hashlib.sha256(table_location(spark, spec).encode()).hexdigest()[:16]
     return os.path.join(shared_dir(spark), "roadcast-pending", f"{spec.table}-{place}")
 
 
@@ -191,19 +240,15 @@ def finish_pending(spark: SparkSession, spec: TableSpec) -> bool:
         return False
     table = spark.table(spec.table)
     fresh = spark.read.schema(table.schema).parquet(staged).select(*table.columns)
-    # Replace only the partitions that come; a catalog insert takes this from the
-    # session, not from the writer. Rebalancing gives even files even when one date
-    # holds most of the rows; sorted by key they compress and prune better.
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        even = fresh.hint("rebalance", "event_date")
-        even.sortWithinPartitions("event_date", *spec.primary_key).write.mode(
-            "overwrite"
-        ).insertInto(spec.table)
-    finally:
-        spark.conf.set(mode, before)
+    # Replace only the partitions that come, which the write itself is told: a setting of
+    # the session would reach other writes meanwhile. Rebalancing gives even files even
+    # when one date holds most of the rows; sorted by key they compress and prune better.
+    even = fresh.hint("rebalance", "event_date")
+    writer = even.sortWithinPartitions("event_date", *spec.primary_key).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("event_date")
+    writer.parquet(table_location(spark, spec))
+    spark.catalog.recoverPartitions(spec.table)
+    spark.catalog.refreshTable(spec.table)
     # The note goes first: a half-removed copy must never be swapped in again.
     remove_path(spark, note)
     remove_path(spark, staged)

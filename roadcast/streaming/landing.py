@@ -1,7 +1,8 @@
 """Landed files to keyed tables as they arrive.
 
-No state is kept: the upsert is by key, so a late or repeated payload simply
-replaces what it is newer than, and a batch replayed after a failure changes nothing.
+No state is kept: the upsert is by key and ingest time, so a late or repeated payload
+replaces what it is newer than and nothing else, and a batch replayed after a failure
+changes nothing.
 """
 
 from __future__ import annotations
@@ -35,10 +36,12 @@ def stream_to_table(
     json_lines: bool = False,
     location: str | None = None,
     quarantine: str | None = None,
+    shape: tuple = (),
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start a query that flattens each batch and upserts it. ``checkpoint`` keeps
-    the stream's progress; rejected payloads are appended to ``quarantine``."""
+    the stream's progress; rejected payloads, and parts of
+    others that are not of the ``shape``, are appended to ``quarantine``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -47,7 +50,7 @@ def stream_to_table(
         upsert(spark, spec, extract(answered(batch)))
         if quarantine:
             # One folder per batch, so a replayed batch replaces its own rows.
-            quarantined(batch).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+            quarantined(batch, shape).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
 
     return (
         landed.writeStream.foreachBatch(write)

@@ -101,6 +101,9 @@ BODIES = {
     "left over": '{"a": 1} x',
     "two": '{"a": 1}{"b": 2}',
     "listed": '{"a": 1},{"b": 2}',
+    "closed early": '{"a": 1}] trailing junk',
+    "two lists": '{"a": 1}],[{"b": 2}',
+    "marked": '{"a": 1},{"__end": "1"}',
     "array": '[{"a": 1}]',
     "number": "1",
     "null": "null",
@@ -126,7 +129,7 @@ def test_verdict_head_and_response(spark):
     assert answered(df).count() == 2
     rows = quarantined(df).collect()
     assert sorted(r.reject_reason for r in rows) == ["content type is not JSON", "error status", "not JSON"]
-    assert max(len(r.body_head) for r in rows) == 1000
+    assert max(len(r.body) for r in rows) == 3000
 
 
 def test_bad_bodies_yield_no_rows(spark):
@@ -134,6 +137,51 @@ def test_bad_bodies_yield_no_rows(spark):
     assert extract.weather_observations(landed(spark, *bad)).count() == 0
 
 
+def faults(spark, shape, *bodies):
+    rows = quarantined(landed(spark, *bodies), shape).orderBy("payload_id", "reject_reason").collect()
+    return [(r.payload_id, r.reject_reason, r.body) for r in rows]
+
+
+def test_good_items_beside_bad_ones(spark):
+    item = json.loads(WEATHER)["RESPONSE"]["RESULT"][0]["WeatherObservation"][0]
+    mixed = {"RESPONSE": {"RESULT": ["x", {"WeatherObservation": [1, item, None, "bad", item]}, {}, None]}}
+    body = json.dumps(mixed)
+    rows = extract.weather_observations(landed(spark, body)).orderBy("_seq").collect()
+    assert [r.measurepoint_id for r in rows] == [243, 243]
+    assert [int(r._seq) for r in rows] == [(1 << 31) + 1, (1 << 31) + 4]
+    found = faults(spark, schemas.WEATHER_SHAPE, body)
+    assert sorted(r[1:] for r in found) == sorted(
+        [("an item of RESULT is not an object", "x"), ("an item of RESULT is not an object", "null")]
+        + [("an item of WeatherObservation is not an object", b) for b in ("1", "null", "bad")]
+    )
+
+
+def test_mistyped_fields_are_faults_and_absent_ones_are_not(spark):
+    bodies = ['{"RESPONSE": "oops"}', '{"RESPONSE": {"RESULT": {"a": 1}}}', "{}", '{"RESPONSE": null}',
+              '{"RESPONSE": {"RESULT": []}}', '{"RESPONSE": {"RESULT": [{"Situation": 5}]}}',
+              '{"RESPONSE": {"RESULT": [{"Situation": [{"Deviation": "x"}, {"Deviation": [3]}]}]}}']
+    assert faults(spark, schemas.SITUATION_SHAPE, *bodies) == [
+        ("p0", "RESPONSE is not an object", "oops"),
+        ("p1", "RESULT is not an array", '{"a":1}'),
+        ("p5", "Situation is not an array", "5"),
+        ("p6", "Deviation is not an array", "x"),
+        ("p6", "an item of Deviation is not an object", "3"),
+    ]
+    assert extract.situations(landed(spark, *bodies)).count() == 0
+    assert faults(spark, schemas.FORECAST_SHAPE, FORECAST, '{"timeSeries": [{"parameters": {}}, 2]}') == [
+        ("p1", "an item of timeSeries is not an object", "2"), ("p1", "parameters is not an array", "{}")
+    ]
+    assert faults(spark, schemas.FROST_SHAPE, FROST, FROST.replace('"FrostDepth":{', '"FrostDepth":7,"x":{')) == [
+        ("p1", "FrostDepth is not an object", "7")
+    ]
+
+
+def test_places_in_large_arrays_keep_their_order(spark):
+    rows = spark.createDataFrame([(0, 1 << 21), (1, 0), (0, (1 << 31) - 1)], "a INT, b INT")
+    placed = rows.select("a", "b", extract._place("a", "b", "b")).orderBy("_seq").collect()
+    assert [(r.a, r.b) for r in placed] == [(0, 1 << 21), (0, (1 << 31) - 1), (1, 0)]
+
+
 def test_landing_folder(spark, tmp_path):
     for name, body in (("MP001", FORECAST), ("MP002", "<html>"), ("MP009", FORECAST)):
         folder = tmp_path / "fc" / f"location_id={name}"
@@ -143,7 +191,7 @@ def test_landing_folder(spark, tmp_path):
     places = default_locations(spark).where("id in ('MP001', 'MP002', 'MP003')")
     assert {r.measurepoint_id for r in location_forecasts(df, places).collect()} == {243}
     errors = {(r.location_id, r.error) for r in location_errors(df, places).collect()}
-    assert errors == {("MP002", "not JSON"), ("MP003", "no payload")}
+    assert errors == {("MP002", "not JSON"), ("MP003", "no payload"), ("MP009", "unknown location")}
 
 
 def test_lines_keep_file_order(spark, tmp_path):

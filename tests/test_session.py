@@ -34,8 +34,8 @@ class _Unset:
         self.master = master
         self.folder = None
 
-    def get(self, _key, default=None):
-        return default
+    def get(self, key, default=None):
+        return "/warehouse" if key == "spark.sql.warehouse.dir" else default
 
     def getCheckpointDir(self):
         return self.folder
@@ -44,18 +44,16 @@ class _Unset:
         self.folder = folder
 
 
-def test_only_a_local_session_may_go_without():
-    local = _Unset("local[2]")
-    assert shared_dir(local) == local.folder
-    assert shared_dir(local) == local.folder
-    with pytest.raises(ValueError):
-        shared_dir(_Unset("yarn"))
+def test_without_a_setting_the_warehouse_is_shared():
+    session = _Unset("yarn")
+    assert shared_dir(session) == session.folder == "/warehouse/_roadcast-shared"
+    assert shared_dir(session) == session.folder
 
 
 def test_command_line():
     args = command._parser().parse_args(
-        ["--shuffle-gb", "10", "backfill", "--landing", "in", "--max-rows", "5"]
+        ["--shuffle-gb", "10", "backfill", "--landing", "in"]
     )
-    assert (args.job, args.landing, args.max_rows, args.shuffle_gb) == ("backfill", "in", 5, 10)
+    assert (args.job, args.landing, args.shuffle_gb) == ("backfill", "in", 10)
     assert command._now("2024-01-02T03:04").hour == 3
     assert command._now(None).tzinfo is None

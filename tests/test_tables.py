@@ -16,10 +16,11 @@ from roadcast.sources.tables import (
     align_to_table,
     ensure_table,
     finish_pending,
-    first_rows,
+    merged,
     read_table,
     table_columns,
     table_properties,
+    unlock,
     upsert,
     write_csv,
 )
@@ -97,11 +98,45 @@ def test_untouched_dates_are_not_rewritten(spark, spec):
     assert len(stored(spark, spec)) == 3
 
 
-def test_many_dates_are_pruned_by_range(spark, spec, monkeypatch):
-    monkeypatch.setattr(tables, "LISTED_DATES", 1)
-    upsert(spark, spec, readings(spark, *[(1, d, 10.0, 0.1, d) for d in (1, 2, 3)]))
-    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.5, 0), (1, 3, 10.0, 0.6, 1), (None, None, 2.0, 0.0, 2)))
-    assert stored(spark, spec) == [(1, 1, 10.0, 0.5), (1, 2, 10.0, 0.1), (1, 3, 10.0, 0.6), (None, None, 2.0, 0.0)]
+def test_dates_between_those_that_come_are_not_rewritten(spark, spec):
+    """However many dates come, only theirs are replaced."""
+    day = "date_add(date'2000-01-01', cast(2 * id + {} as int))"
+    rows = lambda first, n: spark.range(n).selectExpr(
+        "1L as measurepoint_id", f"cast({day.format(first)} as timestamp) as sample_time",
+        "10D as depth_cm", "0D as temp_c", "id as _seq",
+    )
+    upsert(spark, spec, rows(1, 3))
+    before = set(spark.table(spec.table).inputFiles())
+    upsert(spark, spec, rows(0, 1100))
+    assert before <= set(spark.table(spec.table).inputFiles())
+    assert read_table(spark, spec).count() == 1103
+
+
+def test_a_late_payload_does_not_overwrite_a_newer_one(spark):
+    def frame(*rows):
+        return spark.createDataFrame(rows, "k INT, ingested_at STRING, v STRING")
+
+    stored = frame((1, "2", "old"), (2, "2", "old"), (3, "2", "old"), (4, None, "old"), (5, "2", "old"), (6, None, "old"))
+    come = frame((1, "1", "new"), (2, "2", "new"), (3, "3", "new"), (4, "1", "new"), (5, None, "new"), (6, None, "new"), (7, "1", "new"))
+    found = {r.k: r.v for r in merged(stored, come, ["k"]).collect()}
+    assert found == {1: "old", 2: "new", 3: "new", 4: "new", 5: "old", 6: "new", 7: "new"}
+    plain = merged(stored.drop("ingested_at"), come.drop("ingested_at"), ["k"]).collect()
+    assert {r.v for r in plain} == {"new"} and len(plain) == 7
+
+
+def test_a_second_writer_is_refused(spark, spec, monkeypatch):
+    rows = readings(spark, (1, 1, 10.0, 0.1, 0))
+    upsert(spark, spec, rows)
+    with tables._sole_writer(spark, spec):
+        with pytest.raises(RuntimeError, match="being written"):
+            upsert(spark, spec, rows)
+        monkeypatch.setattr(tables, "LOCK_HOURS", -1)  # as if the writer were long gone
+        assert upsert(spark, spec, rows) == 1
+    monkeypatch.undo()
+    tables.create_note(spark, tables.note_path(spark, spec) + ".lock", "dead")
+    unlock(spark, spec)
+    assert upsert(spark, spec, rows) == 1
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
 def test_failed_write_leaves_the_table(spark, spec):
@@ -152,12 +187,6 @@ def test_align(spark, spec):
     assert align_to_table(spark, df, unknown) == (df, [])
 
 
-def test_row_cap(spark):
-    df = spark.range(10).select((10 - F.col("id")).alias("k"))
-    assert [r.k for r in first_rows(df, ["k"], 3).collect()] == [1, 2, 3]
-    assert first_rows(df, ["k"], None) is df
-
-
 def test_csv_has_a_header(spark, tmp_path):
     write_csv(spark.createDataFrame([(1, "a")], "n INT, s STRING"), str(tmp_path / "out"))
     texts = {p.read_text() for p in (tmp_path / "out").glob("*.csv")}
@@ -184,6 +213,30 @@ def test_refresh_goes_on_after_a_failure(spark, spec):
         refresh(spark, [replace(nothing, errors=lambda: complaint)])
 
 
+def test_no_step_of_a_feed_stops_the_others(spark, spec):
+    def silent():
+        raise ValueError
+
+    def unreadable():
+        return spark.range(1).select(F.raise_error(F.lit("cannot be read")).alias("error"))
+
+    fine = lambda name, day, **more: Feed(
+        name, replace(spec, name=f"{spec.name}_{name}"), lambda: readings(spark, (1, day, 10.0, 0.1, 0)), **more
+    )
+    feeds = [
+        Feed("mute", replace(spec, name=spec.name + "_mute"), silent),
+        fine("a", 1, rejects=silent),
+        fine("b", 2, errors=unreadable),
+        fine("c", 3, rejects=unreadable, errors=silent),
+        fine("d", 4),
+    ]
+    report = refresh(spark, feeds, quarantine=scratch_path(spark, "quarantine")).collect()
+    assert {r.source: r["rows"] for r in report if r["rows"]} == {n: 1 for n in "abcd"}
+    failed = [(r.source, r.error) for r in report if r.error]
+    assert [(s, e) for s, e in failed if "cannot" not in e] == [("mute", "ValueError()"), ("a", "ValueError()"), ("c", "ValueError()")]
+    assert [s for s, e in failed if "cannot be read" in e] == ["b", "c"]
+
+
 def test_refresh_from_landing(spark, tmp_path):
     for name, body in (("w", WEATHER), ("f", FROST), ("x", "<html>")):
         (tmp_path / f"{name}.json").write_text(body)
@@ -197,7 +250,7 @@ def test_refresh_from_landing(spark, tmp_path):
         report = refresh(
             spark, feeds, align=True, location=scratch_path(spark, "refresh"), quarantine=bad
         )
-    rejected = {(r.reject_reason, r.body_head) for r in spark.read.parquet(f"{bad}/weather").collect()}
+    rejected = {(r.reject_reason, r.body) for r in spark.read.parquet(f"{bad}/weather").collect()}
     assert rejected == {("not JSON", "<html>"), ("identifier is not whole", "5.5")}
     assert spark.read.parquet(f"{bad}/weather").count() == 2
     rows = sorted(((r.source, r["rows"], r.error) for r in report.collect()), key=repr)
