@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadcast.functions.clean import nan_to_null, whole_from_text
 from roadcast.functions.risk import HIGH_RISK, MEDIUM_RISK, severity
-from roadcast.operators.joins import dimension_join, skewproof_join
+from roadcast.operators.joins import dimension_join
 
 # --- Fixed values: names a point, its time and its score may go by, first match wins
 KEY_NAMES = ("measurepoint_id", "road_name", "name", "measurepoint_name", "location")
@@ -25,12 +25,13 @@ def _first_present(df: DataFrame, names: tuple[str, ...]) -> str | None:
     return next((n for n in names if n in df.columns), None)
 
 
-def latest_run(predictions: DataFrame) -> DataFrame:
-    """Rows of the newest run over all points. A point without that run has no
-    rows; when no row has a run time, all stay."""
+def latest_run(predictions: DataFrame, newest: Column | None = None) -> DataFrame:
+    """Rows of the newest run over all points, or of the run at ``newest`` where it is
+    known. A point without that run has no rows; when no row has a run time, all stay."""
     if "forecast_run_time" not in predictions.columns:
         return predictions
-    newest = predictions.select(F.max("forecast_run_time")).scalar()
+    if newest is None:
+        newest = predictions.select(F.max("forecast_run_time")).scalar()
     return predictions.where((F.col("forecast_run_time") == newest) | newest.isNull())
 
 
@@ -130,7 +131,7 @@ def timeline(predictions: DataFrame, point: int | None = None) -> DataFrame:
             & F.max(nan_to_null(F.col("risk_p90")).isNotNull())
         ).alias("has_band")
     )
-    flagged = skewproof_join(df, bands, ["measurepoint_id"], "inner")
+    flagged = dimension_join(df, bands, ["measurepoint_id"], "inner")
     by = ("measurepoint_id", "valid_time", "forecast_run_time", "horizon_hours")
     return flagged.orderBy(*[c for c in by if c in flagged.columns])
 

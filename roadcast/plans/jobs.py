@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadcast import schemas
 from roadcast.functions.times import HORIZON_WINDOW_HOURS, floor_hour
+from roadcast.operators.audit import attach_coverage, join_audit
 from roadcast.operators.dedup import keep_last
 from roadcast.operators.lag import with_lags
 from roadcast.operators.serving import (
@@ -136,13 +137,16 @@ def train(
     tables: str | None = None,
 ) -> dict[int, Ensemble]:
     """Train, evaluate and save an ensemble per horizon from the stored tables; none
-    when a table is missing or empty. Stored keys are unique, so no dedup is needed."""
+    when a table is missing or empty. Stored keys are unique, so no dedup is needed.
+    What the joins read and matched is appended to ``audit`` and ``coverage`` there."""
     use_utc(spark)
     forecasts = _stored(spark, schemas.POINT_FORECAST, tables)
     observations = _stored(spark, schemas.WEATHER_OBSERVATION, tables)
     if forecasts is None or observations is None or not has_rows(forecasts, observations):
         return {}
-    ensembles = train_all(training_dataset(forecasts, observations, unique_keys=True), settings)
+    join_audit(forecasts, observations).write.mode("append").parquet(f"{models}/audit")
+    dataset = training_dataset(forecasts, observations, unique_keys=True)
+    ensembles = train_all(dataset, settings, coverage=f"{models}/coverage")
     for horizon, ensemble in ensembles.items():
         save_ensemble(spark, ensemble, f"{models}/h{horizon}")
     if ensembles:
@@ -161,7 +165,8 @@ def score(
 ) -> DataFrame | None:
     """Score the stored forecasts of the coming 72 hours and store the predictions;
     returns high, medium and low counts, or None without models or forecasts.
-    ``lookback_days`` changes what is read, not the result."""
+    ``lookback_days`` changes what is read, not the result. What the join read and
+    matched is appended to ``scored-audit`` and ``scored-coverage`` beside the models."""
     use_utc(spark)
     ensembles = {
         h: load_ensemble(spark, f"{models}/h{h}")
@@ -180,17 +185,23 @@ def score(
     if observations is not None:
         features = features_to_score(coming, now)
         observations = reaching_back(features, observations, lookback_days)
-    rows = prediction_rows(coming, observations, now, unique_keys=True)
-    # Scored once; the write, the store and the counts all read this copy.
-    path = scratch_path(spark, "predictions")
-    predict(rows, ensembles).write.parquet(path)
-    predictions = spark.read.parquet(path)
-    place = f"{tables}/{schemas.PREDICTION.table}" if tables else None
-    store_predictions(spark, predictions, fallback_csv, location=place)
-    counts = risk_buckets(predictions)
-    summary = spark.createDataFrame(counts.collect(), counts.schema)
-    remove_path(spark, path)
-    return summary
+        join_audit(coming, observations).write.mode("append").parquet(f"{models}/scored-audit")
+    # Joined once and scored once: the horizons read the one copy, the store and the
+    # counts the other.
+    joined, path = scratch_path(spark, "rows-to-score"), scratch_path(spark, "predictions")
+    try:
+        prediction_rows(coming, observations, now, unique_keys=True).write.parquet(joined)
+        rows = spark.read.parquet(joined)
+        attach_coverage(rows).write.mode("append").parquet(f"{models}/scored-coverage")
+        predict(rows, ensembles).write.parquet(path)
+        predictions = spark.read.parquet(path)
+        place = f"{tables}/{schemas.PREDICTION.table}" if tables else None
+        store_predictions(spark, predictions, fallback_csv, location=place)
+        counts = risk_buckets(predictions)
+        return spark.createDataFrame(counts.collect(), counts.schema)
+    finally:
+        remove_path(spark, joined)
+        remove_path(spark, path)
 
 
 def serve(
@@ -205,10 +216,18 @@ def serve(
     recommendation list and the timelines. Empty when there are none."""
     use_utc(spark)
     places = _locations(spark, locations)
-    stored = _stored(spark, schemas.PREDICTION, tables)
+    stored = _stored(spark, schemas.PREDICTION, tables, with_date=True)
     if stored is None:
         return {}
-    current = at_horizon(current_predictions(stored, places, now), horizon)
+    # The newest run is that of all rows, found in one column; then only the dates that
+    # can be shown are read, however often.
+    newest = stored.select(F.max("forecast_run_time").alias("run"))
+    newest = newest.select(F.unix_micros("run").alias("micros")).first().micros
+    start = floor_hour(now)
+    end = start + dt.timedelta(hours=HORIZON_WINDOW_HOURS)
+    coming = stored.where(F.col("event_date").between(start.date(), end.date())).drop("event_date")
+    run = F.timestamp_micros(F.lit(newest).cast("bigint"))
+    current = at_horizon(current_predictions(coming, places, now, newest=run), horizon)
     return {
         "figures": key_figures(current),
         "map": map_points(current, places),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadcast.functions.clean import utc_timestamp
 from roadcast.functions.risk import risk_colour, risk_level
@@ -19,12 +19,18 @@ from roadcast.operators.serving import (
 )
 
 
-def current_predictions(predictions: DataFrame, locations: DataFrame, now: dt.datetime) -> DataFrame:
-    """Newest run, numeric identifiers, the coming 72 hours, all expected columns."""
+def current_predictions(
+    predictions: DataFrame,
+    locations: DataFrame,
+    now: dt.datetime,
+    newest: Column | None = None,
+) -> DataFrame:
+    """Newest run, numeric identifiers, the coming 72 hours, all expected columns.
+    ``newest`` is the time of that run where the caller knows it."""
     df = predictions
     if "forecast_run_time" in df.columns:
         df = df.withColumn("forecast_run_time", utc_timestamp(df, "forecast_run_time"))
-    df = numeric_ids(latest_run(df), locations)
+    df = numeric_ids(latest_run(df, newest), locations)
     df = df.withColumn("valid_time", utc_timestamp(df, "valid_time"))
     return repair_schema(in_valid_window(df, now))
 

@@ -3,33 +3,39 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadcast.functions.calibration import logit, platt
+from roadcast.operators.audit import attach_coverage
 from roadcast.operators.ensemble import ensemble_summary
 from roadcast.operators.metrics import METRICS, binary_metrics
 from roadcast.operators.splits import class_weights, with_split
 from roadcast.plans.dataset import complete_rows
 from roadcast.plans.features import available_features, with_vector
 from roadcast.schemas import HORIZONS
-from roadcast.session import path_exists, remove_path, scratch_path, use_checkpoints
+from roadcast.session import (
+    path_exists,
+    read_note,
+    remove_path,
+    scratch_path,
+    use_checkpoints,
+    write_note,
+)
 
 PLATT, ISOTONIC = "platt", "isotonic"
+NEWTON_STEPS = 30
 ROW_KEYS = ("measurepoint_id", "forecast_run_time", "valid_time")
 
+CURRENT = "current"
 MANIFEST_COLUMNS = """
   horizon_hours INT, member INT, model STRING, method STRING, slope DOUBLE,
   intercept DOUBLE, calibrator STRING, features ARRAY<STRING>
@@ -53,6 +59,11 @@ class Settings:
     parallelism: int = 4
     test_days: int = 14
     calibration_days: int = 7
+    # Bounds on the labelled rows of a horizon that are fitted on: boosting passes over
+    # its rows thousands of times, and an isotonic fit keeps its steps on the driver.
+    # Rows beyond are left out by a hash of their key; what is scored is never bounded.
+    train_rows: int = 10_000_000  # of each class
+    calibration_rows: int = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -77,16 +88,30 @@ class Ensemble:
 # --- Fitting ------------------------------------------------------------------
 
 
+def bounded(rows: DataFrame, most: int, *, by_class: bool) -> DataFrame:
+    """About ``most`` rows, or as many of each class, chosen by a hash of their key, with
+    ``_stands_for``: how many rows each stands for. All rows where they are no more."""
+    counted = rows.groupBy("hazard").count().collect()  # two rows
+    total = sum(r["count"] for r in counted)
+    place = F.pmod(F.xxhash64(*ROW_KEYS, F.lit("bounded")), F.lit(1 << 30))
+    share = F.lit(min(1.0, most / max(total, 1)))
+    if by_class:
+        share = F.lit(1.0)
+        for r in counted:
+            share = F.when(F.col("hazard") == r.hazard, min(1.0, most / r["count"])).otherwise(share)
+    return rows.where(place < share * (1 << 30)).withColumn("_stands_for", 1.0 / share)
+
+
 def fit_members(train: DataFrame, pos_weight: float, settings: Settings) -> list:
-    """Boosted-tree members that differ in their seed. ``train`` has ``features``
-    and ``hazard``."""
+    """Boosted-tree members that differ in their seed. ``train`` has ``features``,
+    ``hazard`` and ``_stands_for``."""
     # No negatives gives weight 0, which would leave no rows to fit on.
     weight = pos_weight if pos_weight > 0 else 1.0
     use_checkpoints(train.sparkSession)
     weighted = train.select(
         "features",
         F.col("hazard").cast("double").alias("label"),
-        F.when(F.col("hazard") == 1, weight).otherwise(1.0).alias("weight"),
+        (F.when(F.col("hazard") == 1, weight).otherwise(1.0) * F.col("_stands_for")).alias("weight"),
     )
     boosted = GBTClassifier(
         weightCol="weight",
@@ -120,31 +145,47 @@ def with_raw_scores(df: DataFrame, models: Sequence) -> tuple[DataFrame, list[st
 
 def fit_platt(scored: DataFrame, raw: str, outcome: str = "hazard") -> Platt | None:
     """Sigmoid calibration by a logistic fit on the clipped log-odds, with the usual
-    unit ridge on the slope. None when there is but one class to fit on."""
-    rows = VectorAssembler(inputCols=["_logit"], outputCol="_x").transform(
-        scored.select(
-            logit(F.col(raw)).alias("_logit"), F.col(outcome).cast("double").alias("label")
-        )
-    )
-    classes = rows.agg(F.count("*").alias("n"), F.sum("label").alias("pos")).first()
+    unit ridge on the slope. None when there is but one class to fit on.
+
+    Newton's method: each step is one pass that adds up five numbers.
+    """
+    rows = scored.select(
+        logit(F.col(raw)).alias("x"), F.col(outcome).cast("double").alias("y")
+    ).where("x is not null and y is not null")
+    classes = rows.agg(F.count("*").alias("n"), F.sum("y").alias("pos")).first()
     if not classes.n or classes.pos in (0.0, float(classes.n)):
         return None
-    fit = LogisticRegression(
-        featuresCol="_x",
-        regParam=1.0 / classes.n,
-        elasticNetParam=0.0,
-        standardization=False,
-        tol=1e-9,
-        maxIter=200,
-    ).fit(rows)
-    return Platt(float(fit.coefficients[0]), float(fit.intercept))
+    slope = intercept = 0.0
+    x = F.col("x")
+    for _ in range(NEWTON_STEPS):
+        p = 1.0 / (1.0 + F.exp(-(slope * x + intercept)))
+        curved = p * (1.0 - p)
+        row = rows.agg(
+            F.sum((p - F.col("y")) * x).alias("gx"),
+            F.sum(p - F.col("y")).alias("g"),
+            F.sum(curved * x * x).alias("hxx"),
+            F.sum(curved * x).alias("hx"),
+            F.sum(curved).alias("h"),
+        ).first()
+        gx, hxx = row.gx + slope, row.hxx + 1.0
+        determinant = hxx * row.h - row.hx * row.hx
+        if determinant <= 0:
+            break
+        steps = (
+            (row.h * gx - row.hx * row.g) / determinant,
+            (hxx * row.g - row.hx * gx) / determinant,
+        )
+        slope, intercept = slope - steps[0], intercept - steps[1]
+        if max(map(abs, steps)) < 1e-11:
+            break
+    return Platt(slope, intercept)
 
 
 def fit_isotonic(scored: DataFrame, raw: str, outcome: str = "hazard") -> IsotonicRegressionModel:
     """Monotone calibration. Equal scores are averaged first, which gives the same
     fit and leaves one row per distinct score. The learner pools neighbours within
-    each partition and only the pooled steps reach the driver, which also hold the
-    model; noisy outcomes leave few of them."""
+    each partition and only the pooled steps reach the driver, which also holds the
+    model: at most ``Settings.calibration_rows``, and with noisy outcomes few of them."""
     per_score = scored.groupBy(F.col(raw).alias("score")).agg(
         F.avg(F.col(outcome).cast("double")).alias("label"),
         F.count("*").cast("double").alias("weight"),
@@ -157,12 +198,13 @@ def fit_calibrators(calibration: DataFrame, models: Sequence, method: str) -> li
     the shared folder for the fits that follow."""
     scored, raws = with_raw_scores(calibration, models)
     path = scratch_path(calibration.sparkSession, "calibration")
-    scored.select("hazard", *raws).write.parquet(path)
-    kept = calibration.sparkSession.read.parquet(path)
-    fit = fit_isotonic if method == ISOTONIC else fit_platt
-    fitted = [fit(kept, raw) for raw in raws]
-    remove_path(calibration.sparkSession, path)
-    return fitted
+    try:
+        scored.select("hazard", *raws).write.parquet(path)
+        kept = calibration.sparkSession.read.parquet(path)
+        fit = fit_isotonic if method == ISOTONIC else fit_platt
+        return [fit(kept, raw) for raw in raws]
+    finally:
+        remove_path(calibration.sparkSession, path)
 
 
 # --- Scoring ------------------------------------------------------------------
@@ -214,11 +256,15 @@ def train_horizon(
     weight = class_weights(train).first()
     # Every boosting round reads these again; a lost executor's share is recomputed
     # from the dataset in the shared folder.
-    kept = train.select("features", "hazard").persist()
-    models = fit_members(kept, weight.pos_weight if weight else 1.0, settings)
-    kept.unpersist()
+    kept = bounded(train, settings.train_rows, by_class=True)
+    kept = kept.select("features", "hazard", "_stands_for").persist()
+    try:
+        models = fit_members(kept, weight.pos_weight if weight else 1.0, settings)
+    finally:
+        kept.unpersist()
+    calibration = vectors.where(F.col("split") == "calibration")
     calibrators = fit_calibrators(
-        vectors.where(F.col("split") == "calibration"), models, settings.method
+        bounded(calibration, settings.calibration_rows, by_class=False), models, settings.method
     )
     ensemble = Ensemble(horizon, list(features), settings.method, models, calibrators)
     ensemble.metrics = evaluate(ensemble, split.where(F.col("split") == "test"))
@@ -226,9 +272,13 @@ def train_horizon(
 
 
 def train_all(
-    dataset: DataFrame, settings: Settings = Settings(), horizons: Sequence[int] = HORIZONS
+    dataset: DataFrame,
+    settings: Settings = Settings(),
+    horizons: Sequence[int] = HORIZONS,
+    coverage: str | None = None,
 ) -> dict[int, Ensemble]:
-    """One ensemble per horizon that has rows.
+    """One ensemble per horizon that has rows. How many rows found an observation is
+    appended to the ``coverage`` table, if one is given.
 
     The dataset comes from several joins and is read many times, so it is written
     to the shared folder once, partitioned by horizon.
@@ -242,19 +292,23 @@ def train_all(
     # come partitioned that way, and then merge the partitions.)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid_out = complete_rows(dataset).repartition(parts, F.xxhash64(*ROW_KEYS))
-    laid_out.sortWithinPartitions("horizon_hours", *ROW_KEYS).write.partitionBy(
-        "horizon_hours"
-    ).parquet(path)
-    stored = spark.read.parquet(path)
 
     def train(horizon: int) -> Ensemble | None:
         rows = stored.where(F.col("horizon_hours") == horizon)
         return None if rows.isEmpty() else train_horizon(rows, horizon, features, settings)
 
-    # The horizons do not depend on each other, and most of their jobs are small.
-    with ThreadPool(len(horizons)) as pool:
-        trained = pool.map(inheritable_thread_target(spark)(train), horizons)
-    remove_path(spark, path)
+    try:
+        laid_out.sortWithinPartitions("horizon_hours", *ROW_KEYS).write.partitionBy(
+            "horizon_hours"
+        ).parquet(path)
+        stored = spark.read.parquet(path)
+        if coverage:
+            attach_coverage(stored).write.mode("append").parquet(coverage)
+        # The horizons do not depend on each other, and most of their jobs are small.
+        with ThreadPool(len(horizons)) as pool:
+            trained = pool.map(inheritable_thread_target(spark)(train), horizons)
+    finally:
+        remove_path(spark, path)
     return {h: e for h, e in zip(horizons, trained) if e is not None}
 
 
@@ -262,7 +316,15 @@ def train_all(
 
 
 def save_ensemble(spark: SparkSession, ensemble: Ensemble, path: str) -> None:
-    """Members and calibrators under ``path``, with a manifest of one row per member."""
+    """Members and calibrators, with a manifest of one row per member, in a fresh folder
+    under ``path``; a note naming that folder comes last, so that what is loaded is
+    always whole."""
+    folder = f"ensemble-{uuid.uuid4().hex}"
+    _save(spark, ensemble, f"{path}/{folder}")
+    write_note(spark, f"{path}/{CURRENT}", folder)
+
+
+def _save(spark: SparkSession, ensemble: Ensemble, path: str) -> None:
     entries = []
     for i, (model, calibrator) in enumerate(zip(ensemble.models, ensemble.calibrators)):
         model.write().overwrite().save(f"{path}/model_{i}")
@@ -288,15 +350,24 @@ def save_ensemble(spark: SparkSession, ensemble: Ensemble, path: str) -> None:
 
 
 def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
-    """Read what ``save_ensemble`` wrote. A folder without manifest holds a single
-    ``model``, an optional ``calibrator`` and the ``features`` list as JSON text."""
-    if not path_exists(spark, f"{path}/manifest"):
-        features = json.loads(spark.read.text(f"{path}/features", wholetext=True).first().value)
-        calibrator = None
+    """Read what ``save_ensemble`` wrote. A folder without it holds a single ``model``,
+    the ``features`` list as JSON text, and optionally a calibrator: ``calibrator`` with
+    an isotonic model, or ``platt``, a JSON text of its slope and intercept."""
+    current = read_note(spark, f"{path}/{CURRENT}")
+    if current:
+        path = f"{path}/{current}"
+    elif not path_exists(spark, f"{path}/manifest"):
+        def text(name: str):
+            return json.loads(spark.read.text(f"{path}/{name}", wholetext=True).first().value)
+
+        features, calibrator, method = text("features"), None, PLATT
         if path_exists(spark, f"{path}/calibrator"):
             calibrator = IsotonicRegressionModel.load(f"{path}/calibrator")
+            method = ISOTONIC
+        elif path_exists(spark, f"{path}/platt"):
+            line = text("platt")
+            calibrator = Platt(float(line["slope"]), float(line["intercept"]))
         model = GBTClassificationModel.load(f"{path}/model")
-        method = PLATT if calibrator is None else ISOTONIC
         return Ensemble(0, features, method, [model], [calibrator])
     # One row per member, so small.
     entries = spark.read.parquet(f"{path}/manifest").orderBy("member").collect()
@@ -317,11 +388,15 @@ def load_ensemble(spark: SparkSession, path: str) -> Ensemble:
     )
 
 
-def append_metrics(spark: SparkSession, ensembles: Sequence[Ensemble], path: str) -> DataFrame:
-    """Append one row per horizon to the metrics table; returns the rows added."""
+def append_metrics(
+    spark: SparkSession, ensembles: Sequence[Ensemble], path: str, run_id: str | None = None
+) -> DataFrame:
+    """Append one row per horizon to the metrics table, under the run's id, a new one
+    unless given; returns the rows added."""
+    run_id = run_id or uuid.uuid4().hex
     rows = spark.createDataFrame(
-        [(e.horizon, *[e.metrics[m] for m in METRICS]) for e in ensembles],
-        "horizon_hours INT, " + ", ".join(f"{m} DOUBLE" for m in METRICS),
+        [(run_id, e.horizon, *[e.metrics[m] for m in METRICS]) for e in ensembles],
+        "run_id STRING, horizon_hours INT, " + ", ".join(f"{m} DOUBLE" for m in METRICS),
     )
     rows.write.mode("append").parquet(path)
     return rows

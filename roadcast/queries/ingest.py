@@ -17,7 +17,7 @@ from roadcast.plans.refresh import landing_feeds, refresh, total_rows
 from roadcast.plans.scoring import with_decision
 from roadcast.queries.registry import comparable, query
 from roadcast.queries.serving import LOCATIONS_CTE, PRED_COLUMNS, predictions
-from roadcast.queries.views import ctes, table
+from roadcast.queries.views import ctes, read_and_forget, table
 from roadcast.session import scratch_path
 from roadcast.sources import extract
 from roadcast.sources.forecasts import location_errors, location_forecasts
@@ -27,9 +27,7 @@ from roadcast.sources.tables import (
     align_to_table,
     ensure_table,
     merged,
-    read_table,
     table_columns,
-    table_location,
     upsert,
     write_csv,
 )
@@ -458,15 +456,6 @@ def _fresh(spec: schemas.TableSpec) -> schemas.TableSpec:
     return replace(spec, name=f"{spec.name}_{uuid.uuid4().hex}")
 
 
-def _read_and_forget(spark: SparkSession, spec: schemas.TableSpec) -> DataFrame:
-    """The table's files; the table itself goes from the catalog."""
-    columns = read_table(spark, spec).columns
-    place = table_location(spark, spec)
-    partitioned = spark.table(spec.table).schema
-    spark.sql(f"DROP TABLE {spec.table}")
-    return spark.read.schema(partitioned).parquet(place).select(*columns)
-
-
 @query(
     "table_upserts",
     ctes("pred")
@@ -493,7 +482,7 @@ def table_upserts(spark, sf_dir):
     upsert(spark, spec, df.where(F.col("risk_mean") < 0.5))
     for _ in range(2):
         upsert(spark, spec, df.where(F.col("risk_mean") >= 0.5))
-    return comparable(_read_and_forget(spark, spec))
+    return comparable(read_and_forget(spark, spec))
 
 
 # A reading is landed twice: by the event itself, and by one that came a day later but
@@ -540,7 +529,7 @@ def late_payload_upsert(spark, sf_dir):
     upsert(spark, spec, readings(0, 1), order=order)
     late = "(case when event_id % 3 = 0 then 0 when event_id % 3 = 1 then 1 else 2 end)"
     upsert(spark, spec, readings(100, late), order=order)
-    return comparable(_read_and_forget(spark, spec))
+    return comparable(read_and_forget(spark, spec))
 
 
 @query(
@@ -565,7 +554,7 @@ def table_schema_align(spark, sf_dir):
     upsert(spark, spec, keep_last(df, spec.primary_key).select(*kept.columns), order=())
     rows = [(c, True) for c in table_columns(spark, spec)] + [(c, False) for c in dropped]
     names = spark.createDataFrame(rows, "column_name STRING, stored BOOLEAN")
-    any_row = _read_and_forget(spark, spec).agg(F.count("*").alias("n")).where("n > 0")
+    any_row = read_and_forget(spark, spec).agg(F.count("*").alias("n")).where("n > 0")
     return names.crossJoin(any_row).drop("n")
 
 
@@ -677,4 +666,4 @@ def stream_weather_table(spark, sf_dir):
     stream_to_table(
         landed, spec, extract.weather_observations, progress, json_lines=True, location=place
     ).awaitTermination()
-    return comparable(_read_and_forget(spark, spec).drop("ingested_at"))
+    return comparable(read_and_forget(spark, spec).drop("ingested_at"))

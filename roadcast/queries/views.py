@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadcast.schemas import TableSpec
 from roadcast.session import use_utc
+from roadcast.sources.tables import read_table, table_location
 
 _POINT = """case user_id % 5 when 0 then 243 when 1 then 226 when 2 then 232
             when 3 then 237 else 215 end as measurepoint_id"""
@@ -24,7 +26,7 @@ select {_POINT},
             else 0.3e0 + (event_id * 37 % 70) / 100e0 end as surface_grip,
        value / 10 - 1 as air_temp_c, 40e0 + event_id % 60 as air_rh,
        value / 10 - 4 as dewpoint_c, event_id as ingest_seq
-from events where event_type <> 'view'
+from events
 """
 
 FC = f"""
@@ -34,7 +36,7 @@ select {_POINT},
        value / 10 - 3 as t_air_c, (event_id % 9) / 10e0 as precip_mm,
        (event_id % 13) * 1e0 as wind_ms, 40e0 + event_id % 60 as rh,
        event_id as ingest_seq
-from (select *, {{hours}} as h from events where event_type = 'view') runs
+from (select *, {{hours}} as h from events) runs
 """
 
 PRED = f"""
@@ -89,3 +91,12 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ctes(*names: str) -> str:
     """The views as the WITH clause of a DuckDB statement."""
     return "with " + ",\n".join(f"{n} as ({VIEWS[n].format(**_DUCKDB)})" for n in names)
+
+
+def read_and_forget(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    """The table's files; the table itself goes from the catalog."""
+    columns = read_table(spark, spec).columns
+    place = table_location(spark, spec)
+    partitioned = spark.table(spec.table).schema
+    spark.sql(f"DROP TABLE {spec.table}")
+    return spark.read.schema(partitioned).parquet(place).select(*columns)

@@ -69,16 +69,24 @@ def test_jobs(spark, landing, tmp_path, capsys):
     forget(spark)
     quick = Settings(members=2, trees=1, depth=2, parallelism=2)
     assert set(jobs.train(spark, models, quick, tables=tables)) == {24, 48}
+    audit = {r.side: r["rows"] for r in spark.read.parquet(f"{models}/audit").collect()}
+    assert audit["forecast"] == before[schemas.POINT_FORECAST.table]
+    trained = spark.read.parquet(f"{models}/coverage").first()
+    assert 0 < trained.matched <= trained["rows"]
 
     forget(spark)
     counts = jobs.score(spark, models, NOW, tables=tables).first()
     stored = read_table(spark, schemas.PREDICTION)
     assert sum(counts) == stored.count() > 0
+    assert spark.read.parquet(f"{models}/scored-coverage").first()["rows"] == stored.count()
+    assert spark.read.parquet(f"{models}/scored-audit").count() == 2
     assert jobs.score(spark, models, NOW, tables=tables).first() == counts
     assert read_table(spark, schemas.PREDICTION).count() == stored.count()
 
     forget(spark)
     seen = jobs.serve(spark, NOW, horizon=24, tables=tables)
+    plan = seen["figures"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
     figures = seen["figures"].first()
     assert figures.points >= 1
     assert seen["recommendations"].count() == figures.points

@@ -16,9 +16,11 @@ from roadcast.plans.serving import current_predictions, recommendation_list
 from roadcast.plans.training import (
     ISOTONIC,
     PLATT,
+    Ensemble,
     Platt,
     Settings,
     append_metrics,
+    bounded,
     fit_isotonic,
     fit_platt,
     load_ensemble,
@@ -115,7 +117,7 @@ def test_training(ensemble):
 def test_scores_are_ordered_probabilities(dataset, ensemble):
     out = score(dataset.where("horizon_hours = 24"), ensemble[24])
     wrong = out.where("not (0 <= risk_p10 and risk_p10 <= risk_p90 and risk_p90 <= 1 and risk_mean between 0 and 1)")
-    assert out.count() == 857 and wrong.count() == 0
+    assert out.count() == 4483 and wrong.count() == 0
     assert not [c for c in out.columns if c.startswith("_")]
 
 
@@ -145,6 +147,38 @@ def test_single_model_folder(spark, dataset, ensemble, tmp_path):
     assert out.where("risk_p10 <> risk_p90").count() == 0
 
 
+def test_single_model_folder_with_a_line(spark, ensemble, tmp_path):
+    ensemble[24].models[0].write().overwrite().save(str(tmp_path / "model"))
+    (tmp_path / "features").write_text(json.dumps(ensemble[24].features))
+    (tmp_path / "platt").write_text('{"slope": 0.5, "intercept": -1}')
+    loaded = load_ensemble(spark, str(tmp_path))
+    assert loaded.calibrators == [Platt(0.5, -1.0)] and loaded.method == PLATT
+
+
+def test_a_failed_save_leaves_the_last_one(spark, ensemble, tmp_path):
+    path = str(tmp_path / "m")
+    save_ensemble(spark, ensemble[24], path)
+    broken = Ensemble(24, ["other"], PLATT, [*ensemble[24].models, None], ensemble[24].calibrators + [None])
+    with pytest.raises(AttributeError):
+        save_ensemble(spark, broken, path)
+    assert load_ensemble(spark, path).features == ensemble[24].features
+
+
+def test_bounded_rows(spark):
+    rows = spark.range(20_000).selectExpr(
+        "id as measurepoint_id", "timestamp_seconds(id) as forecast_run_time",
+        "timestamp_seconds(id) as valid_time", "cast(id % 10 = 0 as int) as hazard",
+    )
+    by_class = {r.hazard: r for r in bounded(rows, 3000, by_class=True).groupBy("hazard").agg(
+        F.count("*").alias("n"), F.sum("_stands_for").alias("weight")).collect()}
+    assert by_class[1].n == by_class[1].weight == 2000
+    assert abs(by_class[0].n - 3000) < 200 and abs(by_class[0].weight - 18_000) < 1200
+    alike = bounded(rows, 3000, by_class=False)
+    assert abs(alike.count() - 3000) < 200 and abs(alike.where("hazard = 1").count() - 300) < 70
+    assert bounded(rows, 20_000, by_class=False).count() == 20_000
+    assert bounded(rows.limit(0), 5, by_class=True).count() == 0
+
+
 def test_metrics_table(spark, ensemble, tmp_path):
     for _ in range(2):
         append_metrics(spark, list(ensemble.values()), str(tmp_path / "metrics"))
