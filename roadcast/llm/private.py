@@ -121,8 +121,9 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             _digits(mention["value"])
         )
         value = F.when(mention["kind"] == "ip", mention["value"]).otherwise(value)
+        first = F.greatest(mention["start"] - REACH, F.lit(0))
         context = F.xxhash64(
-            F.substring(text, F.greatest(mention["start"] - REACH, F.lit(0)) + 1, F.lit(REACH)),
+            F.substring(text, first + 1, mention["start"] - first),
             F.substring(text, mention["end"] + 1, F.lit(REACH)),
         )
         return F.struct(

@@ -213,11 +213,168 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(read(spark, sf_dir, "documents"), size=3, percent=85)
 
 
-@query("op2_private_data")
+def _placed(name: str, source: str, text: str, pattern: str, carried: str) -> str:
+    """CTEs that give a text's matches with their places, from 0, the end exclusive."""
+    return f"""
+    {name}_lists as (
+      select {carried}, regexp_extract_all({text}, '{pattern}') as ms, string_split_regex({text}, '{pattern}') as gs
+      from {source}
+    ), {name}_rows as (
+      select {carried}, unnest(ms) as m, unnest(gs[1 : len(ms)]) as gap, generate_subscripts(ms, 1) as i
+      from {name}_lists where len(ms) > 0
+    ), {name} as (
+      select *, (sum(length(gap) + length(m)) over w - length(m))::bigint as s,
+             (sum(length(gap) + length(m)) over w)::bigint as e
+      from {name}_rows window w as (partition by {carried} order by i)
+    )"""
+
+
+_ALNUM = r"[\p{L}\p{N}]+"
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(generate_series(1, length({_DIGITS})), lambda k:
+  case when k % 2 = 1 then substr(reverse({_DIGITS}), k, 1)::int
+       else (2 * substr(reverse({_DIGITS}), k, 1)::int) // 10 + (2 * substr(reverse({_DIGITS}), k, 1)::int) % 10 end)) % 10 = 0"""
+_PRIVATE_SQL = (
+    "with d as (select doc_id, coalesce(text, '') as txt from documents), "
+    + ",".join(
+        _placed(name, "d", "txt", pattern, "doc_id, txt")
+        for name, pattern in (
+            ("emails", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+            ("ips", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
+            ("cards", r"[0-9](?:[\x20-]?[0-9])+"),
+            ("phones", r"\+[0-9][\x20().0-9-]+[0-9]"),
+        )
+    )
+    + f"""
+    , found as (
+      select doc_id, txt, 1 as rank, 'email' as kind, m, s, e, 'email:' || lower(m) as entity from emails
+      union all
+      select doc_id, txt, 2, 'ip', m, s, e, 'ip:' || m from ips
+      where len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 or
+        (ltrim(p, '0') <> '' and length(ltrim(p, '0')) <= 3 and ltrim(p, '0')::int > 255))) = 0
+      union all
+      select doc_id, txt, 3, 'card', m, s, e, 'card:' || {_DIGITS} from cards
+      where length({_DIGITS}) between 13 and 19 and {_LUHN}
+      union all
+      select doc_id, txt, 4, 'phone', m, s, e, 'phone:' || {_DIGITS} from phones
+      where length({_DIGITS}) between 9 and 15
+    ), sides as (
+      select doc_id, entity, s as begins, e as ends, 0 as side, greatest(s - 64, 0) as first,
+             substr(txt, greatest(s - 64, 0) + 1, s + 1 - greatest(s - 64, 0)) as part,
+             hash(substr(txt, greatest(s - 64, 0) + 1, s - greatest(s - 64, 0)), substr(txt, e + 1, 64)) as context
+      from found
+      union all
+      select doc_id, entity, s, e, 1, e - 1, substr(txt, e, 65),
+             hash(substr(txt, greatest(s - 64, 0) + 1, s - greatest(s - 64, 0)), substr(txt, e + 1, 64))
+      from found
+    ), """
+    + _placed("runs", "sides", "part", _ALNUM, "doc_id, entity, begins, ends, side, first, part, context")
+    + r"""
+    , near as (
+      select doc_id, entity, begins, context, lower(m) as term, first + s as s, first + e as e
+      from runs
+      where regexp_full_match(m, '\p{L}{4,}') and s > 0 and e < length(part)
+        and not exists (select 1 from found f where f.doc_id = runs.doc_id
+                        and f.s < runs.first + runs.e and runs.first + runs.s < f.e)
+    ), pairs as (
+      select entity, term, count(*) as n_both from near group by all having count(distinct context) >= 3
+    ), texts as (
+      select doc_id, txt, regexp_extract_all(txt, '[\p{L}\p{N}]+') as ws,
+             regexp_extract_all(lower(txt), '[\p{L}\p{N}]+') as ls,
+             case when regexp_matches(txt, '^[\p{L}\p{N}]') then 1 else 0 end as at_start,
+             case when regexp_matches(txt, '[\p{L}\p{N}]$') then 1 else 0 end as at_end
+      from d
+    ), inner_words as (
+      select ws[1 + at_start : len(ws) - at_end] as ws, ls[1 + at_start : len(ls) - at_end] as ls from texts
+    ), total as (
+      select sum(len(list_filter(ws, lambda w: regexp_full_match(w, '\p{L}{4,}'))))::double as n from inner_words
+    ), terms as (
+      select term, count(*) as n_term from (select unnest(ls) as term from inner_words)
+      where regexp_full_match(term, '\p{L}{4,}') and term in (select term from pairs) group by term
+    ), entities as (
+      select entity, count(*) as n_entity from found group by entity
+    ), told as (
+      select entity, term from pairs join terms using (term) join entities using (entity), total
+      where n > n_entity and ln(n_both * n / (n_entity * n_term)) >= 0.9 * ln(n / n_entity)
+    ), held as (
+      select distinct doc_id, s, e from near join told using (entity, term)
+    ), base as (
+      select doc_id, count(*) filter (rank = 1) as n_email, count(*) filter (rank = 2) as n_ip,
+             count(*) filter (rank = 3) as n_card, count(*) filter (rank = 4) as n_phone,
+             string_agg(kind || ':' || s || ':' || e, ',' order by rank, s) as spans
+      from found group by doc_id
+    ), more as (
+      select doc_id, string_agg('term:' || s || ':' || e, ',' order by s, e) as spans from held group by doc_id
+    )
+    select d.doc_id, coalesce(n_email, 0) as n_email, coalesce(n_ip, 0) as n_ip,
+           coalesce(n_card, 0) as n_card, coalesce(n_phone, 0) as n_phone,
+           sha256(coalesce(base.spans, '')) as base_sha256,
+           concat_ws(',', base.spans, more.spans) as spans
+    from d left join base using (doc_id) left join more using (doc_id)
+    """
+)
+
+
+@query("op2_private_data", _PRIVATE_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.report(private.protected(read(spark, sf_dir, "documents")))
 
 
-@query("op3_secret_scan")
+_SECRET_SQL = (
+    "with d as (select doc_id, coalesce(text, '') as txt from documents), "
+    + ",".join(
+        _placed(name, "d", "txt", pattern, "doc_id, txt")
+        for name, pattern in (
+            (
+                "assigns",
+                r"""[Pp][Aa][Ss][Ss](?:[Ww][Oo][Rr][Dd]|[Ww][Dd])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+"""
+                r"""|(?:[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"""
+                r"""["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+""",
+            ),
+            ("keys", "AKIA[A-Z0-9]+"),
+            ("hexes", "[0-9a-f]+"),
+            ("strings", "[A-Za-z0-9+/=_-]+"),
+        )
+    )
+    + r"""
+    , windows as (
+      select doc_id, s, e, m, unnest(generate_series(1, length(m) - 19)) as pos
+      from strings
+      where length(m) >= 20 and regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]')
+        and not regexp_full_match(m, '[A-Za-z]+[0-9]*(?:[-_/=+]+[A-Za-z]+[0-9]*)*')
+        and not regexp_matches(lower(m), 'example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|12345678|abcdefgh')
+        and len(list_filter(generate_series(1, 6), lambda p: length(m) % p = 0 and length(m) > p
+                            and m = repeat(left(m, p), length(m) // p))) = 0
+    ), chars as (
+      select doc_id, s, e, m, pos, c, count(*) as n
+      from (select doc_id, s, e, m, pos, unnest(string_split(substr(m, pos, 20), '')) as c from windows)
+      group by all
+    ), entropies as (
+      select doc_id, s, e, m, pos, -sum(n / 20 * log2(n / 20)) as h from chars group by all
+    ), random as (
+      select doc_id, s, e from entropies group by doc_id, s, e, m
+      having round(max(h), 9) >= case when regexp_full_match(m, '[0-9a-fA-F]+') then 3 else 4 end
+    ), found as (
+      select doc_id, 1 as rank, 'assign' as kind, s, e from assigns
+      where length(regexp_extract(m, '[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6
+      union all select doc_id, 2, 'access', s, e from keys where length(m) >= 20
+      union all select doc_id, 3, 'hex', s, e from hexes where length(m) >= 24
+      union all select doc_id, 4, 'entropy', s, e from random
+    ), lists as (
+      select doc_id, count(*) filter (rank = 1) as n_assign, count(*) filter (rank = 2) as n_access,
+             count(*) filter (rank = 3) as n_hex,
+             string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) filter (rank < 4) as base,
+             string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as spans
+      from found group by doc_id
+    )
+    select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+           coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
+           coalesce(spans, '') as spans
+    from d left join lists using (doc_id)
+    """
+)
+
+
+@query("op3_secret_scan", _SECRET_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.report(credentials.secrets(read(spark, sf_dir, "documents")))
