@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadcast.llm.bitmaps import BITS, bitmap, collect_bitmap, maybe_in, surely_out
-from roadcast.llm.tables import settle
+from roadcast.llm.tables import in_small_batches, settle
 from roadcast.llm.wordhash import PUNCTUATION, hashed_words, word_hash
 
 WINDOW = 13
@@ -93,7 +93,7 @@ def term_counts(docs: DataFrame, text_col: str, bits: bytes) -> DataFrame:
     def _rows(terms, counts):
         return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(counts)], ["term", "n"])
 
-    partial = docs.select(F.col(text_col)).mapInArrow(count, "term long, n long")
+    partial = in_small_batches(docs.select(F.col(text_col))).mapInArrow(count, "term long, n long")
     return partial.groupBy("term").agg(F.sum("n").alias("n"))
 
 
@@ -147,7 +147,7 @@ def build_index(docs: DataFrame, bits: bytes, id_col: str, text_col: str) -> Dat
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("print"), F.col(text_col).alias("text")
     )
-    return rows.mapInArrow(
+    return in_small_batches(rows).mapInArrow(
         index, f"doc_id {kind}, print long, n_words long, terms array<long>, positions array<long>"
     )
 
@@ -228,7 +228,7 @@ def _confirmed(docs: DataFrame, where: DataFrame, items: DataFrame, window: int,
                 ["doc_id", "print", "n_hit", "items"],
             )
 
-    confirmed = rows.mapInArrow(compare, f"doc_id {kind}, print long, n_hit long, items array<{item_kind}>")
+    confirmed = in_small_batches(rows).mapInArrow(compare, f"doc_id {kind}, print long, n_hit long, items array<{item_kind}>")
     return confirmed.groupBy("doc_id", "print").agg(
         F.max("n_hit").alias("n_hit"), F.first("items").alias("items")
     )

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from roadcast.llm.tables import in_small_batches
 from roadcast.llm.wordhash import mix64
 
 SYMBOLS = 64
@@ -118,7 +119,7 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         sums.clear()
 
     rows = docs.select(F.col(text_col), F.col(lang_col))
-    partial = rows.mapInArrow(count, "lang string, gram int, n long")
+    partial = in_small_batches(rows).mapInArrow(count, "lang string, gram int, n long")
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -202,7 +203,7 @@ def classify(
                     [*part.columns, pa.array(langs, pa.string()), pa.array(scores)], schema.names
                 )
 
-    return rows.mapInArrow(predict, schema)
+    return in_small_batches(rows).mapInArrow(predict, schema)
 
 
 def keep_known(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:

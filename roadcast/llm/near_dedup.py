@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roadcast.llm import minhash
 from roadcast.llm.bitmaps import bitmap, maybe_in, surely_out
 from roadcast.llm.graph import components
-from roadcast.llm.tables import settle
+from roadcast.llm.tables import in_small_batches, settle
 from roadcast.llm.wordhash import WHITE, hashed_words
 from roadcast.operators.joins import skewproof_join
 
@@ -75,7 +75,7 @@ def sketches(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
                 )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(sketch, f"doc_id {kind}, print binary, n long, bands array<long>")
+    return in_small_batches(rows).mapInArrow(sketch, f"doc_id {kind}, print binary, n long, bands array<long>")
 
 
 def _classes(sketched: DataFrame) -> DataFrame:
@@ -275,7 +275,8 @@ def _compare(groups: DataFrame, classes: DataFrame, roots: DataFrame | None, doc
     def _links(found, kind_of_id):
         return pa.RecordBatch.from_arrays([pa.array(c, kind_of_id) for c in zip(*found)], ["a", "b"])
 
-    return settle(rows.mapInArrow(compare, f"a {kind}, b {kind}"), "links")
+    found = in_small_batches(rows).mapInArrow(compare, f"a {kind}, b {kind}")
+    return settle(found, "links")
 
 
 def near_groups(

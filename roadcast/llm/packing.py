@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from roadcast.llm.tables import in_small_batches
 from roadcast.llm.tokens import Encoder
 
 CAPACITY = 2048
@@ -79,9 +80,8 @@ def pieces(
                     columns.append(pa.array(lists, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        cut, T.StructType(fields)
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return in_small_batches(rows).mapInArrow(cut, T.StructType(fields))
 
 
 class BestFit:

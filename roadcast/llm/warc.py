@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from roadcast.llm.tables import settle
+from roadcast.llm.tables import in_small_batches, settle
 from roadcast.session import scratch_path
 
 RAW_BYTES = 16 << 20  # of records in one archive, unless a single one is larger
@@ -164,7 +164,7 @@ def write_archives(
             columns = [pa.array(c) for c in zip(*done)]
             yield pa.RecordBatch.from_arrays(columns, ["archive", "records", "bytes"])
 
-    manifest = records.mapInArrow(write, "archive string, records long, bytes long")
+    manifest = in_small_batches(records).mapInArrow(write, "archive string, records long, bytes long")
     return settle(manifest, "warc-manifest")
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oracle import connect, differences
-from roadcast.llm import exact_dedup, language
+from roadcast.llm import exact_dedup, tables
 from roadcast.llm.queries import ORACLES, QUERIES
+from roadcast.session import path_exists
 from test_decontaminate import brute as contaminated
 from test_near_dedup import brute as near_groups
 
@@ -80,6 +81,14 @@ def test_everything_left_is_packed(stages):
     assert fill.filter("n <> m or n > 2048").isEmpty()
 
 
+def test_settled_copies_are_released(spark):
+    kept = tables.settle(spark.range(3).toDF("x"), "label")
+    (path,) = {f.rsplit("/", 1)[0] for f in kept.inputFiles()}
+    assert kept.count() == 3 and path_exists(spark, path)
+    tables.release(spark)
+    assert not path_exists(spark, path) and not tables._settled
+
+
 def test_empty_documents(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
