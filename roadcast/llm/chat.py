@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from roadcast.llm.tables import settle
+from roadcast.llm.tables import in_small_batches, settle
 
 # The template. Its control strings hold characters that texts never show: a backslash
 # and a letter stand for each of them and for the backslash itself.
@@ -86,25 +86,27 @@ def _links(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     )
     reach = settle(reach, "replies")
     longest = reach.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    levels = []
+    # Messages whose way has reached the root take no part in further rounds.
+    done, levels = reach.filter("up is null"), []
     while True:
         here = reach.filter("up is not null")
         levels.append(here.select("tree", "node", "up"))
         # In a circle the way up never ends; no true way is longer than its tree.
         if here.isEmpty() or 1 << len(levels) > 2 * longest:
-            return levels, reach.filter("up is null").select("tree", "node", "score", "length")
+            return levels, done.select("tree", "node", "score", "length")
         further = (
-            reach.alias("a")
-            .join(reach.alias("b"), _same("a", "b", "up", "node"), "left")
+            here.alias("a")
+            .join(done.unionByName(here).alias("b"), _same("a", "b", "up", "node"))
             .select(
                 "a.tree",
                 "a.node",
                 F.col("b.up").alias("up"),
-                (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"),
-                (F.col("a.length") + F.coalesce("b.length", F.lit(0))).alias("length"),
+                (F.col("a.score") + F.col("b.score")).alias("score"),
+                (F.col("a.length") + F.col("b.length")).alias("length"),
             )
         )
         reach = settle(further, "replies")
+        done = done.unionByName(reach.filter("up is null"))
 
 
 def best_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
@@ -175,7 +177,7 @@ def conversations(messages: DataFrame, keep: int = 1) -> DataFrame:
         columns = [pa.array(c, t) for c, t in zip(zip(*done), types)]
         return pa.RecordBatch.from_arrays(columns, ["tree", "leaf", "rank", "formatted", "learned"])
 
-    return rows.mapInArrow(
+    return in_small_batches(rows).mapInArrow(
         write,
         f"tree {kinds['tree']}, leaf {kinds['leaf']}, rank int, formatted string, "
         "learned array<struct<start: long, end: long>>",
@@ -218,7 +220,7 @@ def digests(formatted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    return formatted.select("tree", "formatted", "learned").mapInArrow(
+    return in_small_batches(formatted.select("tree", "formatted", "learned")).mapInArrow(
         read,
         f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
         "formatted_chars long",
