@@ -4,7 +4,8 @@ Two texts are equal when they are identical after dropping ASCII white space. Ro
 grouped by the MD5 of what is left, which moves a few bytes a row. Only rows whose hash
 occurs more than once are then compared with the text of their group's representative;
 one that differs from it leaves the group and forms another with its like. A bitmap of
-those rows' ids keeps the texts of all others from being shuffled, or hashed again.
+those rows' ids keeps the texts of all others from being shuffled, or hashed again. Joins
+by hash let a group that holds many rows be split over tasks.
 
 Defined results: a null text counts as empty, and all empty texts are equal. A null id
 sorts behind the others. Rows that repeat an id and text are one document several times:
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadcast.llm.bitmaps import bitmap, maybe_in, surely_out
 from roadcast.llm.tables import settle
+from roadcast.operators.joins import skewproof_join
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -59,10 +61,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .filter("size > 1")
         .select("h", F.col("best.doc_id").alias("best_id"), (-F.col("best.n")).alias("best_n"))
     )
-    copies_ids = keyed.join(repeated, "h", "left_semi")
+    copies_ids = skewproof_join(keyed, repeated, ["h"], "left_semi")
     members = _squeezed_rows(maybe_in(texts, "doc_id", bitmap(copies_ids, "doc_id")))
     texts = (
-        members.join(repeated, "h")
+        skewproof_join(members, repeated, ["h"], "inner")
         .filter(F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("n") == F.col("best_n")))
         .groupBy("h")
         .agg(F.min("norm").alias("best_norm"))
@@ -70,12 +72,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Empty for rows that equal their representative, else the text that sets them apart.
     apart = F.when(F.col("norm") != F.col("best_norm"), F.col("norm")).otherwise("")
     compared = settle(
-        members.join(texts, "h").select("doc_id", "h", "n", digest, apart.alias("apart")), "compared"
+        skewproof_join(members, texts, ["h"], "inner").select(
+            "doc_id", "h", "n", digest, apart.alias("apart")
+        ),
+        "compared",
     )
     groups = compared.groupBy("h", "apart").agg(
         F.count("*").alias("group_size"), F.min(_rank()).alias("best")
     )
-    copies = compared.join(groups, ["h", "apart"]).select(
+    copies = skewproof_join(compared, groups, ["h", "apart"], "inner").select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",
@@ -84,16 +89,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ),
         "text_sha256",
     )
-    single = (
-        keyed.select("doc_id", "h", "text_sha256")
-        .join(repeated.select("h"), "h", "left_anti")
-        .select(
-            "doc_id",
-            F.col("doc_id").alias("keep_id"),
-            F.lit(1).cast("long").alias("group_size"),
-            F.lit(True).alias("kept"),
-            "text_sha256",
-        )
+    single = skewproof_join(keyed, repeated.select("h"), ["h"], "left_anti").select(
+        "doc_id",
+        F.col("doc_id").alias("keep_id"),
+        F.lit(1).cast("long").alias("group_size"),
+        F.lit(True).alias("kept"),
+        "text_sha256",
     )
     return single.unionByName(copies)
 
