@@ -9,8 +9,8 @@ mapped to a probability by a logistic curve fitted to rows left out of the desce
 N-grams are hashed to ``2 ** BITS`` places. Every occurrence in the whole text counts
 once: features are indicators. Defined results: a null text counts as empty; a text
 without features gets the score of the bias. Rows with a null label are not learned
-from, nor are ids whose labels contradict each other; ids that repeat count once. With
-only one class to learn from, every score is that class's 0 or 1; with none, 0.5.
+from, nor are ids whose labels contradict each other; an id that repeats, in either table,
+counts once, with the text that sorts first. All rows are scored. With only one class to learn from, every score is that class's 0 or 1; with none, 0.5.
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadcast.llm.bitmaps import bitmap, maybe_in
-from roadcast.llm.tables import settle
+from roadcast.llm.tables import in_small_batches, settle
 from roadcast.llm.wordhash import WHITE, hashed_words, mix64
 
 BITS = 17
@@ -148,9 +148,9 @@ def curve(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(beta[0]), float(beta[1])
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str) -> DataFrame:
-    """Training rows, one per id: ``doc_id, text, label``. Of the documents only those
-    that may have a label are shuffled."""
+def usable_labels(labels: DataFrame, label_id: str, label_col: str, sample: int) -> DataFrame:
+    """Labels that may be learned from, one per id: ``l_id, label, chosen``. Chosen are,
+    in each class, the ids whose hashes are the smallest."""
     known = (
         labels.filter(F.col(label_col).isNotNull() & F.col(label_id).isNotNull())
         .filter(~held_out(F.col(label_id)))
@@ -159,27 +159,57 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
         .filter("label = most")
         .select("l_id", F.col("label").cast("int").alias("label"))
     )
+    order = F.xxhash64("l_id")
+    sides = [
+        known.filter(side).select("l_id").orderBy(order, "l_id").limit(sample // 2)
+        for side in ("label > 0", "label <= 0")
+    ]
+    chosen = sides[0].unionByName(sides[1]).withColumn("chosen", F.lit(True))
+    joined = known.join(F.broadcast(chosen), "l_id", "left")  # at most ``sample`` ids
+    return settle(joined.select("l_id", "label", F.coalesce("chosen", F.lit(False)).alias("chosen")), "labels")
+
+
+def labelled(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Training rows, one per id: ``doc_id, text, label, chosen``. Of the documents only
+    those that may have a label are shuffled."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     found = maybe_in(rows, "doc_id", bitmap(known, "l_id"))
-    return found.join(known, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "label")
+    joined = found.join(known, F.col("doc_id") == F.col("l_id"))
+    # The join has dealt the rows out by id already.
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    return joined.withColumn("__row", first).filter("__row = 1").select("doc_id", "text", "label", "chosen")
 
 
-def class_counts(rows: DataFrame) -> DataFrame:
-    """How many training rows of each class hold a feature: ``place, n0, n1``; place -1
-    counts the rows."""
+def gathered(rows: DataFrame) -> DataFrame:
+    """One pass over the training rows, kept. Rows with a ``place`` say how many texts of
+    each class a task found to hold that feature, as ``n0`` and ``n1``, with all its texts
+    at place -1. The others are the chosen texts: ``o, label, own``, their features."""
+    schema = "place int, n0 long, n1 long, o long, label int, own array<int>"
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, (1 << BITS) + 1), np.int64)
         for batch in batches:
-            for label, own in zip(batch.column(1).to_pylist(), features(batch.column(0))):
-                sums[int(label > 0), own + 1] += 1
-                sums[int(label > 0), 0] += 1
-        own = np.flatnonzero(sums.any(axis=0))
-        columns = [pa.array((own - 1).astype(np.int32)), pa.array(sums[0, own]), pa.array(sums[1, own])]
-        yield pa.RecordBatch.from_arrays(columns, ["place", "n0", "n1"])
-
-    partial = rows.select("text", "label").mapInArrow(count, "place int, n0 long, n1 long")
-    return partial.groupBy("place").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+            kept = []
+            others = (batch.column(k).to_pylist() for k in (1, 2, 3))
+            for own, label, chosen, o in zip(features(batch.column(0)), *others):
+                side = int(label > 0)
+                sums[side, own + 1] += 1
+                sums[side, 0] += 1
+                if chosen:
+                    kept.append((o, side, own))
+            if kept:
+                yield _batch([None] * len(kept), [None] * len(kept), [None] * len(kept), *zip(*kept))
+        held = np.flatnonzero(sums.any(axis=0))
+        none = [None] * len(held)
+        yield _batch((held - 1).astype(np.int32), sums[0, held], sums[1, held], none, none, none)
+
+    def _batch(*columns):
+        names = [c.split()[0] for c in schema.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    asked = rows.select("text", "label", "chosen", F.xxhash64("doc_id").alias("o"))
+    return settle(in_small_batches(asked).mapInArrow(count, schema), "class-counts")
 
 
 def fit(
@@ -195,9 +225,11 @@ def fit(
     whose hashed ids are the smallest in each class.
 
     The driver receives ``2 ** BITS`` counts and as many weights, whatever the input."""
-    rows = settle(labelled(docs, labels, id_col, text_col, label_id, label_col), "labelled")
+    known = usable_labels(labels, label_id, label_col, sample)
+    seen = gathered(labelled(docs, known, id_col, text_col))
     places = 1 << BITS
-    counted = class_counts(rows).toArrow()
+    counts = seen.filter("place is not null").groupBy("place")
+    counted = counts.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     sums = np.zeros((2, places + 1))
     at = counted.column("place").to_numpy() + 1
     sums[0, at], sums[1, at] = counted.column("n0").to_numpy(), counted.column("n1").to_numpy()
@@ -207,18 +239,13 @@ def fit(
         return Model(np.zeros(places), np.zeros(places), 0.0, 0.0, sure)
     low, high = (held + SMOOTHING) / (totals[:, None] + 2 * SMOOTHING)
     scale = np.log(high / low)
-    order = F.xxhash64("doc_id")
-    chosen = None
-    for side in (rows.filter("label > 0"), rows.filter("label <= 0")):
-        ids = side.select("doc_id", order.alias("o")).orderBy("o", "doc_id").limit(sample // 2)
-        chosen = ids.select("doc_id") if chosen is None else chosen.unionByName(ids.select("doc_id"))
-    bounded = rows.join(chosen.distinct(), "doc_id", "left_semi").select(order.alias("o"), "text", "label")
+    bounded = seen.filter("place is null").select("o", "label", "own")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [
-            (o, own, 1.0 if label > 0 else -1.0)
+            (o, own.values.to_numpy(), 1.0 if label else -1.0)
             for b in batches
-            for o, own, label in zip(b.column(0).to_pylist(), features(b.column(1)), b.column(2).to_pylist())
+            for o, label, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))
         ]
         found.sort(key=lambda r: r[0])
         y = np.array([r[2] for r in found])
@@ -241,7 +268,11 @@ def fit(
             ["weights", "bias", "slope", "shift"],
         )
 
-    row = bounded.coalesce(1).mapInArrow(train, "weights array<double>, bias double, slope double, shift double").first()
+    # At most ``sample`` rows meet in one task.
+    fitted = bounded.repartition(1).mapInArrow(
+        train, "weights array<double>, bias double, slope double, shift double"
+    )
+    row = fitted.first()
     return Model(scale, np.array(row.weights) * scale, row.bias, row.slope, row.shift)
 
 
@@ -258,4 +289,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(apply, f"doc_id {kind}, score double, predicted int")
+    return in_small_batches(rows).mapInArrow(apply, f"doc_id {kind}, score double, predicted int")
