@@ -577,22 +577,47 @@ def _write_lines(df: DataFrame, label: str, *partitions: str) -> str:
     return path
 
 
+# The files' own time, which stands in for an unreadable run time, is not known beforehand.
+LANDED_AT = "2000-01-01 00:00:00"
+
+
+def _forecast_lines(spark, sf_dir):
+    landed = _landed(spark, sf_dir, FORECAST_BODY, f"{_ALIAS} as location_id")
+    path = _write_lines(landed, "forecast", "location_id")
+    lines = read_landing(spark, path, json_lines=True)
+    return lines.withColumn("ingested_at", F.lit(LANDED_AT).cast("timestamp"))
+
+
 def _usual_feeds(spark, sf_dir, suffix):
-    def lines(label, body, *extra):
-        landed = _landed(spark, sf_dir, body, *extra)
-        parts = ["location_id"] if extra else []
-        return read_landing(spark, _write_lines(landed, label, *parts), json_lines=True)
+    def lines(label, body):
+        return read_landing(spark, _write_lines(_landed(spark, sf_dir, body), label), json_lines=True)
 
     return landing_feeds(
         weather=lines("weather", WEATHER_BODY),
         situations=lines("situation", f"case when event_id % 50 = 1 then '<html>' else {SITUATION_BODY} end"),
         frost=lines("frost", FROST_BODY),
-        forecasts=lines("forecast", FORECAST_BODY, f"{_ALIAS} as location_id"),
+        forecasts=_forecast_lines(spark, sf_dir),
         locations=default_locations(spark),
         suffix=suffix,
     )
 
 
+_STORED_FORECASTS = f"""
+select distinct {_POINT} as mp,
+  case event_id % 4 when 1 then ts when 2 then timestamp '{LANDED_AT}' else ts + interval '1' hour end as run,
+  date_trunc('hour', ts) + interval '1' hour * h as valid_time
+from (select *, unnest([24, 48]) as h from events)
+"""
+
+
+def _refreshed_and_forgotten(spark, feeds):
+    """The report; the tables go from the catalog."""
+    report = refresh(spark, feeds, location=scratch_path(spark, "refresh"))
+    for feed in feeds:
+        spark.sql(f"DROP TABLE IF EXISTS {feed.spec.table}")
+    return report
+
+
 @query(
     "refresh_report",
     f"""
@@ -602,41 +627,32 @@ with weather as (select distinct mp, t from (
 situations as (
   select distinct user_id, ts from events where event_id % 7 <> 0 and event_id % 50 <> 1),
 frost as (select distinct {_POINT} as mp, ts, i // 2 as depth
-  from (select *, unnest(range(0, event_id % 4)) as i from events))
+  from (select *, unnest(range(0, event_id % 4)) as i from events)),
+forecast as ({_STORED_FORECASTS})
 select 'weather' as source, count(*) as rows, cast(null as varchar) as error from weather
 union all select 'situations', count(*), null from situations
 union all select 'frost_depth', count(*), null from frost
+union all select 'forecast', count(*), null from forecast
 union all select 'situations', null, 'not JSON' from events where event_id % 50 = 1
 """,
 )
 def refresh_report(spark, sf_dir):
-    """Three feeds from landed text to keyed tables; one has unusable payloads."""
-    suffix = f"_{uuid.uuid4().hex}"
-    feeds = [f for f in _usual_feeds(spark, sf_dir, suffix) if f.name != "forecast"]
-    return refresh(spark, feeds, location=scratch_path(spark, "refresh"))
+    """All four feeds from landed text to keyed tables; one has unusable payloads."""
+    return _refreshed_and_forgotten(spark, _usual_feeds(spark, sf_dir, f"_{uuid.uuid4().hex}"))
 
 
 @query(
     "refresh_total",
-    f"""
-with readable as (select * from events where event_id % 4 <> 2),
-forecast as (select distinct {_POINT} as mp, {_FORECAST_RUN} as run, date_trunc('hour', ts) as t
-  from readable)
-select cast(2 * count(*) as bigint) as total_rows from forecast
-""",
+    f"select cast(count(*) as bigint) as total_rows from ({_STORED_FORECASTS})",
 )
 def refresh_total(spark, sf_dir):
-    """The forecast feed alone, without the payloads whose run time is unreadable."""
-    suffix = f"_{uuid.uuid4().hex}"
-    body = f"case when event_id % 4 = 2 then '' else {FORECAST_BODY} end"
-    landed = _landed(spark, sf_dir, body, f"{_ALIAS} as location_id")
-    path = _write_lines(landed, "forecast", "location_id")
+    """The forecast feed alone."""
     feeds = landing_feeds(
-        forecasts=read_landing(spark, path, json_lines=True),
+        forecasts=_forecast_lines(spark, sf_dir),
         locations=default_locations(spark),
-        suffix=suffix,
+        suffix=f"_{uuid.uuid4().hex}",
     )
-    return total_rows(refresh(spark, feeds, location=scratch_path(spark, "refresh")))
+    return total_rows(_refreshed_and_forgotten(spark, feeds))
 
 
 @query(

@@ -1,7 +1,5 @@
 """Session conventions and the command line."""
 
-import pytest
-
 from roadcast import __main__ as command
 from roadcast.session import scratch_path, shared_dir, shuffle_partitions, use_checkpoints, use_utc
 
