@@ -27,13 +27,37 @@ def _is_whole(objects: Column, body: str) -> Column:
     )
 
 
-def with_object(landed: DataFrame, schema: str, name: str = "_doc", body: str = "body") -> DataFrame:
-    """Add ``name``: the body parsed by the struct ``schema`` (as "field: TYPE, ..."),
-    or null unless the whole body is exactly one JSON object."""
-    # Parsed in a column of its own, so that two uses do not parse twice.
-    objects = F.col("_objects")
-    only = F.when(_is_whole(objects, body), F.get(objects, F.lit(0)))
-    return landed.withColumn("_objects", _objects(body, schema)).withColumn(name, only).drop("_objects")
+def with_document(
+    landed: DataFrame, schema: str, of_shape: Column, otherwise: Column, name: str, body: str = "body"
+) -> DataFrame:
+    """Add ``name``: ``of_shape``, an expression over ``_doc``, the body parsed by the
+    struct ``schema``, where the whole body is one JSON object with nothing of another
+    type in it; else ``otherwise``, which may take the body apart with more care."""
+    document = F.concat(F.lit('{"v":['), F.col(body), F.lit(',{"__end":"'), F.md5(body), F.lit('"}]}'))
+    kind = f"STRUCT<v: ARRAY<STRUCT<{schema.strip()}, __end: STRING>>, _bad: STRING>"
+    parsed = F.from_json(document, kind, _OPTIONS | {"columnNameOfCorruptRecord": "_bad"})
+    objects = F.col("_parsed.v")
+    fine = F.col("_parsed._bad").isNull() & _is_whole(objects, body)
+    return (
+        landed.withColumn("_parsed", parsed)
+        .withColumn("_doc", F.when(fine, F.get(objects, F.lit(0))))
+        .withColumn(name, F.when(F.col("_doc").isNotNull(), of_shape).otherwise(otherwise))
+        .drop("_parsed", "_doc")
+    )
+
+
+def object_in(body: str, schema: str) -> Column:
+    """The body by the struct ``schema`` where it is one JSON object, else null."""
+    found = F.transform(
+        F.array(_objects(body, schema)),
+        lambda o: F.when(_is_whole(o, body), F.get(o, F.lit(0))),
+    )
+    return F.get(found, F.lit(0))
+
+
+def objects_in(texts: Column, parse) -> Column:
+    """An array of texts as one of parsed objects, null where a text is no object."""
+    return F.transform(texts, lambda t: F.when(looks_like_object(t), parse(t)))
 
 
 def is_object(body: str = "body") -> Column:

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 #
 # Every leaf is read as text and coerced afterwards. A source may or may not quote
 # its numbers and flags, and a leaf declared numeric would turn the other spelling
-# into null. Items of arrays are read as text, too, and parsed one by one: an item of
-# the wrong shape would otherwise turn the array it is in into null.
+# into null. Where something is not of the shape expected, items of arrays are read as
+# text, too, and parsed one by one: an item of another shape turns the array it is in
+# into null.
 
 _POINT = "STRUCT<Id: STRING, Name: STRING, Geometry: STRUCT<WGS84: STRING>>"
 _VALUE = "STRUCT<Value: STRING>"
@@ -26,24 +27,42 @@ Surface: STRUCT<Temperature: {_VALUE}, Water: STRING, Ice: STRING, Snow: STRING,
 Air: STRUCT<Temperature: {_VALUE}, RelativeHumidity: {_VALUE}, Dewpoint: {_VALUE}>
 """
 
-SITUATION_ITEM = """
-Id: STRING, PublicationTime: STRING, VersionTime: STRING, Deviation: ARRAY<STRING>
-"""
+SITUATION_HEAD = "Id: STRING, PublicationTime: STRING, VersionTime: STRING"
 DEVIATION = """
 MessageType: STRING, MessageTypeValue: STRING, MessageCode: STRING, MessageCodeValue: STRING,
 SeverityCode: STRING, StartTime: STRING, EndTime: STRING, Suspended: STRING,
 Geometry: STRUCT<Point: STRUCT<WGS84: STRING>>
 """
 
-FROST_ITEM = f"""
-Measurepoint: {_POINT}, FrostDepth: STRUCT<Sample: STRING, Temperature: ARRAY<STRING>>
-"""
+FROST_HEAD = f"Measurepoint: {_POINT}"
 READING = "SensorName: STRING, Depth: STRING, Value: STRING"
 
-FORECAST_PAYLOAD = "approvedTime: STRING, referenceTime: STRING, timeSeries: ARRAY<STRING>"
-STEP = "validTime: STRING, parameters: ARRAY<STRING>"
+FORECAST_HEAD = "approvedTime: STRING, referenceTime: STRING"
 PARAMETER = "name: STRING, values: ARRAY<STRING>"
 
+# The same with items of the given type, an object's struct or text.
+
+
+def situation_item(deviation: str) -> str:
+    return f"{SITUATION_HEAD}, Deviation: ARRAY<{deviation}>"
+
+
+def frost_item(reading: str) -> str:
+    return f"{FROST_HEAD}, FrostDepth: STRUCT<Sample: STRING, Temperature: ARRAY<{reading}>>"
+
+
+def forecast(step: str) -> str:
+    return f"{FORECAST_HEAD}, timeSeries: ARRAY<{step}>"
+
+
+def forecast_step(parameter: str) -> str:
+    return f"validTime: STRING, parameters: ARRAY<{parameter}>"
+
+
+def struct(fields: str) -> str:
+    return f"STRUCT<{fields.strip()}>"
+
+
 # The way down a payload: field names, and whether a field holds an array of objects.
 _RESULTS = (("RESPONSE", False), ("RESULT", True))
 WEATHER_SHAPE = (*_RESULTS, ("WeatherObservation", True))

@@ -9,11 +9,13 @@ total order that survives shuffles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadcast import schemas
 from roadcast.functions.clean import number_from_text, utc_from_text, whole_from_text
-from roadcast.functions.payload import looks_like_object, with_object
+from roadcast.functions.payload import object_in, objects_in, with_document
 from roadcast.operators.joins import dimension_join
 
 ORDER = ("ingested_at", "payload_id", "_seq")
@@ -34,10 +36,9 @@ def _explode(df: DataFrame, array: str, item: str, place: str) -> DataFrame:
     return exploded.where(F.col(place).isNotNull())
 
 
-def _items(df: DataFrame, array: str, schema: str, item: str, place: str) -> DataFrame:
-    """Explode an array of texts into its objects, parsed by ``schema``."""
-    texts = _explode(df, array, "_text", place).where(looks_like_object(F.col("_text")))
-    return texts.withColumn(item, F.from_json("_text", f"STRUCT<{schema.strip()}>")).drop("_text")
+def _items(df: DataFrame, array: str, item: str, place: str) -> DataFrame:
+    """Explode an array with position, without the items that are no objects."""
+    return _explode(df, array, item, place).where(F.col(item).isNotNull())
 
 
 def _place(*positions: str) -> Column:
@@ -49,20 +50,56 @@ def _place(*positions: str) -> Column:
     return place.alias("_seq")
 
 
-def _results(landed: DataFrame, field: str) -> DataFrame:
-    parsed = with_object(landed, schemas.RESPONSE).drop("body")
-    found = _items(parsed, "_doc.RESPONSE.RESULT", f"{field}: ARRAY<STRING>", "_result", "_r")
-    return found.drop("_doc")
+def _results(landed: DataFrame, field: str, item: str, parse: Callable[[Column], Column]) -> DataFrame:
+    """One row per result, with its ``field``, an array of ``item`` structs. ``parse``
+    makes such a struct of the text of an object with something of another shape."""
+
+    def careful(result: Column) -> Column:
+        texts = F.from_json(result, f"{field} ARRAY<STRING>")[field]
+        return F.struct(objects_in(texts, parse).alias(field))
+
+    documents = with_document(
+        landed,
+        f"RESPONSE: STRUCT<RESULT: ARRAY<STRUCT<{field}: ARRAY<{schemas.struct(item)}>>>>",
+        F.col("_doc.RESPONSE.RESULT"),
+        objects_in(object_in("body", schemas.RESPONSE)["RESPONSE"]["RESULT"], careful),
+        "_results",
+    )
+    return _items(documents.drop("body"), "_results", "_result", "_r").drop("_results")
 
 
 def _weather_items(landed: DataFrame) -> DataFrame:
-    results = _results(landed, "WeatherObservation")
-    return _items(results, "_result.WeatherObservation", schemas.WEATHER_ITEM, "_item", "_o")
+    item = schemas.WEATHER_ITEM
+    results = _results(
+        landed, "WeatherObservation", item, lambda t: F.from_json(t, schemas.struct(item))
+    )
+    return _items(results, "_result.WeatherObservation", "_item", "_o")
+
+
+def _situation_items(landed: DataFrame) -> DataFrame:
+    deviation = schemas.struct(schemas.DEVIATION)
+
+    def parse(text: Column) -> Column:
+        found = F.from_json(text, schemas.struct(schemas.situation_item("STRING")))
+        parts = objects_in(found["Deviation"], lambda t: F.from_json(t, deviation))
+        head = [found[c].alias(c) for c in ("Id", "PublicationTime", "VersionTime")]
+        return F.struct(*head, parts.alias("Deviation"))
+
+    results = _results(landed, "Situation", schemas.situation_item(deviation), parse)
+    return _items(results, "_result.Situation", "_item", "_s")
 
 
 def _frost_items(landed: DataFrame) -> DataFrame:
-    results = _results(landed, "FrostDepthObservation")
-    return _items(results, "_result.FrostDepthObservation", schemas.FROST_ITEM, "_item", "_o")
+    reading = schemas.struct(schemas.READING)
+
+    def parse(text: Column) -> Column:
+        found = F.from_json(text, schemas.struct(schemas.frost_item("STRING")))
+        parts = objects_in(found["FrostDepth"]["Temperature"], lambda t: F.from_json(t, reading))
+        depth = F.struct(found["FrostDepth"]["Sample"].alias("Sample"), parts.alias("Temperature"))
+        return F.struct(found["Measurepoint"].alias("Measurepoint"), depth.alias("FrostDepth"))
+
+    results = _results(landed, "FrostDepthObservation", schemas.frost_item(reading), parse)
+    return _items(results, "_result.FrostDepthObservation", "_item", "_o")
 
 
 def weather_observations(landed: DataFrame) -> DataFrame:
@@ -90,9 +127,7 @@ def weather_observations(landed: DataFrame) -> DataFrame:
 
 def situations(landed: DataFrame) -> DataFrame:
     """One row per deviation of each situation version."""
-    results = _results(landed, "Situation")
-    items = _items(results, "_result.Situation", schemas.SITUATION_ITEM, "_item", "_s")
-    parts = _items(items, "_item.Deviation", schemas.DEVIATION, "_part", "_d")
+    parts = _items(_situation_items(landed), "_item.Deviation", "_part", "_d")
     return parts.select(
         F.col("_item.Id").alias("situation_id"),
         utc_from_text(F.col("_item.PublicationTime")).alias("publication_time"),
@@ -115,7 +150,7 @@ def situations(landed: DataFrame) -> DataFrame:
 def frost_depths(landed: DataFrame) -> DataFrame:
     """One row per sensor reading."""
     items = _frost_items(landed).where(~_fractional_id(F.col("_item.Measurepoint.Id")))
-    parts = _items(items, "_item.FrostDepth.Temperature", schemas.READING, "_part", "_t")
+    parts = _items(items, "_item.FrostDepth.Temperature", "_part", "_t")
     return parts.select(
         whole_from_text(F.col("_item.Measurepoint.Id")).alias("measurepoint_id"),
         F.col("_item.Measurepoint.Name").alias("measurepoint_name"),
@@ -153,26 +188,31 @@ def point_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
     )
     # Joined before anything is parsed: what is not asked for costs nothing further.
     asked = dimension_join(landed, places, ["location_id"], "inner")
-    parsed = with_object(asked, schemas.FORECAST_PAYLOAD).drop("body")
+    parameter = schemas.struct(schemas.PARAMETER)
+    step = schemas.struct(schemas.forecast_step(parameter))
+
+    def careful(text: Column) -> Column:
+        found = F.from_json(text, schemas.struct(schemas.forecast_step("STRING")))
+        named = objects_in(found["parameters"], lambda t: F.from_json(t, parameter))
+        return F.struct(found["validTime"].alias("validTime"), named.alias("parameters"))
+
+    texts = object_in("body", schemas.forecast("STRING"))
+    apart = F.struct(
+        texts["approvedTime"].alias("approvedTime"),
+        texts["referenceTime"].alias("referenceTime"),
+        objects_in(texts["timeSeries"], careful).alias("timeSeries"),
+    )
+    whole = F.struct(*[F.col(f"_doc.{c}").alias(c) for c in ("approvedTime", "referenceTime", "timeSeries")])
+    parsed = with_document(asked, schemas.forecast(step), whole, apart, "_forecast").drop("body")
     # The first field that is not empty is taken, and only then parsed: an
     # unreadable first field gives the ingest time, not the second field.
     raw_run = F.coalesce(
-        F.nullif(F.col("_doc.approvedTime"), F.lit("")),
-        F.nullif(F.col("_doc.referenceTime"), F.lit("")),
-    )
-    steps = _items(
-        parsed.withColumn(
-            "forecast_run_time", F.coalesce(utc_from_text(raw_run), F.col("ingested_at"))
-        ),
-        "_doc.timeSeries",
-        schemas.STEP,
-        "_step",
-        "_t",
-    ).drop("_doc")
-    named = steps.withColumn(
-        "_parameters",
-        F.transform("_step.parameters", lambda p: F.from_json(p, f"STRUCT<{schemas.PARAMETER}>")),
+        F.nullif(F.col("_forecast.approvedTime"), F.lit("")),
+        F.nullif(F.col("_forecast.referenceTime"), F.lit("")),
     )
+    run = F.coalesce(utc_from_text(raw_run), F.col("ingested_at"))
+    steps = _items(parsed.withColumn("forecast_run_time", run), "_forecast.timeSeries", "_step", "_t")
+    named = steps.drop("_forecast")
     return named.select(
         "measurepoint_id",
         "lat",
@@ -191,6 +231,6 @@ def point_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
 
 def _parameter(name: str) -> Column:
     """First value of the last parameter of that name; null when missing or empty."""
-    named = F.filter("_parameters", lambda p: p["name"] == name)
+    named = F.filter("_step.parameters", lambda p: p["name"] == name)
     last = F.try_element_at(named, F.lit(-1))
     return number_from_text(F.get(last["values"], F.lit(0)))
