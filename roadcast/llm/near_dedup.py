@@ -30,9 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roadcast.llm import minhash
 from roadcast.llm.bitmaps import bitmap, maybe_in, surely_out
 from roadcast.llm.graph import components
+from roadcast.llm.minhash import band_keys, bands_for, linked, shingle_sets, signatures
 from roadcast.llm.tables import in_small_batches, settle
 from roadcast.llm.wordhash import WHITE, hashed_words
 from roadcast.operators.joins import skewproof_join
@@ -48,13 +48,13 @@ def _digest(own: np.ndarray) -> bytes:
 
 def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     for row, hashes, counts in hashed_words(column, WHITE):
-        yield row, minhash.shingle_sets(hashes, counts, size)
+        yield row, shingle_sets(hashes, counts, size)
 
 
 def sketches(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """A row per document: ``doc_id, print`` (of its set), ``n`` (its size), ``bands``."""
     kind = docs.schema[id_col].dataType.simpleString()
-    bands = minhash.bands_for(percent / 100, BAND_ROWS)
+    bands = bands_for(percent / 100, BAND_ROWS)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,7 +62,7 @@ def sketches(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
                 full = [s for s in sets if len(s)]
                 keys = np.empty((0, bands), np.int64)
                 if full:
-                    keys = minhash.band_keys(minhash.signatures(full, bands * BAND_ROWS), BAND_ROWS)
+                    keys = band_keys(signatures(full, bands * BAND_ROWS), BAND_ROWS)
                 upto = np.cumsum([0, *(bands if len(s) else 0 for s in sets)])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -214,7 +214,7 @@ def _joining(left: list[tuple], right: list[tuple], percent: int) -> list[tuple]
             (a, b)
             for a in left
             for b in right
-            if top(a[1]) != top(b[1]) and minhash.linked(a[2], b[2], percent)
+            if top(a[1]) != top(b[1]) and linked(a[2], b[2], percent)
         )
     else:
         both = _common([a[2] for a in left], [b[2] for b in right])
