@@ -16,7 +16,8 @@ documents are shuffled.
 
 Words are `[a-z0-9]` and everything beyond ASCII, A-Z lower-cased. Defined results: null
 and empty texts have no words; items without words or id match nothing. Rows that repeat
-an id are judged by their own texts. Items that repeat a text all count, each by its id.
+an id are judged by their own texts. Items that repeat a text all count, each by its id;
+an item that repeats an id with another text is looked for as well, and the id counts once.
 """
 
 from __future__ import annotations
@@ -48,17 +49,21 @@ def _in(bits: bytes, hashes: np.ndarray) -> np.ndarray:
     return (table[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def _key(own: Column) -> Column:
+    """128 bits of a sequence of words, none of which holds a space."""
+    return F.unhex(F.md5(F.concat_ws(" ", own)))
+
+
 def distinct_items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row per distinct sequence of words: ``item`` (its smallest id), ``words``,
-    ``terms`` (their hashes)."""
+    """A row per distinct sequence of words: ``item`` (its key, as an id may have several
+    texts), ``words``, ``terms`` (their hashes)."""
     texts = (
         items.filter(F.col(id_col).isNotNull())
-        .select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("words"))
+        .select(words(F.col(text_col)).alias("words"))
         .filter(F.size("words") > 0)
-        .groupBy("words")
-        .agg(F.min("item_id").alias("item"))
+        .distinct()
+        .select(_key(F.col("words")).alias("item"), "words")
     )
-    kind = texts.schema["item"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,7 +73,7 @@ def distinct_items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
             )
 
     return texts.select("item", "words").mapInArrow(
-        hashed, f"item {kind}, words array<string>, terms array<bigint>"
+        hashed, "item binary, words array<string>, terms array<bigint>"
     )
 
 
@@ -200,7 +205,6 @@ def _confirmed(docs: DataFrame, where: DataFrame, items: DataFrame, window: int,
     """Words hit and items found, for the candidate documents:
     ``doc_id, print, n_hit, items``."""
     kind = docs.schema[id_col].dataType.simpleString()
-    item_kind = items.schema["item"].dataType.simpleString()
     asked = (
         where.join(items.select("item", F.concat_ws(" ", "words").alias("words")), "item")
         .groupBy(F.col("doc_id").alias("c_id"), F.col("print").alias("c_print"))
@@ -222,13 +226,12 @@ def _confirmed(docs: DataFrame, where: DataFrame, items: DataFrame, window: int,
                 n_hit, own = _matches(doc.as_py(), asked.as_py(), window)
                 hits.append(n_hit)
                 found.append(own)
-            item_type = batch.schema.field(3).type.value_type.field("item").type
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(hits, pa.int64()), pa.array(found, pa.list_(item_type))],
+                [batch.column(0), batch.column(1), pa.array(hits, pa.int64()), pa.array(found, pa.list_(pa.binary()))],
                 ["doc_id", "print", "n_hit", "items"],
             )
 
-    confirmed = in_small_batches(rows).mapInArrow(compare, f"doc_id {kind}, print long, n_hit long, items array<{item_kind}>")
+    confirmed = in_small_batches(rows).mapInArrow(compare, f"doc_id {kind}, print long, n_hit long, items array<binary>")
     return confirmed.groupBy("doc_id", "print").agg(
         F.max("n_hit").alias("n_hit"), F.first("items").alias("items")
     )
@@ -275,10 +278,9 @@ def contamination(
         _confirmed(docs, candidates(index, probing), known, window, id_col, text_col).filter("n_hit > 0"),
         "benchmark-matches",
     )
-    named = items.filter(F.col(item_id).isNotNull()).select(
-        F.col(item_id).alias("item_id"), words(F.col(item_text)).alias("words")
-    )
-    ids = named.join(known, "words").select("item", F.col("item_id").cast("string").alias("item_id"))
+    ids = items.filter(F.col(item_id).isNotNull()).select(
+        _key(words(F.col(item_text))).alias("item"), F.col(item_id).cast("string").alias("item_id")
+    ).distinct()
     listed = (
         confirmed.select("doc_id", "print", "n_hit", F.explode("items").alias("item"))
         .join(ids, "item")

@@ -77,6 +77,16 @@ def test_clean_documents_stay(spark, tables):
     assert sorted([(r.doc_id, r.text) for r in left.collect()], key=repr) == sorted(want, key=repr)
 
 
+def test_two_texts_under_one_id(spark):
+    texts = [" ".join(f"{w}{k}" for k in range(20)) for w in "abc"]
+    items = [(1, texts[0]), (1, texts[1]), (2, texts[1]), (2, texts[2])]
+    docs = [(i, t) for i, t in enumerate([*texts, " ".join(texts), "nothing of it", texts[2][:40]])]
+    frame, known = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    found = dc.contamination(frame, known).drop("print")
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(docs, items)
+    assert {r.doc_id for r in dc.keep_clean(frame, known).collect()} == {4, 5}
+
+
 def test_empty_tables(spark, tables):
     docs, items = tables
     none, no_items = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
