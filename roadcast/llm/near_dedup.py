@@ -17,8 +17,8 @@ band with a probability of at most 0.00001. Shingles are 64-bit hashes.
 
 Defined results: null and empty texts, and those of white space, have empty sets and are
 linked with nothing. A row with a null id is linked with nothing and kept. Rows that
-repeat an id and text are one document several times, with the same result. Other
-columns are ignored.
+repeat an id and text are one document several times, with the same result; rows that
+repeat an id with another text are documents of their own. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,13 +52,14 @@ def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]
 
 
 def sketches(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """A row per document: ``doc_id, print`` (of its set), ``n`` (its size), ``bands``."""
+    """A row per document: ``doc_id, mark`` (of its text), ``print`` (of its set), ``n``
+    (its size), ``bands``."""
     kind = docs.schema[id_col].dataType.simpleString()
     bands = bands_for(percent / 100, BAND_ROWS)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, sets in _sets(batch.column(1), size):
+            for row, sets in _sets(batch.column(2), size):
                 full = [s for s in sets if len(s)]
                 keys = np.empty((0, bands), np.int64)
                 if full:
@@ -67,22 +68,28 @@ def sketches(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, len(sets)),
+                        batch.column(1).slice(row, len(sets)),
                         pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(keys.reshape(-1))),
                     ],
-                    ["doc_id", "print", "n", "bands"],
+                    ["doc_id", "mark", "print", "n", "bands"],
                 )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return in_small_batches(rows).mapInArrow(sketch, f"doc_id {kind}, print binary, n long, bands array<long>")
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
+    )
+    return in_small_batches(rows).mapInArrow(
+        sketch, f"doc_id {kind}, mark long, print binary, n long, bands array<long>"
+    )
 
 
 def _classes(sketched: DataFrame) -> DataFrame:
-    """A row per distinct set: ``id``, its smallest document, ``print, n, bands``."""
+    """A row per distinct set: ``id``, its print, ``doc_id, mark`` of its smallest
+    document, ``n, bands``. An id of documents may have several texts, a print has one set."""
     rows = sketched.filter("n > 0 and doc_id is not null")
-    best = rows.groupBy("print").agg(F.min(F.struct("doc_id", "n", "bands")).alias("c"))
-    return best.select(F.col("c.doc_id").alias("id"), "print", "c.n", "c.bands")
+    best = rows.groupBy("print").agg(F.min(F.struct("doc_id", "mark", "n", "bands")).alias("c"))
+    return best.select(F.col("print").alias("id"), "c.doc_id", "c.mark", "c.n", "c.bands")
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
@@ -232,57 +239,54 @@ def _joining(left: list[tuple], right: list[tuple], percent: int) -> list[tuple]
 def _compare(groups: DataFrame, classes: DataFrame, roots: DataFrame | None, docs: DataFrame,
              size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Links ``a, b`` between the two sides of each group."""
-    asked = settle(groups, "groups")
-    own = classes.select("id", "print")
+    own = classes.select("id", "doc_id", "mark")
     if roots is not None:
         own = own.join(roots.withColumnRenamed("node", "id"), "id", "left")
     else:
         own = own.withColumn("root", F.col("id"))
-    texts = maybe_in(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", bitmap(asked, "id")
+    asked = groups.join(own, "id").select(
+        F.xxhash64("group").alias("g"), "side", "id", "doc_id", "mark", F.coalesce("root", "id").alias("root")
     )
+    asked = settle(asked, "groups")
+    texts = maybe_in(
+        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", bitmap(asked, "doc_id")
+    ).withColumn("mark", F.xxhash64("text"))
     rows = (
-        asked.join(own, "id")
-        .select("group", "side", "id", "print", F.coalesce("root", "id").alias("root"))
-        .join(texts, "id")
-        .select(F.xxhash64("group").alias("g"), "side", "id", "print", "root", "text")
+        asked.join(texts, ["doc_id", "mark"])
+        .select("g", "side", "id", "root", "text")
         .repartition("g")
         .sortWithinPartitions("g", "side", "id")
     )
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, sides = None, ({}, {})
         for batch in batches:
             found = []
-            columns = [batch.column(k).to_pylist() for k in range(5)]
-            for row, sets in _sets(batch.column(5), size):
+            columns = [batch.column(k).to_pylist() for k in range(4)]
+            for row, sets in _sets(batch.column(4), size):
                 for k, own in enumerate(sets, row):
-                    g, side, node, mark, root = (c[k] for c in columns)
+                    g, side, node, root = (c[k] for c in columns)
                     if g != group:
                         found += _joining(*(list(s.values()) for s in sides), percent)
                         group, sides = g, ({}, {})
-                    if _digest(own) == mark:  # else another text under the same id
+                    if _digest(own) == node:  # else another text of the same mark
                         sides[side][node] = (node, root, own)
             if found:
-                yield _links(found, batch.schema.field(2).type)
-            kind_of_id = batch.schema.field(2).type
+                yield _links(found)
         if group is not None:
             found = _joining(*(list(s.values()) for s in sides), percent)
             if found:
-                yield _links(found, kind_of_id)
+                yield _links(found)
 
-    def _links(found, kind_of_id):
-        return pa.RecordBatch.from_arrays([pa.array(c, kind_of_id) for c in zip(*found)], ["a", "b"])
+    def _links(found):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
 
-    found = in_small_batches(rows).mapInArrow(compare, f"a {kind}, b {kind}")
+    found = in_small_batches(rows).mapInArrow(compare, "a binary, b binary")
     return settle(found, "links")
 
 
-def near_groups(
-    docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """A row per document: ``doc_id, n_shingles, component_id, kept``."""
+def _judged(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """A row per document: ``doc_id, mark, n_shingles, component_id, kept``."""
     sketched = settle(sketches(docs, size, percent, id_col, text_col), "sketches")
     classes = settle(_classes(sketched), "classes")
     buckets = settle(_buckets(classes), "buckets")
@@ -290,29 +294,49 @@ def near_groups(
     stars = _compare(_star_groups(buckets, percent), classes, None, *how)
     roots = settle(components(stars), "roots")
     rest = _compare(_rest_groups(buckets, roots), classes, roots, *how)
-    roots = components(stars.unionByName(rest))
-    of_class = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-        "print", F.coalesce("root", "id").alias("component_id")
+    roots = components(stars.unionByName(rest)).withColumnRenamed("node", "id")
+    # The document that stays is the smallest of the classes that links connect.
+    first = classes.select("id", F.struct("doc_id", "mark").alias("own"))
+    tied = settle(first.join(roots, "id"), "tied-classes")
+    best = tied.groupBy("root").agg(F.min("own").alias("best"))
+    tied = skewproof_join(tied.select("id", "root"), best, ["root"], "inner").select("id", "best")
+    of_class = first.join(tied, "id", "left").select(
+        F.col("id").alias("print"), F.coalesce("best", "own").alias("best")
     )
     found = skewproof_join(sketched, of_class, ["print"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    linked_id = F.col("doc_id").isNotNull() & F.col("best").isNotNull()
+    stays = (F.col("doc_id") == F.col("best.doc_id")) & (F.col("mark") == F.col("best.mark"))
     return found.select(
         "doc_id",
+        "mark",
         F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        component.eqNullSafe(F.col("doc_id")).alias("kept"),
+        F.when(linked_id, F.col("best.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(linked_id, stays).otherwise(True).alias("kept"),
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without those that duplicate one with a smaller id, with the
-    columns they came with. Only texts of dropped documents are shuffled."""
-    found = near_groups(docs, id_col=id_col, text_col=text_col, **options)
-    dropped = settle(found.filter("not kept").select(F.col("doc_id").alias("__id")).distinct(), "near-copies")
+def near_groups(
+    docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """A row per document: ``doc_id, n_shingles, component_id, kept``."""
+    return _judged(docs, size, percent, id_col, text_col).drop("mark")
+
+
+def keep_one(
+    docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents without those that duplicate one with a smaller id, or with the same
+    id and a smaller mark, with the columns they came with. Only texts of rows that share
+    an id with a dropped one are shuffled."""
+    found = _judged(docs, size, percent, id_col, text_col).filter("not kept")
+    dropped = found.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    dropped = settle(dropped, "near-copies")
     inner = {c: f"__in_{i}" for i, c in enumerate(docs.columns)}
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
     pages = bitmap(dropped, "__id")
     checked = maybe_in(rows, inner[id_col], pages).join(
-        dropped, F.col(inner[id_col]) == F.col("__id"), "left_anti"
+        dropped,
+        (F.col(inner[id_col]) == F.col("__id")) & (F.xxhash64(inner[text_col]) == F.col("__mark")),
+        "left_anti",
     )
     return surely_out(rows, inner[id_col], pages).unionByName(checked).toDF(*docs.columns)

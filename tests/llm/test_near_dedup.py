@@ -89,6 +89,20 @@ def test_one_document_of_each_group_stays(spark, rows):
     assert {r.doc_id for r in left.collect()} == want
 
 
+def test_one_id_with_two_texts(spark):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(60)) for w in "abc")
+    rows = [(1, a), (2, a + " end"), (2, b), (3, b + " end"), (3, c), (4, c), (5, c + " end"), (5, c + " fin")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    left = [tuple(r) for r in near_dedup.keep_one(docs).collect()]
+    assert sorted(left) == [(1, a), (2, b), (3, c)]
+    found = [(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_groups(docs).collect()]
+    assert sorted(found) == [(1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False), (3, 3, True),
+                             (4, 3, False), (5, 3, False), (5, 3, False)]
+    twins = [(7, a), (7, a + " end"), (7, a.upper()), (7, c)]
+    left = [tuple(r) for r in near_dedup.keep_one(spark.createDataFrame(twins, SCHEMA)).collect()]
+    assert len(left) == 2 and (7, c) in left
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert near_dedup.near_groups(docs).count() == 0
