@@ -67,7 +67,7 @@ def _small_parts(value: Column) -> Column:
     """Whether every number between the dots is at most 255."""
     return F.forall(
         F.split(value, r"\."),
-        lambda p: F.coalesce(F.regexp_extract(p, "^0*([0-9]{1,3})$", 1).cast("int") <= 255, F.lit(False)),
+        lambda p: F.coalesce(F.regexp_extract(p, "^0*([0-9]{1,3})$", 1).try_cast("int") <= 255, F.lit(False)),
     )
 
 
