@@ -20,9 +20,16 @@ import unicodedata
 import numpy as np
 
 _FIRST_FAR = 0x250  # letters from here on may be composed, decomposed or change length
-# Not plain: far letters, the one near letter whose lower case is two, control characters
-# that only one of the libraries takes for white space.
-_FAR = re.compile("[^\x00-\x1b\x20-\u012f\u0131-\u024f]")
+
+
+def _plain_characters() -> str:
+    """Near characters whose lower case is one near character; not the control characters
+    that only one of the libraries takes for white space."""
+    near = (chr(c) for c in range(_FIRST_FAR) if not 0x1C <= c <= 0x1F)
+    return "".join(c for c in near if len(c.lower()) == 1 and ord(c.lower()) < _FIRST_FAR)
+
+
+_FAR = re.compile(f"[^{re.escape(_plain_characters())}]")
 _LONGEST = 2000  # longer parts are left to the file's own library
 # Fixed values of the vocabulary files: the characters that stand for bytes.
 _SHOWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from roadcast.llm import packing
-from roadcast.llm.tokens import Encoder
+from roadcast.llm.tokens import _FAR, Encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string"
@@ -37,6 +37,19 @@ def test_ids_are_those_of_the_library(spark, library):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference(library, text)
 
 
+def test_plain_characters_alone_in_pairs_and_beside_words(library):
+    encoder = Encoder(PATH, 0)
+    assert encoder._merges is not None
+    plain = [c for c in map(chr, range(0x300)) if not _FAR.search(c)]
+    assert len(plain) > 500 and "\u018f" not in plain and "A" in plain
+    texts = list(map(chr, range(0x300))) + ["AZ\u018fRBAYCAN", "\u0181\u0190"]
+    texts += ["".join(a + b for b in plain) + " " + " ".join(a + b for b in plain) for a in plain]
+    for word in ("the", "don't", "x1", "9", "--"):
+        texts += [f"{c}{word} {word}{c} {word}{c}{word}" for c in plain]
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference(library, text), text
+
+
 def test_every_entry_of_the_vocabulary_comes_out_of_its_own_pair(library):
     """What makes joining by the rank of the whole the same as by the rank of the pair."""
     import json
