@@ -16,10 +16,12 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
 def _table(separators: bytes) -> np.ndarray:
-    """Each byte lower-cased, or 0 for one between words."""
+    """Each byte lower-cased, or 0 for one between words. NUL inside words counts as 255,
+    a byte that no text in UTF-8 holds."""
     table = np.arange(256, dtype=np.uint8)
     table[65:91] += 32
-    for b in (0, *separators):
+    table[0] = 255
+    for b in separators:
         table[b] = 0
     table.flags.writeable = False
     return table

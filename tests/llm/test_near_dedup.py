@@ -59,7 +59,8 @@ def family(seed, n, words=120, edits=4):
     return out
 
 
-EDGES = [None, "", " \t\x0b", "One", "one", "one two", "one  TWO", "one two three", "é " * 5, "a" * 70_000]
+EDGES = [None, "", " \t\x0b", "One", "one", "one two", "one  TWO", "one two three", "é " * 5, "a" * 70_000,
+         "a\x00b c d", "a b c d", "\x00", "a\x00 b c d"]
 
 
 @pytest.fixture(scope="module")
@@ -145,7 +146,7 @@ def test_bands_follow_from_the_threshold():
 
 @pytest.mark.parametrize("table", [WHITE, PUNCTUATION])
 def test_words_are_the_same_in_windows_of_any_size(monkeypatch, table):
-    texts = ["", None, "a b", "  x", "Ab-c1 é", "y" * 300 + " z", "\n".join("word%d" % i for i in range(400)), "z"]
+    texts = ["", None, "a b", "  x", "Ab-c1 é", "n\x00l", "y" * 300 + " z", "\n".join("word%d" % i for i in range(400)), "z"]
 
     def all_words():
         hashes, counts = [], []
@@ -155,6 +156,7 @@ def test_words_are_the_same_in_windows_of_any_size(monkeypatch, table):
         return hashes, counts
 
     whole = all_words()
+    assert whole[1][5] == (1 if table is WHITE else 2)
     assert whole[1][:4] == [0, 0, 2, 1] and len(whole[0]) == sum(whole[1])
     assert word_hash(["a", "b"]).tolist() == whole[0][:2]
     for window in (1, 7, 64):
