@@ -15,9 +15,11 @@ bitmap of the terms, of fixed size however large the benchmark. Only texts of ca
 documents are shuffled.
 
 Words are `[a-z0-9]` and everything beyond ASCII, A-Z lower-cased. Defined results: null
-and empty texts have no words; items without words or id match nothing. Rows that repeat
-an id are judged by their own texts. Items that repeat a text all count, each by its id;
-an item that repeats an id with another text is looked for as well, and the id counts once.
+and empty texts have no words; items without words match nothing. An item without id is
+looked for like any other: its passages count as hit, but it is in no list or number of
+items. Rows that repeat an id are judged by their own texts. Items that repeat a text all
+count, each by its id; an item that repeats an id with another text is looked for as well,
+and the id counts once.
 """
 
 from __future__ import annotations
@@ -54,12 +56,11 @@ def _key(own: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws(" ", own)))
 
 
-def distinct_items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def distinct_items(items: DataFrame, text_col: str) -> DataFrame:
     """A row per distinct sequence of words: ``item`` (its key, as an id may have several
     texts), ``words``, ``terms`` (their hashes)."""
     texts = (
-        items.filter(F.col(id_col).isNotNull())
-        .select(words(F.col(text_col)).alias("words"))
+        items.select(words(F.col(text_col)).alias("words"))
         .filter(F.size("words") > 0)
         .distinct()
         .select(_key(F.col("words")).alias("item"), "words")
@@ -267,7 +268,7 @@ def contamination(
     """A row per document: ``doc_id, print, n_words, n_hit, n_items, items_sha256,
     contaminated``. A document is contaminated when at least one word in ``share`` lies
     inside a matching window."""
-    known = settle(distinct_items(items, item_id, item_text), "benchmark-items")
+    known = settle(distinct_items(items, item_text), "benchmark-items")
     vocabulary = known.select(F.explode("terms").alias("term"))
     counts = term_counts(docs, text_col, collect_bitmap(vocabulary, "term"))
     probing = settle(probes(known, counts, window), "benchmark-probes")
@@ -283,7 +284,7 @@ def contamination(
     ).distinct()
     listed = (
         confirmed.select("doc_id", "print", "n_hit", F.explode("items").alias("item"))
-        .join(ids, "item")
+        .join(ids, "item", "left")
         .groupBy(F.col("doc_id").alias("c_id"), F.col("print").alias("c_print"))
         .agg(F.max("n_hit").alias("hit"), F.array_sort(F.collect_set("item_id")).alias("ids"))
     )

@@ -113,7 +113,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
       select item_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
-      from benchmark where item_id is not null
+      from benchmark
     ), bw as (
       select distinct item_id, k, array_to_string(ws[i : i + k - 1], ' ') as gram
       from (select item_id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) as i

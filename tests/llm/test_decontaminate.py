@@ -25,13 +25,13 @@ def brute(docs, items):
         for item, passage in items:
             asked = words(passage)
             k = min(13, len(asked))
-            if item is None or not k:
+            if not k:
                 continue
             for i in range(len(asked) - k + 1):
                 for j in range(len(own) - k + 1):
                     if own[j : j + k] == asked[i : i + k]:
                         hit.update(range(j, j + k))
-                        found.add(item)
+                        found.update(() if item is None else (item,))
         ids = ",".join(sorted(map(str, found)))
         out.append((doc, len(own), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(),
                     bool(hit) and 20 * len(hit) >= len(own)))
@@ -47,7 +47,7 @@ def tables():
         return [rng.choice(vocabulary) for _ in range(n)]
 
     items = [(i, " ".join(prose(rng.randrange(5, 40)))) for i in range(20)]
-    items += [(30, "short one"), (31, "short one"), (32, None), (33, "!?"), (None, "w1 w2"), (34, "the the the the")]
+    items += [(30, "short one"), (31, "short one"), (32, None), (33, "!?"), (None, "w1 w2"), (None, " ".join(prose(20))), (34, "the the the the")]
     docs = [(1, None), (2, ""), (3, "--"), (4, "Short-ONE"), (5, "the " * 30), (6, "x" * 60_000)]
     for i in range(10, 60):
         own = prose(rng.randrange(1, 200))
@@ -87,6 +87,15 @@ def test_two_texts_under_one_id(spark):
     assert {r.doc_id for r in dc.keep_clean(frame, known).collect()} == {4, 5}
 
 
+def test_passages_without_an_id_count(spark):
+    passage = " ".join(f"p{k}" for k in range(20))
+    docs, items = [(1, f"so {passage} it is"), (2, "clean")], [(None, passage)]
+    frame, known = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    found = sorted(dc.contamination(frame, known).collect())
+    assert [(r.n_hit, r.n_items, r.contaminated) for r in found] == [(20, 0, True), (0, 0, False)]
+    assert [r.doc_id for r in dc.keep_clean(frame, known).collect()] == [2]
+
+
 def test_empty_tables(spark, tables):
     docs, items = tables
     none, no_items = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
@@ -100,7 +109,7 @@ def test_proximity(spark, slack):
     item = "alpha beta gamma delta"
     texts = ["alpha beta gamma delta", "alpha x beta gamma delta", "x alpha y y beta", "beta alpha", "alpha beta"]
     docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
-    known = dc.distinct_items(spark.createDataFrame([(7, item)], ITEMS), "item_id", "text")
+    known = dc.distinct_items(spark.createDataFrame([(7, item)], ITEMS), "text")
     counts = spark.createDataFrame([], "term long, n long")
     probing = dc.probes(known, counts).cache()  # no term was counted: the first two are the rarest
     index = dc.build_index(docs, collect_bitmap(probing, "term"), "doc_id", "text")
@@ -116,7 +125,7 @@ def test_proximity(spark, slack):
 
 
 def test_probes_are_the_rarest_of_each_window(spark):
-    known = dc.distinct_items(spark.createDataFrame([(1, "a b c d")], ITEMS), "item_id", "text").cache()
+    known = dc.distinct_items(spark.createDataFrame([(1, "a b c d")], ITEMS), "text").cache()
     terms = known.first().terms
     counts = spark.createDataFrame(list(zip(terms, [5, 1, 9, 2])), "term long, n long")
     found = dc.probes(known, counts, window=2).collect()
