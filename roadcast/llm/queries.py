@@ -11,6 +11,7 @@ from roadcast.llm import (
     decontaminate,
     exact_dedup,
     language,
+    line_dedup,
     near_dedup,
     packing,
     private,
@@ -378,3 +379,27 @@ _SECRET_SQL = (
 @query("op3_secret_scan", _SECRET_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.report(credentials.secrets(read(spark, sf_dir, "documents")))
+
+
+@query(
+    "op11_line_dedup",
+    """
+    with d as (
+      select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents
+    ), l as (
+      select doc_id, i, ls[i] as line,
+             translate(trim(ls[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13)),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+      from (select doc_id, ls, unnest(generate_series(1, len(ls))) as i from d)
+    ), r as (
+      select key, max(doc_id) as last from l
+      where length(key) >= 20 group by key having count(distinct doc_id) >= 3
+    )
+    select doc_id, count(*) as n_lines, count(*) filter (last is not null and doc_id <> last) as n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) order by i) filter (last is null or doc_id = last), ''))
+             as kept_sha256
+    from l left join r using (key) group by doc_id
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read(spark, sf_dir, "documents"))
