@@ -8,6 +8,7 @@ exactly afterwards.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 BITS = 1 << 24
@@ -63,3 +64,10 @@ def collect_bitmap(keys: DataFrame, key: str) -> bytes:
         start = row["__page"] * (_PAGE // 8)
         out[start : start + _PAGE // 8] = row["__bits"]
     return bytes(out)
+
+
+def held(bits: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes have their bit in a bitmap of `collect_bitmap`."""
+    place = hashes & np.uint64(BITS - 1)
+    table = np.frombuffer(bits, np.uint8)
+    return (table[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1

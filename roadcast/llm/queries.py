@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadcast.llm import (
     chat,
+    collocations,
     credentials,
     decontaminate,
     exact_dedup,
@@ -403,3 +404,42 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_collocations",
+    r"""
+    with p as (
+      select coalesce(lang, 'und') as lang, row_number() over () as piece, regexp_extract_all(
+        translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09]+') as ws
+      from (select lang, unnest(string_split_regex(coalesce(text, ''), '[.,;:!?\x0A-\x0D]')) as part from documents)
+    ), totals as (
+      select lang, sum(len(ws))::bigint as n from p group by lang
+    ), grams as (
+      select lang, size, array_to_string(ws[i : i + size - 1], ' ') as phrase
+      from (select lang, ws, size, unnest(generate_series(1, len(ws) - size + 1)) as i
+            from p, (select unnest([1, 2, 3, 4, 5]) as size) where len(ws) >= size)
+    ), f as materialized (
+      select lang, size, phrase, count(*) as f from grams group by all having count(*) >= 100
+    ), cuts as (
+      select lang, phrase, f as a, k, array_to_string(ws[:k], ' ') as first, array_to_string(ws[k + 1 :], ' ') as rest
+      from (select *, string_split(phrase, ' ') as ws, unnest(generate_series(1, size - 1)) as k from f where size > 1)
+    ), scored as (
+      select c.lang, c.phrase, a, x.f as l, y.f as r, n,
+             (1000::hugeint * a * n // (x.f::hugeint * y.f))::bigint as score, k
+      from cuts c join f x on x.lang = c.lang and x.phrase = c.first
+      join f y on y.lang = c.lang and y.phrase = c.rest join totals t on t.lang = c.lang
+    ), best as (
+      select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+    ), kept as (
+      select * from best b
+      where not exists (select 1 from f g where g.lang = b.lang and g.f >= b.a and g.phrase <> b.phrase
+                        and contains(' ' || g.phrase || ' ', ' ' || b.phrase || ' '))
+    )
+    select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+           phrase, a, l, r, n, score
+    from kept qualify rank <= 2000
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
