@@ -15,6 +15,7 @@ from roadcast.llm import (
     line_dedup,
     near_dedup,
     packing,
+    periodic,
     private,
     quality,
     warc,
@@ -443,3 +444,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return periodic.report(periodic.periodic_runs(docs, rewrite=periodic.planted))
