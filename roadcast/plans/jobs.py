@@ -46,7 +46,7 @@ from roadcast.session import path_exists, remove_path, scratch_path, use_utc
 from roadcast.sources.extract import weather_observations
 from roadcast.sources.landing import answered, read_landing
 from roadcast.sources.locations import default_locations, read_locations
-from roadcast.sources.tables import ensure_table, read_table
+from roadcast.sources.tables import ensure_table, read_table, table_zones
 
 
 def _locations(spark: SparkSession, path: str | None) -> DataFrame:
@@ -219,9 +219,9 @@ def serve(
     stored = _stored(spark, schemas.PREDICTION, tables, with_date=True)
     if stored is None:
         return {}
-    # The newest run is that of all rows, found in one column; then only the dates that
-    # can be shown are read, however often.
-    newest = stored.select(F.max("forecast_run_time").alias("run"))
+    # The newest run is that of all rows, told by the zones without reading them; then
+    # only the dates that can be shown are read, however often.
+    newest = table_zones(spark, schemas.PREDICTION).agg(F.max("last_run").alias("run"))
     newest = newest.select(F.unix_micros("run").alias("micros")).first().micros
     start = floor_hour(now)
     end = start + dt.timedelta(hours=HORIZON_WINDOW_HOURS)

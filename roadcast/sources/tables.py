@@ -1,7 +1,11 @@
 """Keyed tables: create, read, align, upsert.
 
-Tables are partitioned Parquet in the session's catalog. Each primary key contains
-the event time, so an upsert only ever rewrites the event dates it brings.
+The catalog has a table's columns and properties; which files hold its rows is told by
+numbered versions (see ``snapshots``), so `read_table` is the way to read it. Each primary
+key contains the event time, so a key only ever lives on one event date.
+
+An upsert reads the key columns of the files that may hold an incoming key, rewrites those
+that do hold one, adds files for what is new, and carries all other files over.
 
 Which row of a key stays: where the table records ``ingested_at``, the one ingested last,
 so that a payload that comes late does not overwrite a newer one; of rows ingested at the
@@ -10,11 +14,7 @@ same time, and in tables without that column, the one written last.
 
 from __future__ import annotations
 
-import contextlib
-import hashlib
-import os
-import time
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -22,26 +22,17 @@ from roadcast.functions.clean import keep_columns
 from roadcast.operators.dedup import input_order, keep_last
 from roadcast.operators.joins import same_keys
 from roadcast.schemas import TableSpec
-from roadcast.session import (
-    create_note,
-    modified,
-    path_exists,
-    read_note,
-    remove_path,
-    scratch_path,
-    shared_dir,
-    write_note,
-)
+from roadcast.session import remove_path, scratch_path
+from roadcast.sources import snapshots
 
 INGESTED = "ingested_at"
-# A writer that holds a table for longer is taken to be gone.
-LOCK_HOURS = 24
+# How often a writer starts again because others changed the same dates meanwhile.
+ATTEMPTS = 20
 
 
 def ensure_table(spark: SparkSession, spec: TableSpec, *, location: str | None = None) -> str:
     """Create the table unless it exists; key and event time go into its properties.
-    Data that ``location`` holds already, as known to another catalog, is taken in."""
-    known = spark.catalog.tableExists(spec.table)
+    Versions that ``location`` holds already, as known to another catalog, count."""
     quoted = {
         "primary_key": ",".join(spec.primary_key),
         "event_time": spec.event_time,
@@ -54,8 +45,6 @@ def ensure_table(spark: SparkSession, spec: TableSpec, *, location: str | None =
         f"CREATE TABLE IF NOT EXISTS {spec.table} ({spec.columns}, event_date DATE) "
         f"USING parquet PARTITIONED BY (event_date) {at} TBLPROPERTIES ({properties})"
     )
-    if location and not known and path_exists(spark, location):
-        spark.catalog.recoverPartitions(spec.table)
     return spec.table
 
 
@@ -70,14 +59,42 @@ def table_properties(spark: SparkSession, spec: TableSpec) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {spec.table}").collect()}
 
 
-def read_table(spark: SparkSession, spec: TableSpec, *, with_date: bool = False) -> DataFrame:
-    """The table of that name and version, as last written by any session.
-    ``with_date`` keeps the partition column, for filters that should prune by it."""
-    spark.catalog.refreshTable(spec.table)
-    df = spark.table(spec.table)
+def read_table(
+    spark: SparkSession, spec: TableSpec, *, with_date: bool = False, version: int | None = None
+) -> DataFrame:
+    """The table of that name, as last written by any session or as of a version of its
+    own. What is written later does not change the frame. ``with_date`` keeps the
+    partition column, for filters that should prune by it."""
+    root = table_location(spark, spec)
+    files = snapshots.manifest(spark, spec, root, version)
+    df = snapshots.rows_of(spark, spec, root, files)
     return df if with_date else df.drop("event_date")
 
 
+def table_versions(spark: SparkSession, spec: TableSpec) -> list[int]:
+    """The versions that can be read, the newest last."""
+    return snapshots.versions(spark, table_location(spark, spec))
+
+
+def table_zones(spark: SparkSession, spec: TableSpec, *, version: int | None = None) -> DataFrame:
+    """What is known of each event date without reading a row: ``event_date, files, rows,
+    first, last`` (event time), ``first_run, last_run`` and ``last_ingested``."""
+    files = snapshots.manifest(spark, spec, table_location(spark, spec), version)
+    return files.groupBy("event_date").agg(
+        F.count("*").alias("files"),
+        F.sum("rows").alias("rows"),
+        *[F.min(c).alias(c) for c in ("first", "first_run")],
+        *[F.max(c).alias(c) for c in ("last", "last_run", "last_ingested")],
+    )
+
+
+def expire_versions(
+    spark: SparkSession, spec: TableSpec, *, keep: int = 1, older_than_hours: float = 24.0
+) -> int:
+    """Drop all but the newest versions and the files that only they had."""
+    return snapshots.expire(spark, spec, table_location(spark, spec), keep, older_than_hours)
+
+
 def align_to_table(
     spark: SparkSession,
     df: DataFrame,
@@ -148,76 +165,68 @@ def upsert(
     the dedup of ``df`` (on the primary key unless told otherwise). An empty ``order``
     says that ``df`` holds one row per key already.
 
-    The new content of the affected dates is first written in full to the shared
-    folder and noted there, then swapped in, then the note is removed. A failure
-    before the note leaves the table as it was; a failure after it is made good by
-    the next upsert, or ``finish_pending``, which repeats the swap from the copy.
-    A second writer is refused while one is at work.
+    All files of a version are written before its number is taken, so a failure leaves
+    the table as it was. A writer that finds the number taken by another goes on from
+    there where that one changed other dates, and else merges anew.
     """
     keys = list(dedup_keys or spec.primary_key)
     if order is None:
         order = input_order(df)
         if not order:
             raise ValueError("upsert needs columns that order the rows, or order=()")
-    with _sole_writer(spark, spec):
-        finish_pending(spark, spec)
-        latest = as_stored(keep_last(df, keys, order) if order else df, spec)
-        incoming_path = scratch_path(spark, f"{spec.table}-incoming")
-        staged = scratch_path(spark, f"{spec.table}-staged")
-        noted = False
-        try:
-            # Written once, as it is read three times below and may be costly to derive.
-            latest.write.parquet(incoming_path)
-            incoming = spark.read.schema(latest.schema).parquet(incoming_path)
-            count = incoming.count()
-            if count:
-                target = _affected(spark, spec, incoming)
-                if target.isEmpty():
-                    staged = incoming_path
-                else:
-                    merged(target, incoming, spec.primary_key).write.parquet(staged)
-                write_note(spark, note_path(spark, spec), staged)
-                noted = True
-                finish_pending(spark, spec)
-        finally:
-            # A copy that is noted belongs to whoever finishes the swap.
-            for path in {incoming_path, staged} - ({staged} if noted else set()):
-                remove_path(spark, path)
-    return count
-
-
-def _affected(spark: SparkSession, spec: TableSpec, incoming: DataFrame) -> DataFrame:
-    """The stored rows of exactly the event dates that ``incoming`` touches, whatever
-    their number. They are listed on the driver, one value per day in the data, so that
-    only their partitions are read."""
-    dates = [r.event_date for r in incoming.select("event_date").distinct().collect()]
-    days = sorted(d for d in dates if d is not None)
-    date = F.col("event_date")
-    hit = date.isNull() if None in dates else F.lit(False)
-    if days:
-        hit = hit | date.isin(*days)
-    return read_table(spark, spec, with_date=True).where(hit)
-
-
-@contextlib.contextmanager
-def _sole_writer(spark: SparkSession, spec: TableSpec) -> Iterator[None]:
-    """Hold the table's lock, a note that only one writer can create. One left by a
-    writer that is gone is taken over after ``LOCK_HOURS``, or removed by ``unlock``."""
-    lock = note_path(spark, spec) + ".lock"
-    since = modified(spark, lock)
-    if since is not None and time.time() - since > LOCK_HOURS * 3600:
-        remove_path(spark, lock)
-    if not create_note(spark, lock, spark.sparkContext.applicationId):
-        raise RuntimeError(f"{spec.table} is being written by {read_note(spark, lock)}")
+    root = table_location(spark, spec)
+    latest = as_stored(keep_last(df, keys, order) if order else df, spec)
+    incoming_path = scratch_path(spark, f"{spec.table}-incoming")
     try:
-        yield
+        # Written once, as it is read several times below and may be costly to derive.
+        latest.write.parquet(incoming_path)
+        incoming = spark.read.schema(latest.schema).parquet(incoming_path)
+        count = incoming.count()
+        if count:
+            _merge(spark, spec, root, incoming)
     finally:
-        remove_path(spark, lock)
+        remove_path(spark, incoming_path)
+    return count
 
 
-def unlock(spark: SparkSession, spec: TableSpec) -> None:
-    """Remove the lock of a writer known to be gone."""
-    remove_path(spark, note_path(spark, spec) + ".lock")
+def _merge(spark: SparkSession, spec: TableSpec, root: str, incoming: DataFrame) -> None:
+    """Commit a version that has the incoming rows."""
+    for _ in range(ATTEMPTS):
+        base = snapshots.latest(spark, root)
+        live = snapshots.manifest(spark, spec, root, base or None)
+        names = _holding(spark, spec, root, live, incoming)
+        replaced = spark.createDataFrame([(n,) for n in names], "file STRING")
+        rows = incoming
+        if names:
+            rows = merged(snapshots.rows_of(spark, spec, root, replaced), incoming, spec.primary_key)
+        added = snapshots.write_files(spark, spec, root, rows)
+        number = base + 1
+        while not snapshots.commit(
+            spark, spec, root, live.join(replaced, "file", "left_anti").unionByName(added), number
+        ):
+            newest = snapshots.latest(spark, root)
+            if newest > base:
+                if snapshots.changed(spark, spec, root, base, newest, incoming.select("event_date").distinct()):
+                    break
+                base, live = newest, snapshots.manifest(spark, spec, root, newest)
+            number = snapshots.next_free(spark, root)
+        else:
+            return
+    raise RuntimeError(f"{spec.table}: other writers keep changing the same dates")
+
+
+def _holding(
+    spark: SparkSession, spec: TableSpec, root: str, live: DataFrame, incoming: DataFrame
+) -> list[str]:
+    """The live files that hold a key of the incoming rows. Of the files that may, only
+    the key columns are read. The names, at most those of the live files, are kept on the
+    driver."""
+    keys = list(spec.primary_key)
+    maybe = snapshots.may_hold(live, incoming, spec)
+    stored = snapshots.rows_of(spark, spec, root, maybe, with_file=True).select(*keys, "file")
+    asked = incoming.select(*keys)
+    hit = stored.join(asked, same_keys(stored, asked, keys), "left_semi")
+    return [r.file for r in hit.select("file").distinct().toLocalIterator()]
 
 
 def table_location(spark: SparkSession, spec: TableSpec) -> str:
@@ -225,36 +234,6 @@ def table_location(spark: SparkSession, spec: TableSpec) -> str:
     return details.first().data_type
 
 
-def note_path(spark: SparkSession, spec: TableSpec) -> str:
-    """Where a pending swap of the table is noted: a name made from the table's
-    location, so that a later process finds it whatever catalog it uses."""
-    place = hashlib.sha256(table_location(spark, spec).encode()).hexdigest()[:16]
-    return os.path.join(shared_dir(spark), "roadcast-pending", f"{spec.table}-{place}")
-
-
-def finish_pending(spark: SparkSession, spec: TableSpec) -> bool:
-    """Swap in a noted copy, if there is one. Repeating it changes nothing."""
-    note = note_path(spark, spec)
-    staged = read_note(spark, note)
-    if not staged:
-        return False
-    table = spark.table(spec.table)
-    fresh = spark.read.schema(table.schema).parquet(staged).select(*table.columns)
-    # Replace only the partitions that come, which the write itself is told: a setting of
-    # the session would reach other writes meanwhile. Rebalancing gives even files even
-    # when one date holds most of the rows; sorted by key they compress and prune better.
-    even = fresh.hint("rebalance", "event_date")
-    writer = even.sortWithinPartitions("event_date", *spec.primary_key).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("event_date")
-    writer.parquet(table_location(spark, spec))
-    spark.catalog.recoverPartitions(spec.table)
-    spark.catalog.refreshTable(spec.table)
-    # The note goes first: a half-removed copy must never be swapped in again.
-    remove_path(spark, note)
-    remove_path(spark, staged)
-    return True
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """The fallback sink: CSV with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pytest
@@ -10,17 +11,19 @@ from pyspark.sql import functions as F
 from roadcast import schemas
 from roadcast.plans.refresh import Feed, landing_feeds, refresh, total_rows
 from roadcast.session import scratch_path
-from roadcast.sources import extract, tables
+from roadcast.sources import extract, snapshots, tables
 from roadcast.sources.landing import read_landing
 from roadcast.sources.tables import (
     align_to_table,
     ensure_table,
-    finish_pending,
+    expire_versions,
     merged,
     read_table,
     table_columns,
+    table_location,
     table_properties,
-    unlock,
+    table_versions,
+    table_zones,
     upsert,
     write_csv,
 )
@@ -85,13 +88,13 @@ def test_event_date_does_not_depend_on_the_session_zone(spark, spec):
         upsert(spark, spec, df)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    dates = {str(r.event_date) for r in spark.table(spec.table).select("event_date").collect()}
+    dates = {str(r.event_date) for r in read_table(spark, spec, with_date=True).select("event_date").collect()}
     assert dates == {"2024-01-01", "1969-12-31"}
 
 
 def test_untouched_dates_are_not_rewritten(spark, spec):
     upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.1, 0), (1, 2, 10.0, 0.2, 1)))
-    files = lambda day: {f for f in spark.table(spec.table).where(f"event_date = '2024-01-0{day}'").inputFiles()}
+    files = lambda day: {f for f in read_table(spark, spec).inputFiles() if f"event_date=2024-01-0{day}" in f}
     before = files(1)
     upsert(spark, spec, readings(spark, (2, 2, 10.0, 0.5, 0)))
     assert files(1) == before
@@ -106,9 +109,9 @@ def test_dates_between_those_that_come_are_not_rewritten(spark, spec):
         "10D as depth_cm", "0D as temp_c", "id as _seq",
     )
     upsert(spark, spec, rows(1, 3))
-    before = set(spark.table(spec.table).inputFiles())
+    before = set(read_table(spark, spec).inputFiles())
     upsert(spark, spec, rows(0, 1100))
-    assert before <= set(spark.table(spec.table).inputFiles())
+    assert before <= set(read_table(spark, spec).inputFiles())
     assert read_table(spark, spec).count() == 1103
 
 
@@ -124,19 +127,111 @@ def test_a_late_payload_does_not_overwrite_a_newer_one(spark):
     assert {r.v for r in plain} == {"new"} and len(plain) == 7
 
 
-def test_a_second_writer_is_refused(spark, spec, monkeypatch):
-    rows = readings(spark, (1, 1, 10.0, 0.1, 0))
-    upsert(spark, spec, rows)
-    with tables._sole_writer(spark, spec):
-        with pytest.raises(RuntimeError, match="being written"):
-            upsert(spark, spec, rows)
-        monkeypatch.setattr(tables, "LOCK_HOURS", -1)  # as if the writer were long gone
-        assert upsert(spark, spec, rows) == 1
-    monkeypatch.undo()
-    tables.create_note(spark, tables.note_path(spark, spec) + ".lock", "dead")
-    unlock(spark, spec)
-    assert upsert(spark, spec, rows) == 1
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+def beside(monkeypatch, other):
+    """Let another writer commit between an upsert's merge and its own commit, once."""
+    real, turns = snapshots.commit, [other]
+
+    def commit(*args):
+        if turns:
+            turns.pop()()
+        return real(*args)
+
+    monkeypatch.setattr(snapshots, "commit", commit)
+
+
+def test_writers_of_different_dates_both_succeed(spark, spec, monkeypatch):
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.1, 0), (1, 2, 10.0, 0.2, 1)))
+    merges, real = [], snapshots.write_files
+    monkeypatch.setattr(snapshots, "write_files", lambda *a: merges.append(1) or real(*a))
+    beside(monkeypatch, lambda: upsert(spark, spec, readings(spark, (1, 2, 10.0, 0.9, 0), (5, 3, 10.0, 0.5, 1))))
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.8, 0)))
+    assert stored(spark, spec) == [(1, 1, 10.0, 0.8), (1, 2, 10.0, 0.9), (5, 3, 10.0, 0.5)]
+    assert len(merges) == 2  # neither had to begin anew
+    assert table_versions(spark, spec) == [1, 2, 3]
+
+
+def test_writers_of_one_date_lose_nothing(spark, spec, monkeypatch):
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.1, 0), (2, 1, 10.0, 0.2, 1)))
+    beside(monkeypatch, lambda: upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.7, 0), (3, 1, 10.0, 0.3, 1))))
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.9, 0), (4, 1, 10.0, 0.4, 1)))
+    assert stored(spark, spec) == [(1, 1, 10.0, 0.9), (2, 1, 10.0, 0.2), (3, 1, 10.0, 0.3), (4, 1, 10.0, 0.4)]
+
+
+def test_writers_at_the_same_time(spark, spec):
+    def write(point):
+        return upsert(spark, spec, readings(spark, (point, 1, 10.0, point / 10, 0), (0, 1 + point, 10.0, 0.0, 1)))
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(write, range(1, 5))) == [2] * 4
+    assert len(stored(spark, spec)) == 8
+
+
+def test_a_reader_keeps_to_its_version(spark, spec):
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.1, 0), (2, 2, 10.0, 0.2, 1)))
+    old = read_table(spark, spec)
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.9, 0), (3, 3, 10.0, 0.3, 1)))
+    assert old.count() == 2 and old.where("temp_c = 0.9").isEmpty()
+    assert {r.temp_c for r in read_table(spark, spec, version=1).collect()} == {0.1, 0.2}
+    assert {r.temp_c for r in read_table(spark, spec).collect()} == {0.9, 0.2, 0.3}
+    with pytest.raises(ValueError, match="no version 9"):
+        read_table(spark, spec, version=9)
+
+
+def test_old_versions_and_their_files_go(spark, spec):
+    for value in (0.1, 0.2, 0.3):
+        upsert(spark, spec, readings(spark, (1, 1, 10.0, value, 0), (int(value * 10), 2, 10.0, 0.0, 1)))
+    assert expire_versions(spark, spec, keep=2) == 0  # the files are younger than a day
+    assert table_versions(spark, spec) == [2, 3]
+    assert expire_versions(spark, spec, keep=1, older_than_hours=0) > 0
+    assert table_versions(spark, spec) == [3]
+    assert stored(spark, spec) == [(1, 1, 10.0, 0.3), (1, 2, 10.0, 0.0), (2, 2, 10.0, 0.0), (3, 2, 10.0, 0.0)]
+    assert expire_versions(spark, spec, keep=1, older_than_hours=0) == 0
+
+
+def test_a_note_that_was_never_filled_is_passed_over(spark, spec, monkeypatch):
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.1, 0)))
+    root = table_location(spark, spec)
+    snapshots.create_note(spark, snapshots._note(root, 2), "")
+    monkeypatch.setattr(snapshots, "NOTE_SECONDS", -1)  # as if its writer were long gone
+    assert stored(spark, spec) == [(1, 1, 10.0, 0.1)]
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.2, 0)))
+    assert stored(spark, spec) == [(1, 1, 10.0, 0.2)]
+    assert table_versions(spark, spec) == [1, 3]
+
+
+def test_only_files_that_hold_a_key_are_rewritten(spark, spec):
+    """One day in many files, of ranges of points: a late row costs one of them."""
+    rows = spark.range(4000).selectExpr(
+        "id div 10 as measurepoint_id", "timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,cast(id % 10 as int)) as sample_time",
+        "10D as depth_cm", "0D as temp_c", "id as _seq",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        upsert(spark, spec, rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    before = set(read_table(spark, spec).inputFiles())
+    assert len(before) >= 4
+    late = rows.where("id = 1234").withColumn("temp_c", F.lit(1.5))
+    upsert(spark, spec, late)
+    after = set(read_table(spark, spec).inputFiles())
+    assert len(before - after) == 1
+    assert read_table(spark, spec).agg(F.count("*"), F.sum("temp_c")).first() == (4000, 1.5)
+    # A new key that lies in the range of a file is added beside it.
+    new = rows.where("id = 1234").withColumn("sample_time", F.expr("sample_time + interval 1 second"))
+    upsert(spark, spec, new)
+    assert after < set(read_table(spark, spec).inputFiles())
+    assert read_table(spark, spec).count() == 4001
+
+
+def test_zones_tell_without_reading(spark, spec):
+    assert table_zones(spark, spec).isEmpty()
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.1, 0), (1, 2, 10.0, 0.2, 1), (2, 2, 20.0, 0.2, 1), (None, None, 1.0, 0.0, 2)))
+    upsert(spark, spec, readings(spark, (1, 2, 10.0, 0.9, 0), (7, 2, 10.0, 0.9, 1)))
+    found = {str(r.event_date): (r["rows"], r.first, r.last) for r in table_zones(spark, spec).collect()}
+    rows = read_table(spark, spec, with_date=True).groupBy("event_date").agg(
+        F.count("*").alias("n"), F.min("sample_time").alias("a"), F.max("sample_time").alias("b"))
+    assert found == {str(r.event_date): (r.n, r.a, r.b) for r in rows.collect()}
 
 
 def test_failed_write_leaves_the_table(spark, spec):
@@ -147,28 +242,25 @@ def test_failed_write_leaves_the_table(spark, spec):
     assert stored(spark, spec) == [(1, 1, 10.0, 0.1)]
 
 
-def test_interrupted_swap_is_finished_by_the_next_upsert(spark, spec, monkeypatch):
+def test_interrupted_upsert_leaves_the_table(spark, spec, monkeypatch):
     upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.1, 0)))
-    real, calls = tables.finish_pending, []
 
-    def stop_at_the_swap(*args):
-        calls.append(args)
-        if len(calls) == 2:
-            raise RuntimeError("driver lost")
-        return real(*args)
+    def lost(*args):
+        raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(tables, "finish_pending", stop_at_the_swap)
+    monkeypatch.setattr(snapshots, "create_note", lost)
     with pytest.raises(RuntimeError):
-        upsert(spark, spec, readings(spark, (2, 1, 10.0, 0.2, 0)))
+        upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.2, 0)))
     monkeypatch.undo()
     # Another catalog, as a new process would have, knows nothing of the table.
-    place = spark.sql(f"DESCRIBE TABLE EXTENDED {spec.table}").where("col_name = 'Location'").first()
+    place = table_location(spark, spec)
     spark.sql(f"DROP TABLE {spec.table}")
-    ensure_table(spark, spec, location=place.data_type)
+    ensure_table(spark, spec, location=place)
     assert stored(spark, spec) == [(1, 1, 10.0, 0.1)]
     upsert(spark, spec, readings(spark, (3, 1, 10.0, 0.3, 0)))
-    assert [r[0] for r in stored(spark, spec)] == [1, 2, 3]
-    assert not finish_pending(spark, spec)
+    assert [r[0] for r in stored(spark, spec)] == [1, 3]
+    assert expire_versions(spark, spec, older_than_hours=0) > 0  # what the lost one left
+    assert [r[0] for r in stored(spark, spec)] == [1, 3]
 
 
 def test_upsert_needs_an_order(spark, spec):
