@@ -27,6 +27,8 @@ def _parser() -> argparse.ArgumentParser:
         ingest.add_argument("--locations")
         ingest.add_argument("--json-lines", action="store_true")
         ingest.add_argument("--quarantine", help="folder for what had to be rejected")
+        if name == "daily":
+            ingest.add_argument("--ledger", help="what was taken in before; else beside the tables")
     train = commands.add_parser("train")
     train.add_argument("--models", required=True)
     train.add_argument("--members", type=int, default=Settings.members)

@@ -28,22 +28,31 @@ def _is_whole(objects: Column, body: str) -> Column:
 
 
 def with_document(
-    landed: DataFrame, schema: str, of_shape: Column, otherwise: Column, name: str, body: str = "body"
+    landed: DataFrame,
+    schema: str,
+    of_shape: Column,
+    otherwise: Column,
+    name: str,
+    body: str = "body",
+    fine: str | None = None,
 ) -> DataFrame:
     """Add ``name``: ``of_shape``, an expression over ``_doc``, the body parsed by the
     struct ``schema``, where the whole body is one JSON object with nothing of another
-    type in it; else ``otherwise``, which may take the body apart with more care."""
+    type in it; else ``otherwise``, which may take the body apart with more care. Which
+    of the two it was is told by a column ``fine``, if named."""
     document = F.concat(F.lit('{"v":['), F.col(body), F.lit(',{"__end":"'), F.md5(body), F.lit('"}]}'))
     kind = f"STRUCT<v: ARRAY<STRUCT<{schema.strip()}, __end: STRING>>, _bad: STRING>"
     parsed = F.from_json(document, kind, _OPTIONS | {"columnNameOfCorruptRecord": "_bad"})
     objects = F.col("_parsed.v")
-    fine = F.col("_parsed._bad").isNull() & _is_whole(objects, body)
-    return (
+    whole = F.col("_parsed._bad").isNull() & _is_whole(objects, body)
+    of_doc = (
         landed.withColumn("_parsed", parsed)
-        .withColumn("_doc", F.when(fine, F.get(objects, F.lit(0))))
+        .withColumn("_doc", F.when(whole, F.get(objects, F.lit(0))))
         .withColumn(name, F.when(F.col("_doc").isNotNull(), of_shape).otherwise(otherwise))
-        .drop("_parsed", "_doc")
     )
+    if fine:
+        of_doc = of_doc.withColumn(fine, F.col("_doc").isNotNull())
+    return of_doc.drop("_parsed", "_doc")
 
 
 def object_in(body: str, schema: str) -> Column:
@@ -72,6 +81,17 @@ def looks_like_object(text: Column) -> Column:
     return F.coalesce(text.startswith("{"), F.lit(False))
 
 
+def has_gaps(found: Column, shape: Sequence[tuple[str, bool]]) -> Column:
+    """Whether an array on the way down a parsed struct of the ``shape`` has a null item,
+    the one fault that a document with nothing of another type can have."""
+    if not shape:
+        return F.lit(False)
+    (name, many), rest = shape[0], shape[1:]
+    child = found[name]
+    deeper = F.exists(child, lambda x: x.isNull() | has_gaps(x, rest)) if many else has_gaps(child, rest)
+    return F.coalesce(deeper, F.lit(False))
+
+
 def shape_faults(text: Column, shape: Sequence[tuple[str, bool]]) -> Column:
     """What is of the wrong shape on the way down an object, as
     ``array<struct<reason, body>>``. ``shape`` names the fields and tells whether each

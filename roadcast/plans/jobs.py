@@ -7,6 +7,7 @@ and ``forecast/location_id=<id>``. Folders that are absent are not polled.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -45,30 +46,50 @@ from roadcast.schemas import HORIZONS, TableSpec
 from roadcast.session import path_exists, remove_path, scratch_path, use_utc
 from roadcast.sources.extract import weather_observations
 from roadcast.sources.landing import answered, read_landing
+from roadcast.sources.ledger import new_files
 from roadcast.sources.locations import default_locations, read_locations
 from roadcast.sources.tables import ensure_table, read_table, table_zones
 
 
+# Each has a folder of its name in the landing.
+SOURCES = ("weather", "situations", "frost_depth", "forecast")
+
+
 def _locations(spark: SparkSession, path: str | None) -> DataFrame:
     return read_locations(spark, path) if path else default_locations(spark)
 
 
 def _feeds(
-    spark: SparkSession, landing: str, locations: str | None, json_lines: bool
-) -> list[Feed]:
+    spark: SparkSession, landing: str, locations: str | None, json_lines: bool, ledger: str | None
+) -> tuple[list[Feed], list[str]]:
+    """The feeds of the folders there are, and the sources without anything new in the
+    ledger's eyes."""
     use_utc(spark)
-    found = {}
-    for folder in ("weather", "situations", "frost_depth", "forecast"):
-        path = f"{landing}/{folder}"
-        if path_exists(spark, path):
-            found[folder] = read_landing(spark, path, json_lines=json_lines)
-    return landing_feeds(
+    found, intakes = {}, {}
+    for source in SOURCES:
+        path = f"{landing}/{source}"
+        if not path_exists(spark, path):
+            continue
+        if ledger is None:
+            found[source] = read_landing(spark, path, json_lines=json_lines)
+            continue
+        intake = intakes[source] = new_files(spark, ledger, source, path)
+        if intake.count:
+            landed = read_landing(spark, path, json_lines=json_lines, only=intake.only())
+            found[source] = intake.of(landed)
+    feeds = landing_feeds(
         weather=found.get("weather"),
         situations=found.get("situations"),
         frost=found.get("frost_depth"),
         forecasts=found.get("forecast"),
         locations=_locations(spark, locations),
     )
+    feeds = [replace(f, done=intakes[f.name].record) if f.name in intakes else f for f in feeds]
+    return feeds, [source for source, intake in intakes.items() if not intake.count]
+
+
+def _ledger(tables: str | None, ledger: str | None) -> str | None:
+    return ledger or (f"{tables}/_ingest_ledger" if tables else None)
 
 
 def daily(
@@ -79,10 +100,18 @@ def daily(
     json_lines: bool = False,
     tables: str | None = None,
     quarantine: str | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
-    """Bring all tables up to date; returns the report."""
-    feeds = _feeds(spark, landing, locations, json_lines)
-    return refresh(spark, feeds, location=tables, quarantine=quarantine)
+    """Bring all tables up to date; returns the report. Landed files that an earlier run
+    took in are not read again: ``ledger``, beside the tables unless told otherwise,
+    remembers them. Without either everything is read. Of a run with a ledger the
+    quarantine has a folder of its own."""
+    ledger = _ledger(tables, ledger)
+    feeds, idle = _feeds(spark, landing, locations, json_lines, ledger)
+    if ledger and quarantine:
+        runs = "+".join(sorted(f.done.__self__.run for f in feeds))
+        quarantine = f"{quarantine}/run={hashlib.sha256(runs.encode()).hexdigest()[:16]}"
+    return refresh(spark, feeds, location=tables, quarantine=quarantine, idle=idle)
 
 
 def backfill(
@@ -94,11 +123,12 @@ def backfill(
     tables: str | None = None,
     quarantine: str | None = None,
 ) -> DataFrame:
-    """The same in bulk: weather rows get their lags and are then cut to the columns
-    the table has."""
+    """The same in bulk and of all landed files: weather rows get their lags and are then
+    cut to the columns the table has."""
+    feeds, _ = _feeds(spark, landing, locations, json_lines, None)
     feeds = [
-        replace(feed, rows=lambda feed=feed: _lagged(feed.rows())) if feed.name == "weather" else feed
-        for feed in _feeds(spark, landing, locations, json_lines)
+        replace(feed, rows=lambda *parsed, feed=feed: _lagged(feed.rows(*parsed))) if feed.name == "weather" else feed
+        for feed in feeds
     ]
     return refresh(spark, feeds, align=True, location=tables, quarantine=quarantine)
 

@@ -1,6 +1,9 @@
 """Nested payloads to flat rows.
 
-Each extractor takes a landed frame (see ``landing``) and explodes its arrays. A body
+Each extractor takes a landed frame (see ``landing``) and explodes its arrays. It has two
+halves: a parser, which reads each body once and adds what is in it and what is wrong with
+it, and a flattener of that. A job that needs rows and faults keeps the parsed payloads.
+A body
 that is not one JSON object yields no rows, nor does an item that is no object; the
 quarantine lists both. ``_seq`` keeps a row's place within its
 payload; together with ``ingested_at`` and ``payload_id`` it gives "the last one wins" a
@@ -15,8 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadcast import schemas
 from roadcast.functions.clean import number_from_text, utc_from_text, whole_from_text
-from roadcast.functions.payload import object_in, objects_in, with_document
+from roadcast.functions.payload import has_gaps, object_in, objects_in, with_document
 from roadcast.operators.joins import dimension_join
+from roadcast.sources.landing import with_faults
 
 ORDER = ("ingested_at", "payload_id", "_seq")
 
@@ -50,9 +54,12 @@ def _place(*positions: str) -> Column:
     return place.alias("_seq")
 
 
-def _results(landed: DataFrame, field: str, item: str, parse: Callable[[Column], Column]) -> DataFrame:
-    """One row per result, with its ``field``, an array of ``item`` structs. ``parse``
-    makes such a struct of the text of an object with something of another shape."""
+def _results(
+    landed: DataFrame, field: str, item: str, parse: Callable[[Column], Column], shape: tuple
+) -> DataFrame:
+    """Parsed payloads: ``_results``, structs with their ``field``, an array of ``item``
+    structs, and ``_faults``. ``parse`` makes such a struct of the text of an object with
+    something of another shape."""
 
     def careful(result: Column) -> Column:
         texts = F.from_json(result, f"{field} ARRAY<STRING>")[field]
@@ -64,19 +71,28 @@ def _results(landed: DataFrame, field: str, item: str, parse: Callable[[Column],
         F.col("_doc.RESPONSE.RESULT"),
         objects_in(object_in("body", schemas.RESPONSE)["RESPONSE"]["RESULT"], careful),
         "_results",
+        fine="_fine",
     )
-    return _items(documents.drop("body"), "_results", "_result", "_r").drop("_results")
+    gaps = F.coalesce(
+        F.exists("_results", lambda r: r.isNull() | has_gaps(r, shape[2:])), F.lit(False)
+    )
+    return with_faults(documents, shape, gaps).drop("body", "_fine")
+
 
+def _result_items(parsed: DataFrame) -> DataFrame:
+    """One row per result of parsed payloads."""
+    return _items(parsed.drop("_faults", "_answered"), "_results", "_result", "_r").drop("_results")
 
-def _weather_items(landed: DataFrame) -> DataFrame:
+
+def parsed_weather(landed: DataFrame) -> DataFrame:
     item = schemas.WEATHER_ITEM
-    results = _results(
-        landed, "WeatherObservation", item, lambda t: F.from_json(t, schemas.struct(item))
+    return _results(
+        landed, "WeatherObservation", item, lambda t: F.from_json(t, schemas.struct(item)),
+        schemas.WEATHER_SHAPE,
     )
-    return _items(results, "_result.WeatherObservation", "_item", "_o")
 
 
-def _situation_items(landed: DataFrame) -> DataFrame:
+def parsed_situations(landed: DataFrame) -> DataFrame:
     deviation = schemas.struct(schemas.DEVIATION)
 
     def parse(text: Column) -> Column:
@@ -85,11 +101,11 @@ def _situation_items(landed: DataFrame) -> DataFrame:
         head = [found[c].alias(c) for c in ("Id", "PublicationTime", "VersionTime")]
         return F.struct(*head, parts.alias("Deviation"))
 
-    results = _results(landed, "Situation", schemas.situation_item(deviation), parse)
-    return _items(results, "_result.Situation", "_item", "_s")
+    item = schemas.situation_item(deviation)
+    return _results(landed, "Situation", item, parse, schemas.SITUATION_SHAPE)
 
 
-def _frost_items(landed: DataFrame) -> DataFrame:
+def parsed_frost(landed: DataFrame) -> DataFrame:
     reading = schemas.struct(schemas.READING)
 
     def parse(text: Column) -> Column:
@@ -98,14 +114,30 @@ def _frost_items(landed: DataFrame) -> DataFrame:
         depth = F.struct(found["FrostDepth"]["Sample"].alias("Sample"), parts.alias("Temperature"))
         return F.struct(found["Measurepoint"].alias("Measurepoint"), depth.alias("FrostDepth"))
 
-    results = _results(landed, "FrostDepthObservation", schemas.frost_item(reading), parse)
-    return _items(results, "_result.FrostDepthObservation", "_item", "_o")
+    item = schemas.frost_item(reading)
+    return _results(landed, "FrostDepthObservation", item, parse, schemas.FROST_SHAPE)
+
+
+def _weather_items(parsed: DataFrame) -> DataFrame:
+    return _items(_result_items(parsed), "_result.WeatherObservation", "_item", "_o")
+
+
+def _situation_items(parsed: DataFrame) -> DataFrame:
+    return _items(_result_items(parsed), "_result.Situation", "_item", "_s")
+
+
+def _frost_items(parsed: DataFrame) -> DataFrame:
+    return _items(_result_items(parsed), "_result.FrostDepthObservation", "_item", "_o")
 
 
 def weather_observations(landed: DataFrame) -> DataFrame:
     """One row per observation. Flags stay text, as sent. Rows with a fractional
     identifier are left to ``fractional_ids``."""
-    items = _weather_items(landed).where(~_fractional_id(F.col("_item.Measurepoint.Id")))
+    return weather_rows(parsed_weather(landed))
+
+
+def weather_rows(parsed: DataFrame) -> DataFrame:
+    items = _weather_items(parsed).where(~_fractional_id(F.col("_item.Measurepoint.Id")))
     return items.select(
         whole_from_text(F.col("_item.Measurepoint.Id")).alias("measurepoint_id"),
         F.col("_item.Measurepoint.Name").alias("measurepoint_name"),
@@ -127,7 +159,11 @@ def weather_observations(landed: DataFrame) -> DataFrame:
 
 def situations(landed: DataFrame) -> DataFrame:
     """One row per deviation of each situation version."""
-    parts = _items(_situation_items(landed), "_item.Deviation", "_part", "_d")
+    return situation_rows(parsed_situations(landed))
+
+
+def situation_rows(parsed: DataFrame) -> DataFrame:
+    parts = _items(_situation_items(parsed), "_item.Deviation", "_part", "_d")
     return parts.select(
         F.col("_item.Id").alias("situation_id"),
         utc_from_text(F.col("_item.PublicationTime")).alias("publication_time"),
@@ -149,7 +185,11 @@ def situations(landed: DataFrame) -> DataFrame:
 
 def frost_depths(landed: DataFrame) -> DataFrame:
     """One row per sensor reading."""
-    items = _frost_items(landed).where(~_fractional_id(F.col("_item.Measurepoint.Id")))
+    return frost_rows(parsed_frost(landed))
+
+
+def frost_rows(parsed: DataFrame) -> DataFrame:
+    items = _frost_items(parsed).where(~_fractional_id(F.col("_item.Measurepoint.Id")))
     parts = _items(items, "_item.FrostDepth.Temperature", "_part", "_t")
     return parts.select(
         whole_from_text(F.col("_item.Measurepoint.Id")).alias("measurepoint_id"),
@@ -168,7 +208,11 @@ def frost_depths(landed: DataFrame) -> DataFrame:
 def fractional_ids(landed: DataFrame, *, frost: bool = False) -> DataFrame:
     """Observations whose identifier is a number but not a whole one, for the
     quarantine table."""
-    items = _frost_items(landed) if frost else _weather_items(landed)
+    return fractional_rows(parsed_frost(landed) if frost else parsed_weather(landed), frost=frost)
+
+
+def fractional_rows(parsed: DataFrame, *, frost: bool = False) -> DataFrame:
+    items = _frost_items(parsed) if frost else _weather_items(parsed)
     return items.where(_fractional_id(F.col("_item.Measurepoint.Id"))).select(
         F.col("_item.Measurepoint.Id").alias("measurepoint_id"),
         "payload_id",
@@ -180,14 +224,28 @@ def fractional_ids(landed: DataFrame, *, frost: bool = False) -> DataFrame:
 def point_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
     """One row per valid time. Position and identifier come from the location the
     payload was fetched for (``location_id``), not from the payload."""
-    places = locations.select(
+    places = _places(locations)
+    # Joined before anything is parsed: what is not asked for costs nothing further.
+    asked = dimension_join(landed, places, ["location_id"], "inner")
+    return _forecast_rows(parsed_forecasts(asked))
+
+
+def _places(locations: DataFrame) -> DataFrame:
+    return locations.select(
         F.col("id").alias("location_id"),
         F.col("latitude").alias("lat"),
         F.col("longitude").alias("lon"),
         F.col("tv_measurepoint_id").alias("measurepoint_id"),
     )
-    # Joined before anything is parsed: what is not asked for costs nothing further.
-    asked = dimension_join(landed, places, ["location_id"], "inner")
+
+
+def forecast_rows(parsed: DataFrame, locations: DataFrame) -> DataFrame:
+    """The same of parsed payloads."""
+    return _forecast_rows(dimension_join(parsed, _places(locations), ["location_id"], "inner"))
+
+
+def parsed_forecasts(landed: DataFrame) -> DataFrame:
+    """Parsed payloads: ``_forecast``, a struct of its times and steps, and ``_faults``."""
     parameter = schemas.struct(schemas.PARAMETER)
     step = schemas.struct(schemas.forecast_step(parameter))
 
@@ -203,7 +261,12 @@ def point_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
         objects_in(texts["timeSeries"], careful).alias("timeSeries"),
     )
     whole = F.struct(*[F.col(f"_doc.{c}").alias(c) for c in ("approvedTime", "referenceTime", "timeSeries")])
-    parsed = with_document(asked, schemas.forecast(step), whole, apart, "_forecast").drop("body")
+    parsed = with_document(landed, schemas.forecast(step), whole, apart, "_forecast", fine="_fine")
+    gaps = has_gaps(F.col("_forecast"), schemas.FORECAST_SHAPE)
+    return with_faults(parsed, schemas.FORECAST_SHAPE, gaps).drop("body", "_fine")
+
+
+def _forecast_rows(parsed: DataFrame) -> DataFrame:
     # The first field that is not empty is taken, and only then parsed: an
     # unreadable first field gives the ingest time, not the second field.
     raw_run = F.coalesce(
@@ -211,7 +274,7 @@ def point_forecasts(landed: DataFrame, locations: DataFrame) -> DataFrame:
         F.nullif(F.col("_forecast.referenceTime"), F.lit("")),
     )
     run = F.coalesce(utc_from_text(raw_run), F.col("ingested_at"))
-    steps = _items(parsed.withColumn("forecast_run_time", run), "_forecast.timeSeries", "_step", "_t")
+    steps = _items(parsed.drop("_faults", "_answered").withColumn("forecast_run_time", run), "_forecast.timeSeries", "_step", "_t")
     named = steps.drop("_forecast")
     return named.select(
         "measurepoint_id",

@@ -14,13 +14,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from roadcast.functions.payload import is_object, shape_faults
 
 
-def read_landing(spark: SparkSession, path: str, *, json_lines: bool = False) -> DataFrame:
+def read_landing(
+    spark: SparkSession, path: str, *, json_lines: bool = False, only: Column | None = None
+) -> DataFrame:
     """One row per file, or one per line with ``json_lines`` (which splits large
-    files across tasks)."""
-    landed = as_landed(spark.read.text(path, wholetext=not json_lines))
+    files across tasks). ``only`` is a condition on ``_metadata`` that files must meet;
+    the others are not opened."""
+    text = spark.read.text(path, wholetext=not json_lines)
+    landed = as_landed(text if only is None else text.where(only))
     return with_line_order(landed) if json_lines else landed
 
 
+def landed_file() -> Column:
+    """The file a payload came in, from its identifier."""
+    return F.substring_index("payload_id", "#", 1)
+
+
 def as_landed(text: DataFrame) -> DataFrame:
     """Name the columns of a text read; works on batch and streaming reads alike.
 
@@ -82,5 +91,27 @@ def quarantined(landed: DataFrame, shape: Sequence[tuple[str, bool]] = ()) -> Da
     faults = F.when(F.col("reject_reason").isNotNull(), F.array(whole)).otherwise(
         shape_faults(F.col("body"), shape)
     )
-    judged = with_verdict(landed).select(*kept, F.explode(faults).alias("_fault"))
+    return listed_faults(with_verdict(landed).select(*kept, faults.alias("_faults")))
+
+
+def with_faults(parsed: DataFrame, shape: Sequence[tuple[str, bool]], gaps: Column) -> DataFrame:
+    """Add ``_faults``, what `quarantined` lists of a payload, and ``_answered``, whether
+    it came with a good answer, to payloads that were parsed, as ``_fine`` tells. Of a
+    fine one nothing is parsed again, unless it has ``gaps``."""
+    none, faults = shape_faults(F.col("body"), ()), shape_faults(F.col("body"), shape)
+
+    def whole(reason: Column) -> Column:
+        return F.array(F.struct(reason.alias("reason"), F.col("body").alias("body")))
+
+    bad = _bad_answer(parsed)
+    careful = F.when(~is_object(), whole(F.lit("not JSON"))).otherwise(faults)
+    of_fine = F.when(gaps, faults).otherwise(none)
+    found = F.when(bad.isNotNull(), whole(bad)).when(F.col("_fine"), of_fine).otherwise(careful)
+    return parsed.withColumns({"_faults": found, "_answered": bad.isNull()})
+
+
+def listed_faults(parsed: DataFrame) -> DataFrame:
+    """A row per fault of parsed payloads, as `quarantined` gives them."""
+    kept = [c for c in parsed.columns if not c.startswith("_") or c == "_block_start"]
+    judged = parsed.select(*kept, F.explode("_faults").alias("_fault"))
     return judged.select(*kept, F.col("_fault.reason").alias("reject_reason"), "_fault.body")
