@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadcast import schemas
 from roadcast.functions.times import HORIZON_WINDOW_HOURS, floor_hour
-from roadcast.operators.audit import attach_coverage, join_audit
+from roadcast.operators.audit import counting_coverage, zones_join_audit
 from roadcast.operators.dedup import keep_last
 from roadcast.operators.lag import with_lags
 from roadcast.operators.serving import (
@@ -60,7 +60,12 @@ def _locations(spark: SparkSession, path: str | None) -> DataFrame:
 
 
 def _feeds(
-    spark: SparkSession, landing: str, locations: str | None, json_lines: bool, ledger: str | None
+    spark: SparkSession,
+    landing: str,
+    locations: str | None,
+    json_lines: bool,
+    ledger: str | None,
+    suffix: str = "",
 ) -> tuple[list[Feed], list[str]]:
     """The feeds of the folders there are, and the sources without anything new in the
     ledger's eyes."""
@@ -83,6 +88,7 @@ def _feeds(
         frost=found.get("frost_depth"),
         forecasts=found.get("forecast"),
         locations=_locations(spark, locations),
+        suffix=suffix,
     )
     feeds = [replace(f, done=intakes[f.name].record) if f.name in intakes else f for f in feeds]
     return feeds, [source for source, intake in intakes.items() if not intake.count]
@@ -101,13 +107,14 @@ def daily(
     tables: str | None = None,
     quarantine: str | None = None,
     ledger: str | None = None,
+    suffix: str = "",
 ) -> DataFrame:
     """Bring all tables up to date; returns the report. Landed files that an earlier run
     took in are not read again: ``ledger``, beside the tables unless told otherwise,
     remembers them. Without either everything is read. Of a run with a ledger the
-    quarantine has a folder of its own."""
+    quarantine has a folder of its own. ``suffix`` is added to the table names."""
     ledger = _ledger(tables, ledger)
-    feeds, idle = _feeds(spark, landing, locations, json_lines, ledger)
+    feeds, idle = _feeds(spark, landing, locations, json_lines, ledger, suffix)
     if ledger and quarantine:
         runs = "+".join(sorted(f.done.__self__.run for f in feeds))
         quarantine = f"{quarantine}/run={hashlib.sha256(runs.encode()).hexdigest()[:16]}"
@@ -174,7 +181,8 @@ def train(
     observations = _stored(spark, schemas.WEATHER_OBSERVATION, tables)
     if forecasts is None or observations is None or not has_rows(forecasts, observations):
         return {}
-    join_audit(forecasts, observations).write.mode("append").parquet(f"{models}/audit")
+    zones = (table_zones(spark, s) for s in (schemas.POINT_FORECAST, schemas.WEATHER_OBSERVATION))
+    zones_join_audit(*zones).write.mode("append").parquet(f"{models}/audit")
     dataset = training_dataset(forecasts, observations, unique_keys=True)
     ensembles = train_all(dataset, settings, coverage=f"{models}/coverage")
     for horizon, ensemble in ensembles.items():
@@ -195,8 +203,9 @@ def score(
 ) -> DataFrame | None:
     """Score the stored forecasts of the coming 72 hours and store the predictions;
     returns high, medium and low counts, or None without models or forecasts.
-    ``lookback_days`` changes what is read, not the result. What the join read and
-    matched is appended to ``scored-audit`` and ``scored-coverage`` beside the models."""
+    ``lookback_days`` changes what is read, not the result. What the tables hold, of the
+    forecasts on the dates to come, and what the join matched is appended to
+    ``scored-audit`` and ``scored-coverage`` beside the models."""
     use_utc(spark)
     ensembles = {
         h: load_ensemble(spark, f"{models}/h{h}")
@@ -215,14 +224,18 @@ def score(
     if observations is not None:
         features = features_to_score(coming, now)
         observations = reaching_back(features, observations, lookback_days)
-        join_audit(coming, observations).write.mode("append").parquet(f"{models}/scored-audit")
+        zones = table_zones(spark, schemas.POINT_FORECAST)
+        zones = zones.where(F.col("event_date").between(start.date(), end.date()))
+        audit = zones_join_audit(zones, table_zones(spark, schemas.WEATHER_OBSERVATION))
+        audit.write.mode("append").parquet(f"{models}/scored-audit")
     # Joined once and scored once: the horizons read the one copy, the store and the
     # counts the other.
     joined, path = scratch_path(spark, "rows-to-score"), scratch_path(spark, "predictions")
     try:
-        prediction_rows(coming, observations, now, unique_keys=True).write.parquet(joined)
+        found, counted = counting_coverage(prediction_rows(coming, observations, now, unique_keys=True))
+        found.write.parquet(joined)
         rows = spark.read.parquet(joined)
-        attach_coverage(rows).write.mode("append").parquet(f"{models}/scored-coverage")
+        counted(spark).write.mode("append").parquet(f"{models}/scored-coverage")
         predict(rows, ensembles).write.parquet(path)
         predictions = spark.read.parquet(path)
         place = f"{tables}/{schemas.PREDICTION.table}" if tables else None

@@ -15,7 +15,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadcast.functions.calibration import logit, platt
-from roadcast.operators.audit import attach_coverage
+from roadcast.operators.audit import counting_coverage
 from roadcast.operators.ensemble import ensemble_summary
 from roadcast.operators.metrics import METRICS, binary_metrics
 from roadcast.operators.splits import class_weights, with_split
@@ -145,40 +145,55 @@ def with_raw_scores(df: DataFrame, models: Sequence) -> tuple[DataFrame, list[st
 
 def fit_platt(scored: DataFrame, raw: str, outcome: str = "hazard") -> Platt | None:
     """Sigmoid calibration by a logistic fit on the clipped log-odds, with the usual
-    unit ridge on the slope. None when there is but one class to fit on.
+    unit ridge on the slope. None when there is but one class to fit on."""
+    return fit_platts(scored, [raw], outcome)[0]
 
-    Newton's method: each step is one pass that adds up five numbers.
+
+def fit_platts(scored: DataFrame, raws: Sequence[str], outcome: str = "hazard") -> list[Platt | None]:
+    """The same for several scores of the same rows, all in the same passes.
+
+    Newton's method: each step is one pass that adds up five numbers for every score that
+    has not converged yet.
     """
-    rows = scored.select(
-        logit(F.col(raw)).alias("x"), F.col(outcome).cast("double").alias("y")
-    ).where("x is not null and y is not null")
-    classes = rows.agg(F.count("*").alias("n"), F.sum("y").alias("pos")).first()
-    if not classes.n or classes.pos in (0.0, float(classes.n)):
-        return None
-    slope = intercept = 0.0
-    x = F.col("x")
+    y = F.col(outcome).cast("double")
+    # A row without outcome or score takes part in none of that score's sums.
+    rows = scored.select(y.alias("y"), *[F.when(y.isNotNull(), logit(F.col(r))).alias(f"x{i}") for i, r in enumerate(raws)])
+    members = range(len(raws))
+    classes = rows.agg(
+        *[F.count(f"x{i}").alias(f"n{i}") for i in members],
+        *[F.sum(F.when(F.col(f"x{i}").isNotNull(), F.col("y"))).alias(f"pos{i}") for i in members],
+    ).first()
+    lines = {i: (0.0, 0.0) for i in members if classes[f"n{i}"] and 0.0 < classes[f"pos{i}"] < classes[f"n{i}"]}
+    going = set(lines)
     for _ in range(NEWTON_STEPS):
-        p = 1.0 / (1.0 + F.exp(-(slope * x + intercept)))
-        curved = p * (1.0 - p)
-        row = rows.agg(
-            F.sum((p - F.col("y")) * x).alias("gx"),
-            F.sum(p - F.col("y")).alias("g"),
-            F.sum(curved * x * x).alias("hxx"),
-            F.sum(curved * x).alias("hx"),
-            F.sum(curved).alias("h"),
-        ).first()
-        gx, hxx = row.gx + slope, row.hxx + 1.0
-        determinant = hxx * row.h - row.hx * row.hx
-        if determinant <= 0:
+        if not going:
             break
-        steps = (
-            (row.h * gx - row.hx * row.g) / determinant,
-            (hxx * row.g - row.hx * gx) / determinant,
+        order = sorted(going)
+        scores = rows.select(
+            "y",
+            *[f"x{i}" for i in order],
+            *[(1.0 / (1.0 + F.exp(-(lines[i][0] * F.col(f"x{i}") + lines[i][1])))).alias(f"p{i}") for i in order],
         )
-        slope, intercept = slope - steps[0], intercept - steps[1]
-        if max(map(abs, steps)) < 1e-11:
-            break
-    return Platt(slope, intercept)
+        sums = []
+        for i in order:
+            x, p = F.col(f"x{i}"), F.col(f"p{i}")
+            curved = p * (1.0 - p)
+            terms = {"gx": (p - F.col("y")) * x, "g": p - F.col("y"), "hxx": curved * x * x, "hx": curved * x, "h": curved}
+            sums += [F.sum(term).alias(f"{name}{i}") for name, term in terms.items()]
+        row = scores.agg(*sums).first()
+        for i in order:
+            gx, g, hxx, hx, h = (row[f"{name}{i}"] for name in ("gx", "g", "hxx", "hx", "h"))
+            slope, intercept = lines[i]
+            gx, hxx = gx + slope, hxx + 1.0
+            determinant = hxx * h - hx * hx
+            if determinant <= 0:
+                going.discard(i)
+                continue
+            steps = ((h * gx - hx * g) / determinant, (hxx * g - hx * gx) / determinant)
+            lines[i] = (slope - steps[0], intercept - steps[1])
+            if max(map(abs, steps)) < 1e-11:
+                going.discard(i)
+    return [Platt(*lines[i]) if i in lines else None for i in members]
 
 
 def fit_isotonic(scored: DataFrame, raw: str, outcome: str = "hazard") -> IsotonicRegressionModel:
@@ -201,8 +216,9 @@ def fit_calibrators(calibration: DataFrame, models: Sequence, method: str) -> li
     try:
         scored.select("hazard", *raws).write.parquet(path)
         kept = calibration.sparkSession.read.parquet(path)
-        fit = fit_isotonic if method == ISOTONIC else fit_platt
-        return [fit(kept, raw) for raw in raws]
+        if method == ISOTONIC:
+            return [fit_isotonic(kept, raw) for raw in raws]
+        return fit_platts(kept, raws)
     finally:
         remove_path(calibration.sparkSession, path)
 
@@ -298,12 +314,11 @@ def train_all(
         return None if rows.isEmpty() else train_horizon(rows, horizon, features, settings)
 
     try:
-        laid_out.sortWithinPartitions("horizon_hours", *ROW_KEYS).write.partitionBy(
-            "horizon_hours"
-        ).parquet(path)
+        sorted_rows, counted = counting_coverage(laid_out.sortWithinPartitions("horizon_hours", *ROW_KEYS))
+        sorted_rows.write.partitionBy("horizon_hours").parquet(path)
         stored = spark.read.parquet(path)
         if coverage:
-            attach_coverage(stored).write.mode("append").parquet(coverage)
+            counted(spark).write.mode("append").parquet(coverage)
         # The horizons do not depend on each other, and most of their jobs are small.
         with ThreadPool(len(horizons)) as pool:
             trained = pool.map(inheritable_thread_target(spark)(train), horizons)

@@ -84,7 +84,7 @@ def manifest_schema(spec: TableSpec) -> T.StructType:
     key = spec.schema[spec.primary_key[0]].dataType.simpleString()
     return T.StructType.fromDDL(
         f"event_date DATE, file STRING, rows BIGINT, low {key}, high {key}, first TIMESTAMP, last TIMESTAMP, "
-        "first_run TIMESTAMP, last_run TIMESTAMP, last_ingested TIMESTAMP"
+        "first_run TIMESTAMP, last_run TIMESTAMP, null_runs BIGINT, last_ingested TIMESTAMP"
     )
 
 
@@ -153,6 +153,7 @@ def described(spark: SparkSession, spec: TableSpec, root: str, place: str) -> Da
             F.max(time_).cast("timestamp").alias("last"),
             bound(F.min, RUN).alias("first_run"),
             bound(F.max, RUN).alias("last_run"),
+            (F.count("*") - F.count(RUN) if RUN in spec.schema.names else F.lit(0)).alias("null_runs"),
             bound(F.max, INGESTED).alias("last_ingested"),
             # A null is in no range: files with one may hold any.
             F.max(key.isNull() | time_.isNull()).alias("_any"),

@@ -78,11 +78,11 @@ def table_versions(spark: SparkSession, spec: TableSpec) -> list[int]:
 
 def table_zones(spark: SparkSession, spec: TableSpec, *, version: int | None = None) -> DataFrame:
     """What is known of each event date without reading a row: ``event_date, files, rows,
-    first, last`` (event time), ``first_run, last_run`` and ``last_ingested``."""
+    first, last`` (event time), ``first_run, last_run, null_runs`` and ``last_ingested``."""
     files = snapshots.manifest(spark, spec, table_location(spark, spec), version)
     return files.groupBy("event_date").agg(
         F.count("*").alias("files"),
-        F.sum("rows").alias("rows"),
+        *[F.sum(c).alias(c) for c in ("rows", "null_runs")],
         *[F.min(c).alias(c) for c in ("first", "first_run")],
         *[F.max(c).alias(c) for c in ("last", "last_run", "last_ingested")],
     )
