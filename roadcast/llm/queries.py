@@ -340,23 +340,31 @@ _SECRET_SQL = (
         )
     )
     + r"""
-    , windows as (
-      select doc_id, s, e, m, unnest(generate_series(1, length(m) - 19)) as pos
-      from strings
-      where length(m) >= 20 and regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]')
-        and not regexp_full_match(m, '[A-Za-z]+[0-9]*(?:[-_/=+]+[A-Za-z]+[0-9]*)*')
-        and not regexp_matches(lower(m), 'example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|12345678|abcdefgh')
-        and len(list_filter(generate_series(1, 6), lambda p: length(m) % p = 0 and length(m) > p
-                            and m = repeat(left(m, p), length(m) // p))) = 0
+    , parts as (
+      select doc_id, s, e, part, generate_subscripts(ps, 1) as k
+      from (select doc_id, s, e, ps, unnest(ps) as part from (
+        select doc_id, s, e, string_split_regex(m,
+          '(?i)example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|12345678|abcdefgh') as ps
+        from strings where length(m) >= 20))
+    ), windows as (
+      select doc_id, s, e, k, pos, substr(part, pos, 20) as w
+      from (select *, unnest(generate_series(1, length(part) - 19)) as pos from parts where length(part) >= 20)
     ), chars as (
-      select doc_id, s, e, m, pos, c, count(*) as n
-      from (select doc_id, s, e, m, pos, unnest(string_split(substr(m, pos, 20), '')) as c from windows)
-      group by all
+      select doc_id, s, e, k, pos, w, c, count(*) as n
+      from (select *, unnest(string_split(w, '')) as c from windows) group by all
     ), entropies as (
-      select doc_id, s, e, m, pos, -sum(n / 20 * log2(n / 20)) as h from chars group by all
+      select doc_id, s, e, w, -sum(n / 20 * log2(n / 20)) as h from chars group by doc_id, s, e, k, pos, w
     ), random as (
-      select doc_id, s, e from entropies group by doc_id, s, e, m
-      having round(max(h), 9) >= case when regexp_full_match(m, '[0-9a-fA-F]+') then 3 else 4 end
+      select distinct doc_id, s, e from entropies
+      where round(h, 9) >= case
+          when regexp_matches(w, '[+/=_-]') then 3.75
+          when regexp_full_match(w, '[0-9]+') then 2.6
+          when regexp_matches(w, '[a-z]') and regexp_matches(w, '[A-Z]')
+            then case when regexp_matches(w, '[0-9]') then 3.75 else 3.6 end
+          when regexp_full_match(w, '[0-9a-f]+|[0-9A-F]+') then 3.0
+          when not regexp_matches(w, '[0-9]') then 3.25
+          when regexp_full_match(w, '[A-Z2-7]+') then 3.44 else 3.5 end
+        and (regexp_matches(w, '[0-9]') or length(regexp_replace(w, '[^aeiouAEIOU]', '', 'g')) <= 6)
     ), found as (
       select doc_id, 1 as rank, 'assign' as kind, s, e from assigns
       where length(regexp_extract(m, '[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6

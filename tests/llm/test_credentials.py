@@ -79,20 +79,67 @@ def test_entropy_is_that_of_the_best_window(spark):
         assert abs(r.h - entropy(r.v)) < 1e-9
 
 
-def test_random_strings_are_found_and_explained_ones_are_not(spark):
+def window_is_random(w):
+    """Of one window, counted anew."""
+    counts = Counter(w)
+    h = round(-sum(c / len(w) * math.log2(c / len(w)) for c in counts.values()), 9)
+    has = lambda pattern: re.search(pattern, w) is not None
+    digits, t = has("[0-9]"), credentials.THRESHOLDS
+    if has("[+/=_-]"):
+        needed = t["any"]
+    elif has("[a-z]") and has("[A-Z]"):
+        needed = t["letters and digits"] if digits else t["letters"]
+    elif not has("[a-zA-Z]"):
+        needed = t["digits"]
+    elif re.fullmatch("[0-9a-f]+|[0-9A-F]+", w):
+        needed = t["hex"]
+    elif not digits:
+        needed = t["letters of one case"]
+    else:
+        needed = t["base32"] if re.fullmatch("[A-Z2-7]+", w) else t["one case and digits"]
+    return h >= needed and (digits or sum(c in "aeiouAEIOU" for c in w) <= 6)
+
+
+def looks_random(value):
+    parts = re.split("(?i)example|sample|dummy|placeholder|changeme|x{6,}|0{8,}|12345678|abcdefgh", value)
+    return any(window_is_random(p[i : i + 20]) for p in parts for i in range(len(p) - 19))
+
+
+CLASSES = {
+    "digits": "0123456789", "hex": "0123456789abcdef", "upper hex": "0123456789ABCDEF",
+    "lower case": "abcdefghijklmnopqrstuvwxyz", "upper case": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "lower case and digits": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "letters": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "letters and digits": credentials.ALPHABET[:62],
+    "base64": credentials.ALPHABET[:62] + "+/", "base64 of addresses": credentials.ALPHABET[:62] + "_-",
+}
+
+
+def test_windows_against_plain_ones_and_recall_by_class(spark):
     rng = random.Random(4)
-    random_64 = "".join(rng.choices(credentials.ALPHABET[:62], k=40))
+    rows = [(name, n, "".join(rng.choices(letters, k=n))) for name, letters in CLASSES.items() for n in (20, 24, 32, 40) for _ in range(150)]
+    mixes = ["".join(rng.choice(["key", "Sample", "_", "/", "2024", "the", "xxxxxx", rng.choice(credentials.ALPHABET)])
+                     for _ in range(30)) for _ in range(200)]
+    frame = spark.createDataFrame(rows + [("mix", 0, m) for m in mixes], "name string, n int, v string").repartition(4)
+    found = Counter()
+    for r in frame.select("*", credentials._looks_random(F.col("v")).alias("hit")).collect():
+        assert r.hit == looks_random(r.v), r.v
+        found[r.name, r.n] += r.hit
+    for (name, n), hits in found.items():
+        assert name == "mix" or hits >= 0.9 * 150, (name, n, hits / 150)
+
+
+def test_explained_parts_are_suppressed_and_no_more(spark):
+    rng = random.Random(4)
+    key = "".join(rng.choices(credentials.ALPHABET[:62], k=40))
+    random_ = [f"key {key} end", f"sample/{key}", f"EXAMPLE{key}", f"{key}-xxxxxxxxxxxx", f"path/to/{key}/file"]
     explained = [
-        "thisIsAnOrdinaryLongIdentifier",
-        "path/to/some/longer/file-name/part2",
-        "2024-01-02-2024-01-03-2024",
-        "EXAMPLE" + random_64,
-        "abc123" * 6,
+        "thisIsAnOrdinaryLongIdentifier", "path/to/some/longer/file-name/part2", "2024-01-02-2024-01-03-2024",
+        "abc123" * 6, "internationalisation_of_the_interfaces", "EXAMPLE" + key[:19], "x" * 40, "0" * 40,
     ]
-    docs = spark.createDataFrame([(0, f"key {random_64} end"), *enumerate(explained, 1)], SCHEMA)
+    docs = spark.createDataFrame(list(enumerate(random_ + explained)), SCHEMA)
     found = {r.doc_id: [s.value for s in r.random] for r in credentials.secrets(docs).collect()}
-    assert found[0] == [random_64]
-    assert not any(found[i] for i in range(1, len(explained) + 1))
+    assert found[0] == [key] and all(len(found[i]) == 1 for i in range(len(random_)))
+    assert not any(found[i] for i in range(len(random_), len(random_) + len(explained)))
 
 
 def test_empty_table(spark):
