@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadcast.functions.clean import (
@@ -31,10 +34,12 @@ from roadcast.plans.features import (
     run_or_fallback,
     with_horizon,
 )
+from roadcast.plans.lagged import WEATHER_LAGGED, upsert_with_lags
 from roadcast.plans.scoring import union_by_name
 from roadcast.queries.registry import comparable, query
-from roadcast.queries.views import ctes, table, view
+from roadcast.queries.views import ctes, read_and_forget, table, view
 from roadcast.schemas import FEATURES, HORIZONS
+from roadcast.session import scratch_path
 
 HORIZON_SQL = """
 cast(round_even((epoch_us(valid_time) - epoch_us(forecast_run_time)) / 3.6e9, 0) as bigint)
@@ -425,6 +430,32 @@ def lag_features_chunked(spark, sf_dir):
     return comparable(lagged.select("ingest_seq", "measurepoint_id", *_LAG_NAMES))
 
 
+# The readings come in three batches: two spans of time, and then those that came late.
+_BATCHES = ("ingest_seq % 10 <> 3 and day(sample_time) <= 15", "ingest_seq % 10 <> 3 and day(sample_time) > 15",
+            "ingest_seq % 10 = 3")
+
+
+@query(
+    "lags_across_batches",
+    ctes("obs")
+    + f""",
+last as (select * from obs qualify row_number() over (
+  partition by measurepoint_id, sample_time order by ingest_seq desc) = 1)
+select cast(measurepoint_id as bigint) as measurepoint_id, sample_time, {", ".join(
+    f"round(lag({c}, {n}) over w, 6) as {c}_lag_{n}h" for c in LAG_COLUMNS for n in LAG_ROWS)}
+from last window w as (partition by measurepoint_id order by sample_time)
+""",
+)
+def lags_across_batches(spark, sf_dir):
+    """The stored lags after all batches: those of the union."""
+    spec = replace(WEATHER_LAGGED, name=f"{WEATHER_LAGGED.name}_{uuid.uuid4().hex}")
+    obs = view(spark, sf_dir, "obs").withColumn("ingested_at", F.timestamp_seconds("ingest_seq"))
+    place = scratch_path(spark, spec.table)
+    for batch in _BATCHES:
+        upsert_with_lags(spark, obs.where(batch), spec, location=place)
+    return comparable(read_and_forget(spark, spec).select("measurepoint_id", "sample_time", *_LAG_NAMES))
+
+
 _LINE_KEY = ["l_orderkey", "l_linenumber"]
 _LINE_ORDER = [
     "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_discount",
