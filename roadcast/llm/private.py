@@ -1,37 +1,43 @@
-"""Personal data, and the words around it that give it away.
+"""Personal data, and the words that give it away.
 
 Patterns find e-mail and IP addresses, card and phone numbers. Each distinct value is a
-protected entity. From the whole corpus, co-occurrence tells how strongly a term reveals
-an entity: with ``N`` terms in the corpus, ``n(t)`` of them t, ``n(c)`` mentions of the
-entity c and ``n(c, t)`` terms t next to one, the information t gives about c is
+protected entity. From the whole corpus, co-occurrence in documents tells how strongly a
+term reveals an entity: of ``N`` documents, ``n(t)`` hold the term t, ``n(c)`` mention the
+entity c and ``n(c, t)`` do both. The information t gives about c is
 
     PMI(c, t) = log(n(c, t) * N / (n(c) * n(t)))
 
 and c itself holds ``IC(c) = log(N / n(c))``. A term that gives at least ``DISCLOSED`` of
-that, in at least ``SUPPORT`` different contexts, is withheld wherever it stands next to
-a mention of c. Contexts that repeat word for word, as in copied documents, count once
-for the support. `sanitised` replaces entities by their kind and removes such terms.
-
-A context is the `REACH` characters on either side of a mention; terms are its whole
-words of at least four letters, lower-cased, outside all mentions. The patterns take
-possessive repeats and look-behinds that change no match but keep the search linear.
-
-Defined results: a null text is empty. Rows that repeat an id are separate documents.
-Other columns are ignored. Everything is column functions; broadcast is one bitmap.
+that is withheld wherever it stands in a document that mentions c, unless chance explains
+it: were the term's documents any documents, ``n(c, t)`` of them would all mention c with
+a probability of ``(n(c) / N) ** n(c, t)``, which must be below ``CHANCE``, and two must.
+So entities in a single document have no measurable term (`unmeasured` counts them).
+Documents of equal text count as one. `sanitised` replaces entities by their kind and
+removes withheld terms.
+
+Terms are whole words of at least two letters, lower-cased, outside e-mail addresses. The
+patterns take possessive repeats and look-behinds that change no match but keep the search
+linear.
+
+Defined results: a null text is empty. Rows that repeat an id are separate documents;
+where they repeat the text, too, all show the same. Other columns are ignored. Everything
+is column functions; broadcast are bitmaps.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roadcast.llm.bitmaps import bitmap, maybe_in
+from roadcast.llm.bitmaps import bitmap, maybe_in, surely_out
 from roadcast.llm.spans import listed, matches, of_kind
 from roadcast.llm.tables import settle
+from roadcast.operators.joins import skewproof_join
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 64
 DISCLOSED = 0.9
-SUPPORT = 3
+CHANCE = 1e-6
 
 # A match may begin where the run of its first characters does, or where the last match
 # ended inside that run.
@@ -40,7 +46,8 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 # Shorter chains of digits cannot pass, and hold no longer ones.
 CARD = r"[0-9](?:[\x20-]?[0-9]){12,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TERM = r"(?<=[^\p{L}\p{N}])\p{L}{4,}+(?=[^\p{L}\p{N}])"
+TERM = r"(?<![\p{L}\p{N}])\p{L}{2,}+(?![\p{L}\p{N}])"
+RUN = r"[\p{L}\p{N}]+"  # in which a term is a whole one
 
 
 def _digits(value: Column) -> Column:
@@ -87,89 +94,110 @@ def mentions(text: Column) -> Column:
     )
 
 
-def _terms(text: Column, begin: Column, end: Column) -> Column:
-    """The terms of a slice of a text, with places in the text."""
-    first = F.greatest(begin, F.lit(0))
-    # Words cut off by the slice touch its edge, where a term must see a character.
-    part = F.substring(text, first + 1, F.greatest(end - first, F.lit(0)))
-    return F.transform(
-        matches(part, TERM, "term"),
-        lambda s: F.struct(
-            F.lower(s["value"]).alias("term"),
-            (first + s["start"]).alias("start"),
-            (first + s["end"]).alias("end"),
-        ),
+def _entity(mention: Column) -> Column:
+    """The value behind a mention, whatever way it is written."""
+    value = F.when(mention["kind"] == "email", F.lower(mention["value"])).when(
+        mention["kind"] == "ip", mention["value"]
     )
+    return F.concat_ws(":", mention["kind"], value.otherwise(_digits(mention["value"])))
 
 
-def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per document: ``doc_id, row, found`` (mentions), ``n_terms`` in the text and
-    ``near``, the terms around each mention. ``row`` tells repeated ids apart."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).select(
-        "doc_id", "text", mentions(F.col("text")).alias("found")
-    )
-    text, found = F.col("text"), F.col("found")
-
-    def around(mention: Column) -> Column:
-        before = _terms(text, mention["start"] - REACH, mention["start"] + 1)
-        after = _terms(text, mention["end"] - 1, mention["end"] + REACH)
-        outside = F.filter(
-            F.concat(before, after),
-            lambda t: ~F.exists(found, lambda m: (m["start"] < t["end"]) & (t["start"] < m["end"])),
-        )
-        value = F.when(mention["kind"] == "email", F.lower(mention["value"])).otherwise(
-            _digits(mention["value"])
-        )
-        value = F.when(mention["kind"] == "ip", mention["value"]).otherwise(value)
-        first = F.greatest(mention["start"] - REACH, F.lit(0))
-        context = F.xxhash64(
-            F.substring(text, first + 1, mention["start"] - first),
-            F.substring(text, mention["end"] + 1, F.lit(REACH)),
-        )
-        return F.struct(
-            F.concat_ws(":", mention["kind"], value).alias("entity"),
-            context.alias("context"),
-            outside.alias("terms"),
-        )
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text."""
+    bare = F.when(text.contains("@"), F.regexp_replace(text, EMAIL, " ")).otherwise(text)
+    return F.array_distinct(F.transform(F.regexp_extract_all(bare, F.lit(TERM), F.lit(0)), F.lower))
+
 
+def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row per document: ``doc_id, row, print`` (of the text), ``found`` (mentions),
+    and the distinct ``entities`` and ``terms``. ``row`` tells rows apart."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = rows.select("doc_id", "text", mentions(F.col("text")).alias("found"))
     return rows.select(
         "doc_id",
         F.monotonically_increasing_id().alias("row"),
-        F.transform(found, lambda m: F.struct(m["kind"], m["start"], m["end"])).alias("found"),
-        F.regexp_count(text, F.lit(TERM)).cast("long").alias("n_terms"),
-        F.transform(found, around).alias("near"),
+        F.xxhash64("text").alias("print"),
+        F.transform("found", lambda m: F.struct(m["kind"], m["start"], m["end"])).alias("found"),
+        F.array_distinct(F.transform("found", _entity)).alias("entities"),
+        _terms(F.col("text")).alias("terms"),
     )
 
 
-def disclosing(
-    docs: DataFrame, scan: DataFrame, text_col: str, disclosed: float = DISCLOSED, support: int = SUPPORT
-) -> DataFrame:
+def _one_of_each_text(scan: DataFrame) -> DataFrame:
+    """The scan without the rows that repeat a text; the others are not shuffled."""
+    rows = scan.select("row", "print")
+    repeated = rows.groupBy("print").agg(F.min("row").alias("kept"), F.count("*").alias("n")).filter("n > 1")
+    copies = skewproof_join(rows, repeated, ["print"], "inner").filter("row <> kept").select("row")
+    copies = settle(copies, "copies-of-texts")
+    pages = bitmap(copies, "row")
+    return surely_out(scan, "row", pages).unionByName(
+        maybe_in(scan, "row", pages).join(copies, "row", "left_anti")
+    )
+
+
+def disclosing(scan: DataFrame, disclosed: float = DISCLOSED, chance: float = CHANCE) -> DataFrame:
     """The terms that reveal an entity: ``entity, term``. All counts are over the whole
     corpus."""
-    told = scan.select(F.explode("near").alias("m")).select("m.entity", "m.context", "m.terms")
-    pairs = (
-        told.select("entity", "context", F.explode("terms.term").alias("term"))
-        .groupBy("entity", "term", "context")
-        .agg(F.count("*").alias("n"))
-        .groupBy("entity", "term")
-        .agg(F.sum("n").alias("n_both"), F.count("*").alias("contexts"))
-        .filter(F.col("contexts") >= support)
-    )
-    pairs = settle(pairs, "entity-terms")
-    words = docs.select(
-        F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(TERM), F.lit(0))).alias("term")
-    )
-    known = maybe_in(words, "term", bitmap(pairs, "term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    entities = told.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    n_all = float(scan.agg(F.sum("n_terms")).first()[0] or 1)
+    texts = _one_of_each_text(scan.select("row", "print", "entities", "terms"))
+    n_all = float(texts.count() or 1)
+    mentioning = texts.filter(F.size("entities") > 0)
+    near = mentioning.select("row", F.explode("terms").alias("term"))
+    words = texts.select(F.explode("terms").alias("term"))
+    counted = maybe_in(words, "term", bitmap(near, "term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    counted = settle(counted.filter("n_term > 1"), "term-counts")
+    told = mentioning.select("row", F.explode("entities").alias("entity"))
+    entities = settle(told.groupBy("entity").agg(F.count("*").alias("n_entity")).filter("n_entity > 1"), "entity-counts")
+    # A term in so many documents cannot give enough, even if all that mention c hold it.
+    at_most = F.col("n_entity") * F.pow(F.lit(n_all) / F.col("n_entity"), F.lit(1 - disclosed)) * (1 + 1e-9)
+    rare = skewproof_join(near, counted, ["term"], "inner")
+    sides = skewproof_join(told, entities, ["entity"], "inner").join(rare, "row")
+    pairs = sides.filter(F.col("n_term") <= at_most).groupBy("entity", "term", "n_entity", "n_term")
+    both = pairs.agg(F.count("*").alias("n_both"))
     holds = F.log(F.lit(n_all) / F.col("n_entity"))
     gives = F.log(F.col("n_both") * F.lit(n_all) / (F.col("n_entity") * F.col("n_term")))
-    return (
-        pairs.join(known, "term")
-        .join(entities, "entity")
-        .filter((holds > 0) & (gives >= disclosed * holds))
-        .select("entity", "term")
+    sure = (F.col("n_both") > 1) & (F.col("n_both") * holds >= -math.log(chance))
+    return both.filter((holds > 0) & sure & (gives >= disclosed * holds)).select("entity", "term")
+
+
+def unmeasured(scan: DataFrame) -> DataFrame:
+    """How many entities there are, and how many of them no term can be measured for, as
+    one text alone mentions them: ``entities, unmeasured``."""
+    texts = _one_of_each_text(scan.select("row", "print", "entities"))
+    counts = texts.select(F.explode("entities").alias("entity")).groupBy("entity").count()
+    return counts.agg(F.count("*").alias("entities"), F.count_if(F.col("count") == 1).alias("unmeasured"))
+
+
+def _withheld(docs: DataFrame, scan: DataFrame, told: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Where the terms stand that reveal what their document mentions: ``doc_id, print,
+    withheld``."""
+    rows = scan.filter(F.size("entities") > 0)
+    here = maybe_in(rows.select("row", F.explode("terms").alias("term")), "term", bitmap(told, "term"))
+    pairs = rows.select("row", F.explode("entities").alias("entity"))
+    asked = here.join(pairs, "row").join(told, ["entity", "term"], "left_semi").groupBy("row").agg(F.collect_set("term").alias("asked"))
+    asked = settle(
+        rows.select("row", "doc_id", "print", "found").join(asked, "row").select("doc_id", "print", "found", "asked"),
+        "terms-to-withhold",
+    )
+    texts = docs.select(F.col(id_col).alias("t_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    texts = maybe_in(texts.withColumn("t_print", F.xxhash64("text")), "t_print", bitmap(asked, "print"))
+    once = ["doc_id", "print"]
+    one = asked.groupBy(*once).agg(F.first("found").alias("found"), F.first("asked").alias("asked"))
+    joined = texts.groupBy("t_id", "t_print").agg(F.min("text").alias("text")).join(
+        one, (F.col("t_print") == F.col("print")) & F.col("t_id").eqNullSafe(F.col("doc_id"))
+    )
+    # Runs of letters and digits with what lies before each, whose lengths add up to places.
+    runs = F.regexp_extract_all("text", F.lit(RUN), F.lit(0))
+    gaps = F.slice(F.split("text", RUN, -1), F.lit(1), F.size(runs))
+    parts = joined.select(*once, "found", "asked", F.posexplode(F.arrays_zip(runs.alias("run"), gaps.alias("gap"))))
+    along = Window.partitionBy(*once).orderBy("pos")
+    n = F.char_length("col.run")
+    placed = parts.withColumn("end", F.sum(n + F.char_length("col.gap")).over(along).cast("int"))
+    term = placed.withColumn("start", F.col("end") - n).filter(
+        F.array_contains("asked", F.lower("col.run"))
+        & ~F.exists("found", lambda m: (m["start"] < F.col("end")) & (F.col("start") < m["end"]))
     )
+    span = F.struct(F.lit("term").alias("kind"), F.col("start"), F.col("end"))
+    return term.groupBy(*once).agg(F.array_sort(F.collect_set(span)).alias("withheld"))
 
 
 def protected(
@@ -177,28 +205,18 @@ def protected(
     id_col: str = "doc_id",
     text_col: str = "text",
     disclosed: float = DISCLOSED,
-    support: int = SUPPORT,
+    chance: float = CHANCE,
 ) -> DataFrame:
     """A row per document: ``doc_id``, ``found``, the mentions, and ``withheld``, the
-    terms around them that reveal one, both ``array<struct<kind, start, end>>``."""
+    terms that reveal one, both ``array<struct<kind, start, end>>``."""
     scan = settle(scanned(docs, id_col, text_col), "mentions")
-    terms = disclosing(docs, scan, text_col, disclosed, support)
-    places = (
-        scan.select("row", F.explode("near").alias("m"))
-        .select("row", "m.entity", F.explode("m.terms").alias("t"))
-        .select("row", "entity", "t.term", "t.start", "t.end")
-    )
-    withheld = (
-        places.join(terms, ["entity", "term"])
-        .groupBy("row")
-        .agg(
-            F.array_sort(
-                F.collect_set(F.struct(F.lit("term").alias("kind"), F.col("start"), F.col("end")))
-            ).alias("withheld")
-        )
+    told = settle(disclosing(scan, disclosed, chance), "disclosing-terms")
+    places = _withheld(docs, scan, told, id_col, text_col).select(
+        F.col("doc_id").alias("w_id"), F.col("print").alias("w_print"), "withheld"
     )
     none = F.expr("cast(array() as array<struct<kind: string, start: int, end: int>>)")
-    return scan.join(withheld, "row", "left").select(
+    same = (F.col("print") == F.col("w_print")) & F.col("doc_id").eqNullSafe(F.col("w_id"))
+    return scan.select("doc_id", "print", "found").join(places, same, "left").select(
         "doc_id", "found", F.coalesce("withheld", none).alias("withheld")
     )
 

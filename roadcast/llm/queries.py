@@ -261,46 +261,39 @@ _PRIVATE_SQL = (
       union all
       select doc_id, txt, 4, 'phone', m, s, e, 'phone:' || {_DIGITS} from phones
       where length({_DIGITS}) between 9 and 15
-    ), sides as (
-      select doc_id, entity, s as begins, e as ends, 0 as side, greatest(s - 64, 0) as first,
-             substr(txt, greatest(s - 64, 0) + 1, s + 1 - greatest(s - 64, 0)) as part,
-             hash(substr(txt, greatest(s - 64, 0) + 1, s - greatest(s - 64, 0)), substr(txt, e + 1, 64)) as context
-      from found
-      union all
-      select doc_id, entity, s, e, 1, e - 1, substr(txt, e, 65),
-             hash(substr(txt, greatest(s - 64, 0) + 1, s - greatest(s - 64, 0)), substr(txt, e + 1, 64))
-      from found
-    ), """
-    + _placed("runs", "sides", "part", _ALNUM, "doc_id, entity, begins, ends, side, first, part, context")
-    + r"""
-    , near as (
-      select doc_id, entity, begins, context, lower(m) as term, first + s as s, first + e as e
-      from runs
-      where regexp_full_match(m, '\p{L}{4,}') and s > 0 and e < length(part)
-        and not exists (select 1 from found f where f.doc_id = runs.doc_id
-                        and f.s < runs.first + runs.e and runs.first + runs.s < f.e)
-    ), pairs as (
-      select entity, term, count(*) as n_both from near group by all having count(distinct context) >= 3
-    ), texts as (
-      select doc_id, txt, regexp_extract_all(txt, '[\p{L}\p{N}]+') as ws,
-             regexp_extract_all(lower(txt), '[\p{L}\p{N}]+') as ls,
-             case when regexp_matches(txt, '^[\p{L}\p{N}]') then 1 else 0 end as at_start,
-             case when regexp_matches(txt, '[\p{L}\p{N}]$') then 1 else 0 end as at_end
+    ), bare as (
+      select doc_id, txt, list_distinct(list_transform(list_filter(regexp_extract_all(regexp_replace(
+        txt, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+', ' ', 'g'), '[\\p{{L}}\\p{{N}}]+'),
+        lambda w: regexp_full_match(w, '\\p{{L}}{{2,}}')), lambda w: lower(w))) as terms
       from d
-    ), inner_words as (
-      select ws[1 + at_start : len(ws) - at_end] as ws, ls[1 + at_start : len(ls) - at_end] as ls from texts
+    ), texts as (
+      select txt, any_value(terms) as terms from bare group by txt
     ), total as (
-      select sum(len(list_filter(ws, lambda w: regexp_full_match(w, '\p{L}{4,}'))))::double as n from inner_words
-    ), terms as (
-      select term, count(*) as n_term from (select unnest(ls) as term from inner_words)
-      where regexp_full_match(term, '\p{L}{4,}') and term in (select term from pairs) group by term
+      select count(*)::double as n from texts
+    ), pairs_in as (
+      select distinct txt, entity from found
     ), entities as (
-      select entity, count(*) as n_entity from found group by entity
+      select entity, count(*) as n_entity from pairs_in group by entity having count(*) > 1
+    ), in_text as (
+      select txt, unnest(terms) as term from texts
+    ), term_counts as (
+      select term, count(*) as n_term from in_text group by term having count(*) > 1
     ), told as (
-      select entity, term from pairs join terms using (term) join entities using (entity), total
-      where n > n_entity and ln(n_both * n / (n_entity * n_term)) >= 0.9 * ln(n / n_entity)
-    ), held as (
-      select distinct doc_id, s, e from near join told using (entity, term)
+      select entity, term from (
+        select entity, term, n_entity, n_term, count(*) as n_both
+        from pairs_in join entities using (entity) join in_text using (txt) join term_counts using (term) group by all), total
+      where n > n_entity and n_both > 1 and n_both * ln(n / n_entity) >= -ln(1e-6)
+        and ln(n_both * n / (n_entity * n_term)) >= 0.9 * ln(n / n_entity)
+    ), asked as (
+      select distinct doc_id, txt, term from (select distinct doc_id, txt, entity from found) join told using (entity)
+    ), asking as (select distinct doc_id, txt from asked
+    ), """
+    + _placed("runs", "asking", "txt", _ALNUM, "doc_id, txt")
+    + r"""
+    , held as (
+      select distinct doc_id, s, e from runs
+      where exists (select 1 from asked a where a.doc_id = runs.doc_id and a.term = lower(m))
+        and not exists (select 1 from found f where f.doc_id = runs.doc_id and f.s < runs.e and runs.s < f.e)
     ), base as (
       select doc_id, count(*) filter (rank = 1) as n_email, count(*) filter (rank = 2) as n_ip,
              count(*) filter (rank = 3) as n_card, count(*) filter (rank = 4) as n_phone,

@@ -3,7 +3,7 @@
 import hashlib
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -86,67 +86,93 @@ def test_spans_of_any_text(spark, texts):
         assert [(s.kind, s.start, s.end) for s in r.found] == brute(texts[r.doc_id])
 
 
+EMAIL = re.compile(RULES[0][1])
+
+
 def corpus():
-    near = "ask Heribert Zumwalt of project Nightjar about mail to {} or else {} then"
-    rows = [near.format("hz@firm.example", f"word{chr(97 + i)}{chr(97 + i)}") for i in range(6)]
-    rows += ["the project about nothing, mail about the weather or else " * 3 + f"tale {i}" for i in range(30)]
-    rows += [f"project about mail to p{i}@firm.example or else nothing then" for i in range(20)]
+    near = "Heribert Zumwalt, of project Nightjar, had mail about {} " + "and so on to the end of a long line " * 4 + "to hz@firm.example"
+    rows = [near.format(f"word{chr(97 + i)}{chr(97 + i)}") for i in range(6)]
+    rows += ["the project about nothing, mail about the weather or else " * 3 + f"tale {i}" for i in range(60)]
+    rows += [f"project about mail to p{i}@firm.example and so on to the end of a long line or else nothing then {i}" for i in range(20)]
     rows += [rows[0]] * 5 + [None, "", "unica vocable near lone@firm.example here"]
+    # A name as first and as last word, of three letters, and a passage that documents share.
+    rows += [f"Wilhelmina: wm@corp.example wrote note number {i} of {i * 7}" for i in range(9)]
+    rows += [f"tale {i} goes on to wm@corp.example Wilhelmina" for i in range(60, 70)] + ["Wilhelmina came alone"]
+    rows += [f"{i} calls +1 (555) 123-45{i:02} for Li or 10.0.0.{i % 4}" for i in range(10, 60)]
     return list(enumerate(rows))
 
 
+def terms_of(text):
+    return {w.lower() for w in re.findall(r"(?<![^\W_])[^\W\d_]{2,}(?![^\W_])", EMAIL.sub(" ", text or "") if "@" in (text or "") else text or "")}
+
+
+def entities_of(text):
+    out = set()
+    for kind, start, end in brute(text):
+        value = text[start:end]
+        out.add(kind + ":" + (value.lower() if kind == "email" else value if kind == "ip" else digits(value)))
+    return out
+
+
 def brute_disclosing(rows):
-    """Terms around each mention that give away at least 0.9 of what it holds."""
-    total, n_term, n_entity = 0, Counter(), Counter()
-    both, contexts = Counter(), defaultdict(set)
-    for _, text in rows:
-        text = text or ""
-        terms = [
-            (m[0].lower(), m.start(), m.end())
-            for m in re.finditer(r"(?<=[^\w])[^\W\d_]{4,}(?=[^\w])", text)
-        ]
-        total += len(terms)
-        n_term.update(t[0] for t in terms)
-        spans = brute(text)
-        for kind, start, end in spans:
-            entity = text[start:end].lower()
-            n_entity[entity] += 1
-            context = (text[max(start - 64, 0) : start], text[end : end + 64])
-            for term, a, b in terms:
-                seen = (a > max(start - 64, 0) and b <= start) or (a >= end and b < end + 64)
-                if seen and not any(s < b and a < e for _, s, e in spans):
-                    both[entity, term] += 1
-                    contexts[entity, term].add(context)
+    """Terms that give away at least 0.9 of what an entity holds, and not by chance."""
+    texts = {text or "" for _, text in rows}
+    n_term, n_entity, both = Counter(), Counter(), Counter()
+    for text in texts:
+        terms, entities = terms_of(text), entities_of(text)
+        n_term.update(terms)
+        n_entity.update(entities)
+        both.update((c, t) for c in entities for t in terms)
+    n = len(texts)
     return {
         (c, t)
-        for (c, t), n in both.items()
-        if len(contexts[c, t]) >= 3
-        and math.log(n * total / (n_entity[c] * n_term[t])) >= 0.9 * math.log(total / n_entity[c])
+        for (c, t), k in both.items()
+        if k > 1
+        and n > n_entity[c]
+        and k * math.log(n / n_entity[c]) >= -math.log(1e-6)
+        and math.log(k * n / (n_entity[c] * n_term[t])) >= 0.9 * math.log(n / n_entity[c])
     }
 
 
+def brute_withheld(text, told):
+    mentions = brute(text)
+    asked = {t for c, t in told if c in entities_of(text)}
+    return [
+        (m.start(), m.end())
+        for m in re.finditer(r"[^\W_]+", text or "")
+        if m[0].lower() in asked and not any(s < m.end() and m.start() < e for _, s, e in mentions)
+    ]
+
+
 def test_terms_that_reveal_an_entity_are_withheld(spark):
     rows = corpus()
     docs = spark.createDataFrame(rows, SCHEMA)
-    want = brute_disclosing(rows)
-    assert {t for _, t in want} >= {"heribert", "zumwalt", "nightjar"}
-    assert not {t for _, t in want} & {"project", "about", "else", "vocable"}
-    found = private.protected(docs)
-    seen = set()
-    for r in found.collect():
-        for s in r.withheld:
-            seen.add(rows[r.doc_id][1][s.start : s.end].lower())
-    assert seen == {t for _, t in want}
+    told = brute_disclosing(rows)
+    assert {t for c, t in told if "hz@" in c} >= {"heribert", "zumwalt", "nightjar"}
+    assert ("email:wm@corp.example", "wilhelmina") in told
+    assert not {t for _, t in told} & {"project", "about", "else", "vocable", "the", "li"}
+    found = private.protected(docs.repartition(4))
+    got = sorted((r.doc_id, [(s.start, s.end) for s in r.withheld]) for r in found.collect())
+    assert got == [(i, brute_withheld(t, told)) for i, t in rows]
     clean = {
-        r.doc_id: r.clean
+        r.doc_id: (r.text, r.clean)
         for r in found.join(docs, "doc_id")
-        .select("doc_id", private.sanitised(F.col("text"), F.col("found"), F.col("withheld")).alias("clean"))
+        .select("doc_id", "text", private.sanitised(F.col("text"), F.col("found"), F.col("withheld")).alias("clean"))
         .collect()
     }
-    for term in ("Heribert", "Zumwalt", "Nightjar", "@"):
-        assert not any(term in (t or "") for t in clean.values())
-    assert clean[0].startswith("ask   of project  about mail to [EMAIL] or else wordaa")
-    assert clean[7] == rows[7][1]
+    for text, left in clean.values():
+        for term, entity in (("Heribert", "hz@"), ("Zumwalt", "hz@"), ("Wilhelmina", "wm@")):
+            assert entity not in (text or "") or term not in left
+    assert clean[0][1].startswith(" , of project ") and clean[7][1] == rows[7][1]
+    alone = next(i for i, t in rows if t == "Wilhelmina came alone")
+    assert clean[alone][1] == "Wilhelmina came alone"  # it mentions nobody
+
+
+def test_entities_without_a_measurable_term_are_counted(spark):
+    rows = corpus()
+    row = private.unmeasured(private.scanned(spark.createDataFrame(rows, SCHEMA))).first()
+    counts = Counter(c for t in {t for _, t in rows} for c in entities_of(t))
+    assert tuple(row) == (len(counts), sum(n == 1 for n in counts.values()))
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(None, "x y@z.w"), (None, "x y@z.w")]])
