@@ -113,7 +113,7 @@ def rows_of(
     in any case."""
     schema = T.StructType([*spec.schema, T.StructField("event_date", T.DateType())])
     data = os.path.join(root, "data")
-    paths = [os.path.join(data, r.file) for r in files.select("file").toLocalIterator()]
+    paths = [os.path.join(data, r.file) for r in files.select("file").collect()]
     if not paths:
         named = T.StructType([*schema, T.StructField("file", T.StringType())])
         return spark.createDataFrame([], named if with_file else schema)

@@ -193,17 +193,15 @@ def _merge(spark: SparkSession, spec: TableSpec, root: str, incoming: DataFrame)
     """Commit a version that has the incoming rows."""
     for _ in range(ATTEMPTS):
         base = snapshots.latest(spark, root)
-        live = snapshots.manifest(spark, spec, root, base or None)
-        names = _holding(spark, spec, root, live, incoming)
+        live = snapshots.manifest(spark, spec, root, base)
+        names = _holding(spark, spec, root, live, incoming) if base else []
         replaced = spark.createDataFrame([(n,) for n in names], "file STRING")
         rows = incoming
         if names:
             rows = merged(snapshots.rows_of(spark, spec, root, replaced), incoming, spec.primary_key)
         added = snapshots.write_files(spark, spec, root, rows)
         number = base + 1
-        while not snapshots.commit(
-            spark, spec, root, live.join(replaced, "file", "left_anti").unionByName(added), number
-        ):
+        while not snapshots.commit(spark, spec, root, _with(live, replaced, added), number):
             newest = snapshots.latest(spark, root)
             if newest > base:
                 if snapshots.changed(spark, spec, root, base, newest, incoming.select("event_date").distinct()):
@@ -215,6 +213,11 @@ def _merge(spark: SparkSession, spec: TableSpec, root: str, incoming: DataFrame)
     raise RuntimeError(f"{spec.table}: other writers keep changing the same dates")
 
 
+def _with(live: DataFrame, replaced: DataFrame, added: DataFrame) -> DataFrame:
+    """A manifest with some of its files replaced by others."""
+    return live.join(replaced, "file", "left_anti").unionByName(added)
+
+
 def _holding(
     spark: SparkSession, spec: TableSpec, root: str, live: DataFrame, incoming: DataFrame
 ) -> list[str]:
@@ -226,7 +229,7 @@ def _holding(
     stored = snapshots.rows_of(spark, spec, root, maybe, with_file=True).select(*keys, "file")
     asked = incoming.select(*keys)
     hit = stored.join(asked, same_keys(stored, asked, keys), "left_semi")
-    return [r.file for r in hit.select("file").distinct().toLocalIterator()]
+    return [r.file for r in hit.select("file").distinct().collect()]
 
 
 def table_location(spark: SparkSession, spec: TableSpec) -> str:
