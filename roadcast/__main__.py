@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     train.add_argument("--members", type=int, default=Settings.members)
     train.add_argument("--trees", type=int, default=Settings.trees)
     train.add_argument("--method", choices=(PLATT, ISOTONIC), default=PLATT)
+    train.add_argument("--incremental", action="store_true", help="keep the training rows between runs")
     train.add_argument("--test-days", type=int, default=Settings.test_days)
     train.add_argument("--calibration-days", type=int, default=Settings.calibration_days)
     score = commands.add_parser("score")
@@ -61,8 +62,8 @@ def main(argv: list[str] | None = None) -> None:
         if job == "backfill":
             total_rows(report).show()
     elif job == "train":
-        models, tables = args.pop("models"), args.pop("tables")
-        trained = jobs.train(spark, models, Settings(**args), tables=tables)
+        models, tables, incremental = args.pop("models"), args.pop("tables"), args.pop("incremental")
+        trained = jobs.train(spark, models, Settings(**args), tables=tables, incremental=incremental)
         for horizon, ensemble in trained.items():
             print(horizon, ensemble.metrics)
     elif job == "score":

@@ -25,6 +25,7 @@ from roadcast.operators.serving import (
     timeline,
 )
 from roadcast.plans.dataset import has_rows, training_dataset
+from roadcast.plans.incremental import TRAINING_ROWS, update_training_rows
 from roadcast.plans.refresh import Feed, landing_feeds, refresh
 from roadcast.plans.scoring import (
     features_to_score,
@@ -172,9 +173,12 @@ def train(
     settings: Settings = Settings(),
     *,
     tables: str | None = None,
+    incremental: bool = False,
 ) -> dict[int, Ensemble]:
     """Train, evaluate and save an ensemble per horizon from the stored tables; none
-    when a table is missing or empty. Stored keys are unique, so no dedup is needed.
+    when a table is missing or empty. Stored keys are unique, so no dedup is needed. With
+    ``incremental`` the training rows are a stored table, too, of which only the dates are
+    made anew that changes since the last run can reach.
     What the joins read and matched is appended to ``audit`` and ``coverage`` there."""
     use_utc(spark)
     forecasts = _stored(spark, schemas.POINT_FORECAST, tables)
@@ -183,7 +187,11 @@ def train(
         return {}
     zones = (table_zones(spark, s) for s in (schemas.POINT_FORECAST, schemas.WEATHER_OBSERVATION))
     zones_join_audit(*zones).write.mode("append").parquet(f"{models}/audit")
-    dataset = training_dataset(forecasts, observations, unique_keys=True)
+    if incremental:
+        update_training_rows(spark, location=tables)
+        dataset = read_table(spark, TRAINING_ROWS)
+    else:
+        dataset = training_dataset(forecasts, observations, unique_keys=True)
     ensembles = train_all(dataset, settings, coverage=f"{models}/coverage")
     for horizon, ensemble in ensembles.items():
         save_ensemble(spark, ensemble, f"{models}/h{horizon}")

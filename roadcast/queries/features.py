@@ -34,12 +34,15 @@ from roadcast.plans.features import (
     run_or_fallback,
     with_horizon,
 )
+from roadcast.plans.incremental import FIRST_TIMES, TRAINING_ROWS, update_training_rows
 from roadcast.plans.lagged import WEATHER_LAGGED, upsert_with_lags
 from roadcast.plans.scoring import union_by_name
 from roadcast.queries.registry import comparable, query
 from roadcast.queries.views import ctes, read_and_forget, table, view
+from roadcast import schemas
 from roadcast.schemas import FEATURES, HORIZONS
 from roadcast.session import scratch_path
+from roadcast.sources.tables import ensure_table, read_table, upsert
 
 HORIZON_SQL = """
 cast(round_even((epoch_us(valid_time) - epoch_us(forecast_run_time)) / 3.6e9, 0) as bigint)
@@ -507,6 +510,43 @@ def training_rows(spark, sf_dir):
     return comparable(training_dataset(view(spark, sf_dir, "fc"), view(spark, sf_dir, "obs")))
 
 
+@query(
+    "training_rows_incremental",
+    ctes("obs", "fc")
+    + _DATASET
+    + f"""
+select cast(measurepoint_id as bigint) as measurepoint_id, valid_time, forecast_run_time,
+  {_rounded(*FC_VALUES)}, horizon_hours, {_OBS_COLUMNS}, hazard, {CALENDAR_SQL.format(t="valid_time")}
+from dataset
+""",
+)
+def training_rows_incremental(spark, sf_dir):
+    """The stored training rows after an update that followed a late forecast, late
+    observations and a correction: those of the full build."""
+    suffix, place = f"_{uuid.uuid4().hex}", scratch_path(spark, "training-rows")
+    specs = [
+        replace(s, name=s.name + suffix)
+        for s in (schemas.POINT_FORECAST, schemas.WEATHER_OBSERVATION, TRAINING_ROWS, FIRST_TIMES)
+    ]
+    for spec in specs[:2]:
+        ensure_table(spark, spec, location=f"{place}/{spec.table}")
+    fc, obs = (view(spark, sf_dir, v).withColumn("ingested_at", F.timestamp_seconds("ingest_seq")) for v in ("fc", "obs"))
+    late = F.col("ingest_seq") % 29 == 3
+    wrong = obs.where(~late).withColumn(
+        "surface_temp_c", F.when(F.col("ingest_seq") % 31 == 4, -9.0).otherwise(F.col("surface_temp_c"))
+    )
+    upsert(spark, specs[0], fc.where(~late))
+    upsert(spark, specs[1], wrong)
+    update_training_rows(spark, *specs, location=place)
+    upsert(spark, specs[0], fc.where(late))
+    upsert(spark, specs[1], obs.where(late | (F.col("ingest_seq") % 31 == 4)))
+    update_training_rows(spark, *specs, location=place)
+    stored = read_table(spark, specs[2])
+    for spec in specs:
+        spark.sql(f"DROP TABLE {spec.table}")
+    return comparable(stored.drop("lat", "lon", "ingested_at"))
+
+
 @query(
     "training_summary",
     ctes("obs", "fc")

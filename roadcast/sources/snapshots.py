@@ -201,6 +201,13 @@ def changed(spark: SparkSession, spec: TableSpec, root: str, base: int, now: int
     return not apart.isEmpty()
 
 
+def changed_dates(spark: SparkSession, spec: TableSpec, root: str, base: int, now: int) -> list:
+    """The event dates whose files differ between two versions, None for rows without."""
+    old, new = (manifest(spark, spec, root, v).select("event_date", "file") for v in (base, now))
+    apart = old.join(new, "file", "left_anti").unionByName(new.join(old, "file", "left_anti"))
+    return [r.event_date for r in apart.select("event_date").distinct().collect()]
+
+
 def expire(spark: SparkSession, spec: TableSpec, root: str, keep: int = 1, older_than_hours: float = 24.0) -> int:
     """Drop all but the newest ``keep`` versions, and remove the files of none that were
     written more than that many hours ago, so that neither a reader of a version that goes

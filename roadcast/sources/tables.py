@@ -189,6 +189,29 @@ def upsert(
     return count
 
 
+def on_dates(df: DataFrame, dates: Sequence) -> DataFrame:
+    """The rows, which have ``event_date``, of some dates, None among them if given."""
+    date = F.col("event_date")
+    hit = date.isNull() if None in dates else F.lit(False)
+    days = sorted(d for d in dates if d is not None)
+    return df.where(hit | date.isin(*days) if days else hit)
+
+
+def replace_dates(spark: SparkSession, spec: TableSpec, df: DataFrame, dates: Sequence) -> None:
+    """Put rows in the place of all that a table has on some event dates; ``df`` has rows
+    of these only, one per key. Other dates' files are carried over."""
+    root = table_location(spark, spec)
+    rows = on_dates(as_stored(df, spec), dates)
+    added = snapshots.write_files(spark, spec, root, rows)
+    for _ in range(ATTEMPTS):
+        base = snapshots.latest(spark, root)
+        live = snapshots.manifest(spark, spec, root, base)
+        replaced = on_dates(live, dates).select("file")
+        if snapshots.commit(spark, spec, root, _with(live, replaced, added), snapshots.next_free(spark, root)):
+            return
+    raise RuntimeError(f"{spec.table}: other writers keep committing")
+
+
 def _merge(spark: SparkSession, spec: TableSpec, root: str, incoming: DataFrame) -> None:
     """Commit a version that has the incoming rows."""
     for _ in range(ATTEMPTS):
