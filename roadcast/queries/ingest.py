@@ -544,7 +544,8 @@ def late_payload_upsert(spark, sf_dir):
     "table_time_travel",
     ctes("pred")
     + """
-select 1 as version, measurepoint_id, forecast_run_time, valid_time, horizon_hours, round(risk_mean, 6) as risk_mean
+select 1 as version, cast(measurepoint_id as bigint) as measurepoint_id, forecast_run_time, valid_time,
+  cast(horizon_hours as bigint) as horizon_hours, round(risk_mean, 6) as risk_mean
 from pred where risk_mean < 0.5 qualify row_number() over (
   partition by measurepoint_id, forecast_run_time, valid_time, horizon_hours order by ingest_seq desc) = 1
 union all
@@ -576,7 +577,8 @@ def table_time_travel(spark, sf_dir):
 run_side as (select count(*) as n, count(*) - count(forecast_run_time) as missing, min(forecast_run_time) as a,
   max(forecast_run_time) as b from stored),
 time_side as (select count(*) as n, min(valid_time) as a, max(valid_time) as b from stored)
-select 'forecast' as side, n as rows, missing as null_times, 0 as duplicates, a as min_time, b as max_time from run_side
+select 'forecast' as side, n as rows, missing as null_times, cast(0 as bigint) as duplicates, a as min_time,
+  b as max_time from run_side
 union all select 'observation', n, 0, 0, a, b from time_side
 """,
 )
