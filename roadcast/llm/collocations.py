@@ -5,10 +5,10 @@ Phrases are runs of up to five words within a piece of text, counted by language
 1. Level by level, from single words on, tasks hash every n-gram with prefix polynomials
    (Rabin-Karp fingerprints: one multiplication an n-gram), count them and shuffle
    fingerprints with counts. An n-gram is only counted where both n-grams of one word
-   less inside it are frequent; a bitmap of fixed size tells, whose false hits cost work.
+   less inside it are frequent; two bitmaps of fixed size tell, whose false hits cost work.
 2. Fingerprints only ever gather too much, so all frequent phrases are among them. One
    more pass takes the occurrences of frequent fingerprints apart by their words: tasks
-   compare these themselves, across tasks their 128-bit digests are compared. Rows of
+   compare these themselves, across tasks their digests are compared as well. Rows of
    fingerprint, digest, count and a pointer to an occurrence (the text's print and the
    place of the first word) are shuffled, and what is frequent stays.
 3. Only those phrases are read from the texts that the pointers name.
@@ -46,8 +46,9 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 TABLE = byte_table(b" \t" + BREAKS, lower=True)
 _BASE = 0x9E3779B97F4A7C15
 _SLICES = 64  # of a language's phrases, each ranked by itself first
-_FLUSH = 1 << 20  # distinct fingerprints a task holds before it passes them on
-_FLUSH_PHRASES = 1 << 17
+_PRINT_BITS = 48  # enough to keep false candidates rare, and fewer bytes to shuffle
+_FLUSH = 1 << 21  # distinct fingerprints a task holds before it passes them on
+_FLUSH_PHRASES = 1 << 19
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -71,13 +72,33 @@ class Fingerprints:
         """The fingerprint of the n-gram from each word on that leaves room for one."""
         many = max(self.n - size + 1, 0)
         own = (self.sums[size : size + many] - self.sums[:many]) * self.inverse[:many]
-        return mix64(own + self.seeds[:many] * np.uint64(2 * size + 1))
+        return mix64(own + self.seeds[:many] * np.uint64(2 * size + 1)) >> np.uint64(64 - _PRINT_BITS)
 
     def whole(self, size: int) -> np.ndarray:
         """Whether these lie in one piece."""
         many = max(self.n - size + 1, 0)
         return self.piece[size - 1 : size - 1 + many] == self.piece[:many]
 
+    def candidates(self, size: int, shorter: bytes | None) -> np.ndarray:
+        """Whether these lie in one piece and have frequent parts of one word less."""
+        ok = self.whole(size)
+        if shorter is None:
+            return ok
+        known = _frequent(shorter, self.of(size - 1))
+        return ok & known[: len(ok)] & known[1 : len(ok) + 1]
+
+
+def _bitmaps(found: DataFrame) -> bytes:
+    """Two bitmaps of fingerprints, by their lower and their upper half."""
+    upper = found.select(F.shiftright("fp", _PRINT_BITS // 2).alias("fp"))
+    return collect_bitmap(found, "fp") + collect_bitmap(upper, "fp")
+
+
+def _frequent(bitmaps: bytes, fps: np.ndarray) -> np.ndarray:
+    """Which fingerprints may be among those of `_bitmaps`."""
+    half = len(bitmaps) // 2
+    return held(bitmaps[:half], fps) & held(bitmaps[half:], fps >> np.uint64(_PRINT_BITS // 2))
+
 
 def _seed(lang: str) -> int:
     return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
@@ -99,7 +120,7 @@ def _runs(batch: pa.RecordBatch, run_bytes: int) -> Iterator[tuple[Words, np.nda
 
 def frequent_fingerprints(docs: DataFrame, size: int, shorter: bytes | None, least: int) -> DataFrame:
     """``fp, n`` of the n-grams of that size that occur often enough in a language.
-    ``shorter``: the bitmap of those of one word less."""
+    ``shorter``: the bitmaps of those of one word less."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -113,11 +134,7 @@ def frequent_fingerprints(docs: DataFrame, size: int, shorter: bytes | None, lea
 
         for batch in batches:
             for _, _, _, prints in _runs(batch, 2 << 20):
-                ok = prints.whole(size)
-                if shorter is not None:
-                    known = held(shorter, prints.of(size - 1))
-                    ok = ok & known[: len(ok)] & known[1 : len(ok) + 1]
-                waiting.append(prints.of(size)[ok])
+                waiting.append(prints.of(size)[prints.candidates(size, shorter)])
                 n_waiting += len(waiting[-1])
                 if n_waiting > _FLUSH:
                     keys, counts = merged()
@@ -134,8 +151,10 @@ def frequent_fingerprints(docs: DataFrame, size: int, shorter: bytes | None, lea
     return partial.groupBy("fp").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def _digest(lang: str, phrase: bytes) -> bytes:
-    return hashlib.blake2b(lang.encode() + b"\n" + phrase, digest_size=16).digest()
+def _digest(lang: str, phrase: bytes) -> int:
+    """64 bits that tell apart what has one fingerprint."""
+    own = hashlib.blake2b(lang.encode() + b"\n" + phrase, digest_size=8)
+    return int.from_bytes(own.digest(), "little", signed=True)
 
 
 def _phrase(words: Words, first: int, size: int) -> bytes:
@@ -162,14 +181,16 @@ def occurrences(docs: DataFrame, levels: list[bytes]) -> DataFrame:
             prints_of = batch.column(2)
             for words, langs, names, prints in _runs(batch, 4 << 20):
                 for code, n in zip(*np.unique(langs, return_counts=True)):
-                    entry = found.setdefault((names[code], 0, 0, b""), [0, b"", 0])
+                    entry = found.setdefault((names[code], 0, 0, 0), [0, b"", 0])
                     entry[0] += int(n)
                 exact = words.dictionary()
                 own = exact.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 row = np.repeat(np.arange(len(words.upto) - 1), np.diff(words.upto))
+                shorter = None
                 for size, bits in enumerate(levels, 1):
                     fps = prints.of(size)
-                    at = np.flatnonzero(held(bits, fps) & prints.whole(size))
+                    at = np.flatnonzero(prints.candidates(size, shorter) & _frequent(bits, fps))
+                    shorter = bits
                     if not len(at):
                         continue
                     columns = [langs[at], *(own[at + k] for k in range(size))]
@@ -193,12 +214,12 @@ def occurrences(docs: DataFrame, levels: list[bytes]) -> DataFrame:
     def _table(found):
         columns = [*zip(*found)] if found else [[]] * 4
         values = [*zip(*found.values())] if found else [[]] * 3
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
+        kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         arrays = [pa.array(c, k) for c, k in zip([*columns, *values], kinds)]
         return pa.RecordBatch.from_arrays(arrays, ["lang", "size", "fp", "digest", "n", "print", "pos"])
 
     return in_small_batches(docs).mapInArrow(
-        verify, "lang string, size int, fp long, digest binary, n long, print binary, pos long"
+        verify, "lang string, size int, fp long, digest long, n long, print binary, pos long"
     )
 
 
@@ -242,7 +263,7 @@ def frequent_phrases(
     levels: list[bytes] = []
     while len(levels) < longest:
         found = frequent_fingerprints(rows, len(levels) + 1, levels[-1] if levels else None, least)
-        bits = collect_bitmap(found, "fp")
+        bits = _bitmaps(settle(found, "frequent-ngrams"))
         if not any(bits):
             break
         levels.append(bits)
