@@ -92,7 +92,7 @@ def upsert_with_lags(
     keys = list(spec.primary_key)
     bare = replace(spec, columns=schemas.WEATHER_OBSERVATION.columns)
     copy = scratch_path(spark, "lag-batch")
-    changed_copy, tail_copy = scratch_path(spark, "lag-changed"), scratch_path(spark, "lag-tail")
+    lagged_copy, tail_copy = scratch_path(spark, "lag-rows"), scratch_path(spark, "lag-tail")
     try:
         rows = as_stored(keep_last(weather, keys, input_order(weather)), bare).drop("event_date")
         rows.write.parquet(copy)
@@ -102,20 +102,21 @@ def upsert_with_lags(
         known = _around(spark, spec, batch, tail)
         new = batch.withColumns({"_new": F.lit(True), "_was": F.lit(None).cast(known.schema["_was"].dataType)})
         both = merged(known, new.select(*known.columns), keys)
-        lagged = with_lags(both.withColumn("_seq", F.lit(0)), **lag_options).drop("_seq")
+        with_lags(both.withColumn("_seq", F.lit(0)), **lag_options).drop("_seq").write.parquet(lagged_copy)
+        lagged = spark.read.parquet(lagged_copy)
         now = F.struct(*[F.col(n).alias(n) for n in LAG_NAMES])
         mended = F.col("_was").isNotNull() & ~F.col("_was").eqNullSafe(now)
-        lagged.where(F.col("_new") | mended).drop("_new", "_was").write.parquet(changed_copy)
-        last_rows(lagged.drop("_new", "_was")).select(*spec.schema.names).write.parquet(tail_copy)
+        changed = lagged.where(F.col("_new") | mended).select(*spec.schema.names)
+        last_rows(lagged).select(*spec.schema.names).write.parquet(tail_copy)
         points = batch.select(POINT).distinct()
         others = tail.join(points, POINT, "left_anti").select(*spec.schema.names)
         left = others.unionByName(spark.read.schema(spec.schema).parquet(tail_copy))
-        count = upsert(spark, spec, spark.read.schema(spec.schema).parquet(changed_copy), order=())
+        count = upsert(spark, spec, changed, order=())
         if count:
             _write_tail(spark, spec, left, max(table_versions(spark, spec)))
         return count
     finally:
-        for path in (copy, changed_copy, tail_copy):
+        for path in (copy, lagged_copy, tail_copy):
             remove_path(spark, path)
 
 
