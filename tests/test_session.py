@@ -1,7 +1,16 @@
 """Session conventions and the command line."""
 
+import pytest
+
 from roadcast import __main__ as command
-from roadcast.session import scratch_path, shared_dir, shuffle_partitions, use_checkpoints, use_utc
+from roadcast.session import (
+    refuse_own_disk,
+    scratch_path,
+    shared_dir,
+    shuffle_partitions,
+    use_checkpoints,
+    use_utc,
+)
 
 
 def test_partition_sizing():
@@ -55,3 +64,11 @@ def test_command_line():
     assert (args.job, args.landing, args.shuffle_gb) == ("backfill", "in", 10)
     assert command._now("2024-01-02T03:04").hour == 3
     assert command._now(None).tzinfo is None
+
+
+def test_a_cluster_needs_a_shared_folder():
+    for master, scheme in (("local", "file"), ("local[4]", "file"), ("yarn", "hdfs"), ("k8s://x", "s3a")):
+        refuse_own_disk(master, scheme)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="checkpoint.dir"):
+            refuse_own_disk(master, "file")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from roadcast import schemas
 from roadcast.plans.refresh import Feed, landing_feeds, refresh, total_rows
 from roadcast.session import scratch_path
-from roadcast.sources import extract, snapshots, tables
+from roadcast.sources import extract, snapshots
 from roadcast.sources.landing import read_landing
 from roadcast.sources.tables import (
     align_to_table,
