@@ -74,14 +74,14 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured
     fallback = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_roadcast-shared")
-    refuse_own_disk(context.master, _file_system(spark, fallback)[0].getUri().getScheme())
+    refuse_own_disk(context.master, fallback)
     context.setCheckpointDir(fallback)
     return fallback
 
 
-def refuse_own_disk(master: str, scheme: str) -> None:
+def refuse_own_disk(master: str, path: str) -> None:
     """On a cluster a local folder is another one on every machine."""
-    if scheme == "file" and not (master == "local" or master.startswith("local[")):
+    if path.startswith("file:") and not (master == "local" or master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 

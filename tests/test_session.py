@@ -67,8 +67,8 @@ def test_command_line():
 
 
 def test_a_cluster_needs_a_shared_folder():
-    for master, scheme in (("local", "file"), ("local[4]", "file"), ("yarn", "hdfs"), ("k8s://x", "s3a")):
-        refuse_own_disk(master, scheme)
+    for master, path in (("local", "file:/w"), ("local[4]", "file:/w"), ("yarn", "hdfs://n/w"), ("k8s://x", "s3a://b/w")):
+        refuse_own_disk(master, path)
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
         with pytest.raises(RuntimeError, match="checkpoint.dir"):
-            refuse_own_disk(master, "file")
+            refuse_own_disk(master, "file:/w")
