@@ -8,8 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roadcast.operators.metrics import METRICS
-from roadcast.plans import scoring
+from roadcast.operators.metrics import METRICS, binary_metrics
+from roadcast.operators.splits import with_split
+from roadcast.plans import scoring, training
 from roadcast.plans.dataset import training_dataset
 from roadcast.plans.scoring import predict, prediction_rows, store_predictions
 from roadcast.plans.serving import current_predictions, recommendation_list
@@ -104,6 +105,22 @@ def ensemble(dataset):
     return train_all(dataset, QUICK, horizons=(24, 7))
 
 
+def test_metrics_read_stored_scores(ensemble, dataset, monkeypatch):
+    """Without the members' expressions and the split's subqueries in their plan."""
+    plans = []
+
+    def watched(scored, *columns):
+        plans.append(scored._jdf.queryExecution().optimizedPlan().toString())
+        return binary_metrics(scored, *columns)
+
+    monkeypatch.setattr(training, "binary_metrics", watched)
+    test = with_split(dataset.where("horizon_hours = 24"), training.ROW_KEYS).where("split = 'test'")
+    found = training.evaluate(ensemble[24], test)
+    assert plans[0].startswith("Relation") and plans[0].count("\n") <= 1
+    direct = binary_metrics(score(test, ensemble[24]), "hazard", "risk_mean").first()
+    assert found == pytest.approx({m: direct[m] for m in METRICS})
+
+
 def test_training(ensemble):
     assert set(ensemble) == {24}
     trained = ensemble[24]
