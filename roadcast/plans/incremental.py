@@ -30,6 +30,7 @@ from roadcast.schemas import TableSpec
 from roadcast.session import read_note, write_note
 from roadcast.sources import snapshots
 from roadcast.sources.tables import (
+    _utc_date,
     ensure_table,
     on_dates,
     read_table,
@@ -68,9 +69,20 @@ def _first_times(observations: DataFrame) -> DataFrame:
 
 def _dates_seen(forecasts: DataFrame, first_times: DataFrame) -> DataFrame:
     """Of forecasts with ``event_date``, the date of their run's latest observation:
-    ``event_date, seen``, without runs before any observation."""
+    ``event_date, seen``, without runs before any observation.
+
+    Runs of one point and day see that day, once it has its first observation, or the one
+    observed before it. So the first and the last of them see all that any of them does,
+    and only these are looked up."""
+    time = F.col("_time")
     runs = forecasts.select("event_date", "measurepoint_id", run_or_fallback(forecasts).alias("_time"))
-    runs = runs.where("measurepoint_id is not null and _time is not null").distinct()
+    runs = (
+        runs.where("measurepoint_id is not null and _time is not null")
+        .groupBy("event_date", "measurepoint_id", _utc_date(time))
+        .agg(F.array(F.min(time), F.max(time)).alias("_ends"))
+        .select("event_date", "measurepoint_id", F.explode("_ends").alias("_time"))
+        .distinct()
+    )
     seen = first_times.select(
         "measurepoint_id", F.col("first_time").alias("_time"), F.struct(F.col("event_date").alias("seen")).alias("_value")
     )

@@ -101,3 +101,32 @@ def test_a_run_that_dies_repeats_and_expired_versions_mean_all(spark, specs, mon
     expire_versions(spark, specs[1])
     assert len(update_training_rows(spark, *specs)) >= 9
     assert told(read_table(spark, specs[2])) == full(spark, specs)
+
+
+def test_dates_seen_by_the_ends_of_each_day(spark, monkeypatch):
+    """Of many runs of a point on one day, two are looked up; every date seen is found."""
+    firsts = [(1, 6), (1, 24 * 2 + 13), (2, 24 * 2)]
+    runs = [(p, h / 10, n) for p in (1, 2, 3) for h in range(0, 960) for n in (24, 48)]
+    runs += [(None, 5, 24)]
+    fc = forecast(spark, *[(p, r, r + n, 0.0) for p, r, n in runs])
+    fc = fc.withColumn("event_date", F.to_date("valid_time"))
+    first_times = spark.createDataFrame([(p, at(h)) for p, h in firsts], "measurepoint_id BIGINT, first_time TIMESTAMP")
+    first_times = first_times.withColumn("event_date", F.to_date("first_time"))
+    probed = []
+    look_up = incremental.latest_before
+
+    def watched(probes, *given, **named):
+        probed.append(probes.count())
+        return look_up(probes, *given, **named)
+
+    monkeypatch.setattr(incremental, "latest_before", watched)
+    found = {tuple(r) for r in incremental._dates_seen(fc, first_times).collect()}
+    want = set()
+    for p, r, n in runs:
+        if p is not None:
+            before = [h for q, h in firsts if q == p and h <= r]
+            if before:
+                want.add((at(r + n).date(), at(max(before)).date()))
+    assert found == want
+    # Three points on four days, of each the first and the last run of two valid dates a run.
+    assert probed[0] <= 3 * 4 * 4
