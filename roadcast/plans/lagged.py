@@ -102,16 +102,19 @@ def upsert_with_lags(
         known = _around(spark, spec, batch, tail)
         new = batch.withColumns({"_new": F.lit(True), "_was": F.lit(None).cast(known.schema["_was"].dataType)})
         both = merged(known, new.select(*known.columns), keys)
-        with_lags(both.withColumn("_seq", F.lit(0)), **lag_options).drop("_seq").write.parquet(lagged_copy)
-        lagged = spark.read.parquet(lagged_copy)
+        lagged = with_lags(both.withColumn("_seq", F.lit(0)), **lag_options).drop("_seq")
         now = F.struct(*[F.col(n).alias(n) for n in LAG_NAMES])
         mended = F.col("_was").isNotNull() & ~F.col("_was").eqNullSafe(now)
-        changed = lagged.where(F.col("_new") | mended).select(*spec.schema.names)
+        lagged = lagged.withColumn("_changed", (F.col("_new") | mended).cast("int")).drop("_new", "_was")
+        # By whether a row is to be stored, so that the upsert takes these from here.
+        lagged.write.partitionBy("_changed").parquet(lagged_copy)
+        lagged = spark.read.schema(lagged.schema).parquet(lagged_copy)
+        changed = lagged.where(F.col("_changed") == 1).select(*spec.schema.names)
         last_rows(lagged).select(*spec.schema.names).write.parquet(tail_copy)
         points = batch.select(POINT).distinct()
         others = tail.join(points, POINT, "left_anti").select(*spec.schema.names)
         left = others.unionByName(spark.read.schema(spec.schema).parquet(tail_copy))
-        count = upsert(spark, spec, changed, order=())
+        count = upsert(spark, spec, changed, order=(), kept=True)
         if count:
             _write_tail(spark, spec, left, max(table_versions(spark, spec)))
         return count

@@ -12,6 +12,7 @@ from roadcast.operators.lag import with_lags
 from roadcast.plans import lagged
 from roadcast.plans.lagged import LAG_NAMES, WEATHER_LAGGED, upsert_with_lags
 from roadcast.session import scratch_path
+from roadcast.sources import tables
 from roadcast.sources.tables import read_table, table_location
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -92,3 +93,20 @@ def test_a_tail_that_does_not_fit_is_made_anew(spark, spec, monkeypatch):
     upsert_with_lags(spark, spark.createDataFrame(more, COLUMNS), spec)
     assert told(read_table(spark, spec)) == union_of(spark, [rows, more])
     assert table_location(spark, spec).rstrip("/").endswith(place.rsplit("/", 1)[1])
+
+
+def test_lagged_rows_are_not_copied_again(spark, spec, monkeypatch):
+    """The upsert takes them from where they were written, also of a late batch."""
+    labels, fresh = [], tables.scratch_path
+
+    def named(spark, label):
+        labels.append(label)
+        return fresh(spark, label)
+
+    monkeypatch.setattr(tables, "scratch_path", named)
+    place, days = fresh(spark, spec.table), batches()[:3:2]
+    counts = [upsert_with_lags(spark, spark.createDataFrame(b, COLUMNS), spec, location=place) for b in days]
+    assert not [x for x in labels if x.endswith("-incoming")]
+    assert told(read_table(spark, spec)) == union_of(spark, days)
+    assert counts[0] == len(days[0]) and len(days[1]) < counts[1] <= 24 * 3 + len(days[1])
+    assert upsert_with_lags(spark, spark.createDataFrame([], COLUMNS), spec, location=place) == 0
