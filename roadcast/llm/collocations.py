@@ -46,9 +46,12 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 TABLE = byte_table(b" \t" + BREAKS, lower=True)
 _BASE = 0x9E3779B97F4A7C15
 _SLICES = 64  # of a language's phrases, each ranked by itself first
+_SIZES = 64  # more than the words of a phrase
 _PRINT_BITS = 48  # enough to keep false candidates rare, and fewer bytes to shuffle
+_RUN = 1 << 20  # bytes of text that are taken apart at a time
+_WAITING = 1 << 20  # fingerprints a task gathers before it counts them
 _FLUSH = 1 << 21  # distinct fingerprints a task holds before it passes them on
-_FLUSH_PHRASES = 1 << 19
+_WAITING_PHRASES, _FLUSH_PHRASES = 1 << 17, 1 << 19  # the same of phrases
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -118,6 +121,24 @@ def _runs(batch: pa.RecordBatch, run_bytes: int) -> Iterator[tuple[Words, np.nda
             yield words, own, names, Fingerprints(words, seeds[own])
 
 
+def _counted(keys: np.ndarray, counts: np.ndarray, waiting: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with their counts, and what waits added to them. The list is
+    emptied. ``counts`` is written to."""
+    found = np.concatenate(waiting) if waiting else np.empty(0, np.uint64)
+    waiting.clear()
+    found.sort()
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(found), 1), bool), found[1:] != found[:-1])))
+    own, n = found[first], np.diff(first, append=len(found))
+    del found, first
+    if not len(keys):
+        return own, n
+    at = np.searchsorted(keys, own)
+    known = keys[np.minimum(at, len(keys) - 1)] == own
+    counts[at[known]] += n[known]
+    fresh = ~known
+    return np.insert(keys, at[fresh], own[fresh]), np.insert(counts, at[fresh], n[fresh])
+
+
 def frequent_fingerprints(docs: DataFrame, size: int, shorter: bytes | None, least: int) -> DataFrame:
     """``fp, n`` of the n-grams of that size that occur often enough in a language.
     ``shorter``: the bitmaps of those of one word less."""
@@ -125,24 +146,17 @@ def frequent_fingerprints(docs: DataFrame, size: int, shorter: bytes | None, lea
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         waiting, n_waiting = [], 0
-
-        def merged():
-            found = np.sort(np.concatenate(waiting)) if waiting else np.empty(0, np.uint64)
-            own, n = np.unique(found, return_counts=True)
-            both, back = np.unique(np.concatenate((keys, own)), return_inverse=True)
-            return both, np.bincount(back, np.concatenate((counts, n)), len(both)).astype(np.int64)
-
         for batch in batches:
-            for _, _, _, prints in _runs(batch, 2 << 20):
+            for _, _, _, prints in _runs(batch, _RUN):
                 waiting.append(prints.of(size)[prints.candidates(size, shorter)])
                 n_waiting += len(waiting[-1])
-                if n_waiting > _FLUSH:
-                    keys, counts = merged()
-                    waiting, n_waiting = [], 0
+                if n_waiting > _WAITING:
+                    keys, counts = _counted(keys, counts, waiting)
+                    n_waiting = 0
                     if len(keys) > _FLUSH:
                         yield _pairs(keys, counts)
                         keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        yield _pairs(*merged())
+        yield _pairs(*_counted(keys, counts, waiting))
 
     def _pairs(keys, counts):
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["fp", "n"])
@@ -151,15 +165,22 @@ def frequent_fingerprints(docs: DataFrame, size: int, shorter: bytes | None, lea
     return partial.groupBy("fp").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def _digest(lang: str, phrase: bytes) -> int:
-    """64 bits that tell apart what has one fingerprint."""
-    own = hashlib.blake2b(lang.encode() + b"\n" + phrase, digest_size=8)
-    return int.from_bytes(own.digest(), "little", signed=True)
+def _digest(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
-def _phrase(words: Words, first: int, size: int) -> bytes:
+def _digests(seeds: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """64 bits that tell apart what has one fingerprint: of phrases, by their languages'
+    seeds and the digests of their first words, their second ones and so on."""
+    out = seeds
+    for own in words:
+        out = mix64(out * np.uint64(_BASE) + own)
+    return out
+
+
+def _spelled(words: Words, first: int, size: int) -> list[bytes]:
     parts = (words.low[words.starts[k] : words.ends[k]].tobytes() for k in range(first, first + size))
-    return b" ".join(parts).replace(b"\xff", b"\0")
+    return [p.replace(b"\xff", b"\0") for p in parts]
 
 
 def _distinct(codes: list[np.ndarray], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -171,52 +192,95 @@ def _distinct(codes: list[np.ndarray], sizes: list[int]) -> tuple[np.ndarray, np
     return first, counts
 
 
+def _phrases_of(
+    words: Words, langs: np.ndarray, n_langs: int, prints: Fingerprints, levels: list[bytes]
+) -> np.ndarray:
+    """The distinct phrases of a run with frequent fingerprints, told apart word by word, a
+    column each: size, fingerprint, digest, count, two rows to fill in, number of the
+    first word."""
+    exact = words.dictionary()
+    own = exact.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    places, shorter = [], None
+    for size, bits in enumerate(levels, 1):
+        fps = prints.of(size)
+        at = np.flatnonzero(prints.candidates(size, shorter) & _frequent(bits, fps))
+        shorter = bits
+        if len(at):
+            columns = [langs[at], *(own[at + k] for k in range(size))]
+            first, counts = _distinct(columns, [n_langs] + [len(exact.dictionary)] * size)
+            places.append((size, at[first], fps[at[first]], counts))
+    # Few of the words stand in frequent phrases; only these are digested.
+    used = np.zeros(len(exact.dictionary), bool)
+    for size, at, _, _ in places:
+        for k in range(size):
+            used[own[at + k]] = True
+    of_word = np.zeros(len(used), np.uint64)
+    spelled = exact.dictionary.filter(pa.array(used)).to_pylist()
+    of_word[used] = np.array([_digest(w) for w in spelled], np.uint64)
+    out = [np.empty((7, 0), np.int64)]
+    for size, at, fps, counts in places:
+        found = np.zeros((7, len(at)), np.int64)
+        digests = _digests(prints.seeds[at], [of_word[own[at + k]] for k in range(size)])
+        found[0], found[1], found[2], found[3], found[6] = size, fps.view(np.int64), digests.view(np.int64), counts, at
+        out.append(found)
+    return np.concatenate(out, axis=1)
+
+
+def _added(found: np.ndarray, waiting: list[np.ndarray]) -> np.ndarray:
+    """Columns as of `_phrases_of`, those alike in the first three rows added up."""
+    every = np.concatenate((found, *waiting), axis=1)
+    if not every.shape[1]:
+        return every
+    order = np.lexsort(every[:3])
+    every = every[:, order]
+    new = np.ones(every.shape[1], bool)
+    new[1:] = (every[:3, 1:] != every[:3, :-1]).any(axis=0)
+    first = np.flatnonzero(new)
+    out = every[:, first]
+    out[3] = np.add.reduceat(every[3], first)
+    return out
+
+
 def occurrences(docs: DataFrame, levels: list[bytes]) -> DataFrame:
     """The phrases with frequent fingerprints, told apart by their words: ``lang, size,
     fp, digest, n, print, pos`` of partial counts; with size 0, the number of words."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple, list] = {}
+        codes: dict[str, int] = {}  # of the languages
+        totals: list[int] = []
+        found, waiting, n_waiting = np.empty((7, 0), np.int64), [], 0
         for batch in batches:
-            prints_of = batch.column(2)
-            for words, langs, names, prints in _runs(batch, 4 << 20):
+            text_prints = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64).reshape(-1, 2)
+            for words, langs, names, prints in _runs(batch, _RUN):
+                code_of = np.array([codes.setdefault(name, len(codes)) for name in names])
+                totals += [0] * (len(codes) - len(totals))
                 for code, n in zip(*np.unique(langs, return_counts=True)):
-                    entry = found.setdefault((names[code], 0, 0, 0), [0, b"", 0])
-                    entry[0] += int(n)
-                exact = words.dictionary()
-                own = exact.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                row = np.repeat(np.arange(len(words.upto) - 1), np.diff(words.upto))
-                shorter = None
-                for size, bits in enumerate(levels, 1):
-                    fps = prints.of(size)
-                    at = np.flatnonzero(prints.candidates(size, shorter) & _frequent(bits, fps))
-                    shorter = bits
-                    if not len(at):
-                        continue
-                    columns = [langs[at], *(own[at + k] for k in range(size))]
-                    first, counts = _distinct(columns, [len(names)] + [len(exact.dictionary)] * size)
-                    for place, n in zip(at[first].tolist(), counts.tolist()):
-                        lang = names[langs[place]]
-                        digest = _digest(lang, _phrase(words, place, size))
-                        key = (lang, size, int(fps[place].view(np.int64)), digest)
-                        entry = found.get(key)
-                        if entry is None:
-                            text = int(row[place])
-                            print_ = prints_of[words.first_row + text].as_py()
-                            found[key] = [n, print_, int(place - words.upto[text])]
-                        else:
-                            entry[0] += n
-                if len(found) > _FLUSH_PHRASES:
-                    yield _table(found)
-                    found = {}
-        yield _table(found)
-
-    def _table(found):
-        columns = [*zip(*found)] if found else [[]] * 4
-        values = [*zip(*found.values())] if found else [[]] * 3
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-        arrays = [pa.array(c, k) for c, k in zip([*columns, *values], kinds)]
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "size", "fp", "digest", "n", "print", "pos"])
+                    totals[code_of[code]] += int(n)
+                new = _phrases_of(words, langs, len(names), prints, levels)
+                new[0] += code_of[langs[new[6]]] * _SIZES
+                row = np.searchsorted(words.upto, new[6], "right") - 1
+                new[4:6] = text_prints[words.first_row + row].T
+                new[6] -= words.upto[row]
+                waiting.append(new)
+                n_waiting += new.shape[1]
+                if n_waiting > max(_WAITING_PHRASES, found.shape[1] // 2):
+                    found, waiting, n_waiting = _added(found, waiting), [], 0
+                    if found.shape[1] > _FLUSH_PHRASES:
+                        yield _table(found, list(codes))
+                        found = found[:, :0]
+        words_of = np.zeros((7, len(totals)), np.int64)
+        words_of[0], words_of[3] = np.arange(len(totals)) * _SIZES, totals
+        yield _table(np.concatenate((_added(found, waiting), words_of), axis=1), list(codes))
+
+    def _table(found: np.ndarray, names: list[str]) -> pa.RecordBatch:
+        lang = pa.DictionaryArray.from_arrays(pa.array(found[0] // _SIZES, pa.int32()), pa.array(names, pa.string()))
+        pointed = np.ascontiguousarray(found[4:6].T).tobytes()
+        text_prints = pa.Array.from_buffers(pa.binary(16), found.shape[1], [None, pa.py_buffer(pointed)])
+        columns = [
+            lang.cast(pa.string()), pa.array((found[0] % _SIZES).astype(np.int32)), *map(pa.array, found[1:4]),
+            text_prints.cast(pa.binary()), pa.array(found[6]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "size", "fp", "digest", "n", "print", "pos"])
 
     return in_small_batches(docs).mapInArrow(
         verify, "lang string, size int, fp long, digest long, n long, print binary, pos long"
@@ -239,10 +303,12 @@ def _materialised(docs: DataFrame, pointed: DataFrame) -> DataFrame:
                 words = next(scan(batch.column(0).slice(k, 1), TABLE, BREAKS))
                 out = []
                 for w in wanted:
-                    phrase = _phrase(words, w["pos"], w["size"])
-                    if _digest(w["lang"], phrase) != w["digest"]:
+                    parts = _spelled(words, w["pos"], w["size"])
+                    seed = np.array([_seed(w["lang"])], np.uint64)
+                    digest = _digests(seed, [np.array([_digest(p)], np.uint64) for p in parts])
+                    if digest.view(np.int64)[0] != w["digest"]:
                         raise ValueError("a text is not what it was when its phrases were counted")
-                    out.append((w["lang"], phrase.decode(), w["size"], w["f"]))
+                    out.append((w["lang"], b" ".join(parts).decode(), w["size"], w["f"]))
                 arrays = [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.int32(), pa.int64()))]
                 yield pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "size", "f"])
 

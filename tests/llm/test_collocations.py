@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import pyarrow as pa
@@ -112,3 +113,53 @@ def test_scanned_words(run_bytes):
     want = [["one", "two"], [], [], ["x", "y\0", "z"], ["É", "é"], ["a"], ["b"], [], ["end"]]
     breaks = [[T, T], [], [], [T, T, N], [T, N], [T], [T], [], [T]]
     assert got == list(zip(range(9), want, breaks))
+
+
+class Tapped:
+    """Stands for a frame and keeps what its tasks are to do."""
+
+    def __init__(self, spark):
+        self.sparkSession = spark
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, task, schema):
+        self.task = task
+        return self.sparkSession.createDataFrame([], schema)
+
+
+def test_a_task_holds_little_beside_its_texts(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=1500)) for _ in range(600)]
+    common = " ".join(words[:3000])
+    rows = {"lang": ["en"] * 900, "text": texts + [common] * 300, "print": [i.to_bytes(16) for i in range(900)]}
+    batch = pa.RecordBatch.from_pydict(rows, pa.schema([("lang", "string"), ("text", "string"), ("print", "binary")]))
+    every = b"\xff" * (1 << 22)
+
+    def peak(counting, *given):
+        docs = Tapped(spark)
+        counting(docs, *given)
+        tracemalloc.start()
+        try:
+            rows = sum(found.num_rows for found in docs.task(iter([batch])))
+            return rows, tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    mb = batch.nbytes / 1e6
+    assert 10 < mb < 20
+    rows, most = peak(co.frequent_fingerprints, 2, every, 100)
+    assert rows > 800_000 and most < 130
+    rows, most = peak(co.occurrences, [every])
+    assert rows == 20_001 and most < 80
+
+
+def test_tasks_that_pass_on_often_lose_nothing(spark, monkeypatch):
+    for name, n in {"_RUN": 300, "_WAITING": 40, "_FLUSH": 60, "_WAITING_PHRASES": 30, "_FLUSH_PHRASES": 50}.items():
+        monkeypatch.setattr(co, name, n, raising=False)
+    rows = corpus()[:300]
+    want = brute(rows, least=40)
+    assert len(want) > 10
+    assert result(co.collocations(spark.createDataFrame(rows, SCHEMA).repartition(2), least=40)) == want
