@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from roadcast import schemas
 from roadcast.plans.refresh import Feed, landing_feeds, refresh, total_rows
 from roadcast.session import scratch_path
-from roadcast.sources import extract, snapshots
+from roadcast.sources import extract, snapshots, tables
 from roadcast.sources.landing import read_landing
 from roadcast.sources.tables import (
     align_to_table,
@@ -71,6 +71,27 @@ def test_upsert_counts_and_newest_wins(spark, spec):
     assert stored(spark, spec) == [(1, 1, 10.0, 0.2), (1, 2, 10.0, 0.9), (2, 2, 10.0, 0.4)]
 
 
+def test_files_are_named_once_not_for_each_row(spark, spec):
+    upsert(spark, spec, readings(spark, (1, 1, 10.0, 0.1, 0), (2, 2, 10.0, 0.2, 1)))
+    root = table_location(spark, spec)
+    live = snapshots.manifest(spark, spec, root)
+    place = f"{root}/data/{live.first().file.split('/')[0]}"
+    found = snapshots.described(spark, spec, root, place)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    named = [line for line in plan if "regexp_extract" in line]
+    assert named and all(line.lstrip(" +-").startswith("Aggregate [event_date") for line in named)
+    assert sorted(found.collect(), key=repr) == sorted(live.collect(), key=repr)
+
+
+def test_upsert_sorts_by_time_first(spark, spec, monkeypatch):
+    asked, whole = [], tables.keep_last
+    monkeypatch.setattr(tables, "keep_last", lambda df, keys, order: asked.append(keys) or whole(df, keys, order))
+    rows = readings(spark, (1, 1, 10.0, 0.1, 0), (None, None, 10.0, 0.1, 0), (None, None, 10.0, 0.2, 1), (1, 1, 10.0, 0.3, 1))
+    assert upsert(spark, spec, rows) == 2
+    assert asked == [["sample_time", "measurepoint_id", "depth_cm"]]
+    assert stored(spark, spec) == [(1, 1, 10.0, 0.3), (None, None, 10.0, 0.2)]
+
+
 def test_upsert_twice_is_once(spark, spec):
     rows = readings(spark, (1, 1, 10.0, 0.1, 0), (None, 3, None, 0.5, 1), (None, None, 1.0, 0.7, 2))
     for _ in range(2):
