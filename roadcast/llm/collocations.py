@@ -3,15 +3,13 @@
 Phrases are runs of up to five words within a piece of text, counted by language.
 
 1. Level by level, from single words on, tasks hash every n-gram with prefix polynomials
-   (Rabin-Karp fingerprints: one multiplication an n-gram), count them and shuffle
-   fingerprints with counts. An n-gram is only counted where both n-grams of one word
-   less inside it are frequent; two bitmaps of fixed size tell, whose false hits cost work.
-2. Fingerprints only ever gather too much, so all frequent phrases are among them. One
-   more pass takes the occurrences of frequent fingerprints apart by their words: tasks
-   compare these themselves, across tasks their digests are compared as well. Rows of
-   fingerprint, digest, count and a pointer to an occurrence (the text's print and the
-   place of the first word) are shuffled, and what is frequent stays.
-3. Only those phrases are read from the texts that the pointers name.
+   (Rabin-Karp fingerprints: one multiplication an n-gram) and count it, unless one of the
+   n-grams of one word less inside it is rare; two bitmaps of fixed size tell, whose false
+   hits cost work.
+2. What has one fingerprint is taken apart in the same pass by a digest of its words. Rows
+   of fingerprint, digest, count and a pointer to a text that holds it are shuffled: a
+   task's rows are the n-grams it counts, however many are frequent in the end.
+3. Only frequent phrases are read, from the texts that the pointers name.
 4. Every cut of a phrase in two is scored by joins with the phrases' own counts. The
    lowest score counts. Phrases inside a longer one that is as frequent are dropped.
 
@@ -27,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -121,48 +120,101 @@ def _runs(batch: pa.RecordBatch, run_bytes: int) -> Iterator[tuple[Words, np.nda
             yield words, own, names, Fingerprints(words, seeds[own])
 
 
-def _counted(keys: np.ndarray, counts: np.ndarray, waiting: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys with their counts, and what waits added to them. The list is
-    emptied. ``counts`` is written to."""
-    found = np.concatenate(waiting) if waiting else np.empty(0, np.uint64)
+def _counted(counted: list[np.ndarray], waiting: list[np.ndarray]) -> list[np.ndarray]:
+    """Digests in order, their fingerprints, counts and pointers, with what waits (digests,
+    fingerprints and pointers of occurrences) added to them. Both lists may be changed. An
+    n-gram may come twice where another has its digest."""
+    if not waiting:
+        return counted
+    found = np.concatenate(waiting, axis=1)
     waiting.clear()
-    found.sort()
-    first = np.flatnonzero(np.concatenate((np.ones(min(len(found), 1), bool), found[1:] != found[:-1])))
-    own, n = found[first], np.diff(first, append=len(found))
-    del found, first
-    if not len(keys):
-        return own, n
-    at = np.searchsorted(keys, own)
-    known = keys[np.minimum(at, len(keys) - 1)] == own
-    counts[at[known]] += n[known]
+    found = found[:, np.argsort(found[0])]
+    new = np.ones(found.shape[1], bool)
+    new[1:] = (found[0, 1:] != found[0, :-1]) | (found[1, 1:] != found[1, :-1])
+    first = np.flatnonzero(new)
+    least = np.minimum.reduceat(found[2], first) if len(first) else found[2]
+    own = [found[0, first], found[1, first], np.diff(first, append=found.shape[1]), least]
+    del found, new, first
+    if not len(counted[0]):
+        return own
+    at = np.searchsorted(counted[0], own[0])
+    near = np.minimum(at, len(counted[0]) - 1)
+    known = (counted[0][near] == own[0]) & (counted[1][near] == own[1])
+    np.add.at(counted[2], at[known], own[2][known])
+    np.minimum.at(counted[3], at[known], own[3][known])
     fresh = ~known
-    return np.insert(keys, at[fresh], own[fresh]), np.insert(counts, at[fresh], n[fresh])
+    for k in range(4):
+        counted[k] = np.insert(counted[k], at[fresh], own[k][fresh])
+    return counted
+
+
+def _word_digests(words: Words, used: np.ndarray) -> np.ndarray:
+    """A digest of each word; 0 where a word is not used."""
+    out = np.zeros(len(used), np.uint64)
+    exact = words.dictionary()
+    own = exact.indices.to_numpy(zero_copy_only=False)
+    needed = np.zeros(len(exact.dictionary), bool)
+    needed[own[used]] = True
+    of_word = np.zeros(len(needed), np.uint64)
+    of_word[needed] = np.array([_digest(w) for w in exact.dictionary.filter(pa.array(needed)).to_pylist()], np.uint64)
+    out[used] = of_word[own[used]]
+    return out
+
+
+def _digests_at(words: Words, prints: Fingerprints, at: np.ndarray, size: int) -> np.ndarray:
+    """The digests of the n-grams from these words on."""
+    used = np.zeros(prints.n, bool)
+    for k in range(size):
+        used[at + k] = True
+    of_word = _word_digests(words, used)
+    return _digests(prints.seeds[at], [of_word[at + k] for k in range(size)]).view(np.int64)
+
+
+def _pointers(prints: pa.Array) -> np.ndarray:
+    """The first four bytes of the texts' prints as numbers. Texts may share one."""
+    own = np.frombuffer(b"".join(prints.to_pylist()), ">u4")
+    return own.reshape(len(prints), -1)[:, 0].astype(np.int64)
 
 
 def frequent_fingerprints(docs: DataFrame, size: int, shorter: bytes | None, least: int) -> DataFrame:
-    """``fp, n`` of the n-grams of that size that occur often enough in a language.
-    ``shorter``: the bitmaps of those of one word less."""
+    """``fp, digest, n, at`` of the n-grams of that size that occur often enough in a
+    language, with the pointer to a text. ``shorter``: the bitmaps of those of one word less.
+    Single words come with the number of words of each language, as fingerprint -1."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        waiting, n_waiting = [], 0
+        counted, waiting, n_waiting = [np.empty(0, np.int64)] * 4, [], 0
+        totals: dict[int, list[int]] = {}
         for batch in batches:
-            for _, _, _, prints in _runs(batch, _RUN):
-                waiting.append(prints.of(size)[prints.candidates(size, shorter)])
-                n_waiting += len(waiting[-1])
+            pointers = _pointers(batch.column(2))
+            for words, _, _, prints in _runs(batch, _RUN):
+                at = np.flatnonzero(prints.candidates(size, shorter))
+                own = np.empty((3, len(at)), np.int64)
+                own[0], own[1] = _digests_at(words, prints, at, size), prints.of(size)[at].view(np.int64)
+                row = np.searchsorted(words.upto, at, "right") - 1
+                own[2] = pointers[words.first_row + row]
+                waiting.append(own)
+                n_waiting += len(at)
+                if size == 1:
+                    for seed, first, n in zip(*np.unique(prints.seeds, return_index=True, return_counts=True)):
+                        total = totals.setdefault(int(seed.view(np.int64)), [0, int(own[2, first])])
+                        total[0] += int(n)
                 if n_waiting > _WAITING:
-                    keys, counts = _counted(keys, counts, waiting)
-                    n_waiting = 0
-                    if len(keys) > _FLUSH:
-                        yield _pairs(keys, counts)
-                        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        yield _pairs(*_counted(keys, counts, waiting))
+                    counted, n_waiting = _counted(counted, waiting), 0
+                    if len(counted[0]) > _FLUSH:
+                        yield _rows(counted)
+                        counted = [np.empty(0, np.int64)] * 4
+        yield _rows(_counted(counted, waiting))
+        every = [(seed, -1, n, pointer) for seed, (n, pointer) in totals.items()]
+        yield _rows(list(np.array(every, np.int64).reshape(-1, 4).T))
 
-    def _pairs(keys, counts):
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["fp", "n"])
+    def _rows(counted: list[np.ndarray]) -> pa.RecordBatch:
+        digest, fp, n, at = (pa.array(c) for c in counted)
+        return pa.RecordBatch.from_arrays([fp, digest, n, at], ["fp", "digest", "n", "at"])
 
-    partial = in_small_batches(docs.select("lang", "text")).mapInArrow(count, "fp long, n long")
-    return partial.groupBy("fp").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    rows = in_small_batches(docs.select("lang", "text", "print"))
+    partial = rows.mapInArrow(count, "fp long, digest long, n long, at long")
+    summed = partial.groupBy("fp", "digest").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
+    return summed.filter((F.col("n") >= least) | (F.col("fp") < 0))
 
 
 def _digest(word: bytes) -> int:
@@ -243,7 +295,11 @@ def _added(found: np.ndarray, waiting: list[np.ndarray]) -> np.ndarray:
 
 def occurrences(docs: DataFrame, levels: list[bytes]) -> DataFrame:
     """The phrases with frequent fingerprints, told apart by their words: ``lang, size,
-    fp, digest, n, print, pos`` of partial counts; with size 0, the number of words."""
+    fp, digest, n, print, pos`` of partial counts; with size 0, the number of words.
+
+    `collocations` does without: every task passes on each frequent phrase that it holds,
+    and a larger table has both more tasks and more frequent phrases. It compares words
+    themselves, so it can tell whether digests do."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[str, int] = {}  # of the languages
@@ -287,32 +343,52 @@ def occurrences(docs: DataFrame, levels: list[bytes]) -> DataFrame:
     )
 
 
-def _materialised(docs: DataFrame, pointed: DataFrame) -> DataFrame:
-    """The phrases that pointers name: ``lang, phrase, size, f``. Only texts with a
-    pointer are shuffled; rows with the same text count as one."""
-    wanted = pointed.groupBy(F.col("print").alias("p")).agg(
-        F.collect_list(F.struct("lang", "size", "digest", "f", "pos")).alias("wanted")
-    )
-    texts = maybe_in(docs, "print", bitmap(pointed, "print")).groupBy("print").agg(F.min("text").alias("text"))
-    rows = texts.join(wanted, F.col("print") == F.col("p")).select("text", "wanted")
+def _materialised(docs: DataFrame, counted: DataFrame) -> DataFrame:
+    """The phrases of ``size, fp, digest, n, at``: ``lang, phrase, size, f``, an empty one for
+    a language's words. Only texts that a pointer names are shuffled; rows with the same
+    text and language count as one."""
+    wanted = counted.groupBy("at").agg(F.collect_list(F.struct("size", "fp", "digest", "n")).alias("wanted"))
+    pointer = F.conv(F.hex(F.substring("print", 1, 4)), 16, 10).cast("long")
+    texts = maybe_in(docs.select("lang", "text", pointer.alias("at")), "at", bitmap(counted, "at"))
+    texts = texts.groupBy("at", "lang", F.sha2("text", 256)).agg(F.min("text").alias("text"))
+    rows = texts.join(wanted, "at").select("lang", "text", "wanted")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                wanted = batch.column(1)[k].as_py()
-                words = next(scan(batch.column(0).slice(k, 1), TABLE, BREAKS))
-                out = []
-                for w in wanted:
-                    parts = _spelled(words, w["pos"], w["size"])
-                    seed = np.array([_seed(w["lang"])], np.uint64)
-                    digest = _digests(seed, [np.array([_digest(p)], np.uint64) for p in parts])
-                    if digest.view(np.int64)[0] != w["digest"]:
-                        raise ValueError("a text is not what it was when its phrases were counted")
-                    out.append((w["lang"], b" ".join(parts).decode(), w["size"], w["f"]))
-                arrays = [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.int32(), pa.int64()))]
+            for words, langs, names, prints in _runs(batch, _RUN):
+                own = batch.column(2).slice(words.first_row, len(words.upto) - 1).flatten()
+                sizes, fps, digests, counts = (c.to_numpy(zero_copy_only=False) for c in own.flatten())
+                found = []
+                for size in np.unique(sizes).tolist():
+                    of_size = sizes == size
+                    f = dict(zip(zip(fps[of_size].tolist(), digests[of_size].tolist()), counts[of_size].tolist()))
+                    if size:
+                        printed = prints.of(size).view(np.int64)
+                        at = np.flatnonzero(prints.whole(size) & np.isin(printed, fps[of_size]))
+                        keys = zip(printed[at].tolist(), _digests_at(words, prints, at, size).tolist())
+                    else:
+                        _, at = np.unique(langs, return_index=True)
+                        keys = ((-1, seed) for seed in prints.seeds[at].view(np.int64).tolist())
+                    for first, key in zip(at.tolist(), keys):
+                        n = f.pop(key, None)
+                        if n is not None:
+                            phrase = b" ".join(_spelled(words, first, size)).decode()
+                            found.append((names[langs[first]], phrase, size, n))
+                types = (pa.string(), pa.string(), pa.int32(), pa.int64())
+                columns = zip(*found) if found else ((),) * 4
+                arrays = [pa.array(c, t) for c, t in zip(columns, types)]
                 yield pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "size", "f"])
 
-    return in_small_batches(rows).mapInArrow(read, "lang string, phrase string, size int, f long")
+    # Texts that share a pointer may both hold a phrase.
+    return in_small_batches(rows).mapInArrow(read, "lang string, phrase string, size int, f long").distinct()
+
+
+def text_rows(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """``lang, text, print``: what the passes read."""
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    halves = [F.lpad(F.hex(F.xxhash64(*columns)), 16, "0") for columns in ((lang, text), (text, lang))]
+    return docs.select(lang.alias("lang"), text.alias("text"), F.unhex(F.concat(*halves)).alias("print"))
 
 
 def frequent_phrases(
@@ -320,28 +396,21 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, size, f`` of all frequent phrases of up to so many words, single
     words among them, and ``lang, n`` of the number of words."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-        text.alias("text"),
-        F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("print"),
-    )
-    levels: list[bytes] = []
+    rows = text_rows(docs, lang_col, text_col)
+    bits, levels = None, []
     while len(levels) < longest:
-        found = frequent_fingerprints(rows, len(levels) + 1, levels[-1] if levels else None, least)
-        bits = _bitmaps(settle(found, "frequent-ngrams"))
+        size = len(levels) + 1
+        found = settle(frequent_fingerprints(rows, size, bits, least), "frequent-ngrams")
+        levels.append(found.withColumn("size", F.when(F.col("fp") < 0, 0).otherwise(size)))
+        bits = _bitmaps(found.filter("fp >= 0"))
         if not any(bits):
             break
-        levels.append(bits)
-    counted = (
-        occurrences(rows, levels)
-        .groupBy("lang", "size", "fp", "digest")
-        .agg(F.sum("n").alias("f"), F.min(F.struct("print", "pos")).alias("at"))
-        .filter((F.col("f") >= least) | (F.col("size") == 0))
-    )
-    counted = settle(counted.select("lang", "size", "digest", "f", "at.print", "at.pos"), "phrase-pointers")
-    totals = counted.filter("size = 0").select("lang", F.col("f").alias("n"))
-    return settle(_materialised(rows, counted.filter("size > 0")), "phrases"), totals
+    counted = reduce(DataFrame.unionByName, levels)
+    phrases = settle(_materialised(rows, counted), "phrases")
+    if phrases.count() != counted.count():
+        raise ValueError("a text is not what it was when its phrases were counted")
+    totals = phrases.filter("size = 0").select("lang", F.col("f").alias("n"))
+    return phrases.filter("size > 0"), totals
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:

@@ -163,3 +163,61 @@ def test_tasks_that_pass_on_often_lose_nothing(spark, monkeypatch):
     want = brute(rows, least=40)
     assert len(want) > 10
     assert result(co.collocations(spark.createDataFrame(rows, SCHEMA).repartition(2), least=40)) == want
+
+
+def passed_on(task, texts, tasks):
+    """Rows that so many tasks pass on, each with its share of the texts."""
+    schema = pa.schema([("lang", "string"), ("text", "string"), ("print", "binary")])
+    made = 0
+    for k in range(tasks):
+        own = texts[k::tasks]
+        rows = {"lang": ["en"] * len(own), "text": own, "print": [t.encode()[:16].ljust(16) for t in own]}
+        made += sum(found.num_rows for found in task(iter([pa.RecordBatch.from_pydict(rows, schema)])))
+    return made
+
+
+def test_rows_of_all_passes_grow_with_the_texts(spark, monkeypatch):
+    """Whatever passes a task runs: a table five times as large, with five times the tasks
+    and more phrases that are frequent, makes no more than five times the rows."""
+    rng = random.Random(17)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(1000)], k=200)) for _ in range(400)]
+    seen = []
+
+    def mapping(self, task, schema, *rest):
+        seen.append(task)
+        return whole(self, task, schema, *rest)
+
+    frame = type(spark.range(1))
+    whole = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", mapping)
+    made = {}
+    for n in (80, 400):
+        seen.clear()
+        docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts[:n])], SCHEMA)
+        co.frequent_phrases(docs, longest=1, least=20)
+        over_texts = [t for t in seen if t.__name__ != "read"]
+        made[n] = [passed_on(t, texts[:n], n // 20) for t in over_texts]
+    assert len(made[80]) == len(made[400])
+    assert all(b <= 6 * a for a, b in zip(made[80], made[400])), made
+
+
+def test_digests_tell_apart_what_words_do(spark):
+    rows = [r for r in corpus() if r[1]]
+    docs = co.text_rows(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    single = co.frequent_fingerprints(docs, 1, None, 50)
+    bits = co._bitmaps(single.filter("fp >= 0"))
+    words = co.occurrences(docs, [bits]).groupBy("size", "fp", "digest").agg(F.sum("n").alias("n")).filter("n >= 50")
+    want = sorted(map(tuple, words.filter("size = 1").drop("size").collect()))
+    assert len(want) > 10
+    assert sorted(map(tuple, single.filter("fp >= 0").drop("at").collect())) == want
+    totals = words.filter("size = 0").agg(F.sum("n")).first()[0]
+    assert single.filter("fp < 0").agg(F.sum("n")).first()[0] == totals
+
+
+def test_texts_with_one_pointer(spark, monkeypatch):
+    whole = co.text_rows
+    monkeypatch.setattr(co, "text_rows", lambda *given: whole(*given).withColumn("print", F.unhex(F.lit("30" * 16))))
+    rows = corpus()[:300]
+    want = brute(rows, least=40)
+    assert len(want) > 10
+    assert result(co.collocations(spark.createDataFrame(rows, SCHEMA).repartition(3), least=40)) == want
