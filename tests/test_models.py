@@ -263,3 +263,24 @@ def test_predict_store_serve(spark, ensemble, tmp_path, monkeypatch):
 def test_no_ensembles(spark):
     with pytest.raises(ValueError):
         predict(spark.range(1), {})
+
+
+def test_training_rows_are_kept_before_members_ask_for_them(spark, monkeypatch):
+    rows = spark.range(400).select(
+        F.lit(24).alias("horizon_hours"), F.col("id").alias("measurepoint_id"),
+        F.timestamp_seconds(1_704_067_200 + F.col("id") * 6 * 3600).alias("forecast_run_time"),
+        F.timestamp_seconds(1_704_067_200 + F.col("id") * 6 * 3600 + 86_400).alias("valid_time"),
+        (F.col("id") % 3 == 0).cast("int").alias("hazard"), (F.col("id") % 10).cast("double").alias("t_air_c"),
+    )
+    seen = []
+
+    def fit(train, pos_weight, settings):
+        stored = spark.sparkContext._jsc.sc().getRDDStorageInfo()
+        seen.append(sum(s.numCachedPartitions() == s.numPartitions() for s in stored))
+        raise InterruptedError
+
+    before = sum(s.numCachedPartitions() > 0 for s in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    monkeypatch.setattr(training, "fit_members", fit)
+    with pytest.raises(InterruptedError):
+        training.train_horizon(rows, 24, ["t_air_c"], QUICK)
+    assert seen == [before + 1]

@@ -174,6 +174,16 @@ def test_split_falls_back(spark):
     assert set_sizes(with_split(missing, ["i"])).first().asDict() == {"train": 13, "calibration": 3, "test": 4}
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_split_looks_for_its_boundaries_once(spark, kind):
+    run = F.col("forecast_run_time").cast(kind)
+    df = runs(spark, [1 + i / 7 for i in range(200)] + [None] * 3).withColumn("forecast_run_time", run)
+    split = with_split(df, ["i"])
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" not in plan
+    assert sets(split) == sets(with_time_split(df).where("split is not null"))
+
+
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 7, 997])
 def test_random_split_sizes(spark, n):
     df = spark.range(n).select(F.col("id").cast("int").alias("i"))
