@@ -47,6 +47,7 @@ _BASE = 0x9E3779B97F4A7C15
 _SLICES = 64  # of a language's phrases, each ranked by itself first
 _SIZES = 64  # more than the words of a phrase
 _PRINT_BITS = 48  # enough to keep false candidates rare, and fewer bytes to shuffle
+_DIGEST_BITS = 48  # 32 of them share a column with a pointer, 16 with a fingerprint
 _RUN = 1 << 20  # bytes of text that are taken apart at a time
 _WAITING = 1 << 20  # fingerprints a task gathers before it counts them
 _FLUSH = 1 << 21  # distinct fingerprints a task holds before it passes them on
@@ -167,7 +168,12 @@ def _digests_at(words: Words, prints: Fingerprints, at: np.ndarray, size: int) -
     for k in range(size):
         used[at + k] = True
     of_word = _word_digests(words, used)
-    return _digests(prints.seeds[at], [of_word[at + k] for k in range(size)]).view(np.int64)
+    return _short(_digests(prints.seeds[at], [of_word[at + k] for k in range(size)]))
+
+
+def _short(digests: np.ndarray) -> np.ndarray:
+    """What of a digest is shuffled."""
+    return (digests >> np.uint64(64 - _DIGEST_BITS)).view(np.int64)
 
 
 def _pointers(prints: pa.Array) -> np.ndarray:
@@ -179,7 +185,8 @@ def _pointers(prints: pa.Array) -> np.ndarray:
 def frequent_fingerprints(docs: DataFrame, size: int, shorter: bytes | None, least: int) -> DataFrame:
     """``fp, digest, n, at`` of the n-grams of that size that occur often enough in a
     language, with the pointer to a text. ``shorter``: the bitmaps of those of one word less.
-    Single words come with the number of words of each language, as fingerprint -1."""
+    With single words comes the number of words of each language, as a negative ``n``, the
+    fingerprint 0 and the language's seed for a digest."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted, waiting, n_waiting = [np.empty(0, np.int64)] * 4, [], 0
@@ -195,26 +202,33 @@ def frequent_fingerprints(docs: DataFrame, size: int, shorter: bytes | None, lea
                 waiting.append(own)
                 n_waiting += len(at)
                 if size == 1:
-                    for seed, first, n in zip(*np.unique(prints.seeds, return_index=True, return_counts=True)):
-                        total = totals.setdefault(int(seed.view(np.int64)), [0, int(own[2, first])])
-                        total[0] += int(n)
+                    for seed, first, n in zip(*np.unique(_short(prints.seeds), return_index=True, return_counts=True)):
+                        total = totals.setdefault(int(seed), [0, int(own[2, first])])
+                        total[0] -= int(n)
                 if n_waiting > _WAITING:
                     counted, n_waiting = _counted(counted, waiting), 0
                     if len(counted[0]) > _FLUSH:
                         yield _rows(counted)
                         counted = [np.empty(0, np.int64)] * 4
         yield _rows(_counted(counted, waiting))
-        every = [(seed, -1, n, pointer) for seed, (n, pointer) in totals.items()]
+        every = [(seed, 0, n, pointer) for seed, (n, pointer) in totals.items()]
         yield _rows(list(np.array(every, np.int64).reshape(-1, 4).T))
 
     def _rows(counted: list[np.ndarray]) -> pa.RecordBatch:
-        digest, fp, n, at = (pa.array(c) for c in counted)
-        return pa.RecordBatch.from_arrays([fp, digest, n, at], ["fp", "digest", "n", "at"])
+        digest, fp, n, at = counted
+        packed = [fp << 16 | digest >> 32, digest << 32 | at, n]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in packed], ["key", "rest", "n"])
 
     rows = in_small_batches(docs.select("lang", "text", "print"))
-    partial = rows.mapInArrow(count, "fp long, digest long, n long, at long")
-    summed = partial.groupBy("fp", "digest").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
-    return summed.filter((F.col("n") >= least) | (F.col("fp") < 0))
+    # Tasks have counted what they can, so their rows are dealt as they are, in few bytes.
+    dealt = rows.mapInArrow(count, "key long, rest long, n long").repartition("key")
+    summed = dealt.groupBy("key", F.shiftrightunsigned("rest", 32).alias("low")).agg(
+        F.sum("n").alias("n"), F.min(F.col("rest").bitwiseAND(F.lit((1 << 32) - 1))).alias("at")
+    )
+    high = F.shiftleft(F.col("key").bitwiseAND(F.lit(0xFFFF)), 32)
+    return summed.filter((F.col("n") >= least) | (F.col("n") < 0)).select(
+        F.shiftrightunsigned("key", 16).alias("fp"), high.bitwiseOR(F.col("low")).alias("digest"), "n", "at"
+    )
 
 
 def _digest(word: bytes) -> int:
@@ -344,8 +358,8 @@ def occurrences(docs: DataFrame, levels: list[bytes]) -> DataFrame:
 
 
 def _materialised(docs: DataFrame, counted: DataFrame) -> DataFrame:
-    """The phrases of ``size, fp, digest, n, at``: ``lang, phrase, size, f``, an empty one for
-    a language's words. Only texts that a pointer names are shuffled; rows with the same
+    """The phrases of ``size, fp, digest, n, at``: ``lang, phrase, size, f``, of size 0 an empty
+    one for a language's words. Only texts that a pointer names are shuffled; rows with the same
     text and language count as one."""
     wanted = counted.groupBy("at").agg(F.collect_list(F.struct("size", "fp", "digest", "n")).alias("wanted"))
     pointer = F.conv(F.hex(F.substring("print", 1, 4)), 16, 10).cast("long")
@@ -368,7 +382,7 @@ def _materialised(docs: DataFrame, counted: DataFrame) -> DataFrame:
                         keys = zip(printed[at].tolist(), _digests_at(words, prints, at, size).tolist())
                     else:
                         _, at = np.unique(langs, return_index=True)
-                        keys = ((-1, seed) for seed in prints.seeds[at].view(np.int64).tolist())
+                        keys = ((0, seed) for seed in _short(prints.seeds[at]).tolist())
                     for first, key in zip(at.tolist(), keys):
                         n = f.pop(key, None)
                         if n is not None:
@@ -401,15 +415,15 @@ def frequent_phrases(
     while len(levels) < longest:
         size = len(levels) + 1
         found = settle(frequent_fingerprints(rows, size, bits, least), "frequent-ngrams")
-        levels.append(found.withColumn("size", F.when(F.col("fp") < 0, 0).otherwise(size)))
-        bits = _bitmaps(found.filter("fp >= 0"))
+        levels.append(found.withColumn("size", F.when(F.col("n") < 0, 0).otherwise(size)))
+        bits = _bitmaps(found.filter("n > 0"))
         if not any(bits):
             break
     counted = reduce(DataFrame.unionByName, levels)
     phrases = settle(_materialised(rows, counted), "phrases")
     if phrases.count() != counted.count():
         raise ValueError("a text is not what it was when its phrases were counted")
-    totals = phrases.filter("size = 0").select("lang", F.col("f").alias("n"))
+    totals = phrases.filter("size = 0").select("lang", (-F.col("f")).alias("n"))
     return phrases.filter("size > 0"), totals
 
 
