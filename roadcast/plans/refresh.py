@@ -14,7 +14,7 @@ from roadcast.schemas import TableSpec
 from roadcast.sources import extract
 from roadcast.sources.forecasts import parsed_errors, parsed_forecast_rows
 from roadcast.sources.landing import listed_faults
-from roadcast.session import remove_path, scratch_path
+from roadcast.session import SCRATCH_CODEC, remove_path, scratch_path, shuffles_dropped
 from roadcast.sources.tables import align_to_table, ensure_table, upsert
 
 REPORT_COLUMNS = "source STRING, rows BIGINT, error STRING"
@@ -59,7 +59,7 @@ def refresh(
         if feed.parsed is None:
             return ()
         frame, path = feed.parsed(), scratch_path(spark, f"{feed.name}-parsed")
-        frame.write.parquet(path)
+        frame.write.option("compression", SCRATCH_CODEC).parquet(path)
         return (spark.read.schema(frame.schema).parquet(path),)
 
     def store(feed: Feed, *parsed: DataFrame) -> int:
@@ -112,7 +112,7 @@ def refresh(
         return outcomes, listed
 
     feeds = list(feeds)
-    with ThreadPoolExecutor(max(1, len(feeds))) as pool:
+    with shuffles_dropped(spark), ThreadPoolExecutor(max(1, len(feeds))) as pool:
         found = list(pool.map(inheritable_thread_target(spark)(run), feeds))
     outcomes = [(name, 0, None) for name in idle] + [o for own, _ in found for o in own]
     listed = [frame for _, frames in found for frame in frames]

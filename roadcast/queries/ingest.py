@@ -658,27 +658,35 @@ def csv_sink(spark, sf_dir):
 # --- Jobs ----------------------------------------------------------------------------------
 
 
-def _write_lines(df: DataFrame, label: str, *partitions: str) -> str:
-    """Land the bodies as text, one payload per line."""
+def _write_lines(df: DataFrame, label: str, *partitions: str, packed: bool = False) -> str:
+    """Land the bodies as text, one payload per line. ``packed`` lands compressed files,
+    which a read cannot split, so none gets many payloads."""
     path = scratch_path(df.sparkSession, label)
-    df.select("body", *partitions).write.partitionBy(*partitions).text(path)
+    writer = df.select("body", *partitions).write.partitionBy(*partitions)
+    if packed:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", PACKED_PAYLOADS)
+    writer.text(path)
     return path
 
 
+# Payloads of a compressed file, some 100 MB of text.
+PACKED_PAYLOADS = 200_000
+
 # The files' own time, which stands in for an unreadable run time, is not known beforehand.
 LANDED_AT = "2000-01-01 00:00:00"
 
 
 def _forecast_lines(spark, sf_dir):
     landed = _landed(spark, sf_dir, FORECAST_BODY, f"{_ALIAS} as location_id")
-    path = _write_lines(landed, "forecast", "location_id")
+    path = _write_lines(landed, "forecast", "location_id", packed=True)
     lines = read_landing(spark, path, json_lines=True)
     return lines.withColumn("ingested_at", F.lit(LANDED_AT).cast("timestamp"))
 
 
 def _usual_feeds(spark, sf_dir, suffix):
     def lines(label, body):
-        return read_landing(spark, _write_lines(_landed(spark, sf_dir, body), label), json_lines=True)
+        path = _write_lines(_landed(spark, sf_dir, body), label, packed=True)
+        return read_landing(spark, path, json_lines=True)
 
     return landing_feeds(
         weather=lines("weather", WEATHER_BODY),

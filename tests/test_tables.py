@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from roadcast import schemas
 from roadcast.plans.refresh import Feed, landing_feeds, refresh, total_rows
-from roadcast.session import scratch_path
+from roadcast.queries import ingest
+from roadcast.session import SHUFFLE_CLEANUP, scratch_path
 from roadcast.sources import extract, snapshots, tables
 from roadcast.sources.landing import read_landing
 from roadcast.sources.tables import (
@@ -373,6 +374,49 @@ def test_refresh_from_landing(spark, tmp_path):
     assert (weather.surface_ice, weather.surface_snow, weather.surface_water) == (True, True, False)
 
 
+def test_refresh_drops_shuffles_when_a_query_ends(spark, spec):
+    rows = readings(spark, *[(p, 1 + p % 3, 10.0, 0.1, p) for p in range(20)])
+    seen = []
+
+    def told(frame):
+        seen.append(spark.conf.get(SHUFFLE_CLEANUP))
+        return frame
+
+    landed = Feed("own", spec, told, lambda parsed: told(parsed).limit(0).select(F.lit("").alias("error")), parsed=lambda: told(rows))
+    assert refresh(spark, [landed]).first()["rows"] == 20
+    assert seen == ["true"] * 3 and spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    with pytest.raises(RuntimeError):
+        refresh(spark, [replace(landed, parsed=lambda: 1 / 0)])
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        assert refresh(spark, [landed]).first()["rows"] == 20
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP)
+    assert len(stored(spark, spec)) == 20
+
+
+def test_landed_files_are_packed_and_small(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "PACKED_PAYLOADS", 3)
+    bodies = [f'{{"n": "{i}", "of": "\u00e6\u00f8"}}' for i in range(20)]
+    landed = spark.createDataFrame([(b, i < 9) for i, b in enumerate(bodies)], "body STRING, half BOOLEAN")
+    path = ingest._write_lines(landed.coalesce(1), "packed", "half", packed=True)
+    found = read_landing(spark, path, json_lines=True)
+    assert sorted(r.body for r in found.select("body").collect()) == sorted(bodies)
+    assert found.select("payload_id").distinct().count() == 20
+    files = found.groupBy(F.substring_index("payload_id", "#", 1).alias("file")).count().collect()
+    assert all(f.file.endswith(".gz") and f["count"] <= 3 for f in files)
+
+
+def test_refresh_queries_land_packed_files(spark, sf_dir, monkeypatch):
+    asked, whole = [], ingest._write_lines
+    monkeypatch.setattr(ingest, "_write_lines", lambda *a, **k: asked.append(whole(*a, **k)) or asked[-1])
+    assert len(ingest._usual_feeds(spark, sf_dir, "_x")) == 4 == len(asked)
+    for path in asked:
+        assert all(f.endswith(".gz") for f in spark.read.text(path).inputFiles())
+
+
 # --- Streaming -----------------------------------------------------------------------
 
 
