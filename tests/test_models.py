@@ -86,6 +86,24 @@ def test_isotonic_like_pooling(spark):
         assert row[name] == pytest.approx(want[row.score], abs=1e-9)
 
 
+def test_isotonic_in_many_partitions(spark, monkeypatch):
+    scores, y = noisy()
+    df = spark.createDataFrame(list(zip(scores, y)), "raw DOUBLE, hazard INT")
+    parts, learner = [], training.IsotonicRegression
+
+    class Watched(learner):
+        def _fit(self, rows):
+            parts.append(rows.rdd.getNumPartitions())
+            return super()._fit(rows)
+
+    monkeypatch.setattr(training, "IsotonicRegression", Watched)
+    monkeypatch.setattr(training, "POOLED_ROWS", 40)
+    out, (name,) = with_calibrated(df.withColumn("score", F.col("raw")), ["raw"], [fit_isotonic(df, "raw")])
+    want = pooled(scores, y)
+    assert parts == [8]
+    assert all(row[name] == pytest.approx(want[row.score], abs=1e-9) for row in out.collect())
+
+
 def test_calibrator_kinds(spark):
     df = spark.createDataFrame([(0.0,), (0.5,), (1.0,)], "raw DOUBLE")
     out, (name,) = with_calibrated(df.withColumn("r", F.col("raw")), ["raw"], [None])
@@ -284,3 +302,36 @@ def test_training_rows_are_kept_before_members_ask_for_them(spark, monkeypatch):
     with pytest.raises(InterruptedError):
         training.train_horizon(rows, 24, ["t_air_c"], QUICK)
     assert seen == [before + 1]
+
+
+def _half_days(spark, n):
+    run = F.timestamp_seconds(1_704_067_200 + F.col("id") * 6 * 3600)
+    return spark.range(n).select(
+        F.lit(24).alias("horizon_hours"), F.col("id").alias("measurepoint_id"), run.alias("forecast_run_time"),
+        (run + F.expr("interval 1 day")).alias("valid_time"),
+        (F.col("id") % 3 == 0).cast("int").alias("hazard"), (F.col("id") % 10).cast("double").alias("t_air_c"),
+    )
+
+
+def test_every_row_is_trained_and_calibrated_on(spark, monkeypatch):
+    rows = _half_days(spark, 400)
+    sizes = {r.split: r["count"] for r in with_split(rows, training.ROW_KEYS).groupBy("split").count().collect()}
+    seen = {}
+
+    def leave_out(rows, *_args, **_kwargs):
+        return rows.limit(1).withColumn("_stands_for", F.lit(1.0))
+
+    def fit(train, pos_weight, settings):
+        seen["train"] = train.count()
+        return []
+
+    def calibrate(calibration, models, method):
+        seen["calibration"] = calibration.count()
+        raise InterruptedError
+
+    for name, step in (("bounded", leave_out), ("fit_members", fit), ("fit_calibrators", calibrate)):
+        monkeypatch.setattr(training, name, step)
+    with pytest.raises(InterruptedError):
+        training.train_horizon(rows, 24, ["t_air_c"], QUICK)
+    assert seen == {name: sizes[name] for name in ("train", "calibration")}
+    assert not {"train_rows", "calibration_rows"} & set(vars(Settings()))
